@@ -7,6 +7,8 @@ they check the operators against an independent formulation.
 
 from __future__ import annotations
 
+from rawhouse.functions.labels import PITCH_CLASSES
+from rawhouse.operators.entity import MEASURES
 from rawhouse.plans import oracle_ctes as C
 from rawhouse.plans import params as P
 
@@ -135,3 +137,95 @@ FROM (
     FROM daily
     WHERE volume IS NOT NULL AND n_tweets IS NOT NULL
     GROUP BY stock) aux) m"""
+
+SQL["entity_card"] = C.with_ctes(C.PROFILE, C.INDUSTRY) + f"""
+SELECT p_code AS stock, p_company_name AS name, p_acctbal AS acctbal, sector, industry
+FROM profile, industry
+WHERE p_industry_id = industry.id AND p_code = {P.TARGET_ENTITY}"""
+
+SQL["attribute_peers"] = C.with_ctes(C.PROFILE, C.INDUSTRY) + f""",
+ps AS (SELECT p_code, sector, p_acctbal FROM profile JOIN industry ON p_industry_id = id)
+SELECT self.p_code AS me, other.p_code AS peer, other.sector, other.p_acctbal
+FROM ps other, ps self
+WHERE self.sector != 'None' AND other.sector != 'None'
+  AND self.p_code = {P.TARGET_ENTITY} AND self.sector = other.sector
+  AND other.p_code <> {P.TARGET_ENTITY}"""
+
+_MUSIC = (C.TRACK, C.TRACK_ARTISTS, C.ARTIST_GENRES, C.ARTIST)
+_STAR = "ta.track_id = track.t_id AND artist.a_id = ta.artist_id"
+_TARGET = f"artist.a_name = '{P.TARGET_ARTIST}'"
+_KEY_CASE = "CASE " + " ".join(
+    f"WHEN t_key = {i} THEN '{label}'" for i, label in enumerate(PITCH_CLASSES)
+) + " ELSE 'Unknown' END"
+_MEASURE_NAMES = [m[2:] for m in MEASURES]
+_AM = "am AS (SELECT a_id, count(t_id) AS a_track_number, avg(CASE WHEN t_mode THEN 1 ELSE 0 END) AS a_mode, " + ", ".join(
+    f"quantile_cont({c}, 0.5) AS {o}" for o, c in MEASURES.items()
+) + f" FROM track, track_artists ta, artist WHERE {_STAR} GROUP BY a_id)"
+
+SQL["entity_stats"] = C.with_ctes(*_MUSIC) + f"""
+SELECT count(*) AS track_number, count(DISTINCT t_album_id) AS album_number,
+       min(t_release_date) AS first_release, max(t_release_date) AS last_release,
+       round(avg(t_popularity), {D}) AS avg_popularity
+FROM track_artists ta, artist, track
+WHERE {_STAR} AND {_TARGET}"""
+
+SQL["top_items"] = C.with_ctes(*_MUSIC) + f""",
+all_tracks AS (SELECT * FROM track_artists ta, artist, track WHERE {_STAR} AND {_TARGET})
+SELECT t_name AS name, {_KEY_CASE} AS "key",
+  CASE WHEN t_mode THEN 'Major' ELSE 'Minor' END AS music_mode,
+  t_year AS year, t_release_date AS release_date, t_album AS album, t_track_number AS track_number,
+  t_disc_number AS disc_number, round(t_duration_ms / 1000, {D}) AS duration_seconds
+FROM all_tracks
+ORDER BY t_popularity DESC, t_id
+LIMIT {P.TOP_ITEMS}"""
+
+SQL["group_sums"] = C.with_ctes(*_MUSIC) + f"""
+SELECT t_album AS album, round(sum(t_acousticness), {D}) AS acousticness,
+       round(sum(t_danceability), {D}) AS danceability, round(sum(t_energy), {D}) AS energy
+FROM track_artists ta, artist, track
+WHERE {_STAR} AND {_TARGET}
+GROUP BY album"""
+
+SQL["entity_measures"] = C.with_ctes(*_MUSIC, _AM) + "SELECT a_id, a_track_number, " + ", ".join(
+    f"round({c}, {D}) AS {c}" for c in ["a_mode", *MEASURES]
+) + " FROM am"
+
+SQL["entity_features"] = C.with_ctes(*_MUSIC, _AM) + "SELECT a_name AS name, genres, round(a_mode, 6) AS modality, " + ", ".join(
+    f"round(am.{o}, {D}) AS {o[2:]}" for o in MEASURES
+) + f" FROM artist, am WHERE artist.a_id = am.a_id AND {_TARGET}"
+
+SQL["similar_entities"] = C.with_ctes(*_MUSIC, _AM) + f""",
+clusters AS (SELECT s_suppkey AS a_id, n_regionkey AS prediction FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+similar_set AS (
+  SELECT b.a_id AS candidate, genres
+  FROM artist, clusters a, clusters b
+  WHERE artist.a_id = a.a_id AND {_TARGET} AND a.prediction = b.prediction AND a.a_id <> b.a_id)
+SELECT artist.a_name AS artist_name, artist.genres, am.a_track_number AS track_number,
+  round(am.a_mode, {D}) AS modality, """ + ", ".join(f"round(am.{o}, {D}) AS {o[2:]}" for o in MEASURES) + f"""
+FROM similar_set, artist, am
+WHERE am.a_id = similar_set.candidate AND artist.a_id = similar_set.candidate
+  AND len(list_intersect(artist.genres, similar_set.genres)) > 0
+ORDER BY am.a_track_number DESC, artist.a_name
+LIMIT {P.TOP_ITEMS}"""
+
+SQL["label_frequency"] = C.with_ctes(C.TRACK) + f"""
+SELECT count(*) AS track_number, {_KEY_CASE} AS "key"
+FROM track GROUP BY t_key"""
+
+SQL["tag_frequency"] = C.with_ctes(C.ARTIST_GENRES, C.ARTIST) + f""",
+artist_genre AS (
+  SELECT a_name, unnest(genres) AS genre FROM artist
+  WHERE genres IS NOT NULL AND len(genres) > 0)
+SELECT count(*) AS artist_number, genre
+FROM artist_genre GROUP BY genre
+ORDER BY artist_number DESC, genre
+LIMIT {P.TOP_TAGS}"""
+
+SQL["popularity_percentiles"] = C.with_ctes(*_MUSIC) + f"""
+SELECT max(t_popularity) AS popularity, round(quantile_cont(t_popularity, 0.9), {D}) AS popularity90,
+       round(quantile_cont(t_popularity, 0.5), {D}) AS popularity50, a_name
+FROM track, track_artists ta, artist
+WHERE {_STAR}
+GROUP BY a_name
+ORDER BY popularity DESC, a_name
+LIMIT {P.TOP_NAMES}"""

@@ -32,7 +32,7 @@ POSTS = """posts AS (
 TRACK = """track AS (
   SELECT o_orderkey AS t_id, 'track-' || CAST(o_orderkey AS VARCHAR) AS t_name,
          'album-' || CAST(o_custkey AS VARCHAR) AS t_album, o_custkey AS t_album_id,
-         CAST(o_orderdate AS DATE) AS t_release_date, year(o_orderdate) AS t_year,
+         CAST(o_orderdate AS DATE) AS t_release_date, CAST(year(o_orderdate) AS INTEGER) AS t_year,
          CAST(floor(o_totalprice / 5000.0) AS INTEGER) AS t_popularity,
          CAST(o_custkey % 13 AS INTEGER) - 1 AS t_key,
          o_orderstatus = 'F' AS t_mode, o_orderpriority = '1-URGENT' AS t_explicit,

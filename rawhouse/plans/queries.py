@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from rawhouse.operators import entity as ent
+from rawhouse.operators import ranking as rk
 from rawhouse.operators import timeseries as ts
 from rawhouse.plans import params as P
 from rawhouse.plans import standins as S
@@ -101,3 +103,107 @@ def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pairwise_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = ts.daily_metrics(S.bars(spark, sf_dir), S.posts(spark, sf_dir))
     return rounded(ts.grouped_corr(daily, "stock", "volume", "n_tweets"))
+
+
+@register("entity_card")
+def entity_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ent.entity_card(
+        S.profile(spark, sf_dir), S.industry(spark, sf_dir), "p_code", P.TARGET_ENTITY,
+        "p_industry_id", "id",
+        [F.col("p_code").alias("stock"), F.col("p_company_name").alias("name"),
+         F.col("p_acctbal").alias("acctbal"), "sector", "industry"],
+    )
+
+
+@register("attribute_peers")
+def attribute_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prof = S.profile(spark, sf_dir)
+    ind = S.industry(spark, sf_dir)
+    with_sector = prof.join(ind, prof.p_industry_id == ind.id).select("p_code", "sector", "p_acctbal")
+    return ent.attribute_peers(with_sector, "p_code", "sector", P.TARGET_ENTITY, extra=["p_acctbal"])
+
+
+# ---------------------------------------------------------------- music domain
+
+def _target_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ent.target_facts(
+        S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist(spark, sf_dir),
+        "a_name", P.TARGET_ARTIST,
+    )
+
+
+def _artist_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist(spark, sf_dir))
+    return ent.entity_measures(ef)
+
+
+@register("entity_stats")
+def entity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ent.entity_stats(_target_tracks(spark, sf_dir)))
+
+
+@register("top_items")
+def top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ent.top_items(_target_tracks(spark, sf_dir), P.TOP_ITEMS))
+
+
+@register("group_sums")
+def group_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tf = _target_tracks(spark, sf_dir)
+    out = ent.group_sums(
+        tf, "t_album",
+        {"acousticness": "t_acousticness", "danceability": "t_danceability", "energy": "t_energy"},
+        out_by="album",
+    )
+    return rounded(out)
+
+
+@register("entity_measures")
+def entity_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_artist_measures(spark, sf_dir))
+
+
+@register("entity_features")
+def entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = S.artist(spark, sf_dir).where(F.col("a_name") == P.TARGET_ARTIST)
+    am = _artist_measures(spark, sf_dir)
+    out = a.join(am, a.a_id == am.a_id).select(
+        F.col("a_name").alias("name"), "genres", F.col("a_mode").alias("modality"),
+        *[F.col(m).alias(m[2:]) for m in ent.MEASURES],
+    )
+    return rounded(out)
+
+
+def _cluster_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic cluster labels (region of the supplier) so the peer
+    query can be checked exactly; :func:`cluster_entities` gives k-means ones."""
+    s = S.table(spark, sf_dir, "supplier")
+    n = S.table(spark, sf_dir, "nation")
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(
+        F.col("s_suppkey").alias("a_id"), F.col("n_regionkey").alias("prediction")
+    )
+
+
+@register("similar_entities")
+def similar_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ent.similar_entities(
+        S.artist(spark, sf_dir), _cluster_standin(spark, sf_dir), _artist_measures(spark, sf_dir),
+        "a_name", P.TARGET_ARTIST, P.TOP_ITEMS,
+    )
+    return rounded(out)
+
+
+@register("label_frequency")
+def label_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rk.label_frequency(S.track(spark, sf_dir), "t_key")
+
+
+@register("tag_frequency")
+def tag_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rk.tag_frequency(S.artist(spark, sf_dir), "genres", P.TOP_TAGS)
+
+
+@register("popularity_percentiles")
+def popularity_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist(spark, sf_dir))
+    return rounded(rk.percentile_board(ef, "a_name", "t_popularity", k=P.TOP_NAMES))
