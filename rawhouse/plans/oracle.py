@@ -229,3 +229,54 @@ WHERE {_STAR}
 GROUP BY a_name
 ORDER BY popularity DESC, a_name
 LIMIT {P.TOP_NAMES}"""
+
+_PAIRS = """dic AS (
+  SELECT l_partkey, l_suppkey, row_number() OVER (ORDER BY l_partkey, l_suppkey) AS pair_id
+  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem
+        WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL) d)"""
+
+SQL["dictionary_encode"] = C.with_ctes(_PAIRS) + "SELECT l_partkey, l_suppkey, pair_id FROM dic"
+
+SQL["normalize_fk"] = C.with_ctes(_PAIRS) + """
+SELECT l_orderkey, l_linenumber, dic.pair_id
+FROM lineitem LEFT JOIN dic
+  ON lineitem.l_partkey = dic.l_partkey AND lineitem.l_suppkey = dic.l_suppkey"""
+
+SQL["merge_sources"] = f"""
+WITH a AS (
+  SELECT o_orderkey AS id, o_orderpriority AS name, CAST(o_orderdate AS DATE) AS release_date,
+         o_orderstatus AS status
+  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+b AS (
+  SELECT l_orderkey AS id, max(l_returnflag) || max(l_linestatus) AS name,
+         max(CAST(l_shipdate AS DATE)) AS release_date, count(*) AS n_lines,
+         sum(l_quantity) AS quantity
+  FROM lineitem GROUP BY l_orderkey),
+u AS (SELECT id, name, release_date, 0 AS src FROM a
+      UNION ALL SELECT id, name, release_date, 1 AS src FROM b),
+m AS (SELECT id, name, release_date FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY name NULLS FIRST, src,
+                                     release_date NULLS FIRST) AS rn FROM u) r
+      WHERE rn = 1)
+SELECT m.id, m.name, m.release_date, a.status, b.n_lines, round(b.quantity, {D}) AS quantity
+FROM m LEFT JOIN a ON m.id = a.id LEFT JOIN b ON m.id = b.id"""
+
+SQL["bridge_explode"] = """
+SELECT l_orderkey AS id,
+       CAST(row_number() OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, s_name, 'sp-' || CAST(l_suppkey AS VARCHAR)) - 1 AS INTEGER) AS pos,
+       s_name AS a_name, 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_spotify_id
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""
+
+SQL["enrich_dimension"] = C.with_ctes(C.ARTIST_GENRES) + """,
+pairs AS (SELECT DISTINCT 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_spotify_id, s_name AS a_name
+          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+dic AS (SELECT a_spotify_id, a_name,
+               row_number() OVER (ORDER BY a_spotify_id NULLS FIRST, a_name NULLS FIRST) AS a_id
+        FROM pairs)
+SELECT a_id, a_spotify_id, a_name, ag.genres
+FROM dic LEFT JOIN artist_genres ag ON a_name = ag.artists"""
+
+SQL["distinct_profile"] = """
+SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows
+FROM orders GROUP BY o_orderstatus, o_orderpriority"""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from rawhouse.operators import entity as ent
+from rawhouse.operators import model as mdl
 from rawhouse.operators import ranking as rk
 from rawhouse.operators import timeseries as ts
 from rawhouse.plans import params as P
@@ -207,3 +208,47 @@ def tag_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def popularity_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist(spark, sf_dir))
     return rounded(rk.percentile_board(ef, "a_name", "t_popularity", k=P.TOP_NAMES))
+
+
+# ------------------------------------------------------------------ modelling
+
+def _pair_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = S.table(spark, sf_dir, "lineitem")
+    return mdl.build_dictionary(li, "l_partkey", "l_suppkey", index_col="pair_id")
+
+
+@register("dictionary_encode")
+def dictionary_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pair_dictionary(spark, sf_dir)
+
+
+@register("normalize_fk")
+def normalize_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return mdl.normalize(li, _pair_dictionary(spark, sf_dir), ["l_partkey", "l_suppkey"], "pair_id")
+
+
+@register("merge_sources")
+def merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(mdl.merge_sources(S.source_a(spark, sf_dir), S.source_b(spark, sf_dir), "id", ["name"]))
+
+
+@register("bridge_explode")
+def bridge_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mdl.explode_zipped(
+        S.track_lists(spark, sf_dir), "id", {"a_name": "artists", "a_spotify_id": "artist_ids"}
+    )
+
+
+@register("enrich_dimension")
+def enrich_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mdl.explode_zipped(
+        S.track_lists(spark, sf_dir), "id", {"a_name": "artists", "a_spotify_id": "artist_ids"}, pos_col=None
+    )
+    dim, _bridge = mdl.build_dimension(rows, S.genre_texts(spark, sf_dir))
+    return dim
+
+
+@register("distinct_profile")
+def distinct_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mdl.distinct_profile(S.table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")

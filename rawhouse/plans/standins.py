@@ -146,3 +146,58 @@ def artist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("a_name"),
         F.col("genres"),
     )
+
+
+def _list_text(arr) -> "F.Column":
+    """Render an array of strings as a Python list literal: ['a', 'b']."""
+    return F.concat(F.lit("['"), F.array_join(arr, "', '"), F.lit("']"))
+
+
+def track_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw track rows carrying their artists as list texts, in line order:
+    (id, artists "['Supplier#..', ...]", artist_ids "['sp-..', ...]")."""
+    li = table(spark, sf_dir, "lineitem")
+    s = table(spark, sf_dir, "supplier")
+    rows = li.join(s, li.l_suppkey == s.s_suppkey).select(
+        "l_orderkey",
+        F.struct(
+            F.col("l_linenumber").alias("ln"),
+            F.col("s_name").alias("name"),
+            F.concat(F.lit("sp-"), F.col("l_suppkey").cast("string")).alias("sid"),
+        ).alias("item"),
+    )
+    g = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    return g.select(
+        F.col("l_orderkey").alias("id"),
+        _list_text(F.transform("items", lambda x: x["name"])).alias("artists"),
+        _list_text(F.transform("items", lambda x: x["sid"])).alias("artist_ids"),
+    )
+
+
+def genre_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw genre source: (artists, genres as a list text)."""
+    g = artist_genres(spark, sf_dir)
+    return g.select("artists", _list_text(F.col("genres")).alias("genres"))
+
+
+def source_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First track source: orders placed before 1999 (id, name, release_date, status)."""
+    o = table(spark, sf_dir, "orders")
+    return o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderpriority").alias("name"),
+        F.to_date("o_orderdate").alias("release_date"),
+        F.col("o_orderstatus").alias("status"),
+    )
+
+
+def source_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second track source: line-item roll-up per order
+    (id, name, release_date, n_lines, quantity)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.concat(F.max("l_returnflag"), F.max("l_linestatus")).alias("name"),
+        F.max(F.to_date("l_shipdate")).alias("release_date"),
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("l_quantity").alias("quantity"),
+    )
