@@ -280,3 +280,98 @@ FROM dic LEFT JOIN artist_genres ag ON a_name = ag.artists"""
 SQL["distinct_profile"] = """
 SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows
 FROM orders GROUP BY o_orderstatus, o_orderpriority"""
+
+SQL["load_csv_audited"] = """
+SELECT o_orderkey AS id, o_custkey AS album_id, o_orderstatus AS status, o_totalprice AS price,
+       CAST(o_orderdate AS DATE) AS release_date, o_orderpriority = '1-URGENT' AS explicit
+FROM orders
+WHERE o_orderstatus IS DISTINCT FROM 'P'"""
+
+SQL["load_keyed_files"] = C.with_ctes(C.HISTORY) + """
+SELECT CAST(h_code AS VARCHAR) AS h_code, h_date, h_close, h_volume FROM history"""
+
+SQL["parse_posts"] = r"""
+SELECT CAST(user_id AS VARCHAR) AS t_code, date_trunc('minute', ts) AS t_date,
+       'user' || CAST(user_id AS VARCHAR) AS t_author,
+       trim(event_type || ',\n' || props) AS t_content
+FROM events"""
+
+# str.title on letters-only runs: first letter upper, rest lower
+_TITLE = r"array_to_string(list_transform(regexp_extract_all({x}, '(\p{{L}}+|[^\p{{L}}]+)', 1), lambda w: upper(w[1]) || lower(w[2:])), '')"
+
+SQL["parse_profiles"] = f"""
+WITH first AS (SELECT l_suppkey, min(CAST(l_shipdate AS DATE)) AS first_ship FROM lineitem GROUP BY l_suppkey)
+SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS company_name, s_name AS address,
+       n_name AS country, {_TITLE.format(x="lower(r_name)")} AS sector,
+       {_TITLE.format(x="lower(n_name)")} AS industry,
+       CASE WHEN s_acctbal < 0 THEN NULL ELSE s_acctbal END AS acctbal,
+       first_ship AS ipo_date, CAST(NULL AS VARCHAR) AS ceo
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+LEFT JOIN first ON s_suppkey = first.l_suppkey"""
+
+_CELLS = r"""cells AS (
+  SELECT page_id, list_transform(
+           regexp_extract_all(html, '(?is)<li(?:\s[^>]*)?>(.*?)</li>', 1),
+           lambda x: trim(regexp_replace(x, '<[^>]+>', '', 'g'))) AS c
+  FROM pages),
+pairs AS (
+  SELECT page_id, CAST(i AS INTEGER) AS pair, c[2 * i + 1] AS code, c[2 * i + 2] AS name
+  FROM (SELECT page_id, c, unnest(range(0, len(c) // 2)) AS i FROM cells) t)"""
+
+SQL["extract_cells"] = C.with_ctes(_CELLS) + "SELECT page_id, pair, code, name FROM pairs"
+
+SQL["post_search"] = C.with_ctes(_CELLS) + r""",
+codes AS (SELECT DISTINCT code FROM pairs WHERE code IS NOT NULL),
+toks AS (SELECT DISTINCT doc_id, tok FROM (
+  SELECT doc_id, unnest(regexp_extract_all(text, '([\p{L}\p{N}]+)', 1)) AS tok
+  FROM documents WHERE lang = 'en' AND NOT starts_with(text, 'RT ')) t)
+SELECT code, doc_id FROM toks JOIN codes ON tok = code"""
+
+SQL["cooccurrence_edges"] = C.with_ctes(C.TRACK_ARTISTS) + """,
+collaboration AS (
+  SELECT a.artist_id AS node, b.artist_id AS neighbor, a.track_id
+  FROM track_artists a, track_artists b WHERE a.track_id = b.track_id)
+SELECT c.node AS artist_id, count(*) AS n_edges, g.n_groups
+FROM collaboration c
+JOIN (SELECT artist_id, count(*) AS n_groups FROM track_artists WHERE track_id IS NOT NULL
+      GROUP BY artist_id) g ON c.node IS NOT DISTINCT FROM g.artist_id
+GROUP BY c.node, g.n_groups"""
+
+SQL["neighbor_smoothing"] = C.with_ctes(*_MUSIC, _AM) + """,
+collaboration AS (
+  SELECT a.artist_id AS node, b.artist_id AS neighbor
+  FROM track_artists a, track_artists b WHERE a.track_id = b.track_id)
+SELECT node, """ + ", ".join(
+    f"round(avg(am.{c}), {D}) AS {o}" for o, c in
+    [("track_number", "a_track_number"), ("modality", "a_mode")] + [(m[2:], m) for m in MEASURES]
+) + """
+FROM collaboration, am WHERE am.a_id = neighbor
+GROUP BY node"""
+
+
+def _half_up(sql: str, digits: int = D) -> str:
+    """Rewrite ``round(x, digits)`` so DuckDB rounds like Spark does: half-up
+    on the shortest decimal form of the double (DuckDB's own ``round`` scales
+    the binary value, which differs exactly at the half-way points)."""
+    key, out, i = "round(", [], 0
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(key):k - 1]
+        head, _, tail = inner.rpartition(",")
+        out.append(sql[i:j])
+        if tail.strip() == str(digits) and head:
+            head = _half_up(head, digits)
+            out.append(f"CAST(round(CAST(CAST({head} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)")
+        else:
+            out.append(sql[j:k])
+        i = k
+
+
+SQL = {name: _half_up(text) for name, text in SQL.items()}

@@ -6,7 +6,7 @@ with the Spark side.  Each constant is a ``name AS (...)`` CTE body.
 
 HISTORY = """history AS (
   SELECT l_suppkey AS h_code, CAST(l_shipdate AS DATE) AS h_date,
-         sum(l_extendedprice) / sum(l_quantity) AS h_close,
+         max(l_extendedprice / l_quantity) AS h_close,
          sum(l_quantity) AS h_volume
   FROM lineitem GROUP BY 1, 2)"""
 

@@ -12,14 +12,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import DoubleType, FloatType
 
 from rawhouse.operators import entity as ent
+from rawhouse.operators import graph as gr
+from rawhouse.operators import ml
 from rawhouse.operators import model as mdl
+from rawhouse.operators import parse as prs
 from rawhouse.operators import ranking as rk
 from rawhouse.operators import timeseries as ts
 from rawhouse.plans import params as P
 from rawhouse.plans import standins as S
+from rawhouse.session import scratch_path
+from rawhouse.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -252,3 +258,146 @@ def enrich_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("distinct_profile")
 def distinct_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mdl.distinct_profile(S.table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
+
+
+# ------------------------------------------------------------------ ingestion
+# These queries write text derived from the driver tables to a fresh folder
+# below the session's checkpoint folder and read it back with the readers.
+
+@register("load_csv_audited")
+def load_csv_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = S.table(spark, sf_dir, "orders")
+    raw = o.select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("album_id"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price"),
+        # a second export system writes day/month/year dates for pending orders
+        F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "d/M/yyyy"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("release_date"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0).alias("explicit"),
+    )
+    path = scratch_path(spark, "orders-csv")
+    sinks.write_csv(raw, path)
+    schema = T.StructType([
+        T.StructField("id", T.LongType()),
+        T.StructField("album_id", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("release_date", T.DateType()),
+        T.StructField("explicit", T.IntegerType()),
+    ])
+    return files.read_csv_audited(spark, path, schema, bool_flags=("explicit",)).good
+
+
+@register("load_keyed_files")
+def load_keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = S.history(spark, sf_dir).select(
+        "h_code", F.col("h_date").alias("date"), F.col("h_close").alias("close"), F.col("h_volume").alias("volume")
+    )
+    path = scratch_path(spark, "history-csv")
+    sinks.write_csv(hist, path, partition_by=["h_code"])
+    schema = T.StructType([
+        T.StructField("date", T.DateType()),
+        T.StructField("close", T.DoubleType()),
+        T.StructField("volume", T.DoubleType()),
+    ])
+    return files.read_entity_csvs(
+        spark, path, schema, key_col="h_code", key_pattern=r"h_code=([^/]+)/",
+        key_from="file_path", prefix="h_", recursive=True,
+    ).good
+
+
+@register("parse_posts")
+def parse_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = S.table(spark, sf_dir, "events")
+    lines = e.select(F.concat_ws(
+        ",",
+        F.col("user_id").cast("string"),
+        F.date_format("ts", "d/M/yyyy H:mm"),
+        F.concat(F.col("event_type"), F.lit(",\n"), F.col("props")),
+        F.concat(F.lit('"user'), F.col("user_id").cast("string"), F.lit('"')),
+    ).alias("value"))
+    path = scratch_path(spark, "posts-txt")
+    lines.write.option("lineSep", "\r\n").text(path)
+    return prs.parse_posts(files.read_lines(spark, path, "\r\n"))
+
+
+# line number of each field in a profile text
+PROFILE_FIELDS = {
+    "code": 1, "company_name": 2, "address": 3, "country": 4, "sector": 5,
+    "industry": 6, "acctbal": 7, "ipo_date": 8, "ceo": 12,
+}
+
+
+@register("parse_profiles")
+def parse_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = S.table(spark, sf_dir, "supplier")
+    n = S.table(spark, sf_dir, "nation")
+    r = S.table(spark, sf_dir, "region")
+    first = S.table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.min(F.to_date("l_shipdate")).alias("first_ship")
+    )
+    src = s.join(n, s.s_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == F.col("r_regionkey")).join(
+        first, s.s_suppkey == first.l_suppkey, "left"
+    )
+    text = F.concat_ws(
+        "\n",
+        F.lit("Profile,"),
+        F.concat(F.lit("code,"), F.col("s_suppkey").cast("string")),
+        F.concat(F.lit("company_name,"), F.col("s_name")),
+        F.concat(F.lit("address,"), F.col("s_name"), F.lit(", Suite "), F.col("s_nationkey").cast("string")),
+        F.concat(F.lit("country,"), F.col("n_name")),
+        F.concat(F.lit("sector,"), F.lower("r_name")),
+        F.concat(F.lit("industry,"), F.lower("n_name")),
+        F.concat(F.lit("acctbal,"), F.when(F.col("s_acctbal") < 0, F.lit("N/A")).otherwise(F.col("s_acctbal").cast("string"))),
+        F.concat(F.lit("ipo_date,"), F.coalesce(F.col("first_ship").cast("string"), F.lit(""))),
+    )
+    path = scratch_path(spark, "profiles-txt")
+    src.select(text.alias("value")).write.option("lineSep", "\x1e").text(path)
+    parsed = prs.parse_kv_profile(files.read_records(spark, path, "\x1e"), PROFILE_FIELDS)
+    cleaned = prs.clean_profile(parsed)
+    return cleaned.withColumn("acctbal", F.col("acctbal").try_cast("double"))
+
+
+def _page_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prs.html_cell_pairs(S.table(spark, sf_dir, "pages"), "html", ["page_id"], tag="li")
+
+
+@register("extract_cells")
+def extract_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _page_pairs(spark, sf_dir)
+
+
+@register("post_search")
+def post_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = S.table(spark, sf_dir, "documents")
+    return prs.match_posts(
+        docs, _page_pairs(spark, sf_dir), "text", ["doc_id"], prefix="", lang_col="lang", lang="en"
+    )
+
+
+# ------------------------------------------------------------------ graph / ml
+
+def _bridge_and_measures(spark: SparkSession, sf_dir: str):
+    return S.track_artists(spark, sf_dir), _artist_measures(spark, sf_dir)
+
+
+@register("cooccurrence_edges")
+def cooccurrence_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gr.cooccurrence_degree(S.track_artists(spark, sf_dir))
+
+
+SMOOTHED = {"track_number": "a_track_number", "modality": "a_mode", **{m[2:]: m for m in ent.MEASURES}}
+
+
+@register("neighbor_smoothing")
+def neighbor_smoothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bridge, am = _bridge_and_measures(spark, sf_dir)
+    return rounded(gr.smooth_features(bridge, am, "a_id", SMOOTHED))
+
+
+@register("cluster_entities")
+def cluster_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    am = _artist_measures(spark, sf_dir)
+    return ml.cluster(am, "a_id", k=P.KMEANS_K, seed=P.KMEANS_SEED)

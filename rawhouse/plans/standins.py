@@ -21,12 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --------------------------------------------------------------- equity domain
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily close and volume per supplier: (h_code, h_date, h_close, h_volume)."""
+    """Daily close and volume per supplier: (h_code, h_date, h_close, h_volume).
+
+    The close is the day's highest unit price; a per-row quotient and a max
+    give the same double in every engine (a quotient of sums would not).
+    """
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy(
         F.col("l_suppkey").alias("h_code"), F.to_date("l_shipdate").alias("h_date")
     ).agg(
-        (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("h_close"),
+        F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("h_close"),
         F.sum("l_quantity").alias("h_volume"),
     )
 
