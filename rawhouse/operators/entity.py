@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rawhouse.functions.labels import decode_code, flag_label
 from rawhouse.operators.percentile import percentiles
+from rawhouse.session import materialize
 
 
 def entity_card(
@@ -138,12 +139,21 @@ def entity_measures(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Per entity: item count, share of flagged items (NULL counts as not
-    flagged) and the median of each measure (exact, skew-safe)."""
-    counts = ef.groupBy(key).agg(
+    flagged) and the median of each measure (exact, skew-safe).
+
+    The per-entity counts (one row per entity) are checkpointed: they are
+    part of the result and their largest row count decides how the medians
+    are computed, without another pass over the facts.
+    """
+    counts = materialize(ef.groupBy(key).agg(
         F.count(item).alias("a_track_number"),
         F.avg(F.when(F.col(flag), 1).otherwise(0)).alias("a_mode"),
+        F.count(F.lit(1)).alias("_rows"),
+    ))
+    largest = counts.agg(F.max("_rows")).first()[0] or 0
+    meds = percentiles(
+        ef, [key], [(o, c, 0.5) for o, c in measures.items()], num_partitions, largest=largest
     )
-    meds = percentiles(ef, [key], [(o, c, 0.5) for o, c in measures.items()], num_partitions)
     return counts.join(meds, counts[key].eqNullSafe(meds[key]), "left").select(
         counts[key], "a_track_number", "a_mode", *[meds[o] for o in measures]
     )

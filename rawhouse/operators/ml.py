@@ -9,6 +9,8 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 
+from rawhouse.session import materialize
+
 
 def cluster(
     df: DataFrame,
@@ -27,8 +29,13 @@ def cluster(
     VectorAssembler policy for NULL features ('error', 'skip' or 'keep').
     Each k-means iteration is one distributed pass; only the ``k`` centres
     travel to the executors.
+
+    The input is usually an expensive lazy plan (per-entity aggregates) read
+    by several passes (scaler fit, k-means init and iterations, assignment),
+    so it is checkpointed once into the session's checkpoint folder first.
     """
     cols = list(features) if features else [c for c in df.columns if c != key]
+    df = materialize(df.select(key, *cols))
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=cols, outputCol="_raw", handleInvalid=handle_invalid),
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=False, withStd=True),

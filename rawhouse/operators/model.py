@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from rawhouse.functions.text import reciprocal_fill
-from rawhouse.session import checkpoint_dir, default_parallelism
+from rawhouse.session import default_parallelism, materialize
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
@@ -55,8 +55,7 @@ def build_dictionary(
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    checkpoint_dir(spark)
-    numbered = numbered.checkpoint(eager=True)
+    numbered = materialize(numbered)
     numbered = numbered.select(
         *cols,
         F.shiftright("_mid", _POS_BITS).alias("_pid"),

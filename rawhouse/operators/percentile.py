@@ -14,6 +14,11 @@ in one task's memory.  Here instead:
 4. only the rows covering the two positions around ``(n - 1) * p`` survive,
    at most two per group and percentile, and are interpolated like Spark's
    ``percentile`` (and DuckDB's ``quantile_cont``).
+
+That path costs three to four shuffles.  When a first, cheap pass proves
+that no group holds more than ``max_group_rows`` rows, the single-pass
+built-in ``percentile`` is used instead: then one task never buffers more
+than that many values for one group.
 """
 
 from __future__ import annotations
@@ -27,10 +32,6 @@ from pyspark.sql import functions as F
 from rawhouse.session import default_parallelism
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def weighted_positions(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -51,9 +52,11 @@ def weighted_positions(
     n = num_partitions or default_parallelism(spark)
     keys = list(group_cols)
     r = df.repartitionByRange(n, *keys, order_col).withColumn("_pid", F.spark_partition_id())
+    # chunk totals straight from the range partitions (reads the reused
+    # range exchange, not the windowed rows, so the window shuffles once)
+    chunks = r.groupBy("_pid", *keys).agg(F.sum(weight_col).alias("_chunk"))
     local = Window.partitionBy("_pid", *keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     r = r.withColumn("_cum", F.sum(weight_col).over(local))
-    chunks = r.groupBy("_pid", *keys).agg(F.max("_cum").alias("_chunk"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.select(
         F.col("_pid").alias("_cpid"),
@@ -70,19 +73,50 @@ def weighted_positions(
     ).drop("_pid", "_cum", "_off")
 
 
+# Largest group (in rows) the built-in percentile may buffer in one task.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Row count of the biggest group (one partial-aggregated pass; only a
+    single number reaches the driver)."""
+    row = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    return int(row[0] or 0)
+
+
 def percentiles(
     df: DataFrame,
     by: Sequence[str],
     specs: Sequence[tuple[str, str, float]],
     num_partitions: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles per group.
 
     ``specs`` is a list of ``(output name, value column, p)``.  NULL values
-    are ignored; a group whose values are all NULL for a column has no value
-    for it (NULL), and a group with no non-NULL value at all has no row.
+    are ignored; a group whose values are all NULL for a column gets NULL.
+    With ``max_group_rows`` (default) the group sizes are measured first and
+    the built-in aggregate is used when every group is within the bound;
+    ``max_group_rows=None`` always takes the skew-safe path, ``0`` too.
+    ``largest`` is the biggest group's row count when the caller knows it
+    already (saves the measuring pass).
     """
     by = list(by)
+    if max_group_rows and (largest if largest is not None else largest_group(df, by)) <= max_group_rows:
+        return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), float(p)).alias(n) for n, c, p in specs])
+    return skew_safe_percentiles(df, by, specs, num_partitions)
+
+
+def skew_safe_percentiles(
+    df: DataFrame,
+    by: Sequence[str],
+    specs: Sequence[tuple[str, str, float]],
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """The range-partitioned form (see the module notes).  A group with no
+    non-NULL value in any column has no row."""
+    by = list(by)
     value_cols = list(dict.fromkeys(c for _, c, _ in specs))
     m_of = {c: i for i, c in enumerate(value_cols)}
     melted = df.select(

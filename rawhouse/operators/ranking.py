@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rawhouse.functions.labels import PITCH_CLASSES, decode_code
 from rawhouse.operators.percentile import percentiles
+from rawhouse.session import materialize
 
 
 def label_frequency(
@@ -59,10 +60,11 @@ def percentile_board(
     (a ``k``-row broadcast: its size is bounded by ``k``).
     """
     ps = ps or {"popularity90": 0.9, "popularity50": 0.5}
-    mx = df.groupBy(by).agg(F.max(value).alias(max_name))
-    top = mx.orderBy(F.col(max_name).desc_nulls_last(), F.col(by)).limit(k)
+    mx = df.groupBy(by).agg(F.max(value).alias(max_name), F.count(F.lit(1)).alias("_rows"))
+    top = materialize(mx.orderBy(F.col(max_name).desc_nulls_last(), F.col(by)).limit(k))
+    largest = top.agg(F.max("_rows")).first()[0] or 0
     chosen = F.broadcast(top.select(F.col(by).alias("_top")))
     rows = df.join(chosen, df[by].eqNullSafe(chosen["_top"])).drop("_top")
-    pc = percentiles(rows, [by], [(name, value, p) for name, p in ps.items()], num_partitions)
+    pc = percentiles(rows, [by], [(name, value, p) for name, p in ps.items()], num_partitions, largest=largest)
     board = top.join(pc, top[by].eqNullSafe(pc[by]), "left").select(top[by], max_name, *[pc[n] for n in ps])
     return board.select(max_name, *ps, by)

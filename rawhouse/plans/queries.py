@@ -296,7 +296,8 @@ def load_keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "h_code", F.col("h_date").alias("date"), F.col("h_close").alias("close"), F.col("h_volume").alias("volume")
     )
     path = scratch_path(spark, "history-csv")
-    sinks.write_csv(hist, path, partition_by=["h_code"])
+    # one file per entity, as the raw price folder has it
+    sinks.write_csv(hist.repartition("h_code"), path, partition_by=["h_code"])
     schema = T.StructType([
         T.StructField("date", T.DateType()),
         T.StructField("close", T.DoubleType()),

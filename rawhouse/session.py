@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of the toolkit wants.  ANSI mode stays on (the Spark
 # 4 default); operators use try_* functions where the input may be dirty.
@@ -70,6 +71,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and return a frame
+    reading it back (lineage cut, survives lost executors).
+
+    A reliable checkpoint recomputes its input when writing unless the input
+    is persisted, so the rows are persisted for the duration of the write.
+    """
+    checkpoint_dir(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
@@ -90,6 +106,7 @@ __all__ = [
     "DEFAULT_CONF",
     "build_session",
     "checkpoint_dir",
+    "materialize",
     "scratch_path",
     "local_path",
     "default_parallelism",
