@@ -100,24 +100,41 @@ def trend_runs(
     Flips are found with ``lag`` over the date order, not with a self-join on
     an adjacent row number: one shuffle by key, no join, no second scan.
     """
-    out_key = out_key or key
     first_year = target_year - report_years - warmup_years + 1
     report_from = target_year - report_years + 1
-    w = _spec(key, order)
-
     series = ts.where(year_range(order, first_year, target_year))
     trends = with_trend(series, key, order, value, n, price_lag=price_lag).where(
         year_range(order, report_from, target_year)
     )
+    return indicator_runs(trends, key, order, value, out_key=out_key, anchor=anchor)
+
+
+def indicator_runs(
+    trends: DataFrame,
+    key: str,
+    order: str,
+    value: str | None = None,
+    indicator: str = "indicator",
+    out_key: str | None = None,
+    anchor: str = "lag",
+) -> DataFrame:
+    """Runs of equal ``indicator`` values between two flips, per entity.
+
+    See :func:`trend_runs` for the output; ``value`` is only needed for the
+    prices of ``anchor='lead'``.
+    """
+    out_key = out_key or key
+    w = _spec(key, order)
+    price = F.col(value) if value else F.lit(None).cast("double")
     # consecutive pairs (previous day a, current day b) whose indicator differs
     pairs = trends.select(
         F.col(key),
         F.col(order).alias("change_date"),
-        F.col("indicator").alias("change_trend"),
-        F.col(value).alias("change_close"),
+        F.col(indicator).alias("change_trend"),
+        price.alias("change_close"),
         F.lag(order).over(w).alias("last_date"),
-        F.lag("indicator").over(w).alias("last_trend"),
-        F.lag(value).over(w).alias("last_close"),
+        F.lag(indicator).over(w).alias("last_trend"),
+        F.lag(price).over(w).alias("last_close"),
     )
     flips = pairs.where(F.col("last_trend").isNotNull() & (F.col("last_trend") != F.col("change_trend")))
     wf = _spec(key, "change_date")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from rawhouse.functions.text import int_flag
+from rawhouse.session import materialize
 
 CORRUPT = "_corrupt"
 
@@ -24,16 +25,17 @@ class Audited(NamedTuple):
     quarantine: DataFrame
 
 
-def _split(df: DataFrame, data_cols: list[str], corrupt: str, keep_corrupt: bool) -> Audited:
-    # Referencing every data column in the filter keeps all of them in the
-    # scan's required schema, so a malformed value in any column is seen
-    # even when a caller later selects only a few columns (CSV column
-    # pruning would otherwise skip parsing them and call the row good).
-    parsed_all = F.xxhash64(*[F.col(f"`{c}`") for c in data_cols]).isNotNull()
+def _split(df: DataFrame, corrupt: str, keep_corrupt: bool, materialized: bool) -> Audited:
+    # With ``materialized`` every row was parsed with all columns required
+    # and written once, so the split cannot change with a later projection.
+    # A lazy read parses only the columns a query uses (CSV column pruning):
+    # a bad value in an unused column then goes unnoticed, and a query that
+    # needs the corrupt column alone is refused by Spark.
+    if materialized:
+        df = materialize(df)
     bad = F.col(corrupt).isNotNull()
-    good = df.where(parsed_all & ~bad) if not keep_corrupt else df.where(parsed_all)
-    quarantine = df.where(parsed_all & bad)
-    return Audited(good.drop(corrupt), quarantine)
+    good = df if keep_corrupt else df.where(~bad)
+    return Audited(good.drop(corrupt), df.where(bad))
 
 
 def read_csv_audited(
@@ -44,6 +46,7 @@ def read_csv_audited(
     keep_corrupt: bool = False,
     bool_flags: tuple[str, ...] = (),
     corrupt_col: str = CORRUPT,
+    materialized: bool = True,
     **options: str,
 ) -> Audited:
     """CSV with a declared schema, split into good rows and a quarantine.
@@ -53,6 +56,8 @@ def read_csv_audited(
     quoted and escaped with ``"``.  ``bool_flags`` are 0/1 integer columns
     turned into booleans.  ``keep_corrupt`` keeps bad rows among the good
     ones (their unparsable fields NULL), as a plain PERMISSIVE read does.
+    ``materialized`` (default) parses and writes the rows once to the
+    checkpoint folder so good + quarantine always add up to the input.
     """
     full = StructType(list(schema.fields) + [StructField(corrupt_col, StringType(), True)])
     reader = (
@@ -69,7 +74,7 @@ def read_csv_audited(
     df = reader.csv(path)
     if bool_flags:
         df = df.withColumns({c: int_flag(c) for c in bool_flags})
-    return _split(df, [f.name for f in schema.fields], corrupt_col, keep_corrupt)
+    return _split(df, corrupt_col, keep_corrupt, materialized)
 
 
 # basename up to the first underscore: "AAPL_history.csv" -> "AAPL"
@@ -86,6 +91,7 @@ def read_entity_csvs(
     prefix: str = "",
     recursive: bool = False,
     corrupt_col: str = CORRUPT,
+    materialized: bool = True,
     **options: str,
 ) -> Audited:
     """A folder of per-entity CSV files; the entity key comes from the file.
@@ -119,23 +125,23 @@ def read_entity_csvs(
         *[F.col(f"`{c}`").alias(prefix + c.replace(" ", "_")) for c in data],
         F.col(corrupt_col),
     )
-    return _split(renamed, [prefix + c.replace(" ", "_") for c in data], corrupt_col, False)
+    return _split(renamed, corrupt_col, False, materialized)
 
 
 def read_lines(spark: SparkSession, path: str | list[str], line_sep: str = "\r\n") -> DataFrame:
     """Text lines split on ``line_sep`` only, so a bare ``\\n`` stays inside
     a line (``value`` column)."""
-    return spark.read.option("lineSep", line_sep).text(path)
+    return spark.read.text(path, lineSep=line_sep)
 
 
 def read_records(spark: SparkSession, path: str | list[str], record_sep: str = "\x1e") -> DataFrame:
     """Multi-line records separated by ``record_sep`` (splittable, unlike
     whole-file reads)."""
-    return spark.read.option("lineSep", record_sep).text(path)
+    return spark.read.text(path, lineSep=record_sep)
 
 
 def read_whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file (``value``, ``file_name``).  Many small files are
     packed into one task by ``spark.sql.files.openCostInBytes``."""
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     return df.select("value", F.col("_metadata.file_name").alias("file_name"))
