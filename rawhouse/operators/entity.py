@@ -159,6 +159,29 @@ def entity_measures(
     )
 
 
+def cluster_peers(
+    dim: DataFrame,
+    clusters: DataFrame,
+    name_col: str,
+    target: str,
+    key: str = "a_id",
+    tags: str = "genres",
+) -> DataFrame:
+    """Entities in the target's cluster (target excluded) sharing at least one
+    tag with the target: ``(key)``.  The target side is one row."""
+    tgt = dim.where(F.col(name_col) == F.lit(target)).select(
+        F.col(key).alias("_tid"), F.col(tags).alias("_ttags")
+    )
+    tcl = tgt.join(clusters, tgt["_tid"] == clusters[key]).select(
+        "_tid", "_ttags", F.col("prediction").alias("_pred")
+    )
+    peers = clusters.join(tcl, (clusters["prediction"] == tcl["_pred"]) & (clusters[key] != tcl["_tid"])).select(
+        F.col(key).alias("_cand"), "_ttags"
+    )
+    cand = peers.join(dim, peers["_cand"] == dim[key]).where(F.arrays_overlap(F.col(tags), F.col("_ttags")))
+    return cand.select(F.col("_cand").alias(key))
+
+
 def similar_entities(
     dim: DataFrame,
     clusters: DataFrame,

@@ -184,7 +184,7 @@ def explode_zipped(
 def build_dimension(
     bridge_rows: DataFrame,
     attrs: DataFrame,
-    ext_id: str = "a_spotify_id",
+    ext_id: str = "a_ext_id",
     name: str = "a_name",
     index_col: str = "a_id",
     attr_name: str = "artists",

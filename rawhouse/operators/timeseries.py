@@ -186,7 +186,7 @@ def category_series(
         F.col(dim_key).alias(fact_key), F.col(category)
     )
     joined = per_entity.join(cats, fact_key)
-    aggs = [(F.sum("_s") / F.sum("_n")).alias("avg_close")]
+    aggs = [F.try_divide(F.sum("_s"), F.sum("_n")).alias("avg_close")]
     if with_sum:
         aggs.append(F.sum("_s").alias("sum_close"))
     return joined.groupBy(category, order).agg(*aggs)
@@ -209,7 +209,7 @@ def daily_metrics(
     """
     daily_posts = posts.groupBy(
         F.col(post_key).alias("_pk"), F.to_date(post_ts).alias("_day")
-    ).agg(F.count(post_content).alias("n_tweets"))
+    ).agg(F.count(post_content).alias("n_posts"))
     joined = bars.join(
         daily_posts,
         (F.col(bar_key) == F.col("_pk")) & (F.col(bar_date) == F.col("_day")),
@@ -222,7 +222,7 @@ def daily_metrics(
         (F.try_divide(F.col("h_high") - F.col("h_low"), F.col("h_close")) * F.lit(100.0)).alias(
             "price_fluctuation_percent"
         ),
-        F.col("n_tweets"),
+        F.col("n_posts"),
     )
 
 
@@ -274,6 +274,6 @@ def top_k_mean(
         entities.select(F.col(entity_key).alias(fact_key), F.col(entity_cat).alias("_cat")), fact_key
     ).join(categories.select(F.col(cat_key).alias("_cat"), F.col(cat_label)), "_cat")
     grouped = joined.groupBy(F.col(fact_key).alias(entity_key), cat_label).agg(
-        (F.sum("_s") / F.sum("_n")).alias(out)
+        F.try_divide(F.sum("_s"), F.sum("_n")).alias(out)
     )
     return grouped.orderBy(F.col(out).desc(), F.col(entity_key)).limit(k).select(entity_key, out, cat_label)

@@ -113,29 +113,29 @@ LIMIT {P.TOP_K}"""
 _DAILY = """daily AS (
   SELECT h_code AS stock, h_date AS trading_date, h_volume AS volume,
          (h_close - h_open) / nullif(h_open, 0) * 100 AS price_difference_percent,
-         (h_high - h_low) / nullif(h_close, 0) * 100 AS price_fluctuation_percent, n_tweets
+         (h_high - h_low) / nullif(h_close, 0) * 100 AS price_fluctuation_percent, n_posts
   FROM bars INNER JOIN
-    (SELECT t_code, CAST(t_date AS DATE) AS day, count(t_content) AS n_tweets
+    (SELECT t_code, CAST(t_date AS DATE) AS day, count(t_content) AS n_posts
      FROM posts GROUP BY t_code, CAST(t_date AS DATE)) AS p
   ON h_code = p.t_code AND h_date = p.day)"""
 
 SQL["daily_metrics"] = C.with_ctes(C.BARS, C.POSTS, _DAILY) + f"""
 SELECT stock, trading_date, round(volume, {D}) AS volume,
        round(price_difference_percent, {D}) AS price_difference_percent,
-       round(price_fluctuation_percent, {D}) AS price_fluctuation_percent, n_tweets
+       round(price_fluctuation_percent, {D}) AS price_fluctuation_percent, n_posts
 FROM daily"""
 
 SQL["pairwise_correlation"] = C.with_ctes(C.BARS, C.POSTS, _DAILY) + f"""
 SELECT stock,
-  round(CASE WHEN den > 0 THEN (sum_ab - sum_a * sum_b / cnt) / sqrt(den) END, {D}) AS correlation_volume_n_tweets
+  round(CASE WHEN den > 0 THEN (sum_ab - sum_a * sum_b / cnt) / sqrt(den) END, {D}) AS correlation_volume_n_posts
 FROM (
   SELECT stock, sum_a, sum_b, sum_ab, cnt,
          (sum_a_sq - pow(sum_a, 2.0) / cnt) * (sum_b_sq - pow(sum_b, 2.0) / cnt) AS den
   FROM (
-    SELECT stock, sum(volume) sum_a, sum(n_tweets) sum_b, sum(volume * volume) sum_a_sq,
-           sum(n_tweets * n_tweets) sum_b_sq, sum(volume * n_tweets) sum_ab, count(*) AS cnt
+    SELECT stock, sum(volume) sum_a, sum(n_posts) sum_b, sum(volume * volume) sum_a_sq,
+           sum(n_posts * n_posts) sum_b_sq, sum(volume * n_posts) sum_ab, count(*) AS cnt
     FROM daily
-    WHERE volume IS NOT NULL AND n_tweets IS NOT NULL
+    WHERE volume IS NOT NULL AND n_posts IS NOT NULL
     GROUP BY stock) aux) m"""
 
 SQL["entity_card"] = C.with_ctes(C.PROFILE, C.INDUSTRY) + f"""
@@ -265,16 +265,16 @@ SQL["bridge_explode"] = """
 SELECT l_orderkey AS id,
        CAST(row_number() OVER (PARTITION BY l_orderkey
          ORDER BY l_linenumber, s_name, 'sp-' || CAST(l_suppkey AS VARCHAR)) - 1 AS INTEGER) AS pos,
-       s_name AS a_name, 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_spotify_id
+       s_name AS a_name, 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_ext_id
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""
 
 SQL["enrich_dimension"] = C.with_ctes(C.ARTIST_GENRES) + """,
-pairs AS (SELECT DISTINCT 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_spotify_id, s_name AS a_name
+pairs AS (SELECT DISTINCT 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_ext_id, s_name AS a_name
           FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
-dic AS (SELECT a_spotify_id, a_name,
-               row_number() OVER (ORDER BY a_spotify_id NULLS FIRST, a_name NULLS FIRST) AS a_id
+dic AS (SELECT a_ext_id, a_name,
+               row_number() OVER (ORDER BY a_ext_id NULLS FIRST, a_name NULLS FIRST) AS a_id
         FROM pairs)
-SELECT a_id, a_spotify_id, a_name, ag.genres
+SELECT a_id, a_ext_id, a_name, ag.genres
 FROM dic LEFT JOIN artist_genres ag ON a_name = ag.artists"""
 
 SQL["distinct_profile"] = """

@@ -60,7 +60,7 @@ ARTIST_GENRES = """artist_genres AS (
   JOIN supplier ON g.l_suppkey = s_suppkey)"""
 
 ARTIST = """artist AS (
-  SELECT s_suppkey AS a_id, 'sp-' || CAST(s_suppkey AS VARCHAR) AS a_spotify_id,
+  SELECT s_suppkey AS a_id, 'sp-' || CAST(s_suppkey AS VARCHAR) AS a_ext_id,
          s_name AS a_name, ag.genres
   FROM supplier LEFT JOIN artist_genres ag ON s_name = ag.artists)"""
 

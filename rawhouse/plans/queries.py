@@ -109,7 +109,7 @@ def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pairwise_correlation")
 def pairwise_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = ts.daily_metrics(S.bars(spark, sf_dir), S.posts(spark, sf_dir))
-    return rounded(ts.grouped_corr(daily, "stock", "volume", "n_tweets"))
+    return rounded(ts.grouped_corr(daily, "stock", "volume", "n_posts"))
 
 
 @register("entity_card")
@@ -173,7 +173,8 @@ def entity_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("entity_features")
 def entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = S.artist(spark, sf_dir).where(F.col("a_name") == P.TARGET_ARTIST)
-    am = _artist_measures(spark, sf_dir)
+    # measures of the target only: its facts are selected before aggregating
+    am = ent.entity_measures(_target_tracks(spark, sf_dir))
     out = a.join(am, a.a_id == am.a_id).select(
         F.col("a_name").alias("name"), "genres", F.col("a_mode").alias("modality"),
         *[F.col(m).alias(m[2:]) for m in ent.MEASURES],
@@ -193,10 +194,12 @@ def _cluster_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("similar_entities")
 def similar_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ent.similar_entities(
-        S.artist(spark, sf_dir), _cluster_standin(spark, sf_dir), _artist_measures(spark, sf_dir),
-        "a_name", P.TARGET_ARTIST, P.TOP_ITEMS,
-    )
+    dim, clusters = S.artist(spark, sf_dir), _cluster_standin(spark, sf_dir)
+    # measures only for the candidate peers (a semi-join before aggregating)
+    cands = ent.cluster_peers(dim, clusters, "a_name", P.TARGET_ARTIST)
+    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), dim)
+    am = ent.entity_measures(ef.join(cands, "a_id", "left_semi"))
+    out = ent.similar_entities(dim, clusters, am, "a_name", P.TARGET_ARTIST, P.TOP_ITEMS)
     return rounded(out)
 
 
@@ -242,14 +245,14 @@ def merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("bridge_explode")
 def bridge_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mdl.explode_zipped(
-        S.track_lists(spark, sf_dir), "id", {"a_name": "artists", "a_spotify_id": "artist_ids"}
+        S.track_lists(spark, sf_dir), "id", {"a_name": "artists", "a_ext_id": "artist_ids"}
     )
 
 
 @register("enrich_dimension")
 def enrich_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mdl.explode_zipped(
-        S.track_lists(spark, sf_dir), "id", {"a_name": "artists", "a_spotify_id": "artist_ids"}, pos_col=None
+        S.track_lists(spark, sf_dir), "id", {"a_name": "artists", "a_ext_id": "artist_ids"}, pos_col=None
     )
     dim, _bridge = mdl.build_dimension(rows, S.genre_texts(spark, sf_dir))
     return dim

@@ -1,7 +1,7 @@
 """Warehouse tables of the two demo domains, derived from the driver tables.
 
 The reference analyses an equity warehouse (profile, industry, history,
-tweets) and a music warehouse (track, track_artists, artist).  The driver
+posts) and a music warehouse (track, track_artists, artist).  The driver
 ships TPC-H-like parquet tables instead; these functions derive tables of the
 same shape from them with plain DataFrame code, so every query's work grows
 with the input.  :mod:`rawhouse.plans.oracle` holds the same definitions as
@@ -141,12 +141,12 @@ def artist_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Artist dimension (a_id, a_spotify_id, a_name, genres)."""
+    """Artist dimension (a_id, a_ext_id, a_name, genres)."""
     s = table(spark, sf_dir, "supplier")
     g = artist_genres(spark, sf_dir)
     return s.join(g, s.s_name == g.artists, "left").select(
         F.col("s_suppkey").alias("a_id"),
-        F.concat(F.lit("sp-"), F.col("s_suppkey").cast("string")).alias("a_spotify_id"),
+        F.concat(F.lit("sp-"), F.col("s_suppkey").cast("string")).alias("a_ext_id"),
         F.col("s_name").alias("a_name"),
         F.col("genres"),
     )

@@ -167,7 +167,7 @@ def test_explode_zipped(spark):
 
 def test_build_dimension(spark):
     bridge = spark.createDataFrame(
-        [(1, "Ann", "s1"), (1, "Bob", None), (2, "Ann", "s1")], "id int, a_name string, a_spotify_id string"
+        [(1, "Ann", "s1"), (1, "Bob", None), (2, "Ann", "s1")], "id int, a_name string, a_ext_id string"
     )
     genres = spark.createDataFrame([("Ann", "['pop']"), ("Ann", "['rock']")], "artists string, genres string")
     dim, br = mdl.build_dimension(bridge, genres)
@@ -239,7 +239,7 @@ def test_daily_metrics_zero_open(spark):
     posts = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 9), "x"), (1, dt.datetime(2024, 1, 2, 9), "y")],
                                   "t_code int, t_date timestamp_ntz, t_content string")
     r = ts.daily_metrics(bars, posts).collect()
-    assert len(r) == 1 and r[0]["price_difference_percent"] is None and r[0]["n_tweets"] == 1
+    assert len(r) == 1 and r[0]["price_difference_percent"] is None and r[0]["n_posts"] == 1
 
 
 # ---------------------------------------------------------------- rankings
