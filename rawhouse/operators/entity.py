@@ -14,8 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawhouse.functions.labels import decode_code, flag_label
-from rawhouse.operators.percentile import percentiles
-from rawhouse.session import materialize
+from rawhouse.operators.percentile import (
+    MAX_GROUP_ROWS,
+    builtin_percentiles,
+    largest_group,
+    skew_safe_percentiles,
+)
 
 
 def entity_card(
@@ -137,23 +141,29 @@ def entity_measures(
     flag: str = "t_mode",
     measures: dict[str, str] = MEASURES,
     num_partitions: int | None = None,
+    largest: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Per entity: item count, share of flagged items (NULL counts as not
-    flagged) and the median of each measure (exact, skew-safe).
+    flagged) and the exact median of each measure.
 
-    The per-entity counts (one row per entity) are checkpointed: they are
-    part of the result and their largest row count decides how the medians
-    are computed, without another pass over the facts.
+    ``largest`` is an upper bound of the rows per entity when the caller has
+    one (e.g. bridge rows per entity: the star joins can only drop rows);
+    otherwise it is measured.  Within ``max_group_rows`` everything is one
+    aggregation (one pass over the facts); beyond it the medians take the
+    range-partitioned path that splits hot entities.
     """
-    counts = materialize(ef.groupBy(key).agg(
+    base = [
         F.count(item).alias("a_track_number"),
         F.avg(F.when(F.col(flag), 1).otherwise(0)).alias("a_mode"),
-        F.count(F.lit(1)).alias("_rows"),
-    ))
-    largest = counts.agg(F.max("_rows")).first()[0] or 0
-    meds = percentiles(
-        ef, [key], [(o, c, 0.5) for o, c in measures.items()], num_partitions, largest=largest
-    )
+    ]
+    specs = [(o, c, 0.5) for o, c in measures.items()]
+    if largest is None:
+        largest = largest_group(ef, [key])
+    if max_group_rows and largest <= max_group_rows:
+        return ef.groupBy(key).agg(*base, *builtin_percentiles(specs))
+    counts = ef.groupBy(key).agg(*base)
+    meds = skew_safe_percentiles(ef, [key], specs, num_partitions)
     return counts.join(meds, counts[key].eqNullSafe(meds[key]), "left").select(
         counts[key], "a_track_number", "a_mode", *[meds[o] for o in measures]
     )

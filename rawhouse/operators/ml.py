@@ -25,7 +25,8 @@ def cluster(
     """Assemble the feature columns, scale them to unit standard deviation
     (no centering) and assign k-means clusters: ``(key, prediction)``.
 
-    ``seed`` makes the assignment repeatable.  ``handle_invalid`` is the
+    ``k`` is lowered to the number of distinct feature vectors when there
+    are fewer.  ``seed`` makes the assignment repeatable.  ``handle_invalid`` is the
     VectorAssembler policy for NULL features ('error', 'skip' or 'keep').
     Each k-means iteration is one distributed pass; only the ``k`` centres
     travel to the executors.
@@ -36,6 +37,11 @@ def cluster(
     """
     cols = list(features) if features else [c for c in df.columns if c != key]
     df = materialize(df.select(key, *cols))
+    # k-means cannot form more clusters than there are distinct points (and
+    # MLlib's initialisation fails if asked to); one count on the small,
+    # already materialised per-entity table
+    distinct_points = df.select(*cols).distinct().count()
+    k = max(1, min(k, distinct_points))
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=cols, outputCol="_raw", handleInvalid=handle_invalid),
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=False, withStd=True),

@@ -104,10 +104,15 @@ def percentiles(
     """
     by = list(by)
     if max_group_rows and (largest if largest is not None else largest_group(df, by)) <= max_group_rows:
-        return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), float(p)).alias(n) for n, c, p in specs])
+        return df.groupBy(*by).agg(*builtin_percentiles(specs))
     return skew_safe_percentiles(df, by, specs, num_partitions)
 
 
+def builtin_percentiles(specs: Sequence[tuple[str, str, float]]) -> list[Column]:
+    """Single-pass aggregate expressions; only for groups of bounded size."""
+    return [F.percentile(F.col(c).cast("double"), float(p)).alias(n) for n, c, p in specs]
+
+
 def skew_safe_percentiles(
     df: DataFrame,
     by: Sequence[str],

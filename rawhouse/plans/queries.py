@@ -22,6 +22,7 @@ from rawhouse.operators import model as mdl
 from rawhouse.operators import parse as prs
 from rawhouse.operators import ranking as rk
 from rawhouse.operators import timeseries as ts
+from rawhouse.operators.percentile import largest_group
 from rawhouse.plans import params as P
 from rawhouse.plans import standins as S
 from rawhouse.session import scratch_path
@@ -139,9 +140,15 @@ def _target_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _bridge_bound(bridge: DataFrame) -> int:
+    """Rows per artist in the bridge: an upper bound of its facts."""
+    return largest_group(bridge, ["artist_id"])
+
+
 def _artist_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist(spark, sf_dir))
-    return ent.entity_measures(ef)
+    bridge = S.track_artists(spark, sf_dir)
+    ef = ent.entity_facts(S.track(spark, sf_dir), bridge, S.artist(spark, sf_dir))
+    return ent.entity_measures(ef, largest=_bridge_bound(bridge))
 
 
 @register("entity_stats")
@@ -174,7 +181,7 @@ def entity_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = S.artist(spark, sf_dir).where(F.col("a_name") == P.TARGET_ARTIST)
     # measures of the target only: its facts are selected before aggregating
-    am = ent.entity_measures(_target_tracks(spark, sf_dir))
+    am = ent.entity_measures(_target_tracks(spark, sf_dir), largest=_bridge_bound(S.track_artists(spark, sf_dir)))
     out = a.join(am, a.a_id == am.a_id).select(
         F.col("a_name").alias("name"), "genres", F.col("a_mode").alias("modality"),
         *[F.col(m).alias(m[2:]) for m in ent.MEASURES],
@@ -198,7 +205,9 @@ def similar_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     # measures only for the candidate peers (a semi-join before aggregating)
     cands = ent.cluster_peers(dim, clusters, "a_name", P.TARGET_ARTIST)
     ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), dim)
-    am = ent.entity_measures(ef.join(cands, "a_id", "left_semi"))
+    am = ent.entity_measures(
+        ef.join(cands, "a_id", "left_semi"), largest=_bridge_bound(S.track_artists(spark, sf_dir))
+    )
     out = ent.similar_entities(dim, clusters, am, "a_name", P.TARGET_ARTIST, P.TOP_ITEMS)
     return rounded(out)
 

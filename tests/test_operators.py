@@ -286,6 +286,19 @@ def test_skew_safe_percentiles_hot_group(spark):
 
 # ---------------------------------------------------------------- entities / graph
 
+def test_entity_measures_both_paths(spark):
+    data = [(i % 3 if i % 7 else 0, i, i % 2 == 0 if i % 5 else None) + tuple(float((i * (j + 3)) % 11) for j in range(9))
+            for i in range(200)]
+    cols = "a_id int, t_id int, t_mode boolean, " + ", ".join(f"{c} double" for c in ent.MEASURES.values())
+    ef = spark.createDataFrame(data, cols)
+    one_pass = {r["a_id"]: r for r in ent.entity_measures(ef).collect()}
+    split = {r["a_id"]: r for r in ent.entity_measures(ef, max_group_rows=0, num_partitions=5).collect()}
+    assert one_pass.keys() == split.keys() == {0, 1, 2}
+    for k in one_pass:
+        for c in ["a_track_number", "a_mode", *ent.MEASURES]:
+            assert one_pass[k][c] == pytest.approx(split[k][c]), (k, c)
+
+
 def test_similar_entities(spark):
     dim = spark.createDataFrame(
         [(1, "T", ["rock", "pop"]), (2, "P", ["pop"]), (3, "Q", ["jazz"]), (4, "R", None), (5, "S", ["pop"])],
