@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the frames reading them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -31,6 +33,7 @@ def build_session(
     app_name: str = "rawhouse",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    driver_memory: str | None = None,
 ) -> SparkSession:
     """Return a session with the toolkit's defaults applied.
 
@@ -43,6 +46,8 @@ def build_session(
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

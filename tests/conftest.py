@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from rawhouse.session import build_session
 
-    s = build_session("local[4]", app_name="rawhouse-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app_name="rawhouse-tests", shuffle_partitions=4, driver_memory="8g")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

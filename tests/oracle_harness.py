@@ -91,7 +91,7 @@ def main(argv: list[str]) -> int:
     from rawhouse.session import build_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, driver_memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     from __spark_entry__ import queries
 
