@@ -414,3 +414,10 @@ def neighbor_smoothing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cluster_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     am = _artist_measures(spark, sf_dir)
     return ml.cluster(am, "a_id", k=P.KMEANS_K, seed=P.KMEANS_SEED)
+
+
+@register("cluster_smoothed_entities")
+def cluster_smoothed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bridge, am = _bridge_and_measures(spark, sf_dir)
+    smoothed = gr.smooth_features(bridge, am, "a_id", SMOOTHED, out_key="a_id")
+    return ml.cluster(smoothed, "a_id", k=P.KMEANS_K, seed=P.KMEANS_SEED)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +58,19 @@ def ensure_schema(spark: SparkSession, name: str) -> None:
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
+
+
+def ensure_table(
+    spark: SparkSession,
+    name: str,
+    build: Callable[[], DataFrame],
+    fmt: str = "parquet",
+    rebuild: bool = False,
+) -> DataFrame:
+    """Build step that runs once: ``build()`` is written as table ``name``
+    unless the table exists (or ``rebuild`` is set); the table is returned.
+
+    Later steps read the written table, which also cuts their lineage."""
+    if rebuild or not table_exists(spark, name):
+        save_table(build(), name, fmt=fmt, mode="overwrite")
+    return spark.table(name)

@@ -61,6 +61,24 @@ def _rows(cols: list[str], rows) -> list[tuple]:
     return sorted(out, key=lambda t: repr(t))
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "float": "FLOAT", "array<string>": "VARCHAR[]", "smallint": "SMALLINT",
+}
+
+
+def type_mismatches(sdf, res) -> list[str]:
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    duck = {d[0]: str(d[1]) for d in res.description}
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if f.name in duck and duck[f.name] != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs duckdb {duck[f.name]}")
+    return out
+
+
 def compare(spark, sf_dir: str, name: str, con=None, verbose: bool = True) -> tuple[bool, str]:
     from __spark_entry__ import oracle_sql, queries
 
@@ -74,6 +92,7 @@ def compare(spark, sf_dir: str, name: str, con=None, verbose: bool = True) -> tu
     if sql is None:
         return True, f"{name}: spark rows={len(s_rows)} (no oracle) {t1 - t0:.1f}s"
     res = con.execute(sql)
+    types = type_mismatches(sdf, res)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     if sorted(s_cols) != sorted(d_cols):
@@ -84,6 +103,8 @@ def compare(spark, sf_dir: str, name: str, con=None, verbose: bool = True) -> tu
     if a != b:
         diffs = [(x, y) for x, y in zip(a, b) if x != y][:3]
         return False, f"{name}: values differ ({len(a)} rows), e.g. {diffs}"
+    if types:
+        return False, f"{name}: types differ {types}"
     return True, f"{name}: OK rows={len(a)} spark {t1 - t0:.1f}s"
 
 

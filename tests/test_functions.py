@@ -98,3 +98,17 @@ def test_mapping_lookup(spark):
     assert got == ["DE", "Atlantis", None, "JP"]
     ex = spark.createDataFrame([("NasdaqGS",), ("LSE",)], "v string")
     assert [r[0] for r in ex.select(map_or_keep("v", EXCHANGE_NAMES)).collect()] == ["NASDAQ Global Select", "LSE"]
+
+
+def test_moving_average_sql_form(spark):
+    from rawhouse.operators.timeseries import moving_average
+    from rawhouse.plans.sql_forms import moving_average_sql
+
+    df = spark.createDataFrame(
+        [(c, dt.date(2020 + (d > 20), 1 + d % 12, 1 + d % 27), float(d)) for c in ("A", "B") for d in range(40)],
+        "h_code string, h_date date, h_close double",
+    ).dropDuplicates(["h_code", "h_date"])
+    df.createOrReplaceTempView("t_hist")
+    got = sorted(tuple(r) for r in moving_average_sql(spark, "t_hist", "A", 2020, 3).collect())
+    ref = moving_average(df.where("h_code = 'A' AND year(h_date) = 2020"), "h_code", "h_date", "h_close", 3)
+    assert got == sorted(tuple(r) for r in ref.select("h_date", "h_close", "moving_average").collect())

@@ -53,6 +53,11 @@ def test_sinks(spark, tmp_dir):
     name = "rawhouse_test_table"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     assert not sinks.table_exists(spark, name)
+    calls = []
+    build = lambda: calls.append(1) or df
+    assert sinks.ensure_table(spark, name, build).count() == 2
+    assert sinks.ensure_table(spark, name, build).count() == 2 and len(calls) == 1
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     sinks.save_table(df, name, mode="overwrite")
     assert sinks.table_exists(spark, name) and spark.table(name).count() == 2
     spark.sql(f"DROP TABLE IF EXISTS {name}")
