@@ -18,6 +18,7 @@ from rawhouse.operators.percentile import (
     MAX_GROUP_ROWS,
     builtin_percentiles,
     largest_group,
+    row_budget,
     skew_safe_percentiles,
 )
 
@@ -158,6 +159,8 @@ def entity_measures(
         F.avg(F.when(F.col(flag), 1).otherwise(0)).alias("a_mode"),
     ]
     specs = [(o, c, 0.5) for o, c in measures.items()]
+    if max_group_rows == MAX_GROUP_ROWS:
+        max_group_rows = row_budget(len(set(measures.values())))
     if largest is None:
         largest = largest_group(ef, [key])
     if max_group_rows and largest <= max_group_rows:

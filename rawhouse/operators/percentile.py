@@ -73,8 +73,15 @@ def weighted_positions(
     ).drop("_pid", "_cum", "_off")
 
 
-# Largest group (in rows) the built-in percentile may buffer in one task.
-MAX_GROUP_ROWS = 2_000_000
+# Values (rows x measured columns) of one group the built-in percentile may
+# buffer in one task: its value -> count maps take roughly 40 bytes a value.
+MAX_GROUP_VALUES = 4_000_000
+MAX_GROUP_ROWS = MAX_GROUP_VALUES  # for one measured column
+
+
+def row_budget(n_columns: int, max_values: int = MAX_GROUP_VALUES) -> int:
+    """Largest group (rows) the built-in path may take for ``n_columns``."""
+    return max(1, max_values // max(1, n_columns))
 
 
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
@@ -103,6 +110,8 @@ def percentiles(
     already (saves the measuring pass).
     """
     by = list(by)
+    if max_group_rows == MAX_GROUP_ROWS:
+        max_group_rows = row_budget(len({c for _, c, _ in specs}))
     if max_group_rows and (largest if largest is not None else largest_group(df, by)) <= max_group_rows:
         return df.groupBy(*by).agg(*builtin_percentiles(specs))
     return skew_safe_percentiles(df, by, specs, num_partitions)
