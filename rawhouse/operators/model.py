@@ -211,6 +211,12 @@ def build_dimension(
     return dim, bridge.select(F.col(fact_id).alias("track_id"), F.col(index_col).alias("artist_id"))
 
 
+def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Every column renamed to ``prefix + name`` except ``keep`` (one plan
+    node, not one per column)."""
+    return df.withColumnsRenamed({c: prefix + c for c in df.columns if c not in keep})
+
+
 def distinct_profile(df: DataFrame, *cols: str, drop_nulls: bool = False, count_col: str = "n_rows") -> DataFrame:
     """Distinct tuples of ``cols`` with how many rows carry each.
 

@@ -77,6 +77,15 @@ def read_csv_audited(
     return _split(df, corrupt_col, keep_corrupt, materialized)
 
 
+def read_csv_strings(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
+    """CSV with a header line, every column a string (no schema inference,
+    which would read the data twice); quote and escape ``"``."""
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    return reader.csv(path)
+
+
 # basename up to the first underscore: "AAPL_history.csv" -> "AAPL"
 BASENAME_KEY = r"^([^_]*)_"
 

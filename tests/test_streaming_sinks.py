@@ -61,3 +61,19 @@ def test_sinks(spark, tmp_dir):
     sinks.save_table(df, name, mode="overwrite")
     assert sinks.table_exists(spark, name) and spark.table(name).count() == 2
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_csv_strings_schema_and_prefix(spark, tmp_dir):
+    from rawhouse.operators.model import parse_list, prefixed
+
+    path = os.path.join(tmp_dir, "g.csv")
+    with open(path, "w") as fh:
+        fh.write('artists,genres\nAnn,"[\'pop\', \'rock\']"\nBob,[]\n')
+    df = files.read_csv_strings(spark, path)
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "string"]
+    got = {r["artists"]: r["g"] for r in df.select("artists", parse_list("genres").alias("g")).collect()}
+    assert got == {"Ann": ["pop", "rock"], "Bob": []}
+    assert prefixed(df, "a_", keep=["artists"]).columns == ["artists", "a_genres"]
+    sinks.ensure_schema(spark, "rawhouse_test_db")
+    assert spark.catalog.databaseExists("rawhouse_test_db")
+    spark.sql("DROP SCHEMA IF EXISTS rawhouse_test_db")
