@@ -87,11 +87,13 @@ def target_facts(
     return entity_facts(facts, bridge, dim.where(F.col(name_col) == F.lit(target)), **keys)
 
 
-def entity_stats(tf: DataFrame) -> DataFrame:
-    """Count, distinct albums, first/last release and mean popularity."""
+def entity_stats(tf: DataFrame, approx: bool = False) -> DataFrame:
+    """Count, distinct albums, first/last release and mean popularity
+    (``approx``: HyperLogLog++ distinct count instead of the exact one)."""
+    distinct = F.approx_count_distinct("t_album_id") if approx else F.count_distinct("t_album_id")
     return tf.agg(
         F.count(F.lit(1)).alias("track_number"),
-        F.count_distinct("t_album_id").alias("album_number"),
+        distinct.alias("album_number"),
         F.min("t_release_date").alias("first_release"),
         F.max("t_release_date").alias("last_release"),
         F.avg("t_popularity").alias("avg_popularity"),

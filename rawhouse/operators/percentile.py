@@ -98,8 +98,12 @@ def percentiles(
     num_partitions: int | None = None,
     max_group_rows: int | None = MAX_GROUP_ROWS,
     largest: int | None = None,
+    method: str = "exact",
+    accuracy: int = 10000,
 ) -> DataFrame:
-    """Exact interpolated percentiles per group.
+    """Exact interpolated percentiles per group (``method='approx'``: the
+    mergeable ``percentile_approx`` sketch, rank error about n / accuracy,
+    bounded memory per group, one pass, no size check).
 
     ``specs`` is a list of ``(output name, value column, p)``.  NULL values
     are ignored; a group whose values are all NULL for a column gets NULL.
@@ -110,6 +114,12 @@ def percentiles(
     already (saves the measuring pass).
     """
     by = list(by)
+    if method == "approx":
+        return df.groupBy(*by).agg(*[
+            F.percentile_approx(F.col(c).cast("double"), float(p), accuracy).alias(n) for n, c, p in specs
+        ])
+    if method != "exact":
+        raise ValueError("method must be 'exact' or 'approx'")
     if max_group_rows == MAX_GROUP_ROWS:
         max_group_rows = row_budget(len({c for _, c, _ in specs}))
     if max_group_rows and (largest if largest is not None else largest_group(df, by)) <= max_group_rows:

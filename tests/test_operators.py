@@ -284,6 +284,12 @@ def test_skew_safe_percentiles_hot_group(spark):
     assert all(abs(builtin[g]["p50"] - ref[g]["p50"]) < 1e-9 for g in ref)
 
 
+def test_approx_percentiles_close(spark):
+    df = spark.range(0, 10000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    got = {r["g"]: r["m"] for r in percentiles(df, ["g"], [("m", "v", 0.5)], method="approx").collect()}
+    assert abs(got[0] - 5000) <= 10 and abs(got[1] - 5000) <= 10
+
+
 # ---------------------------------------------------------------- entities / graph
 
 def test_entity_measures_both_paths(spark):
