@@ -10,7 +10,7 @@ DuckDB SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -82,12 +82,6 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- music domain
 
-TRACK_MEASURES = (
-    "t_acousticness", "t_danceability", "t_energy", "t_loudness", "t_speechiness",
-    "t_instrumentalness", "t_liveness", "t_valence", "t_tempo",
-)
-
-
 def track(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with 9 audio-like measures from its line items."""
     o = table(spark, sf_dir, "orders")
@@ -152,7 +146,7 @@ def artist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _list_text(arr) -> "F.Column":
+def _list_text(arr: Column) -> Column:
     """Render an array of strings as a Python list literal: ['a', 'b']."""
     return F.concat(F.lit("['"), F.array_join(arr, "', '"), F.lit("']"))
 
