@@ -135,7 +135,7 @@ def attribute_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _target_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent.target_facts(
-        S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist(spark, sf_dir),
+        S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist_keys(spark, sf_dir),
         "a_name", P.TARGET_ARTIST,
     )
 
@@ -147,7 +147,7 @@ def _bridge_bound(bridge: DataFrame) -> int:
 
 def _artist_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     bridge = S.track_artists(spark, sf_dir)
-    ef = ent.entity_facts(S.track(spark, sf_dir), bridge, S.artist(spark, sf_dir))
+    ef = ent.entity_facts(S.track(spark, sf_dir), bridge, S.artist_keys(spark, sf_dir))
     return ent.entity_measures(ef, largest=_bridge_bound(bridge))
 
 
@@ -204,7 +204,7 @@ def similar_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim, clusters = S.artist(spark, sf_dir), _cluster_standin(spark, sf_dir)
     # measures only for the candidate peers (a semi-join before aggregating)
     cands = ent.cluster_peers(dim, clusters, "a_name", P.TARGET_ARTIST)
-    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), dim)
+    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist_keys(spark, sf_dir))
     am = ent.entity_measures(
         ef.join(cands, "a_id", "left_semi"), largest=_bridge_bound(S.track_artists(spark, sf_dir))
     )
@@ -224,7 +224,7 @@ def tag_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("popularity_percentiles")
 def popularity_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist(spark, sf_dir))
+    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist_keys(spark, sf_dir))
     return rounded(rk.percentile_board(ef, "a_name", "t_popularity", k=P.TOP_NAMES))
 
 

@@ -134,6 +134,14 @@ def artist_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.join(s, g.l_suppkey == s.s_suppkey).select(F.col("s_name").alias("artists"), "genres")
 
 
+def artist_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The artist dimension without its genre lists (a_id, a_name): the same
+    rows as :func:`artist`, for queries that do not read genres (Spark cannot
+    drop the genre left join on its own)."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").alias("a_id"), F.col("s_name").alias("a_name"))
+
+
 def artist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Artist dimension (a_id, a_ext_id, a_name, genres)."""
     s = table(spark, sf_dir, "supplier")
