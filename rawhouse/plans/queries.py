@@ -308,7 +308,9 @@ def load_keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "h_code", F.col("h_date").alias("date"), F.col("h_close").alias("close"), F.col("h_volume").alias("volume")
     )
     path = scratch_path(spark, "history-csv")
-    # one file per entity, as the raw price folder has it
+    # one file per entity, as the raw price folder has it; the series has one
+    # row per entity and day, so no entity can bring more rows to one task
+    # than there are days
     sinks.write_csv(hist.repartition("h_code"), path, partition_by=["h_code"])
     schema = T.StructType([
         T.StructField("date", T.DateType()),

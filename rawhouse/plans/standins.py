@@ -161,7 +161,11 @@ def _list_text(arr: Column) -> Column:
 
 def track_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw track rows carrying their artists as list texts, in line order:
-    (id, artists "['Supplier#..', ...]", artist_ids "['sp-..', ...]")."""
+    (id, artists "['Supplier#..', ...]", artist_ids "['sp-..', ...]").
+
+    The raw format holds a track's whole artist list in one field, so each
+    order's lines are gathered into one row here (the operators that read
+    it work row by row)."""
     li = table(spark, sf_dir, "lineitem")
     s = table(spark, sf_dir, "supplier")
     rows = li.join(s, li.l_suppkey == s.s_suppkey).select(

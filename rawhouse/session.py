@@ -60,8 +60,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     Reads ``spark.checkpoint.dir`` (or a directory already set on the
-    context).  Only when neither exists, as in local tests, a fresh local
-    folder is created and set.
+    context).  Only in local mode, when neither exists (tests), a fresh local
+    folder is created and set; on a cluster a missing setting is an error,
+    never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,6 +72,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="rawhouse-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
