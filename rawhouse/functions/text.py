@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 # Tokens a raw source uses to mean "no value".
 NULL_TOKENS = ("", "N/A")
 
-# Fixed value: timestamp layout of the raw post lines (day/month first).
+# Timestamp layouts of raw post lines -- day/month first, and
+# the ISO-like form a collector writes when it stringifies timestamps.
 POST_TS_FORMAT = "d/M/yyyy H:mm"
+ISO_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Letter runs and non-letter runs, alternating.
 _RUNS = r"(\p{L}+|[^\p{L}]+)"

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawhouse.functions.text import reciprocal_fill
+from rawhouse.functions.text import ISO_TS_FORMAT, POST_TS_FORMAT, reciprocal_fill
 from rawhouse.operators import entity as ent
 from rawhouse.operators import model as mdl
 from rawhouse.operators import parse as prs
@@ -93,7 +93,9 @@ def build_equity_warehouse(
     history = files.read_entity_csvs(
         spark, os.path.join(data_dir, "history"), PRICE_SCHEMA, key_col="h_code", prefix="h_"
     )
-    tweets = prs.parse_posts(files.read_lines(spark, os.path.join(data_dir, "Tweet.csv")))
+    tweets = prs.parse_posts(
+        files.read_lines(spark, os.path.join(data_dir, "Tweet.csv")), ts_formats=(POST_TS_FORMAT, ISO_TS_FORMAT)
+    )
     out = {
         "industry": _save(spark, industries.select("sector", "industry", "id"), "industry", database, mode, fmt),
         "profile": _save(spark, profile, "profile", database, mode, fmt),

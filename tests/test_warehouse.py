@@ -30,7 +30,8 @@ def test_equity_warehouse(spark, tmp_dir):
         fh.write("Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n"
                  "2020-01-02,1,2,0.5,1.5,100,0,0\n2021-01-04,2,3,1,2.5,200,0,0\nbroken,1,1,1,1,1,1,1\n")
     with open(os.path.join(tmp_dir, "Tweet.csv"), "w", newline="") as fh:
-        fh.write('Stock,Date,Content,Author\r\nAAA,3/1/2020 7:05,"buy, now\nplease",Bob\r\n')
+        fh.write('Stock,Date,Content,Author\r\nAAA,3/1/2020 7:05,"buy, now\nplease",Bob\r\n'
+                 'AAA,2020-01-04 09:30:00,sell,Ann\r\n')
     names = wh.build_equity_warehouse(spark, tmp_dir, database="rh_eq_test", mode="overwrite")
     prof = {r["p_code"]: r for r in spark.table(names["profile"]).collect()}
     ind = {r["id"]: (r["sector"], r["industry"]) for r in spark.table(names["industry"]).collect()}
@@ -43,8 +44,9 @@ def test_equity_warehouse(spark, tmp_dir):
     hist = spark.table(names["history"])
     assert hist.count() == 2 and spark.table(names["history_quarantine"]).count() == 1
     assert hist.where("h_year = 2021").count() == 1
-    tw = spark.table(names["tweets"]).first()
-    assert (tw["t_code"], tw["t_author"], tw["t_content"]) == ("AAA", "Bob", '"buy, now\\nplease"')
+    tw = {r["t_author"]: r for r in spark.table(names["tweets"]).collect()}
+    assert (tw["Bob"]["t_code"], tw["Bob"]["t_content"]) == ("AAA", '"buy, now\\nplease"')
+    assert tw["Ann"]["t_date"] == dt.datetime(2020, 1, 4, 9, 30)
     spark.sql("DROP SCHEMA rh_eq_test CASCADE")
 
 
