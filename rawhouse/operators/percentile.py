@@ -15,10 +15,11 @@ in one task's memory.  Here instead:
    at most two per group and percentile, and are interpolated like Spark's
    ``percentile`` (and DuckDB's ``quantile_cont``).
 
-That path costs three to four shuffles.  When a first, cheap pass proves
-that no group holds more than ``max_group_rows`` rows, the single-pass
-built-in ``percentile`` is used instead: then one task never buffers more
-than that many values for one group.
+That path costs three to four shuffles.  When the largest group is known
+(from the caller, or from one cheap counting pass) to fit the per-task budget
+``MAX_GROUP_VALUES`` (rows x measured columns), the single-pass built-in
+``percentile`` is used instead: then one task never buffers more values for
+one group than the budget allows.
 """
 
 from __future__ import annotations
