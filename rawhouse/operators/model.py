@@ -217,13 +217,23 @@ def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.withColumnsRenamed({c: prefix + c for c in df.columns if c not in keep})
 
 
-def distinct_profile(df: DataFrame, *cols: str, drop_nulls: bool = False, count_col: str = "n_rows") -> DataFrame:
+def distinct_profile(
+    df: DataFrame,
+    *cols: str,
+    drop_nulls: bool = False,
+    limit: int | None = None,
+    count_col: str = "n_rows",
+) -> DataFrame:
     """Distinct tuples of ``cols`` with how many rows carry each.
 
     The number of distinct tuples is this frame's row count; nothing is
-    collected to the driver.
+    collected to the driver.  ``limit`` keeps the first tuples in sort order
+    (a preview; a per-partition top-n, not a global sort).
     """
     d = df
     if drop_nulls:
         d = d.where(_and([F.col(c).isNotNull() for c in cols]))
-    return d.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+    out = d.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+    if limit is not None:
+        out = out.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(limit)
+    return out

@@ -179,6 +179,7 @@ def test_distinct_profile(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], "x string, y int")
     assert rows(mdl.distinct_profile(df, "x")) == [("a", 2), (None, 1)]
     assert rows(mdl.distinct_profile(df, "x", drop_nulls=True)) == [("a", 2)]
+    assert [tuple(r) for r in mdl.distinct_profile(df, "x", limit=1).collect()] == [(None, 1)]
 
 
 # ---------------------------------------------------------------- time series
