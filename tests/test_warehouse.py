@@ -3,6 +3,9 @@
 import datetime as dt
 import os
 
+from pyspark.sql import functions as F
+
+from rawhouse.plans import analysis as an
 from rawhouse.plans import warehouse as wh
 
 
@@ -47,6 +50,16 @@ def test_equity_warehouse(spark, tmp_dir):
     tw = {r["t_author"]: r for r in spark.table(names["tweets"]).collect()}
     assert (tw["Bob"]["t_code"], tw["Bob"]["t_content"]) == ("AAA", '"buy, now\\nplease"')
     assert tw["Ann"]["t_date"] == dt.datetime(2020, 1, 4, 9, 30)
+
+    db = "rh_eq_test"
+    card = an.stock_info(spark, "AAA", db).first()
+    assert (card["sector"], card["industry"], card["country"]) == ("Technology", "Chips", "US")
+    assert [r["h_close"] for r in an.close_vs_moving_average(spark, "AAA", 2020, 5, db).collect()] == [1.5]
+    assert [(r["me"], r["peer"], r["ceo"]) for r in an.same_ceo(spark, "AAA", db).collect()] == [("AAA", "BBB", "Ann")]
+    assert [(r["p_code"], r["avg_volume"]) for r in an.top_volume(spark, 2021, database=db).collect()] == [("AAA", 200.0)]
+    for df in (an.posts_correlation(spark, database=db), an.trend_report(spark, 2021, 5, db),
+               an.industry_trend_report(spark, 2021, 5, db), an.sector_trend_report(spark, 2021, 5, db)):
+        df.collect()
     spark.sql("DROP SCHEMA rh_eq_test CASCADE")
 
 
@@ -87,4 +100,17 @@ def test_music_warehouse(spark, tmp_dir):
     assert sorted((t, by_id[a]) for t, a in bridge) == [("t1", "Ann"), ("t1", "Bob"), ("t2", "Ann"), ("t3", "Cat")]
     am = {r["a_id"]: r for r in wh.build_artist_measures(spark, "rh_mu_test").collect()}
     assert am[artist["Ann"]["a_id"]]["a_track_number"] == 2
+
+    db = "rh_mu_test"
+    stats = an.artist_stats(spark, "Ann", db).first()
+    assert (stats["track_number"], stats["first_release"]) == (2, dt.date(2001, 2, 3))
+    assert [r["name"] for r in an.artist_top_tracks(spark, "Ann", database=db).collect()][0] == "Another"
+    assert an.artist_albums(spark, "Ann", db).count() == 2
+    assert an.artist_features(spark, "Ann", db).first()["genres"] == ["pop"]
+    assert sum(r["track_number"] for r in an.key_frequency(spark, db).collect()) == 3
+    assert [tuple(r) for r in an.mainstream_genres(spark, database=db).collect()] == [(1, "pop")]
+    assert an.popular_artists(spark, database=db).count() == 3
+    clusters = spark.table(f"{db}.artist").select("a_id", F.lit(0).alias("prediction"))
+    clusters.write.saveAsTable(f"{db}.artist_cluster")
+    assert [r["artist_name"] for r in an.similar_artists(spark, "Ann", "artist_cluster", database=db).collect()] == []
     spark.sql("DROP SCHEMA rh_mu_test CASCADE")
