@@ -153,3 +153,31 @@ def build_artist_measures(
         return ent.entity_measures(ef, largest=bound)
 
     return sinks.ensure_table(spark, name, build, fmt=fmt, rebuild=rebuild)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit rawhouse/plans/warehouse.py {equity,music,measures} [DATA_DIR] [--database DB]``"""
+    import argparse
+
+    from rawhouse.session import build_session
+
+    ap = argparse.ArgumentParser(description="Build warehouse tables from raw folders.")
+    ap.add_argument("job", choices=["equity", "music", "measures"])
+    ap.add_argument("data_dir", nargs="?", help="raw folder (equity / music jobs)")
+    ap.add_argument("--database", default=None)
+    ap.add_argument("--mode", default="error", help="error | overwrite | ignore | append")
+    ap.add_argument("--format", default="parquet")
+    args = ap.parse_args(argv)
+    spark = build_session(app_name=f"rawhouse-{args.job}")
+    if args.job == "measures":
+        build_artist_measures(spark, args.database, rebuild=args.mode == "overwrite", fmt=args.format)
+        return
+    if not args.data_dir:
+        ap.error("data_dir is required for this job")
+    build = build_equity_warehouse if args.job == "equity" else build_music_warehouse
+    for name in build(spark, args.data_dir, args.database, args.mode, args.format).values():
+        print(name)
+
+
+if __name__ == "__main__":
+    main()
