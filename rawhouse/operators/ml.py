@@ -36,7 +36,9 @@ def cluster(
     so it is checkpointed once into the session's checkpoint folder first.
     """
     cols = list(features) if features else [c for c in df.columns if c != key]
-    df = materialize(df.select(key, *cols))
+    # sorted by key before it is written: k-means|| samples per partition, so
+    # a fixed seed repeats only if partitions and their order repeat too
+    df = materialize(df.select(key, *cols).orderBy(key), "kmeans-input")
     # k-means cannot form more clusters than there are distinct points (and
     # MLlib's initialisation fails if asked to); one count on the small,
     # already materialised per-entity table

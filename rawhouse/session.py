@@ -11,7 +11,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of the toolkit wants.  ANSI mode stays on (the Spark
@@ -81,19 +80,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and return a frame
-    reading it back (lineage cut, survives lost executors).
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as parquet into the shared checkpoint folder and
+    return a frame reading it back.
 
-    A reliable checkpoint recomputes its input when writing unless the input
-    is persisted, so the rows are persisted for the duration of the write.
+    One job computes the rows exactly once (no persist, no second pass as an
+    RDD checkpoint needs); the copy is columnar, so later reads prune columns
+    and push filters; and the lineage is cut, so lost executors never force
+    a recomputation of the input.  Columns are stored under positional names
+    (any name survives the round trip).
     """
-    checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    names = df.columns
+    df.toDF(*[f"c{i}" for i in range(len(names))]).write.parquet(path)
+    return spark.read.parquet(path).toDF(*names)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
