@@ -51,7 +51,9 @@ def smooth_features(
     features.  ``columns`` maps output name -> feature column.
     """
     b = bridge.select(group, node).where(F.col(group).isNotNull())
-    f = features.select(F.col(feature_key).alias("_fk"), *[F.col(c).alias(f"_x{i}") for i, c in enumerate(columns.values())])
+    f = features.select(
+        F.col(feature_key).alias("_fk"), *[F.col(c).alias(f"_x{i}") for i, c in enumerate(columns.values())]
+    )
     members = b.join(f, b[node] == f["_fk"])
     n = len(columns)
     per_group = members.groupBy(group).agg(

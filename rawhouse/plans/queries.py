@@ -181,7 +181,9 @@ def entity_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = S.artist(spark, sf_dir).where(F.col("a_name") == P.TARGET_ARTIST)
     # measures of the target only: its facts are selected before aggregating
-    am = ent.entity_measures(_target_tracks(spark, sf_dir), largest=_bridge_bound(S.track_artists(spark, sf_dir)))
+    am = ent.entity_measures(
+        _target_tracks(spark, sf_dir), largest=_bridge_bound(S.track_artists(spark, sf_dir))
+    )
     out = a.join(am, a.a_id == am.a_id).select(
         F.col("a_name").alias("name"), "genres", F.col("a_mode").alias("modality"),
         *[F.col(m).alias(m[2:]) for m in ent.MEASURES],

@@ -22,8 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # remove checkpoint files once the frames reading them are gone
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
