@@ -77,3 +77,15 @@ def test_csv_strings_schema_and_prefix(spark, tmp_dir):
     sinks.ensure_schema(spark, "rawhouse_test_db")
     assert spark.catalog.databaseExists("rawhouse_test_db")
     spark.sql("DROP SCHEMA IF EXISTS rawhouse_test_db")
+
+
+def test_materialize_round_trip(spark):
+    from rawhouse.session import checkpoint_dir, materialize
+
+    df = spark.createDataFrame([(1, "a", [1.5]), (2, None, None)], "`stock splits` int, `x,y` string, v array<double>")
+    m = materialize(df.where("`stock splits` > 0"))
+    assert m.columns == ["stock splits", "x,y", "v"]
+    assert sorted(map(tuple, m.collect()), key=repr) == [(1, "a", [1.5]), (2, None, None)]
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and "parquet" in plan.lower() and "LocalRelation" not in plan
+    assert checkpoint_dir(spark).rstrip("/").split("/")[-1] in m.inputFiles()[0]
