@@ -40,9 +40,12 @@ def build_dictionary(
     single-partition window: the distinct tuples are range-partitioned and
     sorted inside each partition; a tuple's id is the number of tuples in the
     earlier partitions (one small count per partition) plus its position in
-    its own partition.  The numbered tuples are checkpointed once into the
+    its own partition.  The numbered tuples are written once into the
     session's checkpoint folder so the count and the numbering read the very
-    same rows, also when executors are lost and stages re-run.
+    same rows, also when executors are lost and stages re-run.  The range
+    exchange has an explicit partition count, so AQE keeps its partitions as
+    they are, and the per-partition sort over distinct tuples is total, so a
+    retried task numbers its rows identically.
     """
     spark = df.sparkSession
     n = num_partitions or default_parallelism(spark)

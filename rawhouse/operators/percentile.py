@@ -48,6 +48,10 @@ def weighted_positions(
     Range partitioning splits hot groups; the partition id is a function of
     the key alone once the range bounds are drawn, and both uses of the
     partitioned frame below read the same exchange (it is reused in the plan).
+    ``spark_partition_id()`` right after the exchange is the range index:
+    AQE neither coalesces nor reads locally a repartition with an explicit
+    partition count, and a retried task re-reads the same range partition,
+    so the ids survive lost executors.
     """
     spark = df.sparkSession
     n = num_partitions or default_parallelism(spark)
