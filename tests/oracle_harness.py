@@ -79,7 +79,7 @@ def type_mismatches(sdf, res) -> list[str]:
     return out
 
 
-def compare(spark, sf_dir: str, name: str, con=None, verbose: bool = True) -> tuple[bool, str]:
+def compare(spark, sf_dir: str, name: str, con=None) -> tuple[bool, str]:
     from __spark_entry__ import oracle_sql, queries
 
     con = con or duckdb_conn(sf_dir)

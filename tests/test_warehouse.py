@@ -114,3 +114,12 @@ def test_music_warehouse(spark, tmp_dir):
     clusters.write.saveAsTable(f"{db}.artist_cluster")
     assert [r["artist_name"] for r in an.similar_artists(spark, "Ann", "artist_cluster", database=db).collect()] == []
     spark.sql("DROP SCHEMA rh_mu_test CASCADE")
+
+
+def test_cli_arguments(spark, tmp_dir):
+    import pytest
+
+    with pytest.raises(SystemExit):
+        wh.main(["equity"])  # a raw folder is required
+    with pytest.raises(SystemExit):
+        wh.main(["unknown-job", tmp_dir])
