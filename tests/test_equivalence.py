@@ -28,3 +28,14 @@ def test_grouped_corr_equals_corr(spark):
     ref = {r[0]: r[1] for r in df.groupBy("l_suppkey").agg(F.corr("l_quantity", "l_extendedprice")).collect()}
     assert ours.keys() == ref.keys()
     assert all(ours[k] == pytest.approx(ref[k], abs=1e-12) for k in ref)
+
+
+def test_trend_runs_sql_form(spark):
+    from rawhouse.plans.sql_forms import trend_runs_sql
+
+    hist = S.history(spark, SF)
+    hist.createOrReplaceTempView("eq_history")
+    ours = ts.trend_runs(hist, "h_code", "h_date", "h_close", P.PERIOD, P.TARGET_YEAR, out_key="stock")
+    sql = trend_runs_sql(spark, "eq_history", P.TARGET_YEAR, P.PERIOD)
+    assert sql.columns == ours.columns
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, ours.collect()))
