@@ -42,3 +42,18 @@ def test_skew_path_range_partitions(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
     plan = plan_text(skew_safe_percentiles(df, ["g"], [("p", "v", 0.5)]))
     assert "rangepartitioning" in plan
+
+
+@pytest.mark.parametrize("name,needles", [
+    ("moving_average", ["EqualTo(l_suppkey,1)", "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)",
+                        "LessThan(l_shipdate,1999-01-01T00:00)"]),
+    ("top_volume", ["GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)", "LessThan(l_shipdate,1999-01-01T00:00)"]),
+    ("daily_metrics", ["EqualTo(event_type,click)"]),
+])
+def test_filters_reach_the_scan(spark, name, needles):
+    df = queries()[name](spark, SF)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
+    pushed = " ".join(line for line in plan.splitlines() if line.startswith("PushedFilters"))
+    for needle in needles:
+        assert needle in pushed, (name, needle)
