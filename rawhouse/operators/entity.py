@@ -146,9 +146,11 @@ def entity_measures(
     num_partitions: int | None = None,
     largest: int | None = None,
     max_group_rows: int | None = MAX_GROUP_ROWS,
+    method: str = "exact",
 ) -> DataFrame:
     """Per entity: item count, share of flagged items (NULL counts as not
-    flagged) and the exact median of each measure.
+    flagged) and the exact median of each measure (``method='approx'``: the
+    mergeable ``percentile_approx`` sketch in the same single aggregation).
 
     ``largest`` is an upper bound of the rows per entity when the caller has
     one (e.g. bridge rows per entity: the star joins can only drop rows);
@@ -161,6 +163,10 @@ def entity_measures(
         F.avg(F.when(F.col(flag), 1).otherwise(0)).alias("a_mode"),
     ]
     specs = [(o, c, 0.5) for o, c in measures.items()]
+    if method == "approx":
+        return ef.groupBy(key).agg(*base, *[
+            F.percentile_approx(F.col(c).cast("double"), 0.5).alias(o) for o, c, _ in specs
+        ])
     if max_group_rows == MAX_GROUP_ROWS:
         max_group_rows = row_budget(len(set(measures.values())))
     if largest is None:

@@ -51,6 +51,7 @@ def percentile_board(
     k: int = 20,
     max_name: str = "popularity",
     num_partitions: int | None = None,
+    method: str = "exact",
 ) -> DataFrame:
     """Max and exact percentiles of ``value`` per ``by``, top ``k`` by max
     (ties by ``by``).
@@ -65,6 +66,7 @@ def percentile_board(
     largest = top.agg(F.max("_rows")).first()[0] or 0
     chosen = F.broadcast(top.select(F.col(by).alias("_top")))
     rows = df.join(chosen, df[by].eqNullSafe(chosen["_top"])).drop("_top")
-    pc = percentiles(rows, [by], [(name, value, p) for name, p in ps.items()], num_partitions, largest=largest)
+    pc = percentiles(rows, [by], [(name, value, p) for name, p in ps.items()], num_partitions,
+                     largest=largest, method=method)
     board = top.join(pc, top[by].eqNullSafe(pc[by]), "left").select(top[by], max_name, *[pc[n] for n in ps])
     return board.select(max_name, *ps, by)

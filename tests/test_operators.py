@@ -285,6 +285,16 @@ def test_skew_safe_percentiles_hot_group(spark):
     assert all(abs(builtin[g]["p50"] - ref[g]["p50"]) < 1e-9 for g in ref)
 
 
+def test_approx_options_pass_through(spark):
+    df = spark.createDataFrame([("a", i) for i in range(1, 101)], "name string, pop int")
+    board = rk.percentile_board(df, "name", "pop", method="approx").first()
+    assert board["popularity"] == 100 and abs(board["popularity50"] - 50) <= 1
+    ef = spark.createDataFrame([(1, i, True) + (float(i),) * 9 for i in range(1, 11)],
+                               "a_id int, t_id int, t_mode boolean, " + ", ".join(f"{c} double" for c in ent.MEASURES.values()))
+    row = ent.entity_measures(ef, method="approx").first()
+    assert row["a_track_number"] == 10 and row["a_mode"] == 1.0 and row["a_tempo"] in (5.0, 6.0)
+
+
 def test_approx_percentiles_close(spark):
     df = spark.range(0, 10000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
     got = {r["g"]: r["m"] for r in percentiles(df, ["g"], [("m", "v", 0.5)], method="approx").collect()}
