@@ -2,4 +2,36 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_ALNUM}')"
+
+
+SQL: dict[str, str] = {
+    "op3_decontamination": f"""
+        WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+        item AS (SELECT item_id, {_words("text")} AS w FROM benchmark),
+        item_window AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS words
+            FROM (SELECT item_id, w, least(len(w), 10) AS n,
+                         unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+                  FROM item WHERE len(w) > 0)),
+        place AS (
+            SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                  FROM doc, (SELECT DISTINCT n FROM item_window) WHERE len(w) >= n)),
+        hit AS (SELECT doc_id, i, place.n, item_id FROM place JOIN item_window USING (n, words)),
+        covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+        found AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+}
