@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import langid, simhash_vp, winnow
+from rawhouse.llm import langid, pii, simhash_vp, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,22 @@ def _remainder(id_col: str, by: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % by
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document, counted and digested."""
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find_private(docs, pii.train(docs), keep=["doc_id"])
+    counts = [
+        F.size(F.filter("base_spans", lambda s, k=kind: s.startswith(f"{k}:"))).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(F.concat_ws(",", "base_spans"), 256).alias("base_sha256"),
+        F.concat_ws(",", "spans").alias("spans"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside 10-word windows of benchmark items."""
     found = winnow.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -51,6 +67,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op9_language_id": op9_language_id,
