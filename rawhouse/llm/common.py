@@ -95,7 +95,7 @@ def map_texts(
                 part = batch.slice(start, length)
                 got = fn(part.column(n_keep).to_pylist())
                 arrays = [part.column(i) for i in range(n_keep)]
-                arrays += [pa.array(got[n], type=t) for n, t in zip(names, types)]
+                arrays += [got[n] if isinstance(got[n], pa.Array) else pa.array(got[n], type=t) for n, t in zip(names, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=labels)
 
     return source.mapInArrow(run, schema).toDF(*keep, *names)

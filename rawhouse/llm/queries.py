@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import langid, pii, simhash_vp, winnow
+from rawhouse.llm import langid, pii, simhash_vp, spm, winnow
+
+
+def default_model() -> str:
+    """Path of the SentencePiece model the queries use (a parameter of the operator)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +65,13 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and whether they decode to its text."""
+    vocabulary = spm.load_vocabulary(default_model())
+    found = spm.encode(_table(spark, sf_dir, "documents"), vocabulary, keep=["doc_id"])
+    return found.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "round_trip")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from the rows not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -70,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op9_language_id": op9_language_id,
 }
