@@ -21,7 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _remainder(id_col: str, by: int) -> Column:
+def remainder(id_col: str, by: int) -> Column:
     """crc32 of the id as text modulo ``by`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % by
 
@@ -75,8 +75,8 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from the rows not held out."""
     docs = _table(spark, sf_dir, "documents")
-    model = langid.train_language_model(docs.where(_remainder("doc_id", 5) != 0))
-    scored = docs.select("doc_id", "text", (_remainder("doc_id", 5) == 0).alias("held_out"))
+    model = langid.train_language_model(docs.where(remainder("doc_id", 5) != 0))
+    scored = docs.select("doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
     return langid.identify_language(scored, model, keep=["doc_id", "held_out"])
 
 

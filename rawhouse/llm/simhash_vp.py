@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawhouse.llm.common import LOWER_TABLE, map_texts
+from rawhouse.llm.common import LOWER_TABLE, free_name, map_texts
 from rawhouse.llm.components import connected_components
 from rawhouse.session import materialize
 
@@ -316,4 +316,42 @@ def near_duplicates(
     return prints.join(named, "fp").select("id", "fp", "component_id")
 
 
-__all__ = ["ShardTree", "build_tree", "fingerprint", "hamming_components", "link_shard", "near_duplicates", "simhash"]
+def keep_first(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_bits: int = MAX_BITS,
+    shingle: int = SHINGLE_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each component the row with
+    the smallest id stays, all columns unchanged.
+
+    A component without any id keeps one of its rows.  Rows that share the kept
+    id with another row of the component (repeated rows) are reduced to one by
+    the smallest text hash, so exactly one row of each component is left; rows
+    with equal id and equal text count as one.
+    """
+    ident, text, names = F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), df.columns
+    row_key = F.xxhash64(F.coalesce(text.cast("string"), F.lit("")), text.isNull())
+    prints = materialize(
+        simhash(
+            df.select(ident.alias("id"), text.alias("text"), row_key.alias("h")), "text", ["id", "h"], "fp", shingle, seed
+        ),
+        "simhash",
+    )
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
+    groups = prints.groupBy("fp").agg(F.min(first).alias("first"))
+    roots = hamming_components(prints, "fp", max_bits)
+    winners = groups.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    win_id, win_h, own_h = (free_name(df, c) for c in ("win_id", "win_h", "own_h"))
+    winners = materialize(winners.select(F.col("first.id").alias(win_id), F.col("first.h").alias(win_h)), "simhash-winners")
+    kept = df.withColumn(own_h, row_key).join(
+        winners, ident.eqNullSafe(F.col(win_id)) & (F.col(own_h) == F.col(win_h)), "left_semi"
+    )
+    if prints.groupBy("id", "h").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_col, own_h])
+    return kept.select(*[f"`{c}`" for c in names])
+
+
+__all__ = ["ShardTree", "build_tree", "fingerprint", "hamming_components", "keep_first", "link_shard", "near_duplicates", "simhash"]

@@ -28,6 +28,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rawhouse.llm.common import free_name
+
 WINDOW = 10
 GRAM = 5
 BROADCAST_ROWS = 1_000_000  # benchmark windows, about 100 bytes each once hashed
@@ -134,7 +136,7 @@ def _windows_of(runs: DataFrame, w: int) -> DataFrame:
     )
 
 
-def contamination(
+def found_items(
     docs: DataFrame,
     items: DataFrame,
     id_col: str = "doc_id",
@@ -144,27 +146,16 @@ def contamination(
     window: int = WINDOW,
     gram: int = GRAM,
 ) -> DataFrame:
-    """(id, text_hash, n_words, n_hit, items, contaminated) for every document row.
-
-    ``n_hit`` counts the words inside any window of an item, ``items`` lists the
-    item ids (as strings, sorted) with such a window.
-    """
+    """(hit_id, hit_hash, n_hit, items) of the documents that hold a window of an
+    item: words inside such windows and the sorted item ids (as strings)."""
     benchmark, lists, lengths = benchmark_windows(items, item_id_col, item_text_col, window, gram)
     small = benchmark.count() <= BROADCAST_ROWS
-    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = own.select("id", F.xxhash64("text").alias("text_hash"), "text")
-    base = rows.select("id", "text_hash", count_words(F.col("text")).alias("n_words"))
-    if not lengths:
-        empty = F.expr("CAST(array() AS array<string>)")
-        return base.select("*", F.lit(0).cast("long").alias("n_hit"), empty.alias("items"), F.lit(False).alias("contaminated"))
-
+    rows = _keyed(docs, id_col, text_col)
     worded = rows.select("id", "text_hash", words_of(F.col("text")).alias("ws"))
-    runs = worded.select(
-        "id", "text_hash", F.explode(F.concat(*[_runs(F.col("ws"), t, gram) for t in lengths])).alias("r")
-    ).select("id", "text_hash", "r.*")
+    each = F.concat(*[_runs(F.col("ws"), t, gram) for t in lengths or [window]])
+    runs = worded.select("id", "text_hash", F.explode(each).alias("r")).select("id", "text_hash", "r.*")
     # Hits: join the fingerprints, then extend over the windows of the run.
-    side = F.broadcast(benchmark) if small else benchmark
-    met = runs.join(side, ["t", "fp"])
+    met = runs.join(F.broadcast(benchmark) if small else benchmark, ["t", "fp"])
     reach = F.col("t") - F.least(F.lit(gram), F.col("t"))  # from a window's first gram to its last
     hits = (
         met.withColumn("j", F.explode(F.sequence(F.lit(0), F.size("grams") - reach - 1)))
@@ -174,26 +165,36 @@ def contamination(
     per_doc = hits.groupBy("id", "text_hash").agg(
         F.sort_array(F.collect_set(F.struct("at", "t"))).alias("spans"), F.collect_set("items_key").alias("keys")
     )
-    start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate(
         "spans",
-        start,
+        F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
         lambda acc, s: F.struct(
             F.greatest(acc["end"], s["at"] + s["t"]).alias("end"),
             (acc["n"] + F.greatest(F.lit(0), s["at"] + s["t"] - F.greatest(s["at"], acc["end"]))).alias("n"),
         ),
         lambda acc: acc["n"],
     )
-    per_doc = per_doc.select("id", "text_hash", covered.alias("n_hit"), "keys")
-    named = (
-        per_doc.select("id", "text_hash", "n_hit", F.explode("keys").alias("items_key"))
+    return (
+        per_doc.select("id", "text_hash", covered.alias("n_hit"), F.explode("keys").alias("items_key"))
         .join(lists, "items_key")
         .groupBy("id", "text_hash", "n_hit")
         .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         .select(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "n_hit", "items")
     )
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+
+
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """(id, text_hash, n_words, n_hit, items, contaminated) for every document
+    row; ``how`` takes the other parameters of ``found_items``."""
+    base = _keyed(docs, id_col, text_col).select("id", "text_hash", count_words(F.col("text")).alias("n_words"))
+    found = found_items(docs, items, id_col, text_col, **how)
     joined = base.join(
-        named, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left"
+        found, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left"
     )
     return joined.select(
         "id",
@@ -205,4 +206,16 @@ def contamination(
     )
 
 
-__all__ = ["benchmark_windows", "contamination", "count_words", "words_of"]
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` without any window of an item, all columns unchanged."""
+    bad_id, bad_hash = free_name(docs, "bad_id"), free_name(docs, "bad_hash")
+    bad = found_items(docs, items, id_col, text_col, **how).select(
+        F.col("hit_id").alias(bad_id), F.col("hit_hash").alias(bad_hash)
+    )
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(bad_id)) & (
+        F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col(bad_hash)
+    )
+    return docs.join(bad, same, "left_anti")
+
+
+__all__ = ["benchmark_windows", "contamination", "count_words", "drop_contaminated", "found_items", "words_of"]
