@@ -10,6 +10,7 @@ read back, which cuts the lineage and survives lost executors.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,4 +60,18 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(centres)
 
 
-__all__ = ["connected_components"]
+def merge_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels (index of the smallest member) after joining i and j."""
+    while len(i):
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, label[i], low)
+        np.minimum.at(label, label[j], low)
+        label = label[label]
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+    while not np.array_equal(label, label[label]):
+        label = label[label]
+    return label
+
+
+__all__ = ["connected_components", "merge_labels"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import langid, pii, simhash_vp, spm, winnow
+from rawhouse.llm import langid, pii, sharding, simhash_vp, spm, vectors, winnow
 
 
 def default_model() -> str:
@@ -72,6 +72,14 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "round_trip")
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding at cosine 0.95 or above."""
+    found = vectors.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from the rows not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -80,10 +88,26 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_language(scored, model, keep=["doc_id", "held_out"])
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt to 40 shards whose row counts differ by one at most."""
+    placed = sharding.shuffled(_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op9_language_id": op9_language_id,
+    "op10_sharding": op10_sharding,
 }

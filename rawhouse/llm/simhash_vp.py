@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rawhouse.llm.common import LOWER_TABLE, free_name, map_texts
-from rawhouse.llm.components import connected_components
+from rawhouse.llm.components import connected_components, merge_labels
 from rawhouse.session import materialize
 
 SEED = 42
@@ -176,20 +176,6 @@ def build_tree(sample: np.ndarray, scale: float, shard_rows: int, half: int, see
 # --- inside a shard ---------------------------------------------------------
 
 
-def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels (index of the smallest member) after joining i and j."""
-    while len(i):
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, label[i], low)
-        np.minimum.at(label, label[j], low)
-        label = label[label]
-        apart = label[i] != label[j]
-        i, j = i[apart], j[apart]
-    while not np.array_equal(label, label[label]):
-        label = label[label]
-    return label
-
-
 def _by_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs that join all fingerprints within two bits, by one-bit neighbours."""
     flips = np.concatenate(([np.uint64(0)], np.uint64(1) << np.arange(64, dtype=np.uint64)))
@@ -225,7 +211,7 @@ def link_shard(fps: np.ndarray, max_bits: int = MAX_BITS, seed: int = SEED) -> n
                 left.append(at[i[ahead] + row])
                 right.append(at[j[ahead]])
     label = np.arange(len(fps))
-    return _merge(label, np.concatenate(left), np.concatenate(right)) if left else label
+    return merge_labels(label, np.concatenate(left), np.concatenate(right)) if left else label
 
 
 def _edges_of_shards(sharded: DataFrame, max_bits: int) -> DataFrame:
