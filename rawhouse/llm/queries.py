@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import langid, pii, sharding, simhash_vp, spm, vectors, winnow
+from rawhouse.llm import langid, pii, sharding, simhash_vp, spm, toxicity, vectors, winnow
 
 
 def default_model() -> str:
@@ -80,6 +80,15 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of toxicity of every document; learned from the labels not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(remainder("doc_id", 3) != 1))
+    scored = docs.select("doc_id", "text", (remainder("doc_id", 3) == 1).alias("held_out"))
+    found = toxicity.score_toxicity(scored, model, keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "passages")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from the rows not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -108,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
 }
