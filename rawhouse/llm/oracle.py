@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from rawhouse.llm.license_templates import PHRASES, TEMPLATES
+from rawhouse.llm.licenses import parse
+
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -10,7 +13,52 @@ def _words(text: str) -> str:
     return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_ALNUM}')"
 
 
+def _pattern(elements: list) -> str:
+    """A template as a regular expression over a line of words, each followed by a space."""
+    out = ""
+    for e in elements:
+        if isinstance(e, bytes):
+            out += e.decode() + " "
+        elif e[0] == "optional":
+            out += f"(?:{_pattern(e[1])})?"
+        else:
+            out += f"(?:[^ ]+ ){{{e[1]},{'' if e[2] is None else e[2]}}}"
+    return out
+
+
+def _license_sql() -> str:
+    rows = [(k, True, parse(v)) for k, v in PHRASES.items()] + [(k, False, parse(v)) for k, v in TEMPLATES]
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, '{label}' AS label, {base} AS base, {sum(isinstance(e, bytes) for e in elements)} AS m "
+        f"FROM line WHERE regexp_matches(words, ' {_pattern(elements)}')"
+        for label, base, elements in rows
+    )
+    places = " UNION ALL ".join(
+        f"SELECT doc_id, i FROM word_at WHERE array_to_string(w[i + 1:i + {len(e)}], ' ') = '{b' '.join(e).decode()}'"
+        for _, base, e in rows
+        if base
+    )
+    return f"""
+        WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+        line AS (SELECT doc_id, ' ' || array_to_string(w, ' ') || ' ' AS words FROM doc),
+        found AS ({found}),
+        kinds AS (
+            SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+                   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
+                   max(m) AS m
+            FROM found GROUP BY doc_id),
+        word_at AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM doc),
+        place AS (
+            SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word
+            FROM ({places}) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+               coalesce(1.0 - power(2.0, -m / 4.0), 0.0) AS score
+        FROM doc LEFT JOIN kinds USING (doc_id) LEFT JOIN place USING (doc_id)"""
+
+
 SQL: dict[str, str] = {
+    "op1_licenses": _license_sql(),
     "op3_decontamination": f"""
         WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents),
         item AS (SELECT item_id, {_words("text")} AS w FROM benchmark),

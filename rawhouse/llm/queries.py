@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import langid, pii, sharding, simhash_vp, spm, toxicity, vectors, winnow
+from rawhouse.llm import langid, licenses, pii, sharding, simhash_vp, spm, toxicity, vectors, winnow
 
 
 def default_model() -> str:
@@ -26,6 +26,11 @@ def remainder(id_col: str, by: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % by
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("places")
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document, counted and digested."""
     docs = _table(spark, sf_dir, "documents")
@@ -112,6 +117,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
