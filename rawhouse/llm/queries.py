@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import langid, licenses, pii, sharding, simhash_vp, spm, toxicity, vectors, winnow
+from rawhouse.llm import html_main, langid, licenses, pii, sharding, simhash_vp, spm, toxicity, vectors, winnow
 
 
 def default_model() -> str:
@@ -60,6 +60,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_main.extract_main_text(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 2 bits)."""
     found = simhash_vp.near_duplicates(_table(spark, sf_dir, "documents"), max_bits=2, shingle=3, seed=42)
@@ -120,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
+    "op4_html_extraction": op4_html_extraction,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
