@@ -197,7 +197,7 @@ def train(
                 whole.append(sum(s for _, _, s in found))
                 length.append(words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(best), pa.array(whole), pa.array(length, pa.int64())],
+                [batch.column(0), pa.array(best, pa.float64()), pa.array(whole, pa.float64()), pa.array(length, pa.int64())],
                 names=["toxic", "best", "whole", "n"],
             )
 
