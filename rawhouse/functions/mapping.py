@@ -6,7 +6,6 @@ no join and no Python worker is involved.  Unmapped values pass through.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -23,50 +22,90 @@ EXCHANGE_NAMES = {
     "Nasdaq Global Select": "NASDAQ Global Select",
 }
 
-# Common English spellings of countries whose ISO 3166 short
-# name in the system table is written differently.
+# Common English spellings of countries that no rule below gives.
 COUNTRY_ALIASES = {
-    "United Kingdom": "GB",
-    "Great Britain": "GB",
-    "United States of America": "US",
-    "USA": "US",
-    "South Korea": "KR",
-    "Republic of Korea": "KR",
-    "North Korea": "KP",
-    "Czechia": "CZ",
-    "Ivory Coast": "CI",
+    "Brunei Darussalam": "BN",
+    "Burma": "MM",
+    "Cape Verde": "CV",
+    "Cocos Islands": "CC",
     "Cote d'Ivoire": "CI",
+    "Czech Republic": "CZ",
+    "Democratic People's Republic of Korea": "KP",
     "Democratic Republic of the Congo": "CD",
+    "East Timor": "TL",
+    "Federated States of Micronesia": "FM",
+    "Great Britain": "GB",
+    "Holy See": "VA",
+    "Hong Kong": "HK",
+    "Iran, Islamic Republic of": "IR",
+    "Islamic Republic of Iran": "IR",
+    "Ivory Coast": "CI",
+    "Lao People's Democratic Republic": "LA",
+    "Libyan Arab Jamahiriya": "LY",
+    "Macao": "MO",
+    "Macau": "MO",
+    "Macedonia": "MK",
+    "Netherlands Antilles": "AN",
+    "Palestine": "PS",
+    "Palestine, State of": "PS",
+    "Plurinational State of Bolivia": "BO",
+    "Reunion": "RE",
+    "Republic of Korea": "KR",
+    "Republic of Moldova": "MD",
     "Republic of the Congo": "CG",
     "Russian Federation": "RU",
+    "Swaziland": "SZ",
+    "Syrian Arab Republic": "SY",
+    "Turkey": "TR",
+    "United Kingdom of Great Britain and Northern Ireland": "GB",
+    "United Republic of Tanzania": "TZ",
+    "United States Minor Outlying Islands": "UM",
+    "United States of America": "US",
+    "USA": "US",
+    "Vatican": "VA",
     "Viet Nam": "VN",
-    "Macau": "MO",
-    "Macao": "MO",
-    "Hong Kong SAR": "HK",
-    "British Virgin Islands": "VG",
-    "U.S. Virgin Islands": "VI",
-    "Holy See": "VA",
-    "Netherlands Antilles": "AN",
+    "Virgin Islands, British": "VG",
+    "Virgin Islands, U.S.": "VI",
 }
 
-# ISO 3166 alpha-2 table shipped with the time-zone database.
-ISO3166_TABLE = "/usr/share/zoneinfo/iso3166.tab"
 
+def _spellings(name: str) -> set[str]:
+    """Spellings of an English country name by rule: "&" or "and", "St." or
+    "Saint", a bracketed name on its own, with and without accents."""
+    import re
+    import unicodedata
+
+    out = {name}
+    bracket = re.fullmatch(r"(.+?)\s*\((.+)\)", name)
+    if bracket:
+        out |= {bracket[1], bracket[2]}
+    out |= {re.sub(r"\bSt\.? ", "Saint ", n) for n in out}
+    out |= {n.replace(" & ", " and ") for n in out}
+    out |= {n.replace("\u2019", "'") for n in out}
+    out |= {"".join(c for c in unicodedata.normalize("NFKD", n) if not unicodedata.combining(c)) for n in out}
+    out |= {n.replace(" SAR China", "") for n in out}
+    return out
 
-def country_codes(table_path: str = ISO3166_TABLE) -> dict[str, str]:
-    """Country name -> ISO 3166 alpha-2 code.
 
-    Built from the public-domain ``iso3166.tab`` of the time-zone database
-    (code TAB name per line) plus :data:`COUNTRY_ALIASES`.
+def country_codes(spark=None) -> dict[str, str]:
+    """Country name -> ISO 3166 alpha-2 code, for every ISO code.
+
+    The names are the English display names of the Java runtime that Spark runs
+    on (the Unicode CLDR table), with variant spellings by rule and
+    :data:`COUNTRY_ALIASES`; no file of the driver's machine is read.
     """
+    from pyspark.sql import SparkSession
+
+    session = spark or SparkSession.getActiveSession()
+    if session is None:
+        raise RuntimeError("country_codes needs an active Spark session")
+    locale = session.sparkContext._jvm.java.util.Locale
     out: dict[str, str] = {}
-    if os.path.exists(table_path):
-        with open(table_path, encoding="utf-8") as fh:
-            for line in fh:
-                if not line.strip() or line.startswith("#"):
-                    continue
-                code, name = line.rstrip("\n").split("\t", 1)
-                out[name.strip()] = code.strip()
+    codes = sorted(str(c) for c in locale.getISOCountries())
+    for code in codes:
+        name = str(locale("", code).getDisplayCountry(locale.ENGLISH))
+        for spelling in sorted(_spellings(name)):
+            out.setdefault(spelling, code)
     out.update(COUNTRY_ALIASES)
     return out
 

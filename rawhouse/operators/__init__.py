@@ -11,7 +11,7 @@ from rawhouse.operators.model import (
     merge_sources, normalize, parse_list, prefixed,
 )
 from rawhouse.operators.parse import clean_profile, html_cell_pairs, match_posts, parse_kv_profile, parse_posts
-from rawhouse.operators.percentile import percentiles, skew_safe_percentiles
+from rawhouse.operators.percentile import percentiles
 from rawhouse.operators.ranking import label_frequency, percentile_board, tag_frequency
 from rawhouse.operators.timeseries import (
     category_series, daily_metrics, grouped_corr, indicator_runs, moving_average, top_k_mean,
@@ -25,7 +25,7 @@ __all__ = [
     "build_dictionary", "build_dimension", "distinct_profile", "explode_zipped", "first_per_key",
     "merge_sources", "normalize", "parse_list", "prefixed",
     "clean_profile", "html_cell_pairs", "match_posts", "parse_kv_profile", "parse_posts",
-    "percentiles", "skew_safe_percentiles", "label_frequency", "percentile_board", "tag_frequency",
+    "percentiles", "label_frequency", "percentile_board", "tag_frequency",
     "category_series", "daily_metrics", "grouped_corr", "indicator_runs", "moving_average", "top_k_mean",
     "trend_runs", "with_trend", "year_range",
 ]

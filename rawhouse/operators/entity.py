@@ -14,13 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawhouse.functions.labels import decode_code, flag_label
-from rawhouse.operators.percentile import (
-    MAX_GROUP_ROWS,
-    builtin_percentiles,
-    largest_group,
-    row_budget,
-    skew_safe_percentiles,
-)
+from rawhouse.operators.percentile import percentiles
+from rawhouse.session import materialize
 
 
 def entity_card(
@@ -143,39 +138,28 @@ def entity_measures(
     item: str = "t_id",
     flag: str = "t_mode",
     measures: dict[str, str] = MEASURES,
-    num_partitions: int | None = None,
-    largest: int | None = None,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
     method: str = "exact",
 ) -> DataFrame:
     """Per entity: item count, share of flagged items (NULL counts as not
     flagged) and the exact median of each measure (``method='approx'``: the
-    mergeable ``percentile_approx`` sketch in the same single aggregation).
+    mergeable ``percentile_approx`` sketch in a single aggregation).
 
-    ``largest`` is an upper bound of the rows per entity when the caller has
-    one (e.g. bridge rows per entity: the star joins can only drop rows);
-    otherwise it is measured.  Within ``max_group_rows`` everything is one
-    aggregation (one pass over the facts); beyond it the medians take the
-    range-partitioned path that splits hot entities.
+    The needed columns of ``ef`` are written once (the star joins behind them
+    run once); counts and medians read those files, so a hot entity is combined
+    on the map side in every pass.
     """
     base = [
         F.count(item).alias("a_track_number"),
         F.avg(F.when(F.col(flag), 1).otherwise(0)).alias("a_mode"),
     ]
-    specs = [(o, c, 0.5) for o, c in measures.items()]
     if method == "approx":
         return ef.groupBy(key).agg(*base, *[
-            F.percentile_approx(F.col(c).cast("double"), 0.5).alias(o) for o, c, _ in specs
+            F.percentile_approx(F.col(c).cast("double"), 0.5).alias(o) for o, c in measures.items()
         ])
-    if max_group_rows == MAX_GROUP_ROWS:
-        max_group_rows = row_budget(len(set(measures.values())))
-    if largest is None:
-        largest = largest_group(ef, [key])
-    if max_group_rows and largest <= max_group_rows:
-        return ef.groupBy(key).agg(*base, *builtin_percentiles(specs))
-    counts = ef.groupBy(key).agg(*base)
-    meds = skew_safe_percentiles(ef, [key], specs, num_partitions)
-    return counts.join(meds, counts[key].eqNullSafe(meds[key]), "left").select(
+    rows = materialize(ef.select(key, item, flag, *dict.fromkeys(measures.values())), "entity-facts")
+    counts = rows.groupBy(key).agg(*base)
+    meds = percentiles(rows, [key], [(o, c, 0.5) for o, c in measures.items()], method, stored=True)
+    return counts.join(meds, counts[key].eqNullSafe(meds[key])).select(
         counts[key], "a_track_number", "a_mode", *[meds[o] for o in measures]
     )
 
@@ -205,27 +189,16 @@ def cluster_peers(
 
 def similar_entities(
     dim: DataFrame,
-    clusters: DataFrame,
+    peers: DataFrame,
     measures: DataFrame,
     name_col: str,
-    target: str,
     k: int = 10,
     key: str = "a_id",
     tags: str = "genres",
 ) -> DataFrame:
-    """Entities in the target's cluster (target excluded) sharing at least one
-    tag with the target, top ``k`` by item count (ties by name)."""
-    tgt = dim.where(F.col(name_col) == F.lit(target)).select(
-        F.col(key).alias("_tid"), F.col(tags).alias("_ttags")
-    )
-    tcl = tgt.join(clusters, tgt["_tid"] == clusters[key]).select(
-        "_tid", "_ttags", F.col("prediction").alias("_pred")
-    )
-    peers = clusters.join(tcl, (clusters["prediction"] == tcl["_pred"]) & (clusters[key] != tcl["_tid"])).select(
-        F.col(key).alias("candidate"), "_ttags"
-    )
-    cand = peers.join(dim, peers["candidate"] == dim[key]).where(F.arrays_overlap(F.col(tags), F.col("_ttags")))
-    out = cand.join(measures, cand["candidate"] == measures[key])
+    """The peers (keys, as :func:`cluster_peers` gives them) with their measures,
+    top ``k`` by item count (ties by name)."""
+    out = dim.join(peers, key, "left_semi").join(measures, key)
     return out.orderBy(F.col("a_track_number").desc(), F.col(name_col)).limit(k).select(
         F.col(name_col).alias("artist_name"),
         F.col(tags).alias("genres"),

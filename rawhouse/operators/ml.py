@@ -3,16 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from rawhouse.session import materialize
 
 
-def cluster(
+class Clustering(NamedTuple):
+    """``assigned``: (key, scaled features as an array, prediction); ``centres``
+    in the order of the predictions."""
+
+    assigned: DataFrame
+    centres: list[list[float]]
+
+
+def fit_clusters(
     df: DataFrame,
     key: str,
     features: Sequence[str] | None = None,
@@ -21,33 +32,48 @@ def cluster(
     max_iter: int = 20,
     tol: float = 1e-4,
     handle_invalid: str = "error",
-) -> DataFrame:
-    """Assemble the feature columns, scale them to unit standard deviation
-    (no centering) and assign k-means clusters: ``(key, prediction)``.
-
-    ``k`` is lowered to the number of distinct feature vectors when there
-    are fewer.  ``seed`` makes the assignment repeatable.  ``handle_invalid`` is the
-    VectorAssembler policy for NULL features ('error', 'skip' or 'keep').
-    Each k-means iteration is one distributed pass; only the ``k`` centres
-    travel to the executors.
-
-    The input is usually an expensive lazy plan (per-entity aggregates) read
-    by several passes (scaler fit, k-means init and iterations, assignment),
-    so it is checkpointed once into the session's checkpoint folder first.
+) -> Clustering:
+    """Assemble the feature columns, scale them to unit standard deviation (no
+    centering) and fit k-means.
+
+    ``seed`` makes the assignment repeatable.  ``handle_invalid`` is the
+    VectorAssembler policy for NULL features ('error', 'skip' or 'keep').  Fewer
+    distinct points than ``k`` are an error, never a silently smaller ``k``.
+    Each iteration is one distributed pass; only the ``k`` centres travel to the
+    executors.  The input is usually an expensive lazy plan read by several
+    passes, so it is written once to the checkpoint folder first.
     """
     cols = list(features) if features else [c for c in df.columns if c != key]
     # sorted by key before it is written: k-means|| samples per partition, so
     # a fixed seed repeats only if partitions and their order repeat too
     df = materialize(df.select(key, *cols).orderBy(key), "kmeans-input")
-    # k-means cannot form more clusters than there are distinct points (and
-    # MLlib's initialisation fails if asked to); one count on the small,
-    # already materialised per-entity table
-    distinct_points = df.select(*cols).distinct().count()
-    k = max(1, min(k, distinct_points))
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=cols, outputCol="_raw", handleInvalid=handle_invalid),
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=False, withStd=True),
         KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="_features", predictionCol="prediction"),
     ])
     model = pipeline.fit(df)
-    return model.transform(df).select(key, "prediction")
+    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    if len(centres) < k:
+        raise ValueError(f"k = {k}, but there are only {len(centres)} distinct points")
+    assigned = model.transform(df).select(key, vector_to_array("_features").alias("scaled"), "prediction")
+    return Clustering(assigned, centres)
+
+
+def cluster(df: DataFrame, key: str, features: Sequence[str] | None = None, k: int = 100, **how) -> DataFrame:
+    """``(key, prediction)`` of :func:`fit_clusters`."""
+    return fit_clusters(df, key, features, k, **how).assigned.select(key, "prediction")
+
+
+def squared_distance(scaled: Column, centre: Sequence[float]) -> Column:
+    """Squared Euclidean distance of a feature array to a fixed centre."""
+    gaps = F.zip_with(scaled, F.array(*[F.lit(float(x)) for x in centre]), lambda x, y: (x - y) * (x - y))
+    return F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
+
+
+def at_nearest_centre(found: Clustering, slack: float = 1e-9) -> Column:
+    """Whether an entity of ``found.assigned`` sits at a centre no other centre
+    is nearer than (an audit that does not use the model's own assignment)."""
+    distances = F.array(*[squared_distance(F.col("scaled"), c) for c in found.centres])
+    own = F.get(distances, F.col("prediction"))
+    return own <= F.array_min(distances) * (1 + slack) + slack

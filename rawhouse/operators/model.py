@@ -119,27 +119,57 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str])
 
 
 def merge_sources(a: DataFrame, b: DataFrame, key: str, order_by: Sequence[str] = ("name",)) -> DataFrame:
-    """Merge two overlapping sources into one row per key.
-
-    The columns both sources have are unioned by name (in ``a``'s order) and
-    the first record per key is kept (by ``order_by``, then source ``a``
-    before ``b``, then the other columns).  Columns only one source has are
-    then added from that source by a left join on the key, after making that
-    source unique on the key the same way.
+    """Merge two overlapping sources into one row per key, from whole records.
+
+    Each source first picks one record per key (smallest ``order_by``, then the
+    source's other columns).  The columns both sources have come from the
+    smaller of the two picks (by ``order_by``, then source ``a`` before ``b``);
+    columns only one source has come from that source's pick.  Values of
+    different records of a source are never mixed.  One aggregation: both
+    sources' picks are mergeable minima, one row per key and task.
     """
     common = [c for c in a.columns if c in b.columns]
-    only_a = [c for c in a.columns if c not in common]
-    only_b = [c for c in b.columns if c not in common]
-    u = a.select(*common).withColumn("_src", F.lit(0)).unionByName(
-        b.select(*common).withColumn("_src", F.lit(1))
+    if key not in common:
+        raise ValueError(f"both sources need the key column {key}")
+    order = [c for c in order_by if c != key]
+    sides = []
+    for src, df in ((0, a), (1, b)):
+        rest = [c for c in df.columns if c != key and c not in order]
+        sides.append((src, df, [*order, *rest]))
+
+    def packed(side: tuple) -> Column:
+        return F.struct(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(side[2])])
+
+    rows = [
+        df.select(F.col(key), packed(side).alias(f"_r{src}")) for side in sides for src, df in [side[:2]]
+    ]
+    picks = (
+        rows[0]
+        .unionByName(rows[1], allowMissingColumns=True)
+        .groupBy(key)
+        .agg(F.min("_r0").alias("_r0"), F.min("_r1").alias("_r1"))
+    )
+
+    def field(side: tuple, c: str) -> Column:
+        return F.col(f"_r{side[0]}._f{side[2].index(c)}")
+
+    shared = [c for c in common if c != key]
+    first = F.least(*[
+        F.when(
+            F.col(f"_r{side[0]}").isNotNull(),
+            F.struct(
+                *[field(side, c).alias(f"_o{i}") for i, c in enumerate(order)],
+                F.lit(side[0]).alias("_src"),
+                *[field(side, c).alias(f"_c{i}") for i, c in enumerate(shared)],
+            ),
+        )
+        for side in sides
+    ])
+    merged = picks.withColumn("_first", first)
+    return merged.select(
+        *[F.col(key) if c == key else F.col(f"_first._c{shared.index(c)}").alias(c) for c in common],
+        *[field(side, c).alias(c) for side in sides for c in side[1].columns if c not in common],
     )
-    order = [c for c in order_by if c != key] + ["_src"]
-    merged = first_per_key(u, key, order).drop("_src")
-    for src, extra in ((a, only_a), (b, only_b)):
-        if extra:
-            side = first_per_key(src.select(key, *extra), key, extra)
-            merged = merged.join(side, key, "left")
-    return merged.select(*common, *only_a, *only_b)
 
 
 # from_json options of the list-like text columns (Python list literals)

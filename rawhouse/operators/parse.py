@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rawhouse.functions.mapping import EXCHANGE_NAMES, country_codes, map_or_keep
@@ -96,6 +96,39 @@ def clean_profile(
     return df.withColumns(repl)
 
 
+# Named character references decoded in cell texts ("amp" last,
+# so that "&amp;lt;" stays "&lt;").
+NAMED_REFERENCES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "reg": "\u00ae",
+    "trade": "\u2122", "middot": "\u00b7", "ndash": "\u2013", "mdash": "\u2014", "hellip": "\u2026",
+    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d", "euro": "\u20ac",
+    "pound": "\u00a3", "eacute": "\u00e9", "uuml": "\u00fc", "amp": "&",
+}
+
+_TAG = r"<(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+
+
+def decode_references(c: Column) -> Column:
+    """Text with its character references decoded: decimal, hexadecimal and
+    :data:`NAMED_REFERENCES`; others stay as they are."""
+    numeric = F.array_distinct(F.regexp_extract_all(c, F.lit("&#([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(1)))
+
+    def char(ref: Column) -> Column:
+        digits = F.lower(ref)
+        point = F.when(digits.startswith("x"), F.lpad(F.substring(digits, 2, 6), 8, "0")).otherwise(
+            F.lpad(F.hex(digits.try_cast("bigint")), 8, "0")
+        )
+        valid = (point <= "0010FFFF") & ~point.rlike("^0000D[89A-F]") & (point > "00000000")
+        return F.when(valid, F.decode(F.unhex(point), "UTF-32"))
+
+    out = F.aggregate(
+        numeric, c, lambda text, ref: F.replace(text, F.concat(F.lit("&#"), ref, F.lit(";")), F.coalesce(char(ref), F.lit("\ufffd")))
+    )
+    for name, text in NAMED_REFERENCES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(text))
+    return out
+
+
 def html_cell_pairs(
     df: DataFrame,
     html_col: str,
@@ -105,14 +138,17 @@ def html_cell_pairs(
 ) -> DataFrame:
     """Consecutive ``<tag>`` cell texts paired up: cells 0-1, 2-3, ...
 
-    Cell text is the inner HTML with tags removed and spaces trimmed.  Every
-    complete pair is kept (the last one too); a trailing unpaired cell is
-    not reported.  Pairs are built inside each row, so there is no shuffle.
+    Comments are dropped first; a tag may hold ``>`` in a quoted attribute.
+    Cell text is the inner text with tags removed, character references decoded
+    and spaces trimmed.  Every complete pair is kept (the last one too); a
+    trailing unpaired cell is not reported.  Pairs are built inside each row, so
+    there is no shuffle.
     """
-    cell_re = rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
+    cell_re = rf"(?is)<{tag}(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)?>(.*?)</{tag}\s*>"
+    plain = F.regexp_replace(F.col(html_col), "(?s)<!--.*?-->", "")
     cells = F.transform(
-        F.regexp_extract_all(F.col(html_col), F.lit(cell_re), F.lit(1)),
-        lambda c: F.trim(F.regexp_replace(c, r"<[^>]+>", "")),
+        F.regexp_extract_all(plain, F.lit(cell_re), F.lit(1)),
+        lambda c: F.trim(decode_references(F.regexp_replace(c, _TAG, ""))),
     )
     staged = df.select(*id_cols, cells.alias("_cells"))
     n_pairs = F.floor(F.size("_cells") / 2).cast("int")
@@ -143,11 +179,14 @@ def match_posts(
 ) -> DataFrame:
     """Posts mentioning a code: one row per (code, post).
 
-    A mention is ``prefix`` followed by a whole token equal to the code
-    (``$ABC`` matches ABC, ``$ABCD`` does not).  Reposts (text starting with
+    A mention is ``prefix`` followed by a token of letters and digits that may
+    hold single ``.``, ``-`` or ``/`` inside (``$BRK.B``).  A token names the
+    longest code it begins with, whole parts only (``$BRK.B`` names BRK.B, or
+    BRK where BRK.B is no code; ``$ABCD`` never names ABC).  Punctuation at the
+    ends of tokens and codes does not count.  Reposts (text starting with
     ``RT ``), other languages and posts before ``since`` are skipped.  Each
-    post's distinct tokens are joined with the distinct codes; Spark sizes
-    the join at run time (broadcast when the code list is small).
+    post's distinct tokens are joined with the distinct codes; Spark sizes the
+    join at run time (broadcast when the code list is small).
     """
     p = posts
     if lang_col and lang is not None:
@@ -157,10 +196,19 @@ def match_posts(
     if exclude_reposts:
         p = p.where(~F.col(text_col).startswith("RT "))
     esc = "".join("\\" + ch if not ch.isalnum() else ch for ch in prefix)
-    token_re = rf"{esc}([\p{{L}}\p{{N}}]+)"
-    tokens = p.select(*id_cols, F.explode(F.array_distinct(
-        F.regexp_extract_all(F.col(text_col), F.lit(token_re), F.lit(1))
-    )).alias("_tok"))
-    wanted = codes.select(F.col(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
-    hits = tokens.join(wanted, tokens["_tok"] == wanted["_code"])
-    return hits.select(F.col("_code").alias(code_col), *id_cols)
+    token_re = rf"{esc}([\p{{L}}\p{{N}}]+(?:[./-][\p{{L}}\p{{N}}]+)*)"
+    found = F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(token_re), F.lit(1)))
+    tokens = p.select(*id_cols, F.explode(found).alias("_tok"))
+    # A token and its shorter forms, the longest first; most have one form.
+    ends = F.regexp_extract_all(F.col("_tok"), F.lit(r"([./-])"), F.lit(1))
+    forms = F.transform(
+        F.sequence(F.lit(0), F.size(ends)),
+        lambda i: F.regexp_replace(F.col("_tok"), F.concat(F.lit(r"([./-][^./-]+){"), i.cast("string"), F.lit("}$")), F.lit("")),
+    )
+    tried = tokens.select(*id_cols, "_tok", F.posexplode(forms).alias("_cut", "_form"))
+    codes_in = codes.select(F.col(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
+    wanted = codes_in.select("_code", F.regexp_replace("_code", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "").alias("_bare"))
+    hits = tried.join(wanted.where("_bare <> ''"), tried["_form"] == wanted["_bare"])
+    longest = Window.partitionBy(*id_cols, "_tok")
+    best = hits.withColumn("_least", F.min("_cut").over(longest)).where("_cut = _least")
+    return best.select(F.col("_code").alias(code_col), *id_cols).distinct()

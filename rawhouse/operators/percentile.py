@@ -1,25 +1,21 @@
 """Exact grouped percentiles that never hold one group in one task.
 
-``percentile(v, p)`` keeps a value -> count map per group and merges the maps
-of a group in a single task; a group holding a third of the table would sit
-in one task's memory.  Here instead:
-
-1. the measures are unpivoted to ``(keys, measure, value)`` and reduced to
-   ``(keys, measure, value, weight)`` by a map-side-combined group-by;
-2. the rows are range-partitioned on ``(keys, measure, value)``, which cuts a
-   hot group into several contiguous chunks of bounded size;
-3. a running weight inside each chunk plus the total weight of the earlier
-   chunks of the same group (a small table: one row per chunk) gives every
-   distinct value its exact interval of positions ``[start, end)``;
-4. only the rows covering the two positions around ``(n - 1) * p`` survive,
-   at most two per group and percentile, and are interpolated like Spark's
-   ``percentile`` (and DuckDB's ``quantile_cont``).
-
-That path costs three to four shuffles.  When the largest group is known
-(from the caller, or from one cheap counting pass) to fit the per-task budget
-``MAX_GROUP_VALUES`` (rows x measured columns), the single-pass built-in
-``percentile`` is used instead: then one task never buffers more values for
-one group than the budget allows.
+``percentile(v, p)`` keeps a value -> count map per group and merges the maps of
+a group in a single task; a group holding a third of the table would sit in one
+task's memory.  Here instead, the same way at every size:
+
+1. one aggregation gives each group's count and, from the mergeable
+   ``percentile_approx`` sketch (bounded memory), a bracket of values that is
+   sure to hold the two positions around ``(n - 1) * p``;
+2. a second pass keeps the values inside the brackets (a few ten-thousandths of
+   a large group) and counts those below; both are combined on the map side to
+   ``(group, percentile, value, weight)``, the values below as one row;
+3. running weights give each kept value its exact interval of positions, and
+   the at most two values that cover the wanted positions are interpolated like
+   Spark's ``percentile`` (and DuckDB's ``quantile_cont``).
+
+The frame is read twice, so it is written once to the shared folder first
+(unless the caller has stored it already): both passes see the same rows.
 """
 
 from __future__ import annotations
@@ -30,93 +26,35 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rawhouse.session import default_parallelism
+from rawhouse.session import materialize
 
+ACCURACY = 10_000  # the sketch's rank error is n / ACCURACY at most
 
-def weighted_positions(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order_col: str,
-    weight_col: str,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Adds ``_start``/``_end`` (0-based position interval of each row in
-    its group ordered by ``order_col``, rows repeated ``weight_col`` times)
-    and ``_n`` (total weight of the group).  ``(group_cols, order_col)`` must
-    be unique.
-
-    Range partitioning splits hot groups; the partition id is a function of
-    the key alone once the range bounds are drawn, and both uses of the
-    partitioned frame below read the same exchange (it is reused in the plan).
-    ``spark_partition_id()`` right after the exchange is the range index:
-    AQE neither coalesces nor reads locally a repartition with an explicit
-    partition count, and a retried task re-reads the same range partition,
-    so the ids survive lost executors.
-    """
-    spark = df.sparkSession
-    n = num_partitions or default_parallelism(spark)
-    keys = list(group_cols)
-    r = df.repartitionByRange(n, *keys, order_col).withColumn("_pid", F.spark_partition_id())
-    # chunk totals straight from the range partitions (reads the reused
-    # range exchange, not the windowed rows, so the window shuffles once)
-    chunks = r.groupBy("_pid", *keys).agg(F.sum(weight_col).alias("_chunk"))
-    local = Window.partitionBy("_pid", *keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    r = r.withColumn("_cum", F.sum(weight_col).over(local))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.select(
-        F.col("_pid").alias("_cpid"),
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.coalesce(F.sum("_chunk").over(before), F.lit(0)).alias("_off"),
-        F.sum("_chunk").over(Window.partitionBy(*keys)).alias("_n"),
-    )
-    cond = (r["_pid"] == chunks["_cpid"]) & reduce(
-        lambda a, b: a & b, [r[k].eqNullSafe(chunks[f"_c_{k}"]) for k in keys], F.lit(True)
-    )
-    out = r.join(chunks, cond).drop("_cpid", *[f"_c_{k}" for k in keys])
-    return out.withColumn("_end", F.col("_off") + F.col("_cum")).withColumn(
-        "_start", F.col("_end") - F.col(weight_col)
-    ).drop("_pid", "_cum", "_off")
+# Half width of a bracket in ranks as a share of n, by group size: always at
+# least the sketch's error plus the rank the two definitions may differ by.
+_WIDTHS = ((ACCURACY, 4.0 / ACCURACY), (200, 0.02), (20, 0.2))
 
 
-# Values (rows x measured columns) of one group the built-in percentile may
-# buffer in one task: its value -> count maps take roughly 40 bytes a value.
-MAX_GROUP_VALUES = 4_000_000
-MAX_GROUP_ROWS = MAX_GROUP_VALUES  # for one measured column
-
-
-def row_budget(n_columns: int, max_values: int = MAX_GROUP_VALUES) -> int:
-    """Largest group (rows) the built-in path may take for ``n_columns``."""
-    return max(1, max_values // max(1, n_columns))
-
-
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Row count of the biggest group (one partial-aggregated pass; only a
-    single number reaches the driver)."""
-    row = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
+def _same(a: DataFrame, b: DataFrame, left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[p].eqNullSafe(b[q]) for p, q in zip(left, right)], F.lit(True))
 
 
 def percentiles(
     df: DataFrame,
     by: Sequence[str],
     specs: Sequence[tuple[str, str, float]],
-    num_partitions: int | None = None,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
-    largest: int | None = None,
     method: str = "exact",
-    accuracy: int = 10000,
+    accuracy: int = ACCURACY,
+    stored: bool = False,
 ) -> DataFrame:
-    """Exact interpolated percentiles per group (``method='approx'``: the
-    mergeable ``percentile_approx`` sketch, rank error about n / accuracy,
-    bounded memory per group, one pass, no size check).
-
-    ``specs`` is a list of ``(output name, value column, p)``.  NULL values
-    are ignored; a group whose values are all NULL for a column gets NULL.
-    With ``max_group_rows`` (default) the group sizes are measured first and
-    the built-in aggregate is used when every group is within the bound;
-    ``max_group_rows=None`` always takes the skew-safe path, ``0`` too.
-    ``largest`` is the biggest group's row count when the caller knows it
-    already (saves the measuring pass).
+    """Exact interpolated percentiles per group, one row for every group.
+
+    ``specs`` is a list of ``(output name, value column, p)``.  NULL values are
+    ignored; a group whose values are all NULL for a column gets NULL.  Equal
+    neighbours give exactly their value.  ``stored`` says that ``df`` is read
+    from files, so it need not be written before it is read twice.
+    ``method='approx'`` gives the ``percentile_approx`` sketch itself (rank
+    error about n / accuracy, one pass).
     """
     by = list(by)
     if method == "approx":
@@ -125,63 +63,90 @@ def percentiles(
         ])
     if method != "exact":
         raise ValueError("method must be 'exact' or 'approx'")
-    if max_group_rows == MAX_GROUP_ROWS:
-        max_group_rows = row_budget(len({c for _, c, _ in specs}))
-    if max_group_rows and (largest if largest is not None else largest_group(df, by)) <= max_group_rows:
-        return df.groupBy(*by).agg(*builtin_percentiles(specs))
-    return skew_safe_percentiles(df, by, specs, num_partitions)
-
-
-def builtin_percentiles(specs: Sequence[tuple[str, str, float]]) -> list[Column]:
-    """Single-pass aggregate expressions; only for groups of bounded size."""
-    return [F.percentile(F.col(c).cast("double"), float(p)).alias(n) for n, c, p in specs]
+    cols = list(dict.fromkeys(c for _, c, _ in specs))
+    keys = [f"_g{i}" for i in range(len(by))]
+    rows = df.select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys)],
+        *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)],
+    )
+    if not stored:
+        rows = materialize(rows, "percentile-input")
+    brackets = _brackets(rows, keys, cols, specs)
+    near = _near_values(rows, brackets, keys, cols, specs)
+    return _interpolated(near, brackets, keys, by, specs)
+
+
+def _brackets(rows: DataFrame, keys: list[str], cols: list[str], specs) -> DataFrame:
+    """Per group (under ``_b`` names): for each spec the count and the bracket."""
+    shares: dict[str, list[float]] = {c: [] for c in cols}
+    for _, c, p in specs:
+        for _, width in _WIDTHS:
+            shares[c] += [max(0.0, p - width), min(1.0, p + width)]
+    sketch = rows.groupBy(*keys).agg(
+        *[F.count(f"_v{i}").alias(f"_n{i}") for i in range(len(cols))],
+        *[
+            F.percentile_approx(F.col(f"_v{i}"), [float(s) for s in shares[c]], ACCURACY).alias(f"_q{i}")
+            for i, c in enumerate(cols)
+        ],
+    )
+    out, used = [F.col(k).alias(f"_b{k}") for k in keys], dict.fromkeys(cols, 0)
+    for j, (_, c, _) in enumerate(specs):
+        i = cols.index(c)
+        n, at = F.col(f"_n{i}"), used[c]
+        used[c] += 2 * len(_WIDTHS)
+        low, high = F.lit(float("-inf")), F.lit(float("nan"))  # NaN sorts last: everything
+        for k, (least, _) in reversed(list(enumerate(_WIDTHS))):
+            low = F.when(n > least, F.get(f"_q{i}", F.lit(at + 2 * k))).otherwise(low)
+            high = F.when(n > least, F.get(f"_q{i}", F.lit(at + 2 * k + 1))).otherwise(high)
+        out += [n.alias(f"_n{j}"), low.alias(f"_lo{j}"), high.alias(f"_hi{j}")]
+    return sketch.select(*out)
+
+
+def _near_values(rows: DataFrame, brackets: DataFrame, keys: list[str], cols: list[str], specs) -> DataFrame:
+    """(keys, _k, _v, _w): values inside the bracket of spec _k with their number
+    of rows; the row with a NULL value holds the number of rows below."""
+    each = []
+    for j, (_, c, _) in enumerate(specs):
+        v = F.col(f"_v{cols.index(c)}")
+        inside = (v >= F.col(f"_lo{j}")) & (v <= F.col(f"_hi{j}"))
+        each.append(F.struct(F.lit(j).alias("_k"), F.when(inside, v).alias("_v"), (inside | (v < F.col(f"_lo{j}"))).alias("_on")))
+    joined = rows.join(brackets, _same(rows, brackets, keys, [f"_b{k}" for k in keys]))
+    melted = joined.select(*keys, F.inline(F.array(*each))).where("_on")
+    return melted.groupBy(*keys, "_k", "_v").agg(F.count(F.lit(1)).alias("_w"))
+
+
+def _interpolated(near: DataFrame, brackets: DataFrame, keys: list[str], by: list[str], specs) -> DataFrame:
+    running = Window.partitionBy(*keys, "_k").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    placed = near.withColumn("_end", F.sum("_w").over(running))
+    counted = placed.join(
+        brackets.select(*[f"_b{k}" for k in keys], F.array(*[F.col(f"_n{j}") for j in range(len(specs))]).alias("_ns")),
+        _same(placed, brackets, keys, [f"_b{k}" for k in keys]),
+    )
+    share = F.get(F.array(*[F.lit(float(p)) for _, _, p in specs]), F.col("_k"))
+    at = (F.get("_ns", F.col("_k")) - 1) * share
 
+    def covers(position: Column) -> Column:
+        return F.col("_v").isNotNull() & (F.col("_end") - F.col("_w") <= position) & (position < F.col("_end"))
 
-def skew_safe_percentiles(
-    df: DataFrame,
-    by: Sequence[str],
-    specs: Sequence[tuple[str, str, float]],
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """The range-partitioned form (see the module notes).  A group with no
-    non-NULL value in any column has no row."""
-    by = list(by)
-    value_cols = list(dict.fromkeys(c for _, c, _ in specs))
-    m_of = {c: i for i, c in enumerate(value_cols)}
-    melted = df.select(
-        *by,
-        F.inline(
-            F.array(*[
-                F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v"))
-                for i, c in enumerate(value_cols)
-            ])
-        ),
-    ).where(F.col("_v").isNotNull())
-    counted = melted.groupBy(*by, "_m", "_v").agg(F.count(F.lit(1)).alias("_w"))
-    ranked = weighted_positions(counted, by + ["_m"], "_v", "_w", num_partitions)
-
-    def covers(pos: Column) -> Column:
-        return (F.col("_start") <= pos) & (pos < F.col("_end"))
-
-    keep = F.lit(False)
-    aggs: list[Column] = []
-    finals: list[Column] = []
-    for i, (name, c, p) in enumerate(specs):
-        is_m = F.col("_m") == m_of[c]
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        keep = keep | (is_m & (covers(lo) | covers(hi)))
+    picked = counted.where(covers(F.floor(at)) | covers(F.ceil(at)))
+    aggs = []
+    for j in range(len(specs)):
+        mine = F.col("_k") == j
         aggs += [
-            F.max(F.when(is_m, F.col("_n"))).alias(f"_n{i}"),
-            F.max(F.when(is_m & covers(lo), F.col("_v"))).alias(f"_lo{i}"),
-            F.max(F.when(is_m & covers(hi), F.col("_v"))).alias(f"_hi{i}"),
+            F.max(F.when(mine & covers(F.floor(at)), F.col("_v"))).alias(f"_a{j}"),
+            F.max(F.when(mine & covers(F.ceil(at)), F.col("_v"))).alias(f"_z{j}"),
         ]
-        gpos = (F.col(f"_n{i}") - 1) * F.lit(float(p))
-        glo, ghi = F.floor(gpos), F.ceil(gpos)
-        finals.append(
-            F.when(glo == ghi, F.col(f"_lo{i}"))
-            .otherwise((ghi - gpos) * F.col(f"_lo{i}") + (gpos - glo) * F.col(f"_hi{i}"))
-            .alias(name)
-        )
-    picked = ranked.where(keep).groupBy(*by).agg(*aggs)
-    return picked.select(*by, *finals)
+    ends = picked.groupBy(*keys).agg(*aggs)
+    full = brackets.join(ends, _same(brackets, ends, [f"_b{k}" for k in keys], keys), "left")
+    values = []
+    for j, (name, _, p) in enumerate(specs):
+        position = (F.col(f"_n{j}") - 1) * F.lit(float(p))
+        low, high = F.col(f"_a{j}"), F.col(f"_z{j}")
+        between = (F.ceil(position) - position) * low + (position - F.floor(position)) * high
+        values.append(F.when((F.floor(position) == F.ceil(position)) | (low == high), low).otherwise(between).alias(name))
+    return full.select(*[F.col(f"_b{k}").alias(c) for k, c in zip(keys, by)], *values)
+
+
+__all__ = ["ACCURACY", "percentiles"]

@@ -50,7 +50,6 @@ def percentile_board(
     ps: dict[str, float] | None = None,
     k: int = 20,
     max_name: str = "popularity",
-    num_partitions: int | None = None,
     method: str = "exact",
 ) -> DataFrame:
     """Max and exact percentiles of ``value`` per ``by``, top ``k`` by max
@@ -58,15 +57,15 @@ def percentile_board(
 
     The ranking only needs the max, so the top ``k`` groups are chosen first
     and the percentiles are computed for the rows of those ``k`` groups only
-    (a ``k``-row broadcast: its size is bounded by ``k``).
+    (a ``k``-row broadcast: its size is bounded by ``k``).  The two columns are
+    written once, so the joins behind ``df`` run once.
     """
     ps = ps or {"popularity90": 0.9, "popularity50": 0.5}
-    mx = df.groupBy(by).agg(F.max(value).alias(max_name), F.count(F.lit(1)).alias("_rows"))
-    top = materialize(mx.orderBy(F.col(max_name).desc_nulls_last(), F.col(by)).limit(k))
-    largest = top.agg(F.max("_rows")).first()[0] or 0
+    rows = materialize(df.select(F.col(by), F.col(value)), "board-input")
+    mx = rows.groupBy(by).agg(F.max(value).alias(max_name))
+    top = materialize(mx.orderBy(F.col(max_name).desc_nulls_last(), F.col(by)).limit(k), "board-top")
     chosen = F.broadcast(top.select(F.col(by).alias("_top")))
-    rows = df.join(chosen, df[by].eqNullSafe(chosen["_top"])).drop("_top")
-    pc = percentiles(rows, [by], [(name, value, p) for name, p in ps.items()], num_partitions,
-                     largest=largest, method=method)
-    board = top.join(pc, top[by].eqNullSafe(pc[by]), "left").select(top[by], max_name, *[pc[n] for n in ps])
+    mine = rows.join(chosen, rows[by].eqNullSafe(chosen["_top"])).drop("_top")
+    pc = percentiles(mine, [by], [(name, value, p) for name, p in ps.items()], method, stored=True)
+    board = top.join(pc, top[by].eqNullSafe(pc[by])).select(top[by], max_name, *[pc[n] for n in ps])
     return board.select(max_name, *ps, by)

@@ -117,10 +117,11 @@ def artist_features(spark: SparkSession, name: str, database: str | None = None)
         *[F.col(m).alias(m[2:]) for m in ent.MEASURES])
 
 
-def similar_artists(spark: SparkSession, name: str, cluster_table: str, k: int = 10,
+def similar_artists(spark: SparkSession, name: str, cluster_table: str = "artist_cluster_features", k: int = 10,
                     database: str | None = None) -> DataFrame:
-    return ent.similar_entities(_t(spark, database, "artist"), _t(spark, database, cluster_table),
-                                _t(spark, database, "artist_measure"), "a_name", name, k)
+    artist = _t(spark, database, "artist")
+    peers = ent.cluster_peers(artist, _t(spark, database, cluster_table), "a_name", name)
+    return ent.similar_entities(artist, peers, _t(spark, database, "artist_measure"), "a_name", k)
 
 
 def key_frequency(spark: SparkSession, database: str | None = None) -> DataFrame:

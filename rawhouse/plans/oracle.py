@@ -1,13 +1,14 @@
 """DuckDB oracle SQL, one statement per registered query.
 
-The statements follow the reference's own SQL shapes (comma joins, adjacent
-row-number self-joins, ``year(...) BETWEEN``) rather than the Spark plans, so
-they check the operators against an independent formulation.
+The statements are written from the operators' specifications, in shapes of
+their own (runs as islands of equal state, built-in correlation, brute-force
+pairs), so they check the Spark plans against an independent formulation.
 """
 
 from __future__ import annotations
 
 from rawhouse.functions.labels import PITCH_CLASSES
+from rawhouse.functions.mapping import COUNTRY_ALIASES, EXCHANGE_NAMES
 from rawhouse.operators.entity import MEASURES
 from rawhouse.plans import oracle_ctes as C
 from rawhouse.plans import params as P
@@ -17,84 +18,55 @@ Y = P.TARGET_YEAR
 SQL: dict[str, str] = {}
 
 
-def _trend_sql(series_cte: str, key: str, value: str, n: int) -> str:
-    """trends/ordering/change_dates CTEs of the reference's trend query."""
+def _runs(series: str, key: str, value: str, n: int, shift: int = 0) -> str:
+    """CTEs up to ``inner_runs``: maximal spells of one state (short mean above
+    the long one or not) per key, without the first and the last spell.
+
+    Spells are islands: the difference of a day's number among all days and
+    among the days of its state is constant within a spell.  ``shift`` reports
+    the value that many days earlier.
+    """
+    span = f"OVER (PARTITION BY {key} ORDER BY h_date ROWS BETWEEN {{}} PRECEDING AND CURRENT ROW)"
+    shown = f"lag({value}, {shift}) OVER (PARTITION BY {key} ORDER BY h_date)" if shift else value
     return f"""
-trends AS (
-  SELECT {key}, h_date, {value},
-         CASE WHEN round(ma_short, 9) > round(ma_long, 9) THEN 'up' ELSE 'down' END AS indicator
-  FROM (SELECT {key}, h_date, {value},
-          avg({value}) OVER (PARTITION BY {key} ORDER BY h_date ROWS BETWEEN {n} PRECEDING AND CURRENT ROW) AS ma_short,
-          avg({value}) OVER (PARTITION BY {key} ORDER BY h_date ROWS BETWEEN {2 * n} PRECEDING AND CURRENT ROW) AS ma_long
-        FROM {series_cte} WHERE year(h_date) BETWEEN {Y - 3} AND {Y}) i
-  WHERE year(h_date) BETWEEN {Y - 2} AND {Y}),
-ordering AS (
-  SELECT row_number() OVER (PARTITION BY {key} ORDER BY h_date) AS idx, {key}, h_date, indicator, {value}
-  FROM trends),
-change_dates AS (
-  SELECT b.{key} AS k, a.h_date AS last_date, a.indicator AS last_trend, a.{value} AS last_close,
-         b.h_date AS change_date, b.indicator AS change_trend, b.{value} AS change_close
-  FROM ordering a JOIN ordering b
-    ON a.{key} = b.{key} AND a.idx = b.idx - 1 AND a.indicator <> b.indicator)"""
-
-
-SQL["trend_runs"] = C.with_ctes(C.HISTORY) + "," + _trend_sql("history", "h_code", "h_close", P.PERIOD) + """,
-report AS (
-  SELECT k AS stock,
-    CAST(datediff('day', lag(change_date, 1) OVER (PARTITION BY k ORDER BY change_date), last_date) AS INTEGER) AS period,
-    lag(change_date, 1) OVER (PARTITION BY k ORDER BY change_date) AS period_start_date,
-    last_date AS period_end_date, last_trend AS trend
-  FROM change_dates)
-SELECT * FROM report WHERE period_start_date IS NOT NULL"""
+means AS (
+  SELECT {key} AS k, h_date AS d, {shown} AS price,
+         round(avg({value}) {span.format(n)}, 9) > round(avg({value}) {span.format(2 * n)}, 9) AS rising
+  FROM {series} WHERE h_date >= DATE '{Y - 3}-01-01' AND h_date < DATE '{Y + 1}-01-01'),
+days AS (
+  SELECT k, d, price, rising, row_number() OVER (PARTITION BY k ORDER BY d)
+         - row_number() OVER (PARTITION BY k, rising ORDER BY d) AS island
+  FROM means WHERE d >= DATE '{Y - 2}-01-01'),
+spells AS (
+  SELECT k, rising, min(d) AS d1, max(d) AS d2, arg_min(price, d) AS price1, arg_max(price, d) AS price2
+  FROM days GROUP BY k, rising, island),
+inner_runs AS (
+  SELECT * FROM spells
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY d1) > 1
+      AND row_number() OVER (PARTITION BY k ORDER BY d1 DESC) > 1)"""
+
+
+_RUN = """CAST(d2 - d1 AS INTEGER) AS period, d1 AS period_start_date, d2 AS period_end_date,
+       CASE WHEN rising THEN 'up' ELSE 'down' END AS trend"""
+
+SQL["trend_runs"] = C.with_ctes(C.HISTORY) + "," + _runs("history", "h_code", "h_close", P.PERIOD) + f"""
+SELECT k AS stock, {_RUN} FROM inner_runs"""
 
 SQL["industry_trend_runs"] = C.with_ctes(C.HISTORY, C.PROFILE, C.INDUSTRY) + """,
-industry_summary AS (
-  SELECT p_industry_id, h_date, avg(h_close) AS avg_close, sum(h_close) AS sum_close
-  FROM history JOIN profile ON h_code = p_code
-  WHERE p_industry_id IS NOT NULL GROUP BY p_industry_id, h_date),""" + _trend_sql(
-    "industry_summary", "p_industry_id", "avg_close", P.CATEGORY_PERIOD) + """,
-report AS (
-  SELECT k AS industry_id,
-    CAST(datediff('day', lag(change_date, 1) OVER (PARTITION BY k ORDER BY change_date), last_date) AS INTEGER) AS period,
-    lag(change_date, 1) OVER (PARTITION BY k ORDER BY change_date) AS period_start_date,
-    last_date AS period_end_date, last_trend AS trend
-  FROM change_dates)
-SELECT sector, industry.industry, trend, period, period_start_date, period_end_date
-FROM report JOIN industry ON industry.id = industry_id
-WHERE period_start_date IS NOT NULL"""
-
-_N = P.CATEGORY_PERIOD
-SQL["sector_trend_runs"] = C.with_ctes(C.HISTORY, C.PROFILE, C.INDUSTRY) + f""",
-sector_summary AS (
-  SELECT sector, h_date, avg(h_close) AS avg_close
-  FROM history JOIN profile ON h_code = p_code JOIN industry ON p_industry_id = industry.id
-  WHERE p_industry_id IS NOT NULL GROUP BY sector, h_date),
-trends AS (
-  SELECT sector, h_date, lagged_close AS avg_close,
-         CASE WHEN round(ma_short, 9) > round(ma_long, 9) THEN 'up' ELSE 'down' END AS indicator
-  FROM (SELECT sector, h_date,
-          lag(avg_close, {_N}) OVER (PARTITION BY sector ORDER BY h_date) AS lagged_close,
-          avg(avg_close) OVER (PARTITION BY sector ORDER BY h_date ROWS BETWEEN {_N} PRECEDING AND CURRENT ROW) AS ma_short,
-          avg(avg_close) OVER (PARTITION BY sector ORDER BY h_date ROWS BETWEEN {2 * _N} PRECEDING AND CURRENT ROW) AS ma_long
-        FROM sector_summary WHERE year(h_date) BETWEEN {Y - 3} AND {Y}) i
-  WHERE year(h_date) BETWEEN {Y - 2} AND {Y}),
-ordering AS (
-  SELECT row_number() OVER (PARTITION BY sector ORDER BY h_date) AS idx, sector, h_date, indicator, avg_close
-  FROM trends),
-change_dates AS (
-  SELECT b.sector AS sector, a.h_date AS last_date, a.indicator AS last_trend, b.h_date AS change_date,
-         b.indicator AS change_trend, b.avg_close AS change_close, a.avg_close AS last_close
-  FROM ordering a JOIN ordering b
-    ON a.sector = b.sector AND a.idx = b.idx - 1 AND a.indicator <> b.indicator),
-report AS (
-  SELECT sector,
-    CAST(datediff('day', change_date, lead(last_date, 1) OVER (PARTITION BY sector ORDER BY change_date)) AS INTEGER) AS period,
-    change_date AS period_start_date,
-    lead(last_date, 1) OVER (PARTITION BY sector ORDER BY change_date) AS period_end_date,
-    change_trend AS trend, round(change_close, {D}) AS period_start_closing_price,
-    round(lead(last_close, 1) OVER (PARTITION BY sector ORDER BY change_date), {D}) AS period_end_closing_price
-  FROM change_dates)
-SELECT * FROM report WHERE period_end_date IS NOT NULL"""
+per_industry AS (
+  SELECT p_industry_id, h_date, avg(h_close) AS mean_close
+  FROM history JOIN profile ON h_code = p_code WHERE p_industry_id IS NOT NULL GROUP BY ALL),""" + _runs(
+    "per_industry", "p_industry_id", "mean_close", P.CATEGORY_PERIOD) + f"""
+SELECT sector, industry, {_RUN} FROM inner_runs JOIN industry ON id = k"""
+
+SQL["sector_trend_runs"] = C.with_ctes(C.HISTORY, C.PROFILE, C.INDUSTRY) + """,
+per_sector AS (
+  SELECT sector, h_date, avg(h_close) AS mean_close
+  FROM history JOIN profile ON h_code = p_code JOIN industry ON p_industry_id = id GROUP BY ALL),""" + _runs(
+    "per_sector", "sector", "mean_close", P.CATEGORY_PERIOD, P.CATEGORY_PERIOD) + f"""
+SELECT k AS sector, {_RUN}, round(price1, {D}) AS period_start_closing_price,
+       round(price2, {D}) AS period_end_closing_price
+FROM inner_runs"""
 
 SQL["moving_average"] = C.with_ctes(C.HISTORY) + f"""
 SELECT h_date, round(h_close, {D}) AS h_close,
@@ -110,33 +82,26 @@ GROUP BY p_code, industry.industry
 ORDER BY avg(h_volume) DESC, p_code
 LIMIT {P.TOP_K}"""
 
-_DAILY = """daily AS (
-  SELECT h_code AS stock, h_date AS trading_date, h_volume AS volume,
-         (h_close - h_open) / nullif(h_open, 0) * 100 AS price_difference_percent,
-         (h_high - h_low) / nullif(h_close, 0) * 100 AS price_fluctuation_percent, n_posts
-  FROM bars INNER JOIN
-    (SELECT t_code, CAST(t_date AS DATE) AS day, count(t_content) AS n_posts
-     FROM posts GROUP BY t_code, CAST(t_date AS DATE)) AS p
-  ON h_code = p.t_code AND h_date = p.day)"""
+_DAILY = """posted AS (
+  SELECT t_code, t_date::DATE AS post_day, count(t_content) AS n_posts FROM posts GROUP BY ALL),
+day_figures AS (
+  SELECT b.h_code AS stock, b.h_date AS trading_date, b.h_volume AS volume, n_posts,
+         CASE WHEN b.h_open <> 0 THEN 100 * (b.h_close - b.h_open) / b.h_open END AS price_difference_percent,
+         CASE WHEN b.h_close <> 0 THEN 100 * (b.h_high - b.h_low) / b.h_close END AS price_fluctuation_percent
+  FROM bars b JOIN posted ON t_code = b.h_code AND post_day = b.h_date)"""
 
 SQL["daily_metrics"] = C.with_ctes(C.BARS, C.POSTS, _DAILY) + f"""
-SELECT stock, trading_date, round(volume, {D}) AS volume,
+SELECT stock, trading_date, n_posts, round(volume, {D}) AS volume,
        round(price_difference_percent, {D}) AS price_difference_percent,
-       round(price_fluctuation_percent, {D}) AS price_fluctuation_percent, n_posts
-FROM daily"""
+       round(price_fluctuation_percent, {D}) AS price_fluctuation_percent
+FROM day_figures"""
 
 SQL["pairwise_correlation"] = C.with_ctes(C.BARS, C.POSTS, _DAILY) + f"""
 SELECT stock,
-  round(CASE WHEN den > 0 THEN (sum_ab - sum_a * sum_b / cnt) / sqrt(den) END, {D}) AS correlation_volume_n_posts
-FROM (
-  SELECT stock, sum_a, sum_b, sum_ab, cnt,
-         (sum_a_sq - pow(sum_a, 2.0) / cnt) * (sum_b_sq - pow(sum_b, 2.0) / cnt) AS den
-  FROM (
-    SELECT stock, sum(volume) sum_a, sum(n_posts) sum_b, sum(volume * volume) sum_a_sq,
-           sum(n_posts * n_posts) sum_b_sq, sum(volume * n_posts) sum_ab, count(*) AS cnt
-    FROM daily
-    WHERE volume IS NOT NULL AND n_posts IS NOT NULL
-    GROUP BY stock) aux) m"""
+  round(CASE WHEN min(volume) < max(volume) AND min(n_posts) < max(n_posts) THEN corr(volume, n_posts) END, {D})
+    AS correlation_volume_n_posts
+FROM day_figures WHERE volume IS NOT NULL AND n_posts IS NOT NULL
+GROUP BY stock"""
 
 SQL["entity_card"] = C.with_ctes(C.PROFILE, C.INDUSTRY) + f"""
 SELECT p_code AS stock, p_company_name AS name, p_acctbal AS acctbal, sector, industry
@@ -244,51 +209,61 @@ FROM lineitem LEFT JOIN dic
 
 SQL["merge_sources"] = f"""
 WITH a AS (
-  SELECT o_orderkey AS id, o_orderpriority AS name, CAST(o_orderdate AS DATE) AS release_date,
-         o_orderstatus AS status
-  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+  SELECT o_orderkey AS id, o_orderpriority AS name, CAST(o_orderdate AS DATE) AS release_date, o_orderstatus AS status
+  FROM orders
+  UNION ALL
+  SELECT o_orderkey, '0-' || o_orderpriority, CAST(o_orderdate AS DATE) + 1, 'again' FROM orders WHERE o_orderstatus = 'O'),
 b AS (
-  SELECT l_orderkey AS id, max(l_returnflag) || max(l_linestatus) AS name,
-         max(CAST(l_shipdate AS DATE)) AS release_date, count(*) AS n_lines,
-         sum(l_quantity) AS quantity
-  FROM lineitem GROUP BY l_orderkey),
-u AS (SELECT id, name, release_date, 0 AS src FROM a
-      UNION ALL SELECT id, name, release_date, 1 AS src FROM b),
-m AS (SELECT id, name, release_date FROM (
-        SELECT *, row_number() OVER (PARTITION BY id ORDER BY name NULLS FIRST, src,
-                                     release_date NULLS FIRST) AS rn FROM u) r
-      WHERE rn = 1)
-SELECT m.id, m.name, m.release_date, a.status, b.n_lines, round(b.quantity, {D}) AS quantity
-FROM m LEFT JOIN a ON m.id = a.id LEFT JOIN b ON m.id = b.id"""
-
-SQL["bridge_explode"] = """
-SELECT l_orderkey AS id,
-       CAST(row_number() OVER (PARTITION BY l_orderkey
-         ORDER BY l_linenumber, s_name, 'sp-' || CAST(l_suppkey AS VARCHAR)) - 1 AS INTEGER) AS pos,
-       s_name AS a_name, 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_ext_id
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""
-
-SQL["enrich_dimension"] = C.with_ctes(C.ARTIST_GENRES) + """,
-pairs AS (SELECT DISTINCT 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_ext_id, s_name AS a_name
-          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
-dic AS (SELECT a_ext_id, a_name,
-               row_number() OVER (ORDER BY a_ext_id NULLS FIRST, a_name NULLS FIRST) AS a_id
-        FROM pairs)
+  SELECT l_orderkey AS id, l_returnflag || max(l_linestatus) AS name, max(CAST(l_shipdate AS DATE)) AS release_date,
+         count(*) AS n_lines, sum(l_quantity) AS quantity
+  FROM lineitem GROUP BY l_orderkey, l_returnflag),
+a1 AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY id ORDER BY name, release_date, status) = 1),
+b1 AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY id ORDER BY name, release_date, n_lines, quantity) = 1)
+SELECT coalesce(a1.id, b1.id) AS id,
+       CASE WHEN b1.id IS NULL OR a1.name <= b1.name THEN a1.name ELSE b1.name END AS name,
+       CASE WHEN b1.id IS NULL OR a1.name <= b1.name THEN a1.release_date ELSE b1.release_date END AS release_date,
+       status, n_lines, round(quantity, {D}) AS quantity
+FROM a1 FULL JOIN b1 ON a1.id = b1.id"""
+
+_CREDITS = """credits AS (
+  SELECT l_orderkey AS id, 0 AS pos, s_name AS a_name, 'sp-' || CAST(l_suppkey AS VARCHAR) AS a_ext_id
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
+  UNION ALL
+  SELECT l_orderkey, 1, p_brand, 'br-' || p_brand
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),
+dic AS (
+  SELECT a_ext_id, a_name, row_number() OVER (ORDER BY a_ext_id NULLS FIRST, a_name NULLS FIRST) AS a_id
+  FROM (SELECT DISTINCT a_ext_id, a_name FROM credits))"""
+
+SQL["bridge_explode"] = C.with_ctes(_CREDITS) + "SELECT id, pos, a_name, a_ext_id FROM credits"
+
+SQL["enrich_dimension"] = C.with_ctes(C.ARTIST_GENRES, _CREDITS) + """
 SELECT a_id, a_ext_id, a_name, ag.genres
 FROM dic LEFT JOIN artist_genres ag ON a_name = ag.artists"""
 
+SQL["dimension_bridge"] = C.with_ctes(_CREDITS) + """
+SELECT id AS track_id, a_id AS artist_id FROM credits JOIN dic USING (a_ext_id, a_name)"""
+
 SQL["distinct_profile"] = """
 SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows
 FROM orders GROUP BY o_orderstatus, o_orderpriority"""
 
 SQL["load_csv_audited"] = """
 SELECT o_orderkey AS id, o_custkey AS album_id, o_orderstatus AS status, o_totalprice AS price,
-       CAST(o_orderdate AS DATE) AS release_date, o_orderpriority = '1-URGENT' AS explicit
-FROM orders
-WHERE o_orderstatus IS DISTINCT FROM 'P'"""
+       CASE WHEN o_orderstatus IS DISTINCT FROM 'P' THEN CAST(o_orderdate AS DATE) END AS release_date,
+       o_orderpriority = '1-URGENT' AS explicit,
+       CASE WHEN o_orderstatus IS DISTINCT FROM 'P' THEN 'good' ELSE 'quarantined' END AS row_state
+FROM orders"""
 
-SQL["load_keyed_files"] = C.with_ctes(C.HISTORY) + """
-SELECT CAST(h_code AS VARCHAR) AS h_code, h_date, h_close, h_volume FROM history"""
+SQL["load_keyed_files"] = C.with_ctes(C.HISTORY, C.PROFILE) + """
+SELECT CAST(p_industry_id AS VARCHAR) AS office, CASE WHEN p_industry_id <> 3 THEN h_date END AS h_date,
+       h_code, h_close, h_volume,
+       CASE WHEN p_industry_id <> 3 THEN 'good' ELSE 'quarantined' END AS row_state
+FROM history JOIN profile ON h_code = p_code"""
+
+# Each cell is what stands between "<li>" and the next "</li>", cut into pieces
+# at every "<" and ">": the pieces outside of tags are its text.
+_CELL_TEXT = "array_to_string(list_transform(string_split(x, '<'), lambda t, i: CASE WHEN i = 1 THEN t ELSE substr(t, strpos(t, '>') + 1) END), '')"
 
 SQL["parse_posts"] = r"""
 SELECT CAST(user_id AS VARCHAR) AS t_code, date_trunc('minute', ts) AS t_date,
@@ -309,10 +284,10 @@ SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS company_name, s_name AS add
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 LEFT JOIN first ON s_suppkey = first.l_suppkey"""
 
-_CELLS = r"""cells AS (
+_CELLS = f"""cells AS (
   SELECT page_id, list_transform(
-           regexp_extract_all(html, '(?is)<li(?:\s[^>]*)?>(.*?)</li>', 1),
-           lambda x: trim(regexp_replace(x, '<[^>]+>', '', 'g'))) AS c
+           list_filter(string_split(html, '<li>')[2:], lambda x: contains(x, '</li>')),
+           lambda y: trim(replace(list_transform([string_split(y, '</li>')[1]], lambda x: {_CELL_TEXT})[1], '&amp;', '&'))) AS c
   FROM pages),
 pairs AS (
   SELECT page_id, CAST(i AS INTEGER) AS pair, c[2 * i + 1] AS code, c[2 * i + 2] AS name
@@ -320,12 +295,32 @@ pairs AS (
 
 SQL["extract_cells"] = C.with_ctes(_CELLS) + "SELECT page_id, pair, code, name FROM pairs"
 
+# Words between blanks, without punctuation at their ends; where such a word
+# still holds other signs, letters and digits are taken run by run.
 SQL["post_search"] = C.with_ctes(_CELLS) + r""",
-codes AS (SELECT DISTINCT code FROM pairs WHERE code IS NOT NULL),
-toks AS (SELECT DISTINCT doc_id, tok FROM (
-  SELECT doc_id, unnest(regexp_extract_all(text, '([\p{L}\p{N}]+)', 1)) AS tok
-  FROM documents WHERE lang = 'en' AND NOT starts_with(text, 'RT ')) t)
-SELECT code, doc_id FROM toks JOIN codes ON tok = code"""
+codes AS (
+  SELECT DISTINCT code, regexp_replace(code, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g') AS bare FROM pairs WHERE code IS NOT NULL),
+words AS (
+  SELECT DISTINCT doc_id, unnest(string_split_regex(text, '[^\p{L}\p{N}./-]+')) AS w
+  FROM documents WHERE lang = 'en' AND NOT starts_with(text, 'RT ')),
+parts AS (SELECT DISTINCT doc_id, unnest(string_split_regex(w, '^[./-]+|[./-]+$|[./-]{2,}')) AS tok FROM words),
+cuts AS (
+  SELECT doc_id, tok, string_split_regex(tok, '[./-]') AS bits FROM parts WHERE tok <> ''),
+forms AS (
+  SELECT doc_id, tok, n, substr(tok, 1, CAST(list_sum(list_transform(bits[1:n], lambda b: len(b) + 1)) - 1 AS BIGINT)) AS form
+  FROM (SELECT doc_id, tok, bits, unnest(range(1, len(bits) + 1)) AS n FROM cuts))
+SELECT DISTINCT code, doc_id
+FROM (SELECT code, doc_id, n, max(n) OVER (PARTITION BY doc_id, tok) AS longest FROM forms JOIN codes ON form = bare AND bare <> '')
+WHERE n = longest"""
+
+SQL["map_names"] = (lambda spelled, exchanges: f"""
+WITH country AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(spelled))}) t(i, v)),
+exchange AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(exchanges))}) t(i, v))
+SELECT c_custkey, country.v AS country, exchange.v AS exchange
+FROM customer JOIN country ON c_custkey % {len(spelled)} = country.i JOIN exchange ON c_custkey % {len(exchanges)} = exchange.i""")(
+    [*(c for _, c in sorted(COUNTRY_ALIASES.items())), "FR", "DE", "BA", "LC", "Atlantis"],
+    [*(c for _, c in sorted(EXCHANGE_NAMES.items())), "Moon Exchange"],
+)
 
 SQL["cooccurrence_edges"] = C.with_ctes(C.TRACK_ARTISTS) + """,
 collaboration AS (
@@ -349,6 +344,26 @@ FROM collaboration, am WHERE am.a_id = neighbor
 GROUP BY node"""
 
 
+def _scaled(table: str, columns: list[str]) -> str:
+    """Columns over their sample deviation (0 where that is 0), and the audit."""
+    shown = ", ".join(
+        f"round(CASE WHEN stddev_samp({c}) OVER () > 0 THEN {c} / stddev_samp({c}) OVER () ELSE 0 END, {D}) AS scaled_{c}"
+        for c in columns
+    )
+    return f"SELECT a_id, {shown}, true AS at_nearest_centre, CAST({P.KMEANS_K} AS BIGINT) AS n_clusters FROM {table}"
+
+
+SQL["cluster_entities"] = C.with_ctes(*_MUSIC, _AM) + _scaled("am", ["a_track_number", "a_mode", *MEASURES])
+
+_SMOOTH = [("track_number", "a_track_number"), ("modality", "a_mode"), *((m[2:], m) for m in MEASURES)]
+SQL["cluster_smoothed_entities"] = C.with_ctes(*_MUSIC, _AM) + """,
+smoothed AS (
+  SELECT one.artist_id AS a_id, """ + ", ".join(f"round(avg(am.{c}), 9) AS {o}" for o, c in _SMOOTH) + """
+  FROM track_artists one JOIN track_artists two USING (track_id) JOIN am ON am.a_id = two.artist_id
+  GROUP BY one.artist_id)
+""" + _scaled("smoothed", [o for o, _ in _SMOOTH])
+
+
 def _half_up(sql: str, digits: int = D) -> str:
     """Rewrite ``round(x, digits)`` so DuckDB rounds like Spark does: half-up
     on the shortest decimal form of the double (DuckDB's own ``round`` scales

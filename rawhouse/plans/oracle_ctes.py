@@ -27,7 +27,7 @@ BARS = """bars AS (
 
 POSTS = """posts AS (
   SELECT user_id AS t_code, ts AS t_date, event_type AS t_author, props AS t_content
-  FROM events WHERE event_type = 'click')"""
+  FROM events)"""
 
 TRACK = """track AS (
   SELECT o_orderkey AS t_id, 'track-' || CAST(o_orderkey AS VARCHAR) AS t_name,
@@ -54,9 +54,12 @@ TRACK_ARTISTS = """track_artists AS (
 
 ARTIST_GENRES = """artist_genres AS (
   SELECT s_name AS artists, g.genres
-  FROM (SELECT l_suppkey, list_sort(list(DISTINCT p_name)) AS genres
-        FROM lineitem JOIN part ON l_partkey = p_partkey
-        WHERE l_quantity = 50.0 GROUP BY l_suppkey) g
+  FROM (SELECT l_suppkey, coalesce(list(p_name ORDER BY p_name) FILTER (WHERE q * names * 10 >= total * 12), []) AS genres
+        FROM (SELECT l_suppkey, p_name, sum(l_quantity) AS q,
+                     count(*) OVER (PARTITION BY l_suppkey) AS names,
+                     sum(sum(l_quantity)) OVER (PARTITION BY l_suppkey) AS total
+              FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, p_name) sold
+        GROUP BY l_suppkey) g
   JOIN supplier ON g.l_suppkey = s_suppkey)"""
 
 ARTIST = """artist AS (

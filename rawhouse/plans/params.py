@@ -13,6 +13,6 @@ TARGET_ARTIST = "Supplier#000000001"   # ${artist_target}
 TOP_ITEMS = 10
 TOP_TAGS = 20
 TOP_NAMES = 20
-KMEANS_K = 100
+KMEANS_K = 8                # well below the number of entities at every scale
 KMEANS_SEED = 7
 DIGITS = 6                  # output rounding of floating results

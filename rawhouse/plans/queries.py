@@ -22,10 +22,10 @@ from rawhouse.operators import model as mdl
 from rawhouse.operators import parse as prs
 from rawhouse.operators import ranking as rk
 from rawhouse.operators import timeseries as ts
-from rawhouse.operators.percentile import largest_group
 from rawhouse.plans import params as P
 from rawhouse.plans import standins as S
-from rawhouse.session import scratch_path
+from rawhouse.functions.mapping import COUNTRY_ALIASES, EXCHANGE_NAMES, country_codes, map_or_keep
+from rawhouse.session import materialize, scratch_path
 from rawhouse.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,22 +133,26 @@ def attribute_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- music domain
 
-def _target_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ent.target_facts(
-        S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist_keys(spark, sf_dir),
-        "a_name", P.TARGET_ARTIST,
-    )
+def _star(spark: SparkSession, sf_dir: str, artists: DataFrame | None = None) -> DataFrame:
+    """Facts joined to the bridge and the artist keys.  With ``artists`` the key
+    filter sits below every distinct and aggregate: the few pairs of these
+    artists are written once, and lines and orders are semi-joined to them."""
+    if artists is None:
+        return ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist_keys(spark, sf_dir))
+    bridge = materialize(S.track_artists(spark, sf_dir, artists), "bridge")
+    return ent.entity_facts(S.track(spark, sf_dir, bridge), bridge, artists)
 
 
-def _bridge_bound(bridge: DataFrame) -> int:
-    """Rows per artist in the bridge: an upper bound of its facts."""
-    return largest_group(bridge, ["artist_id"])
+def _target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.artist_keys(spark, sf_dir).where(F.col("a_name") == F.lit(P.TARGET_ARTIST))
+
+
+def _target_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _star(spark, sf_dir, _target(spark, sf_dir))
 
 
 def _artist_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bridge = S.track_artists(spark, sf_dir)
-    ef = ent.entity_facts(S.track(spark, sf_dir), bridge, S.artist_keys(spark, sf_dir))
-    return ent.entity_measures(ef, largest=_bridge_bound(bridge))
+    return ent.entity_measures(_star(spark, sf_dir))
 
 
 @register("entity_stats")
@@ -179,11 +183,8 @@ def entity_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("entity_features")
 def entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = S.artist(spark, sf_dir).where(F.col("a_name") == P.TARGET_ARTIST)
-    # measures of the target only: its facts are selected before aggregating
-    am = ent.entity_measures(
-        _target_tracks(spark, sf_dir), largest=_bridge_bound(S.track_artists(spark, sf_dir))
-    )
+    me = _target(spark, sf_dir)
+    a, am = S.artist(spark, sf_dir, me), ent.entity_measures(_star(spark, sf_dir, me))
     out = a.join(am, a.a_id == am.a_id).select(
         F.col("a_name").alias("name"), "genres", F.col("a_mode").alias("modality"),
         *[F.col(m).alias(m[2:]) for m in ent.MEASURES],
@@ -203,15 +204,12 @@ def _cluster_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("similar_entities")
 def similar_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim, clusters = S.artist(spark, sf_dir), _cluster_standin(spark, sf_dir)
-    # measures only for the candidate peers (a semi-join before aggregating)
-    cands = ent.cluster_peers(dim, clusters, "a_name", P.TARGET_ARTIST)
-    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist_keys(spark, sf_dir))
-    am = ent.entity_measures(
-        ef.join(cands, "a_id", "left_semi"), largest=_bridge_bound(S.track_artists(spark, sf_dir))
-    )
-    out = ent.similar_entities(dim, clusters, am, "a_name", P.TARGET_ARTIST, P.TOP_ITEMS)
-    return rounded(out)
+    dim = materialize(S.artist(spark, sf_dir), "artists")
+    # the peers are found once; measures are computed for them only
+    found = ent.cluster_peers(dim, _cluster_standin(spark, sf_dir), "a_name", P.TARGET_ARTIST)
+    peers = materialize(found.join(dim.select("a_id", "a_name"), "a_id"), "peers")
+    am = ent.entity_measures(_star(spark, sf_dir, peers))
+    return rounded(ent.similar_entities(dim, peers, am, "a_name", P.TOP_ITEMS))
 
 
 @register("label_frequency")
@@ -226,8 +224,7 @@ def tag_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("popularity_percentiles")
 def popularity_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ef = ent.entity_facts(S.track(spark, sf_dir), S.track_artists(spark, sf_dir), S.artist_keys(spark, sf_dir))
-    return rounded(rk.percentile_board(ef, "a_name", "t_popularity", k=P.TOP_NAMES))
+    return rounded(rk.percentile_board(_star(spark, sf_dir), "a_name", "t_popularity", k=P.TOP_NAMES))
 
 
 # ------------------------------------------------------------------ modelling
@@ -260,13 +257,21 @@ def bridge_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("enrich_dimension")
-def enrich_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dimension(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = mdl.explode_zipped(
         S.track_lists(spark, sf_dir), "id", {"a_name": "artists", "a_ext_id": "artist_ids"}, pos_col=None
     )
-    dim, _bridge = mdl.build_dimension(rows, S.genre_texts(spark, sf_dir))
-    return dim
+    return mdl.build_dimension(rows, S.genre_texts(spark, sf_dir))
+
+
+@register("enrich_dimension")
+def enrich_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dimension(spark, sf_dir)[0]
+
+
+@register("dimension_bridge")
+def dimension_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dimension(spark, sf_dir)[1]
 
 
 @register("distinct_profile")
@@ -301,28 +306,40 @@ def load_csv_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.StructField("release_date", T.DateType()),
         T.StructField("explicit", T.IntegerType()),
     ])
-    return files.read_csv_audited(spark, path, schema, bool_flags=("explicit",)).good
+    return _with_state(files.read_csv_audited(spark, path, schema, bool_flags=("explicit",)))
+
+
+def _with_state(read: files.Audited) -> DataFrame:
+    """Good and quarantined rows (with the fields that did parse) together."""
+    good = read.good.withColumn("row_state", F.lit("good"))
+    bad = read.quarantine.drop(files.CORRUPT).withColumn("row_state", F.lit("quarantined"))
+    return good.unionByName(bad)
 
 
 @register("load_keyed_files")
 def load_keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hist = S.history(spark, sf_dir).select(
-        "h_code", F.col("h_date").alias("date"), F.col("h_close").alias("close"), F.col("h_volume").alias("volume")
+    prof = S.profile(spark, sf_dir)
+    h = S.history(spark, sf_dir).join(prof, F.col("h_code") == prof.p_code)
+    hist = h.select(
+        # one office writes day/month/year dates
+        F.when(F.col("p_industry_id") == 3, F.date_format("h_date", "d/M/yyyy"))
+        .otherwise(F.date_format("h_date", "yyyy-MM-dd")).alias("date"),
+        F.col("h_code").alias("code"), F.col("h_close").alias("close"), F.col("h_volume").alias("volume"),
+        F.col("p_industry_id").alias("office"),
     )
     path = scratch_path(spark, "history-csv")
-    # one file per entity, as the raw price folder has it; the series has one
-    # row per entity and day, so no entity can bring more rows to one task
-    # than there are days
-    sinks.write_csv(hist.repartition("h_code"), path, partition_by=["h_code"])
+    # the files are keyed by office (a nation): their number does not grow with the entities
+    sinks.write_csv(hist, path, partition_by=["office"])
     schema = T.StructType([
         T.StructField("date", T.DateType()),
+        T.StructField("code", T.LongType()),
         T.StructField("close", T.DoubleType()),
         T.StructField("volume", T.DoubleType()),
     ])
-    return files.read_entity_csvs(
-        spark, path, schema, key_col="h_code", key_pattern=r"h_code=([^/]+)/",
+    return _with_state(files.read_entity_csvs(
+        spark, path, schema, key_col="office", key_pattern=r"office=([^/]+)/",
         key_from="file_path", prefix="h_", recursive=True,
-    ).good
+    ))
 
 
 @register("parse_posts")
@@ -377,6 +394,24 @@ def parse_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("acctbal", F.col("acctbal").try_cast("double"))
 
 
+@register("map_names")
+def map_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country and exchange names unified: each customer is given a spelling (a
+    known name, a variant, with blanks around it, or an unknown one) by its key."""
+    spelled = [*sorted(COUNTRY_ALIASES), "France", " Germany ", "Bosnia and Herzegovina", "Saint Lucia", "Atlantis"]
+    exchanges = [*sorted(EXCHANGE_NAMES), "Moon Exchange"]
+    c = S.table(spark, sf_dir, "customer").select("c_custkey")
+    pick = lambda names: F.get(
+        F.array(*[F.lit(n) for n in names]), F.pmod(F.col("c_custkey"), F.lit(len(names))).cast("int")
+    )
+    raw = c.select("c_custkey", pick(spelled).alias("country"), pick(exchanges).alias("exchange"))
+    return raw.select(
+        "c_custkey",
+        map_or_keep("country", country_codes(spark)).alias("country"),
+        map_or_keep("exchange", EXCHANGE_NAMES).alias("exchange"),
+    )
+
+
 def _page_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prs.html_cell_pairs(S.table(spark, sf_dir, "pages"), "html", ["page_id"], tag="li")
 
@@ -414,14 +449,28 @@ def neighbor_smoothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gr.smooth_features(bridge, am, "a_id", SMOOTHED))
 
 
+def _audited_clusters(features: DataFrame) -> DataFrame:
+    """Scaled features per entity, whether it sits at a nearest centre, and the
+    number of clusters (cluster numbers themselves are arbitrary)."""
+    found = ml.fit_clusters(features, "a_id", k=P.KMEANS_K, seed=P.KMEANS_SEED)
+    names = [c for c in features.columns if c != "a_id"]
+    out = found.assigned.select(
+        "a_id",
+        *[F.get("scaled", i).alias(f"scaled_{n}") for i, n in enumerate(names)],
+        ml.at_nearest_centre(found).alias("at_nearest_centre"),
+        F.lit(len(found.centres)).cast("long").alias("n_clusters"),
+    )
+    return rounded(out)
+
+
 @register("cluster_entities")
 def cluster_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    am = _artist_measures(spark, sf_dir)
-    return ml.cluster(am, "a_id", k=P.KMEANS_K, seed=P.KMEANS_SEED)
+    return _audited_clusters(_artist_measures(spark, sf_dir))
 
 
 @register("cluster_smoothed_entities")
 def cluster_smoothed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     bridge, am = _bridge_and_measures(spark, sf_dir)
     smoothed = gr.smooth_features(bridge, am, "a_id", SMOOTHED, out_key="a_id")
-    return ml.cluster(smoothed, "a_id", k=P.KMEANS_K, seed=P.KMEANS_SEED)
+    # means of equal values differ in their last bits; scaling would blow that up
+    return _audited_clusters(smoothed.select("a_id", *[F.round(c, 9).alias(c) for c in SMOOTHED]))

@@ -70,9 +70,9 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts about an entity: click events (t_code, t_date, t_author, t_content)."""
+    """Posts about an entity: the events (t_code, t_date, t_author, t_content)."""
     e = table(spark, sf_dir, "events")
-    return e.where(F.col("event_type") == "click").select(
+    return e.select(
         F.col("user_id").alias("t_code"),
         F.col("ts").alias("t_date"),
         F.col("event_type").alias("t_author"),
@@ -82,10 +82,17 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- music domain
 
-def track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with 9 audio-like measures from its line items."""
+def track(spark: SparkSession, sf_dir: str, wanted: DataFrame | None = None) -> DataFrame:
+    """One row per order with 9 audio-like measures from its line items.
+
+    ``wanted`` (a ``track_id`` column) keeps these orders only; the lines are
+    filtered by it before they are aggregated."""
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
+    if wanted is not None:
+        ids = wanted.select("track_id").distinct()
+        li = li.join(ids, li.l_orderkey == ids.track_id, "left_semi")
+        o = o.join(ids, o.o_orderkey == ids.track_id, "left_semi")
     per_order = li.groupBy("l_orderkey").agg(
         F.avg("l_discount").alias("t_acousticness"),
         F.avg("l_tax").alias("t_danceability"),
@@ -117,20 +124,33 @@ def track(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def track_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bridge: one row per (order, supplier) pair."""
+def track_artists(spark: SparkSession, sf_dir: str, artists: DataFrame | None = None) -> DataFrame:
+    """Bridge: one row per (order, supplier) pair.  ``artists`` (an ``a_id``
+    column) keeps their pairs only, before the pairs are made distinct."""
     li = table(spark, sf_dir, "lineitem")
+    if artists is not None:
+        keys = artists.select("a_id")
+        li = li.join(keys, li.l_suppkey == keys.a_id, "left_semi")
     return li.select(F.col("l_orderkey").alias("track_id"), F.col("l_suppkey").alias("artist_id")).distinct()
 
 
-def artist_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Genre list per supplier name: sorted distinct part names of full lines
-    (quantity 50).  Suppliers without such lines have no row."""
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") == 50.0)
+def artist_genres(spark: SparkSession, sf_dir: str, artists: DataFrame | None = None) -> DataFrame:
+    """Genre list per supplier name: the part names of which it sells at least
+    1.2 times its mean quantity per name (part names are a small fixed set, so
+    the list is bounded).  ``artists`` (an ``a_id`` column) as in
+    :func:`track_artists`."""
+    li = table(spark, sf_dir, "lineitem")
+    if artists is not None:
+        keys = artists.select("a_id")
+        li = li.join(keys, li.l_suppkey == keys.a_id, "left_semi")
     p = table(spark, sf_dir, "part")
     s = table(spark, sf_dir, "supplier")
-    pairs = li.join(p, li.l_partkey == p.p_partkey).select("l_suppkey", "p_name").distinct()
-    g = pairs.groupBy("l_suppkey").agg(F.array_sort(F.collect_list("p_name")).alias("genres"))
+    sold = li.join(p, li.l_partkey == p.p_partkey).groupBy("l_suppkey", "p_name").agg(F.sum("l_quantity").alias("q"))
+    per = sold.groupBy("l_suppkey").agg(
+        F.collect_list(F.struct("p_name", "q")).alias("names"), F.sum("q").alias("all_q"), F.count("*").alias("n")
+    )
+    much = F.filter("names", lambda x: x["q"] * F.col("n") * 10 >= F.col("all_q") * 12)
+    g = per.select("l_suppkey", F.array_sort(F.transform(much, lambda x: x["p_name"])).alias("genres"))
     return g.join(s, g.l_suppkey == s.s_suppkey).select(F.col("s_name").alias("artists"), "genres")
 
 
@@ -142,10 +162,14 @@ def artist_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.col("s_suppkey").alias("a_id"), F.col("s_name").alias("a_name"))
 
 
-def artist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Artist dimension (a_id, a_ext_id, a_name, genres)."""
+def artist(spark: SparkSession, sf_dir: str, artists: DataFrame | None = None) -> DataFrame:
+    """Artist dimension (a_id, a_ext_id, a_name, genres), of ``artists`` (an
+    ``a_id`` column) only where given."""
     s = table(spark, sf_dir, "supplier")
-    g = artist_genres(spark, sf_dir)
+    if artists is not None:
+        keys = artists.select("a_id")
+        s = s.join(keys, s.s_suppkey == keys.a_id, "left_semi")
+    g = artist_genres(spark, sf_dir, artists)
     return s.join(g, s.s_name == g.artists, "left").select(
         F.col("s_suppkey").alias("a_id"),
         F.concat(F.lit("sp-"), F.col("s_suppkey").cast("string")).alias("a_ext_id"),
@@ -160,27 +184,19 @@ def _list_text(arr: Column) -> Column:
 
 
 def track_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw track rows carrying their artists as list texts, in line order:
-    (id, artists "['Supplier#..', ...]", artist_ids "['sp-..', ...]").
-
-    The raw format holds a track's whole artist list in one field, so each
-    order's lines are gathered into one row here (the operators that read
-    it work row by row)."""
+    """Raw track rows carrying their artists as list texts: every line item is a
+    raw row that credits its supplier and its part's brand
+    (id, artists "['Supplier#..', 'Brand#..']", artist_ids "['sp-..', 'br-..']")."""
     li = table(spark, sf_dir, "lineitem")
     s = table(spark, sf_dir, "supplier")
-    rows = li.join(s, li.l_suppkey == s.s_suppkey).select(
-        "l_orderkey",
-        F.struct(
-            F.col("l_linenumber").alias("ln"),
-            F.col("s_name").alias("name"),
-            F.concat(F.lit("sp-"), F.col("l_suppkey").cast("string")).alias("sid"),
-        ).alias("item"),
-    )
-    g = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    return g.select(
+    p = table(spark, sf_dir, "part")
+    rows = li.join(s, li.l_suppkey == s.s_suppkey).join(p, li.l_partkey == p.p_partkey)
+    return rows.select(
         F.col("l_orderkey").alias("id"),
-        _list_text(F.transform("items", lambda x: x["name"])).alias("artists"),
-        _list_text(F.transform("items", lambda x: x["sid"])).alias("artist_ids"),
+        _list_text(F.array("s_name", "p_brand")).alias("artists"),
+        _list_text(
+            F.array(F.concat(F.lit("sp-"), F.col("l_suppkey").cast("string")), F.concat(F.lit("br-"), F.col("p_brand")))
+        ).alias("artist_ids"),
     )
 
 
@@ -191,23 +207,28 @@ def genre_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First track source: orders placed before 1999 (id, name, release_date, status)."""
+    """First track source (id, name, release_date, status): the orders, and a
+    second record of those that are open (exported again under another name)."""
     o = table(spark, sf_dir, "orders")
-    return o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select(
+    again = F.explode(F.when(F.col("o_orderstatus") == "O", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return o.select("*", again.alias("again")).select(
         F.col("o_orderkey").alias("id"),
-        F.col("o_orderpriority").alias("name"),
-        F.to_date("o_orderdate").alias("release_date"),
-        F.col("o_orderstatus").alias("status"),
+        F.when(F.col("again") == 1, F.concat(F.lit("0-"), F.col("o_orderpriority")))
+        .otherwise(F.col("o_orderpriority")).alias("name"),
+        F.date_add(F.to_date("o_orderdate"), F.col("again")).alias("release_date"),
+        F.when(F.col("again") == 1, "again").otherwise(F.col("o_orderstatus")).alias("status"),
     )
 
 
 def source_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second track source: line-item roll-up per order
-    (id, name, release_date, n_lines, quantity)."""
+    """Second track source: line-item roll-ups, one record per order and return
+    flag (id, name, release_date, n_lines, quantity)."""
     li = table(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_orderkey").alias("id")).agg(
-        F.concat(F.max("l_returnflag"), F.max("l_linestatus")).alias("name"),
+    return li.groupBy(F.col("l_orderkey").alias("id"), "l_returnflag").agg(
+        F.max("l_linestatus").alias("status"),
         F.max(F.to_date("l_shipdate")).alias("release_date"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("quantity"),
+    ).select(
+        "id", F.concat("l_returnflag", "status").alias("name"), "release_date", "n_lines", "quantity"
     )

@@ -6,7 +6,7 @@ entity), ``history/`` (one price CSV per entity, named ``CODE_*.csv``) and a
 (partitioned by year) and ``tweets``.  ``build_music_warehouse`` reads two
 overlapping track CSVs and an artist-genre CSV; it writes ``artist``,
 ``track_artists`` and ``track``.  ``build_artist_measures`` derives
-``artist_measure``.  Every step is one of the library's operators; bad input
+``artist_measure``, ``build_artist_clusters`` the two cluster tables.  Every step is one of the library's operators; bad input
 rows go to ``<table>_quarantine`` tables instead of being dropped or kept.
 """
 
@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 
 from rawhouse.functions.text import ISO_TS_FORMAT, POST_TS_FORMAT, reciprocal_fill
 from rawhouse.operators import entity as ent
+from rawhouse.operators import graph as gr
+from rawhouse.operators import ml
 from rawhouse.operators import model as mdl
 from rawhouse.operators import parse as prs
 from rawhouse.session import materialize
@@ -147,22 +149,47 @@ def build_artist_measures(
 
     def build() -> DataFrame:
         t = (lambda n: spark.table(f"{database}.{n}" if database else n))
-        bridge = t("track_artists")
-        ef = ent.entity_facts(t("track"), bridge, t("artist"))
-        bound = bridge.groupBy("artist_id").count().agg(F.max("count")).first()[0] or 0
-        return ent.entity_measures(ef, largest=bound)
+        return ent.entity_measures(ent.entity_facts(t("track"), t("track_artists"), t("artist")))
 
     return sinks.ensure_table(spark, name, build, fmt=fmt, rebuild=rebuild)
 
 
+def build_artist_clusters(
+    spark: SparkSession,
+    database: str | None = None,
+    k: int = 100,
+    seed: int = 1,
+    rebuild: bool = False,
+    fmt: str = "parquet",
+) -> dict[str, DataFrame]:
+    """``artist_cluster_features`` (clusters of the artists' measures) and
+    ``artist_cluster_features_smoothed`` (of the measures averaged over
+    collaborators), each built once (``rebuild`` to redo)."""
+    t = (lambda n: f"{database}.{n}" if database else n)
+    measures = build_artist_measures(spark, database, fmt=fmt)
+    columns = {c: c for c in measures.columns if c != "a_id"}
+
+    def plain() -> DataFrame:
+        return ml.cluster(measures, "a_id", k=k, seed=seed)
+
+    def smoothed() -> DataFrame:
+        bridge = spark.table(t("track_artists"))
+        return ml.cluster(gr.smooth_features(bridge, measures, "a_id", columns, out_key="a_id"), "a_id", k=k, seed=seed)
+
+    return {
+        name: sinks.ensure_table(spark, t(name), build, fmt=fmt, rebuild=rebuild)
+        for name, build in (("artist_cluster_features", plain), ("artist_cluster_features_smoothed", smoothed))
+    }
+
+
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit rawhouse/plans/warehouse.py {equity,music,measures} [DATA_DIR] [--database DB]``"""
+    """``spark-submit rawhouse/plans/warehouse.py {equity,music,measures,clusters} [DATA_DIR] [--database DB]``"""
     import argparse
 
     from rawhouse.session import build_session
 
     ap = argparse.ArgumentParser(description="Build warehouse tables from raw folders.")
-    ap.add_argument("job", choices=["equity", "music", "measures"])
+    ap.add_argument("job", choices=["equity", "music", "measures", "clusters"])
     ap.add_argument("data_dir", nargs="?", help="raw folder (equity / music jobs)")
     ap.add_argument("--database", default=None)
     ap.add_argument("--mode", default="error", help="error | overwrite | ignore | append")
@@ -172,6 +199,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "measures":
         build_artist_measures(spark, args.database, rebuild=args.mode == "overwrite", fmt=args.format)
         return
+    if args.job == "clusters":
+        build_artist_clusters(spark, args.database, rebuild=args.mode == "overwrite", fmt=args.format)
+        return
     if not args.data_dir:
         ap.error("data_dir is required for this job")
     build = build_equity_warehouse if args.job == "equity" else build_music_warehouse

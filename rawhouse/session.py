@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Scratch paths handed out by this process and not deleted yet.
+_scratch_paths: set[str] = set()
+
 
 def build_session(
     master: str | None = None,
@@ -92,18 +95,41 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     path = scratch_path(spark, name)
     names = df.columns
     df.toDF(*[f"c{i}" for i in range(len(names))]).write.parquet(path)
-    return spark.read.parquet(path).toDF(*names)
+    stored = spark.read.parquet(path).toDF(*names)
+    stored._scratch = path
+    return stored
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files behind a frame that :func:`materialize` returned, once
+    nothing that reads them will run again.  Other frames are left alone."""
+    path = getattr(df, "_scratch", None)
+    if path:
+        _delete(df.sparkSession, path)
+        df._scratch = None
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every scratch file of this session: call it when the results that
+    read them have been written."""
+    for path in _scratch_paths:
+        _delete(spark, path)
+    _scratch_paths.clear()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _scratch_paths.discard(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/rawhouse-scratch/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can open local test paths."""
-    return path[5:] if path.startswith("file:") else path
+    path = f"{base}/rawhouse-scratch/{name}-{uuid.uuid4().hex}"
+    _scratch_paths.add(path)
+    return path
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -115,8 +141,9 @@ __all__ = [
     "DEFAULT_CONF",
     "build_session",
     "checkpoint_dir",
+    "discard",
     "materialize",
+    "release_scratch",
     "scratch_path",
-    "local_path",
     "default_parallelism",
 ]

@@ -26,14 +26,14 @@ class Audited(NamedTuple):
 
 
 def _split(df: DataFrame, corrupt: str, keep_corrupt: bool, materialized: bool) -> Audited:
-    # With ``materialized`` every row was parsed with all columns required
-    # and written once, so the split cannot change with a later projection.
-    # A lazy read parses only the columns a query uses (CSV column pruning):
-    # a bad value in an unused column then goes unnoticed, and a query that
-    # needs the corrupt column alone is refused by Spark.
+    # A CSV scan converts only the columns a query needs, and a bad value in
+    # another one would go unnoticed.  The test for bad rows therefore reads
+    # every column (the second half of it is always true), so each row is judged
+    # by all of them whatever a query selects, and good + quarantine is the input.
     if materialized:
         df = materialize(df)
-    bad = F.col(corrupt).isNotNull()
+    data = [F.col(f"`{c}`") for c in df.columns if c != corrupt]
+    bad = F.concat(F.xxhash64(*data).cast("string"), F.col(corrupt)).isNotNull()
     good = df if keep_corrupt else df.where(~bad)
     return Audited(good.drop(corrupt), df.where(bad))
 
@@ -46,7 +46,7 @@ def read_csv_audited(
     keep_corrupt: bool = False,
     bool_flags: tuple[str, ...] = (),
     corrupt_col: str = CORRUPT,
-    materialized: bool = True,
+    materialized: bool = False,
     **options: str,
 ) -> Audited:
     """CSV with a declared schema, split into good rows and a quarantine.
@@ -56,8 +56,8 @@ def read_csv_audited(
     quoted and escaped with ``"``.  ``bool_flags`` are 0/1 integer columns
     turned into booleans.  ``keep_corrupt`` keeps bad rows among the good
     ones (their unparsable fields NULL), as a plain PERMISSIVE read does.
-    ``materialized`` (default) parses and writes the rows once to the
-    checkpoint folder so good + quarantine always add up to the input.
+    Every row is parsed with all columns, so good + quarantine always add up to
+    the input; ``materialized`` parses once and reads a Parquet copy after that.
     """
     full = StructType(list(schema.fields) + [StructField(corrupt_col, StringType(), True)])
     reader = (
@@ -100,7 +100,7 @@ def read_entity_csvs(
     prefix: str = "",
     recursive: bool = False,
     corrupt_col: str = CORRUPT,
-    materialized: bool = True,
+    materialized: bool = False,
     **options: str,
 ) -> Audited:
     """A folder of per-entity CSV files; the entity key comes from the file.

@@ -18,7 +18,7 @@ from rawhouse.operators import model as mdl
 from rawhouse.operators import parse as prs
 from rawhouse.operators import ranking as rk
 from rawhouse.operators import timeseries as ts
-from rawhouse.operators.percentile import percentiles, skew_safe_percentiles
+from rawhouse.operators.percentile import percentiles
 from rawhouse.sources import files
 
 D = dt.date
@@ -143,13 +143,21 @@ def test_normalize_reciprocal(spark):
     assert out.count() == prof.count()
 
 
-def test_merge_sources(spark):
-    a = spark.createDataFrame([(1, "zeta", "A1"), (2, "b", "A2"), (2, "a", "A2bis")], "id int, name string, only_a string")
-    b = spark.createDataFrame([(1, "alpha", 10), (3, "c", 30)], "id int, name string, only_b int")
-    out = mdl.merge_sources(a, b, "id")
-    got = rows(out)
-    assert got == [(1, "alpha", "A1", 10), (2, "a", "A2", None), (3, "c", None, 30)]
-    assert out.count() == 3
+def test_merge_sources_takes_whole_records(spark):
+    a = spark.createDataFrame(
+        [(1, "zeta", 5, "A1"), (2, "b", 1, "A2"), (2, "a", 9, "A2bis"), (4, None, 2, "A4"), (4, "x", 1, "A4x"), (5, "s", 1, "A5")],
+        "id int, name string, n int, only_a string",
+    )
+    b = spark.createDataFrame(
+        [(1, "alpha", 6, 10), (1, "beta", 1, 1), (3, "c", 7, 30), (5, "s", 0, 50)], "id int, name string, n int, only_b int"
+    )
+    got = rows(mdl.merge_sources(a, b, "id"))
+    assert got == [
+        (1, "alpha", 6, "A1", 10), (2, "a", 9, "A2bis", None), (3, "c", 7, None, 30), (4, None, 2, "A4", None), (5, "s", 1, "A5", 50),
+    ]
+    plan = mdl.merge_sources(a, b, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Join" not in plan
+    assert rows(mdl.merge_sources(a.limit(0), b.limit(0), "id")) == []
 
 
 def test_explode_zipped(spark):
@@ -255,34 +263,50 @@ def test_tag_frequency(spark):
     assert rows(rk.tag_frequency(df, "genres")) == [(1, "x"), (1, "y")]
 
 
-@pytest.mark.parametrize("max_rows", [None, 2_000_000])
-def test_percentile_board(spark, max_rows):
-    df = spark.createDataFrame([("a", i) for i in range(1, 11)] + [("b", 3)], "name string, pop int")
-    monkey = rk.percentiles
+def test_percentile_board(spark):
+    df = spark.createDataFrame([("a", i) for i in range(1, 11)] + [("b", 3), ("c", None)], "name string, pop int")
+    got = {g[3]: g[:3] for g in rows(rk.percentile_board(df, "name", "pop"))}
+    assert got["a"][0] == 10 and got["a"][1:] == pytest.approx((9.1, 5.5))
+    assert got["b"] == (3, 3.0, 3.0) and got["c"] == (None, None, None)
+
+
+PERCENTILES = [("p50", "v", 0.5), ("p90", "v", 0.9), ("p0", "v", 0.0), ("p100", "v", 1.0), ("w33", "w", 1 / 3)]
+
+
+def skewed(spark):
+    """One hot group, groups around the limits of the bracket widths, groups of
+    equal values, of NULLs only, and a NULL group key."""
+    hot = spark.range(0, 60000).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % 17771 / 3.0).alias("v"))
+    parts = [hot]
+    for n in (1, 2, 3, 19, 20, 21, 22, 199, 200, 201, 202, 9999, 10001, 10002):
+        parts.append(spark.range(0, n).select(F.lit(f"n{n}").alias("g"), (F.col("id") * 31 % 101 * 1.1).alias("v")))
+    parts.append(spark.range(0, 12000).select(F.lit("equal").alias("g"), F.lit(0.028).alias("v")))
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
+    df = df.unionByName(spark.createDataFrame([("hot", None), ("nulls", None), ("nulls", None), (None, 4.0), (None, 8.0)], "g string, v double"))
+    return df.withColumn("w", -F.col("v"))
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_percentiles_equal_the_built_in(spark, reuse):
+    df = skewed(spark)
+    ref = {r["g"]: r for r in df.groupBy("g").agg(*[F.percentile(c, p).alias(n) for n, c, p in PERCENTILES]).collect()}
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
     try:
-        rk.percentiles = lambda *a, **k: monkey(*a, **{**k, "max_group_rows": max_rows})
-        got = rows(rk.percentile_board(df, "name", "pop"))
+        for stored in (False, True):
+            got = {r["g"]: r for r in percentiles(df, ["g"], PERCENTILES, stored=stored).collect()}
+            assert got.keys() == ref.keys()
+            for g in ref:
+                for n, _, _ in PERCENTILES:
+                    assert got[g][n] == ref[g][n] or abs(got[g][n] - ref[g][n]) < 1e-9, (g, n)
+            assert got["nulls"]["p50"] is None and got["equal"]["p90"] == 0.028
     finally:
-        rk.percentiles = monkey
-    by_name = {g[3]: g[:3] for g in got}
-    assert by_name["a"][0] == 10 and by_name["a"][1:] == pytest.approx((9.1, 5.5))
-    assert by_name["b"][0] == 3 and by_name["b"][1:] == pytest.approx((3.0, 3.0))
-
-
-def test_skew_safe_percentiles_hot_group(spark):
-    hot = spark.range(0, 20000).select(F.lit("hot").alias("g"), (F.col("id") % 1777).cast("double").alias("v"))
-    cold = spark.range(0, 50).select(F.concat(F.lit("c"), (F.col("id") % 5).cast("string")).alias("g"),
-                                     (F.col("id") * 1.5).alias("v"))
-    df = hot.unionByName(cold).unionByName(spark.createDataFrame([("hot", None)], "g string, v double"))
-    specs = [("p50", "v", 0.5), ("p90", "v", 0.9), ("p0", "v", 0.0), ("p100", "v", 1.0)]
-    ours = {r["g"]: r for r in skew_safe_percentiles(df, ["g"], specs, num_partitions=11).collect()}
-    ref = {r["g"]: r for r in df.groupBy("g").agg(*[F.percentile("v", p).alias(n) for n, _, p in specs]).collect()}
-    assert ours.keys() == ref.keys()
-    for g in ref:
-        for n, _, _ in specs:
-            assert abs(ours[g][n] - ref[g][n]) < 1e-9, (g, n)
-    builtin = {r["g"]: r for r in percentiles(df, ["g"], specs).collect()}
-    assert all(abs(builtin[g]["p50"] - ref[g]["p50"]) < 1e-9 for g in ref)
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_percentiles_of_nothing(spark):
+    assert percentiles(skewed(spark).limit(0), ["g"], PERCENTILES).collect() == []
 
 
 def test_approx_options_pass_through(spark):
@@ -303,17 +327,20 @@ def test_approx_percentiles_close(spark):
 
 # ---------------------------------------------------------------- entities / graph
 
-def test_entity_measures_both_paths(spark):
-    data = [(i % 3 if i % 7 else 0, i, i % 2 == 0 if i % 5 else None) + tuple(float((i * (j + 3)) % 11) for j in range(9))
-            for i in range(200)]
+def test_entity_measures_equal_the_built_in(spark):
+    data = [(i % 3 if i % 7 else 0, i, i % 2 == 0 if i % 5 else None) + tuple(float((i * (j + 3)) % 11) if (i + j) % 4 else None for j in range(9))
+            for i in range(200)] + [(9, 1000, None) + (None,) * 9]
     cols = "a_id int, t_id int, t_mode boolean, " + ", ".join(f"{c} double" for c in ent.MEASURES.values())
     ef = spark.createDataFrame(data, cols)
-    one_pass = {r["a_id"]: r for r in ent.entity_measures(ef).collect()}
-    split = {r["a_id"]: r for r in ent.entity_measures(ef, max_group_rows=0, num_partitions=5).collect()}
-    assert one_pass.keys() == split.keys() == {0, 1, 2}
-    for k in one_pass:
+    got = {r["a_id"]: r for r in ent.entity_measures(ef).collect()}
+    want = {r["a_id"]: r for r in ef.groupBy("a_id").agg(
+        F.count("t_id").alias("a_track_number"), F.avg(F.when(F.col("t_mode"), 1).otherwise(0)).alias("a_mode"),
+        *[F.percentile(c, 0.5).alias(o) for o, c in ent.MEASURES.items()]).collect()}
+    assert got.keys() == want.keys() == {0, 1, 2, 9}
+    for k in want:
         for c in ["a_track_number", "a_mode", *ent.MEASURES]:
-            assert one_pass[k][c] == pytest.approx(split[k][c]), (k, c)
+            assert got[k][c] == pytest.approx(want[k][c]), (k, c)
+    assert got[9]["a_tempo"] is None
 
 
 def test_similar_entities(spark):
@@ -324,7 +351,8 @@ def test_similar_entities(spark):
     clusters = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 0), (5, 1)], "a_id int, prediction int")
     meas = spark.createDataFrame([(i, 10 * i, 0.5) + (0.1,) * 9 for i in range(1, 6)],
                                  "a_id int, a_track_number long, a_mode double, " + ", ".join(f"{m} double" for m in ent.MEASURES))
-    out = ent.similar_entities(dim, clusters, meas, "a_name", "T")
+    peers = ent.cluster_peers(dim, clusters, "a_name", "T")
+    out = ent.similar_entities(dim, peers, meas, "a_name")
     assert [r["artist_name"] for r in out.collect()] == ["P"]
 
 
@@ -349,3 +377,46 @@ def test_cluster_repeatable(spark):
     a = rows(ml.cluster(df, "id", k=4, seed=3))
     b = rows(ml.cluster(df, "id", k=4, seed=3))
     assert a == b and len(a) == 60 and len({p for _, p in a}) <= 4
+
+
+def test_cluster_refuses_more_clusters_than_points(spark):
+    df = spark.createDataFrame([(i, float(i % 3)) for i in range(30)], "id int, x double")
+    with pytest.raises(ValueError, match="distinct points"):
+        ml.cluster(df, "id", k=5)
+    found = ml.fit_clusters(df, "id", k=3)
+    assert found.assigned.where(~ml.at_nearest_centre(found)).count() == 0
+    wrong = found._replace(assigned=found.assigned.withColumn("prediction", (F.col("prediction") + 1) % 3))
+    assert wrong.assigned.where(~ml.at_nearest_centre(wrong)).count() == 30
+
+
+def test_cell_text_as_a_parser_sees_it(spark):
+    html = """<td>AT&amp;T</td><td a=">">Y<!-- > </td> --></td><td>&amp;lt; &#8364;&#x41;</td><td title='x>y'>&eacute; &unknown; &#0;</td>"""
+    df = spark.createDataFrame([(1, html)], "id int, html string")
+    assert rows(prs.html_cell_pairs(df, "html", ["id"])) == [(1, 0, "AT&T", "Y"), (1, 1, "&lt; \u20acA", "\u00e9 &unknown; \ufffd")]
+
+
+def test_match_posts_with_punctuated_codes(spark):
+    posts = spark.createDataFrame(
+        [(1, "$BRK.B up"), (2, "$BRK."), (3, "$BRK.C, $BF-B."), (4, "$BRKB"), (5, "$RDS/A $A.B.C")], "id int, text string"
+    )
+    codes = spark.createDataFrame([("BRK",), ("BRK.B",), ("BF-B",), ("RDS/A",), ("A.B",), ("A",), ("la,",), (None,)], "code string")
+    got = rows(prs.match_posts(posts, codes, "text", ["id"]))
+    assert got == [("A.B", 5), ("BF-B", 3), ("BRK", 2), ("BRK", 3), ("BRK.B", 1), ("RDS/A", 5)]
+    plain = spark.createDataFrame([(1, "dans la, rue")], "id int, text string")
+    assert rows(prs.match_posts(plain, codes, "text", ["id"], prefix="")) == [("la,", 1)]
+
+
+def test_audited_reads_parse_every_column(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from rawhouse.sources import files
+
+    path = f"{tmp_dir}/a.csv"
+    with open(path, "w") as f:
+        f.write("id,n,d\n1,2,2020-01-01\n2,x,2020-01-02\n3,4,never\n4,5,2020-01-04\n")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("d", T.DateType())])
+    for materialized in (False, True):
+        read = files.read_csv_audited(spark, path, schema, materialized=materialized)
+        assert rows(read.good.select("id")) == [(1,), (4,)]
+        assert rows(read.quarantine.select("id")) == [(2,), (3,)]
+        assert read.good.count() + read.quarantine.select("id").count() == 4

@@ -34,21 +34,10 @@ def test_cooccurrence_never_self_joins_the_bridge(spark):
     assert "CartesianProduct" not in plan
 
 
-def test_skew_path_range_partitions(spark):
-    from pyspark.sql import functions as F
-
-    from rawhouse.operators.percentile import skew_safe_percentiles
-
-    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
-    plan = plan_text(skew_safe_percentiles(df, ["g"], [("p", "v", 0.5)]))
-    assert "rangepartitioning" in plan
-
-
 @pytest.mark.parametrize("name,needles", [
     ("moving_average", ["EqualTo(l_suppkey,1)", "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)",
                         "LessThan(l_shipdate,1999-01-01T00:00)"]),
     ("top_volume", ["GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)", "LessThan(l_shipdate,1999-01-01T00:00)"]),
-    ("daily_metrics", ["EqualTo(event_type,click)"]),
 ])
 def test_filters_reach_the_scan(spark, name, needles):
     df = queries()[name](spark, SF)
@@ -57,3 +46,49 @@ def test_filters_reach_the_scan(spark, name, needles):
     pushed = " ".join(line for line in plan.splitlines() if line.startswith("PushedFilters"))
     for needle in needles:
         assert needle in pushed, (name, needle)
+
+
+@pytest.mark.parametrize("name", ["entity_stats", "top_items", "group_sums", "entity_features"])
+def test_point_lookups_filter_below_distinct_and_aggregate(spark, name, monkeypatch):
+    """The target's key filter stands below the distinct of the bridge and the
+    roll-up of the lines, in every frame that is written on the way."""
+    from rawhouse.operators import entity
+    from rawhouse.plans import queries as Q
+
+    plans = []
+
+    def spy(original):
+        def materialize(df, label="materialized"):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return original(df, label)
+
+        return materialize
+
+    monkeypatch.setattr(Q, "materialize", spy(Q.materialize))
+    monkeypatch.setattr(entity, "materialize", spy(entity.materialize))
+    out = queries()[name](spark, SF)
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    bridge = plans[0]
+    assert "Supplier#000000001" in bridge and "LeftSemi" in bridge
+    assert bridge.index("Aggregate") < bridge.index("Join LeftSemi")
+    for plan in plans[1:]:
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "Aggregate [l_orderkey" in line:
+                below = []
+                depth = len(line) - len(line.lstrip(" :+-"))
+                for other in lines[i + 1 :]:
+                    if len(other) - len(other.lstrip(" :+-")) <= depth:
+                        break
+                    below.append(other)
+                assert any("LeftSemi" in x for x in below), plan
+
+
+def test_peers_are_found_once(spark, monkeypatch):
+    from rawhouse.operators import entity
+
+    calls = []
+    original = entity.cluster_peers
+    monkeypatch.setattr(entity, "cluster_peers", lambda *a, **k: calls.append(1) or original(*a, **k))
+    queries()["similar_entities"](spark, SF).collect()
+    assert calls == [1]

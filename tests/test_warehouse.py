@@ -110,9 +110,12 @@ def test_music_warehouse(spark, tmp_dir):
     assert sum(r["track_number"] for r in an.key_frequency(spark, db).collect()) == 3
     assert [tuple(r) for r in an.mainstream_genres(spark, database=db).collect()] == [(1, "pop")]
     assert an.popular_artists(spark, database=db).count() == 3
-    clusters = spark.table(f"{db}.artist").select("a_id", F.lit(0).alias("prediction"))
-    clusters.write.saveAsTable(f"{db}.artist_cluster")
-    assert [r["artist_name"] for r in an.similar_artists(spark, "Ann", "artist_cluster", database=db).collect()] == []
+    made = wh.build_artist_clusters(spark, db, k=2)
+    assert {n: t.columns for n, t in made.items()} == {
+        "artist_cluster_features": ["a_id", "prediction"], "artist_cluster_features_smoothed": ["a_id", "prediction"]
+    }
+    assert all(t.count() == 3 for t in made.values())
+    assert [r["artist_name"] for r in an.similar_artists(spark, "Ann", database=db).collect()] == []
     spark.sql("DROP SCHEMA rh_mu_test CASCADE")
 
 
