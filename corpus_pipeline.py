@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from rawhouse.llm import langid, pii, queries, simhash_vp, spm, winnow
 from rawhouse.llm.common import free_name
-from rawhouse.session import materialize
+from rawhouse.session import discard, materialize
 
 # No SQL expresses the learned language model, XXH64 or byte-pair merging; the
 # stages are tested against brute force in tests/llm.
@@ -70,5 +70,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        done = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(docs)  # nothing reads the stage before any more
+        docs = done
     return docs

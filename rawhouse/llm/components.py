@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawhouse.session import materialize
+from rawhouse.session import discard, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -55,7 +55,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if tuple(got) == mark:
             break
         mark = tuple(got)
-        now = materialize(_star(_star(now, large=True), large=False), "components")
+        shrunk = materialize(_star(_star(now, large=True), large=False), "components")
+        discard(now)
+        now = shrunk
     centres = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(centres)
 
