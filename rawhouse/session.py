@@ -112,9 +112,8 @@ def discard(df: DataFrame) -> None:
 def release_scratch(spark: SparkSession) -> None:
     """Delete every scratch file of this session: call it when the results that
     read them have been written."""
-    for path in _scratch_paths:
+    for path in list(_scratch_paths):
         _delete(spark, path)
-    _scratch_paths.clear()
 
 
 def _delete(spark: SparkSession, path: str) -> None:

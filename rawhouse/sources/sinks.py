@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def save_table(
@@ -27,10 +27,14 @@ def write_files(
     fmt: str = "parquet",
     mode: str = "error",
     partition_by: Sequence[str] = (),
+    order_by: Sequence[Column | str] = (),
     **options: str,
 ) -> None:
     """Files at ``path``; e.g. ``partition_by=['year']`` for a price table so
-    year filters prune whole folders."""
+    year filters prune whole folders.  ``order_by`` writes an ordered report: a
+    range-partitioned sort, so the files in name order hold the rows in order."""
+    if order_by:
+        df = df.orderBy(*order_by)
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -45,10 +49,17 @@ def write_csv(
     mode: str = "error",
     header: bool = True,
     partition_by: Sequence[str] = (),
+    order_by: Sequence[Column | str] = (),
     **options: str,
 ) -> None:
     """CSV with a header line, ``"``-quoted where needed."""
-    write_files(df, path, "csv", mode, partition_by, header=str(header).lower(), **options)
+    write_files(df, path, "csv", mode, partition_by, order_by, header=str(header).lower(), **options)
+
+
+def named_view(df: DataFrame, name: str) -> DataFrame:
+    """Register ``df`` as a temporary view for SQL statements; returns the view."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:

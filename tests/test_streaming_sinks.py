@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
@@ -89,3 +90,29 @@ def test_materialize_round_trip(spark):
     plan = m._jdf.queryExecution().optimizedPlan().toString()
     assert "Relation" in plan and "parquet" in plan.lower() and "LocalRelation" not in plan
     assert checkpoint_dir(spark).rstrip("/").split("/")[-1] in m.inputFiles()[0]
+
+
+def test_ordered_report_and_view(spark, tmp_dir):
+    import glob
+
+    from rawhouse.sources import sinks
+
+    df = spark.range(0, 1000, 1, 7).selectExpr("id * 7919 % 1000 AS k", "id % 3 AS g")
+    sinks.write_csv(df, f"{tmp_dir}/report", order_by=["g", F.col("k").desc()])
+    lines = [l for f in sorted(glob.glob(f"{tmp_dir}/report/part-*")) for l in open(f).read().split("\n")[1:] if l]
+    got = [tuple(map(int, l.split(",")))[::-1] for l in lines]
+    assert len(got) == 1000 and got == sorted(got, key=lambda r: (r[0], -r[1]))
+    assert sinks.named_view(df, "report_view").where("g = 1").count() == spark.sql("SELECT * FROM report_view WHERE g = 1").count()
+
+
+def test_scratch_files_are_deleted(spark):
+    from rawhouse import session
+
+    kept = session.materialize(spark.range(5).toDF("x"), "kept")
+    gone = session.materialize(spark.range(5).toDF("x"), "gone")
+    path = gone._scratch
+    session.discard(gone)
+    session.discard(spark.range(1))
+    assert kept.count() == 5 and not os.path.exists(path.replace("file:", ""))
+    session.release_scratch(spark)
+    assert not session._scratch_paths
