@@ -83,6 +83,9 @@ _GOOD_WORDS = frozenset(
 )
 
 
+_ABOUT_WORDS = frozenset(("has", "with", "no", "without"))  # "has-sidebar" names a page's layout
+
+
 class Node:
     __slots__ = ("tag", "attrs", "parent", "children", "points", "chars", "linked")
 
@@ -154,35 +157,42 @@ def _closed(here: Node, name: str) -> Node:
     return here
 
 
-def _words_of(attrs: str) -> tuple[set[str], str, bool]:
-    """Lower-case words of class and id, the role, and whether the element is hidden."""
-    words: set[str] = set()
+def _names_of(attrs: str) -> tuple[list[set[str]], str, bool]:
+    """The words of each class name and id (lower-cased), the role, and whether
+    the element is hidden."""
+    names: list[set[str]] = []
     role, hidden = "", bool(re.search(r"(?:^|\s)hidden(?=\s|$)", attrs))
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            words.update(w.lower() for w in _PIECES.findall(value))
+            names += [{w.lower() for w in _PIECES.findall(part)} for part in value.split()]
         elif name == "role":
             role = value.strip().lower()
         elif name == "aria-hidden":
             hidden |= value.strip().lower() == "true"
         elif name == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-    return words, role, hidden
+    return names, role, hidden
+
+
+def _words_of(attrs: str) -> set[str]:
+    return set().union(*_names_of(attrs)[0])
 
 
 def _left_out(node: Node, in_article: bool) -> bool:
     if node.tag in ("article", "main"):
         if not in_article:
-            return bool(node.attrs) and _words_of(node.attrs)[2]
+            return bool(node.attrs) and _names_of(node.attrs)[2]
     elif node.tag in _SKIP_TAGS or node.tag == "footer" or (node.tag == "header" and not in_article):
         return True
     if not node.attrs:
         return False
-    words, role, hidden = _words_of(node.attrs)
+    names, role, hidden = _names_of(node.attrs)
     if hidden or role in _SKIP_ROLES:
         return True
-    return node.tag not in ("body", "h1") and bool(words & _SKIP_WORDS) and not {"article", "main"} & words
+    if node.tag in ("body", "h1") or any(len(n) == 1 and n <= _GOOD_WORDS for n in names):
+        return False  # a name that says article on its own
+    return any(n & _SKIP_WORDS and not n & _ABOUT_WORDS for n in names)
 
 
 def prune(root: Node) -> None:
@@ -234,7 +244,7 @@ def score(root: Node) -> Node | None:
         points = node.points * (1 - (node.linked / node.chars if node.chars else 0.0))
         if node.tag in ("article", "main"):
             points *= 2
-        elif node.attrs and _words_of(node.attrs)[0] & _GOOD_WORDS:
+        elif node.attrs and _words_of(node.attrs) & _GOOD_WORDS:
             points *= 1.5
         node.points = points
         if points > top:
