@@ -43,6 +43,7 @@ MARK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 LONG_UNIT = 96  # longer units go one by one
 CACHE_UNITS = 400_000  # distinct units a task remembers before it starts anew
+_TOP = np.uint64(44)
 _CELLS = 1 << 16  # units times characters in one matrix
 
 
@@ -154,6 +155,8 @@ class Encoder:
             for _ in range(max(LONG_UNIT, vocabulary["longest"]) + 1):
                 powers.append(powers[-1] * BASE)
         self.power = np.array(powers, np.uint64)
+        self.begin = np.zeros(1 << 20, bool)  # which leading 20 bits any piece's hash has
+        self.begin[(vocabulary["keys"] >> _TOP).astype(np.int64)] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -164,12 +167,15 @@ class Encoder:
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Piece ids of hashes, -1 where there is none."""
-        keys = self.v["keys"]
-        if not len(keys):
-            return np.full(hashes.shape, -1, np.int64)
-        at = np.searchsorted(keys, hashes)
-        at[at == len(keys)] = 0
-        return np.where(keys[at] == hashes, self.v["key_ids"][at], -1)
+        out = np.full(hashes.shape, -1, np.int64)
+        some = self.begin[(hashes >> _TOP).astype(np.int64)]  # most substrings are no piece
+        asked = hashes[some]
+        if len(asked):
+            keys = self.v["keys"]
+            at = np.searchsorted(keys, asked)
+            at[at == len(keys)] = 0
+            out[some] = np.where(keys[at] == asked, self.v["key_ids"][at], -1)
+        return out
 
     def _side_by_side(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Whether byte-pair merging of both pieces' text ends in just these two."""
@@ -188,8 +194,9 @@ class Encoder:
             a, b = np.where(undo_a, self.v["right"][a], a), np.where(undo_a, b, self.v["left"][b])
         return ok
 
-    def _viterbi(self, codes: np.ndarray) -> list[list[int]]:
-        """Ids of each row of a matrix of code points (units of one length)."""
+    def _viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a matrix of code points (units of one length), and
+        how many each has."""
         v, (m, n) = self.v, codes.shape
         unigram, longest = v["unigram"], v["longest"]
         prefix = np.zeros((m, n + 1), np.uint64)
@@ -221,18 +228,31 @@ class Encoder:
             best[:, j] = step[rows, pick]
             back[:, j] = pick + 1
             last[:, j] = piece[rows, pick]
-        out: list[list[int]] = []
-        back_l, last_l = back.tolist(), last.tolist()
-        for r in range(m):
-            at, path = n, []
-            while at > 0:
-                path.append((at - back_l[r][at], last_l[r][at]))
-                at -= back_l[r][at]
-            ids: list[int] = []
-            for start, piece_id in reversed(path):
-                ids += [piece_id] if piece_id >= 0 else self._without_piece(int(codes[r, start]))
-            out.append(ids)
-        return out
+        return self._paths(codes, last, back)
+
+    def _paths(self, codes: np.ndarray, last: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Follow the backpointers of all rows at once: ids in a row, and how many a unit has."""
+        rows, at = np.arange(len(codes)), np.full(len(codes), codes.shape[1])
+        taken = []
+        while (live := at > 0).any():
+            piece = np.where(live, last[rows, at], -2)
+            at = np.where(live, at - back[rows, at], 0)
+            # a character without a piece is noted by its place, below -2
+            taken.append(np.where(piece == -1, -3 - at, piece))
+        path = np.stack(taken[::-1], axis=1)
+        own = path != -2
+        ids, length = path[own], own.sum(axis=1)
+        lone = np.flatnonzero(ids < -2)
+        if len(lone):
+            row = np.repeat(rows, length)[lone]
+            bytes_of = [self._without_piece(int(codes[r, -3 - i])) for r, i in zip(row.tolist(), ids[lone].tolist())]
+            more = np.fromiter(map(len, bytes_of), np.int64, len(lone)) - 1
+            width = np.ones(len(ids), np.int64)
+            width[lone] += more
+            ids = np.repeat(ids, width)
+            ids[ids < -2] = [b for part in bytes_of for b in part]
+            np.add.at(length, row, more)
+        return ids, length
 
     def _without_piece(self, code: int) -> list[int]:
         raw = self.v["byte_ids"][np.frombuffer(chr(code).encode(), np.uint8)]
@@ -280,11 +300,15 @@ class Encoder:
 
     def _learn(self, units: list[str]) -> None:
         """Encode units not seen before and remember their ids."""
-        done: list[list[int]] = [[]] * len(units)
+        start, length = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        found, used = [self.flat], len(self.flat)
         by_size: dict[int, list[int]] = {}
         for i, u in enumerate(units):
             if len(u) > LONG_UNIT:
-                done[i] = self._long(u)
+                ids = self._long(u)
+                start[i], length[i] = used, len(ids)
+                found.append(np.array(ids, np.int32))
+                used += len(ids)
             else:
                 by_size.setdefault(len(u), []).append(i)
         for size, members in by_size.items():
@@ -292,14 +316,14 @@ class Encoder:
             for at in range(0, len(members), rows):
                 part = members[at : at + rows]
                 text = "".join(units[i] for i in part).encode("utf-32-le")
-                for i, ids in zip(part, self._viterbi(np.frombuffer(text, np.uint32).reshape(len(part), size))):
-                    done[i] = ids
-        lengths = np.fromiter(map(len, done), np.int64, len(done))
-        base = len(self.flat) + np.concatenate(([0], np.cumsum(lengths)))[:-1]
-        new = np.fromiter((x for ids in done for x in ids), np.int32, int(lengths.sum()))
-        self.flat = np.concatenate((self.flat, new))
-        self.start = np.concatenate((self.start, base))
-        self.length = np.concatenate((self.length, lengths))
+                ids, count = self._viterbi(np.frombuffer(text, np.uint32).reshape(len(part), size))
+                start[part] = used + np.cumsum(count) - count
+                length[part] = count
+                found.append(ids.astype(np.int32))
+                used += len(ids)
+        self.flat = np.concatenate(found)
+        self.start = np.concatenate((self.start, start))
+        self.length = np.concatenate((self.length, length))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and the offsets of the texts in them."""
