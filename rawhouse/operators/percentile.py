@@ -7,8 +7,7 @@ task's memory.  Here instead, the same way at every size:
 1. one aggregation gives each group's count and, from the mergeable
    ``percentile_approx`` sketch (bounded memory), a bracket of values that is
    sure to hold the two positions around ``(n - 1) * p``;
-2. a second pass keeps the values inside the brackets (a few ten-thousandths of
-   a large group) and counts those below; both are combined on the map side to
+2. a second pass keeps the values inside the brackets (0.08 % of a large group) and counts those below; both are combined on the map side to
    ``(group, percentile, value, weight)``, the values below as one row;
 3. running weights give each kept value its exact interval of positions, and
    the at most two values that cover the wanted positions are interpolated like
@@ -71,7 +70,8 @@ def percentiles(
     )
     if not stored:
         rows = materialize(rows, "percentile-input")
-    brackets = _brackets(rows, keys, cols, specs)
+    # one row a group, read three times below
+    brackets = materialize(_brackets(rows, keys, cols, specs), "percentile-brackets")
     near = _near_values(rows, brackets, keys, cols, specs)
     return _interpolated(near, brackets, keys, by, specs)
 
@@ -103,16 +103,20 @@ def _brackets(rows: DataFrame, keys: list[str], cols: list[str], specs) -> DataF
 
 
 def _near_values(rows: DataFrame, brackets: DataFrame, keys: list[str], cols: list[str], specs) -> DataFrame:
-    """(keys, _k, _v, _w): values inside the bracket of spec _k with their number
-    of rows; the row with a NULL value holds the number of rows below."""
+    """(keys, _k, _v, _w, _n): values inside the bracket of spec _k with their
+    number of rows and the group's; the row with a NULL value holds the number of
+    rows below."""
     each = []
     for j, (_, c, _) in enumerate(specs):
         v = F.col(f"_v{cols.index(c)}")
         inside = (v >= F.col(f"_lo{j}")) & (v <= F.col(f"_hi{j}"))
-        each.append(F.struct(F.lit(j).alias("_k"), F.when(inside, v).alias("_v"), (inside | (v < F.col(f"_lo{j}"))).alias("_on")))
+        on = inside | (v < F.col(f"_lo{j}"))
+        each.append(
+            F.struct(F.lit(j).alias("_k"), F.when(inside, v).alias("_v"), F.col(f"_n{j}").alias("_n"), on.alias("_on"))
+        )
     joined = rows.join(brackets, _same(rows, brackets, keys, [f"_b{k}" for k in keys]))
     melted = joined.select(*keys, F.inline(F.array(*each))).where("_on")
-    return melted.groupBy(*keys, "_k", "_v").agg(F.count(F.lit(1)).alias("_w"))
+    return melted.groupBy(*keys, "_k", "_v").agg(F.count(F.lit(1)).alias("_w"), F.max("_n").alias("_n"))
 
 
 def _interpolated(near: DataFrame, brackets: DataFrame, keys: list[str], by: list[str], specs) -> DataFrame:
@@ -120,17 +124,13 @@ def _interpolated(near: DataFrame, brackets: DataFrame, keys: list[str], by: lis
         Window.unboundedPreceding, 0
     )
     placed = near.withColumn("_end", F.sum("_w").over(running))
-    counted = placed.join(
-        brackets.select(*[f"_b{k}" for k in keys], F.array(*[F.col(f"_n{j}") for j in range(len(specs))]).alias("_ns")),
-        _same(placed, brackets, keys, [f"_b{k}" for k in keys]),
-    )
     share = F.get(F.array(*[F.lit(float(p)) for _, _, p in specs]), F.col("_k"))
-    at = (F.get("_ns", F.col("_k")) - 1) * share
+    at = (F.col("_n") - 1) * share
 
     def covers(position: Column) -> Column:
         return F.col("_v").isNotNull() & (F.col("_end") - F.col("_w") <= position) & (position < F.col("_end"))
 
-    picked = counted.where(covers(F.floor(at)) | covers(F.ceil(at)))
+    picked = placed.where(covers(F.floor(at)) | covers(F.ceil(at)))
     aggs = []
     for j in range(len(specs)):
         mine = F.col("_k") == j
