@@ -61,7 +61,7 @@ def summarise(plan: str) -> tuple[Counter, list[str], list[str]]:
 
 
 def main(argv: list[str]) -> None:
-    from __spark_entry__ import queries
+    from rawhouse.plans.queries import REGISTRY
     from rawhouse.session import build_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
@@ -73,7 +73,7 @@ def main(argv: list[str]) -> None:
     print(f"# Physical plans ({os.path.basename(sf_dir)}, final AQE plans, local[8], 16 shuffle partitions)\n")
     print("Generated by `python tests/plan_report.py`. Counts are operators in the final plan of the")
     print("query's last job (earlier jobs, e.g. checkpoints or size checks, are not included).\n")
-    for name, q in queries().items():
+    for name, q in REGISTRY.items():
         counts, keys, pushed = summarise(final_plan(q(spark, sf_dir)))
         ops = ", ".join(f"{label} ×{n}" for label, n in sorted(counts.items()))
         print(f"## {name}\n")
