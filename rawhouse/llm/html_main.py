@@ -4,7 +4,9 @@ A page becomes a tree of elements (unclosed paragraphs, list items and table
 cells end where the next one starts; scripts, styles and the like hold no
 markup).  Regions that are not part of an article by their tag, role or class
 (navigation, page headers and footers, sidebars, notices, adverts, forms, reader
-comments) are left out.  Every block of text passes points for its length and
+comments) are left out.  Ids that are slugs of the text are not judged, and a
+region whose name alone speaks against it stays if its text is long and poor in
+links.  Every block of text passes points for its length and
 its commas to its ancestors, half of them a level up; an element's points are
 discounted by the share of its text that stands in links.  The best container
 is kept, with those siblings that score a fair part of it or read like prose.
@@ -33,7 +35,7 @@ _TAG = re.compile(
     re.S,
 )
 _LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Elements whose content is not markup; their text is never page text.
@@ -84,6 +86,28 @@ _GOOD_WORDS = frozenset(
 
 
 _ABOUT_WORDS = frozenset(("has", "with", "no", "without"))  # "has-sidebar" names a page's layout
+# Words that only name a part of a layout: "comment-list" says as much as "comments".
+_FRAME_WORDS = _GOOD_WORDS | frozenset(
+    (
+        "area", "bar", "block", "bottom", "box", "button", "buttons", "col", "column", "container", "cta", "form", "global", "header",
+        "heading", "holder", "icon", "icons", "inner", "inline", "item", "items", "label", "left", "link", "links", "list", "outer",
+        "panel", "posts", "primary", "region", "results", "right", "row", "secondary", "section", "site", "slot", "sticky", "stories",
+        "title", "top", "unit", "wrap", "wrapper", "zone",
+    )
+)
+# Regions that may hold long prose and still are none of the article's: reader
+# comments, notices, adverts, sidebars, footers, navigation.
+_APART_WORDS = frozenset(
+    (
+        "ad", "ads", "advert", "adverts", "advertisement", "advertising", "breadcrumb", "breadcrumbs", "comment", "comments",
+        "commentlist", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "masthead", "nav", "navbar", "navigation",
+        "newsletter", "notice", "notices", "outbrain", "remark", "replies", "respond", "shoutbox", "sidebar", "sidebars", "sponsored",
+        "taboola",
+    )
+)
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+_ID_TAGS = frozenset(("div", "section", "ul", "ol", "dl", "table", "td"))  # elsewhere an id is an anchor in the text
+_LONG, _LINKED = 200, 0.25  # characters, and share in links, of a text that is prose whatever its region is called
 
 
 class Node:
@@ -157,52 +181,89 @@ def _closed(here: Node, name: str) -> Node:
     return here
 
 
-def _names_of(attrs: str) -> tuple[list[set[str]], str, bool]:
-    """The words of each class name and id (lower-cased), the role, and whether
-    the element is hidden."""
-    names: list[set[str]] = []
-    role, hidden = "", bool(re.search(r"(?:^|\s)hidden(?=\s|$)", attrs))
+def _names_of(attrs: str) -> tuple[list[set[str]], list[set[str]], str, bool]:
+    """The words of each class name and of the id (lower-cased), the role, and
+    whether the element is hidden."""
+    classes: list[set[str]] = []
+    ids: list[set[str]] = []
+    role, hidden = "", False
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            names += [{w.lower() for w in _PIECES.findall(part)} for part in value.split()]
+            (classes if name == "class" else ids).extend({w.lower() for w in _PIECES.findall(part)} for part in value.split())
         elif name == "role":
             role = value.strip().lower()
+        elif name == "hidden":
+            hidden |= value.strip().lower() != "until-found"
         elif name == "aria-hidden":
             hidden |= value.strip().lower() == "true"
         elif name == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-    return names, role, hidden
+    return classes, ids, role, hidden
 
 
 def _words_of(attrs: str) -> set[str]:
-    return set().union(*_names_of(attrs)[0])
+    classes, ids, _, _ = _names_of(attrs)
+    return set().union(*classes, *ids)
 
 
-def _left_out(node: Node, in_article: bool) -> bool:
+def _left_out(node: Node, in_article: bool) -> bool | None:
+    """Whether a region is not part of an article; None: by its name only, so
+    its text decides."""
     if node.tag in ("article", "main"):
         if not in_article:
-            return bool(node.attrs) and _names_of(node.attrs)[2]
+            return bool(node.attrs) and _names_of(node.attrs)[3]
     elif node.tag in _SKIP_TAGS or node.tag == "footer" or (node.tag == "header" and not in_article):
         return True
     if not node.attrs:
         return False
-    names, role, hidden = _names_of(node.attrs)
+    classes, ids, role, hidden = _names_of(node.attrs)
     if hidden or role in _SKIP_ROLES:
         return True
-    if node.tag in ("body", "h1") or any(len(n) == 1 and n <= _GOOD_WORDS for n in names):
+    if node.tag in ("body", "h1") or any(len(n) == 1 and n <= _GOOD_WORDS for n in classes + ids):
         return False  # a name that says article on its own
-    return any(n & _SKIP_WORDS and not n & _ABOUT_WORDS for n in names)
+    section = node.tag == "section" or {"section"} in classes
+    if node.tag not in _ID_TAGS or (section and in_article):
+        ids = []  # a slug of the text
+    named = [n for n in classes + ids if n & _SKIP_WORDS and not n & _ABOUT_WORDS]
+    whole = [n for n in named if n <= _SKIP_WORDS | _FRAME_WORDS]
+    if any(n & _APART_WORDS for n in whole):
+        return True
+    if node.tag in _HEADINGS or node.tag not in _BLOCK:
+        return bool(whole)  # too short for a judgement by its text
+    if in_article or section:  # "search-algorithms" is a slug, "search-box" is not
+        named = [n for n in named if n in classes or n in whole]
+    return None if named else False
+
+
+def _measure(root: Node) -> None:
+    """Characters below each element, and those of them in links."""
+    for node, leaving in _in_order(root):
+        if leaving:
+            below = [c for c in node.children if not isinstance(c, str)]
+            node.chars = sum(len(c.strip()) for c in node.children if isinstance(c, str)) + sum(c.chars for c in below)
+            node.linked = node.chars if node.tag == "a" else sum(c.linked for c in below)
 
 
 def prune(root: Node) -> None:
-    """Drop the regions that are not part of an article."""
-    todo = [(root, False)]
+    """Drop the regions that are not part of an article.  One that is so by its
+    name only stays if its text is long and poor in links."""
+    todo, measured = [(root, False)], False
     while todo:
         node, inside = todo.pop()
         inside = inside or node.tag in ("article", "main")
-        node.children = [c for c in node.children if isinstance(c, str) or not _left_out(c, inside)]
-        todo += [(c, inside) for c in node.children if not isinstance(c, str)]
+        kept: list[Node | str] = []
+        for c in node.children:
+            out = False if isinstance(c, str) else _left_out(c, inside)
+            if out is None:
+                if not measured:
+                    _measure(root)
+                    measured = True
+                out = c.chars < _LONG or c.linked >= _LINKED * c.chars
+            if not out:
+                kept.append(c)
+        node.children = kept
+        todo += [(c, inside) for c in kept if not isinstance(c, str)]
 
 
 def _in_order(root: Node) -> list[tuple[Node, bool]]:

@@ -176,6 +176,26 @@ def test_main_text_cases(page, text):
     assert html_main.main_text(page) == text
 
 
+LONG = "A sentence of prose that is part of the article, and goes on for a while. " * 4
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article><h2 id="related-work">Related work</h2><p>a, b</p><h3 id="social-contract">The contract</h3><p>c</p></article>', "Related work\n\na, b\n\nThe contract\n\nc"),
+        ('<main><section id="search-algorithms"><h2>Search</h2><p>a</p></section><div class="section" id="privacy-law"><p>b</p></div></main>', "Search\n\na\n\nb"),
+        ('<article><h2><span class="headline" id="Search">Search</span></h2><p id="share-1">a</p></article>', "Search\n\na"),
+        ('<div class="content"><p>a, b</p><section id="privacy-law"><p>c</p></section></div>', "a, b\n\nc"),
+        ('<article><p title="the hidden path">a <a title="a hidden cost" href=x>b</a></p><p hidden="">c</p><p hidden>d</p></article>', "a b"),
+        (f'<article><p>a</p><div class="elementor-widget"><p>{LONG}</p></div><div class="widget">b</div></article>', f"a\n\n{LONG.strip()}"),
+        (f'<article><p>a</p><div class="share-buttons"><a href=x>{LONG}</a></div><div class="comment-list"><p>{LONG}</p></div></article>', "a"),
+        (f'<div class="content"><p>{LONG}</p><div id="cookie-notice">{LONG}</div><div id="comments"><p>{LONG}</p></div></div>', LONG.strip()),
+    ],
+)
+def test_regions_judged_by_name_and_text(page, text):
+    assert html_main.main_text(page) == text
+
+
 def test_main_text_of_the_driver_pages():
     for r in pq.read_table(f"{SF}/pages.parquet").to_pylist():
         page = r["html"]
