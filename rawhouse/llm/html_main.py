@@ -30,7 +30,7 @@ from rawhouse.llm.common import map_texts
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>=]*(?:=\s*(?:\"[^\"]*\"|'[^']*'|(?![\s\"']))[^>=]*)*)>"  # a quote opens a value after "=" only
     r"|</?[a-zA-Z](?:[^>]*(>)|[^>]*\Z)",
     re.S,
 )
@@ -124,11 +124,9 @@ class Node:
 def build_tree(page: str) -> Node:
     """The element tree of a page."""
     root = Node("html", "", None)
-    here, at, raw = root, 0, None
-    for m in _TAG.finditer(page):
-        if m.start() < at:
-            continue
-        if m.start() > at and raw is None:
+    here, at = root, 0
+    while (m := _TAG.search(page, at)) is not None:  # from `at`: raw content is never read as tags
+        if m.start() > at:
             here.children.append(page[at : m.start()])
         at = m.end()
         name, attrs, closing = m[2], m[3], m[1]
@@ -158,7 +156,7 @@ def build_tree(page: str) -> Node:
         here.children.append(node)
         if name not in _VOID and not attrs.endswith("/"):
             here = node
-    if at < len(page) and raw is None:
+    if at < len(page):
         here.children.append(page[at:])
     return root
 

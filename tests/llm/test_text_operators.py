@@ -196,6 +196,26 @@ def test_regions_judged_by_name_and_text(page, text):
     assert html_main.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<script>for(i=0;i<n;i++){} // don't wait</script><article><p>It's one.</p><p>It's two.</p></article>", "It's one.\n\nIt's two."),
+        ("<script>if(a<b) s=\"x</script><article><p>a \"b\" c</p></article>", 'a "b" c'),
+        ("<script>x='<!--'</script><article><p>a</p></article><!-- b -->", "a"),
+        ("<style>a<b'{}</style><p>don't</p><script>c<d'</script><p>can't</p>", "don't\n\ncan't"),
+        ("<article><p it's>a</p><p>b's</p><p title='x>y' class=\"p>q\" lang = 'e>n'>c</p></article>", "a\n\nb's\n\nc"),
+        ('<article><p title="x>a</p><p>b</p></article>', "a\n\nb"),
+    ],
+)
+def test_tags_end_where_markup_does(page, text):
+    assert html_main.main_text(page) == text
+
+
+def test_open_quotes_take_linear_time():
+    assert html_main.main_text("<article>" + "<p it's>a</p>" * 20_000).count("a") == 20_000
+    assert html_main.main_text("<p " + "a='b' c=d " * 20_000) == ""
+
+
 def test_main_text_of_the_driver_pages():
     for r in pq.read_table(f"{SF}/pages.parquet").to_pylist():
         page = r["html"]
