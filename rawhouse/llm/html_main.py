@@ -6,10 +6,12 @@ markup).  Regions that are not part of an article by their tag, role or class
 (navigation, page headers and footers, sidebars, notices, adverts, forms, reader
 comments) are left out.  Ids that are slugs of the text are not judged, and a
 region whose name alone speaks against it stays if its text is long and poor in
-links.  Every block of text passes points for its length and
-its commas to its ancestors, half of them a level up; an element's points are
-discounted by the share of its text that stands in links.  The best container
-is kept, with those siblings that score a fair part of it or read like prose.
+links.  Every block of text passes points for its length and its commas to its
+ancestors, half of them a level up; an element's points are discounted by the
+share of its text that stands in links.  The best container is kept; from it,
+the way leads up to the outermost one whose other parts are mostly unlinked
+prose, and all its text is kept but for blocks that are mainly links and score
+little.
 
 Text of a block: character references decoded, white space joined to one space,
 trimmed; blocks in page order are joined by an empty line.
@@ -106,6 +108,7 @@ _APART_WORDS = frozenset(
     )
 )
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+_PROSE_TAGS = _HEADINGS | {"p", "pre", "blockquote", "ul", "ol", "dl", "table"}
 _ID_TAGS = frozenset(("div", "section", "ul", "ol", "dl", "table", "td"))  # elsewhere an id is an anchor in the text
 _LONG, _LINKED = 200, 0.25  # characters, and share in links, of a text that is prose whatever its region is called
 
@@ -121,6 +124,9 @@ class Node:
         self.linked = 0
 
 
+_END = Node("div", "", None)  # between the texts of two blocks
+
+
 def build_tree(page: str) -> Node:
     """The element tree of a page."""
     root = Node("html", "", None)
@@ -318,19 +324,50 @@ def score(root: Node) -> Node | None:
     return best
 
 
+def _dense(node: Node) -> bool:
+    return 2 * node.linked > node.chars
+
+
+def _is_prose(node: Node) -> bool:
+    """Text of an article: elements that hold prose, lists or tables, or a long
+    text without them, and not mainly links."""
+    if not node.chars or _dense(node):
+        return False
+    if node.chars > 80 or node.tag in _PROSE_TAGS:
+        return True
+    return any(not leaving and n.chars and n.tag in _PROSE_TAGS for n, leaving in _in_order(node))
+
+
 def _kept(best: Node) -> list[Node | str]:
-    """The best container, with fair siblings around it."""
+    """The text of the outermost container whose parts around the best one are
+    mostly unlinked prose, without poor blocks that are mainly links; around the
+    best element itself, any prose is enough."""
     if best.parent is None or best.tag in ("article", "main"):
         return [best]
-    least, out = max(2.0, 0.2 * best.points), []
-    for c in best.parent.children:
-        if c is best:
-            out.append(c)
-        elif not isinstance(c, str) and c.chars:
-            density = c.linked / c.chars
-            prose = c.tag in ("p", "pre", "blockquote", "h1", "h2", "h3") and density < 0.25
-            if c.points >= least or (prose and (c.chars > 80 or density == 0)):
-                out.append(c)
+    top, here, beside = best, best, True
+    while here.parent is not None:
+        up = here.parent
+        prose = sum(c.chars for c in up.children if c is not here and not isinstance(c, str) and c.tag in _BLOCK and _is_prose(c))
+        links = sum(c.chars for c in up.children if c is not here and not isinstance(c, str) and _dense(c))
+        bare = sum(len(c.strip()) if isinstance(c, str) else c.chars for c in up.children if isinstance(c, str) or c.tag not in _BLOCK)
+        prose += bare if bare > 80 else 0
+        if prose and (beside or prose >= links):
+            top = up
+        beside = beside and up.chars == here.chars
+        here = up
+    path, here = set(), best
+    while here is not top:
+        path.add(id(here))
+        here = here.parent
+    least, out, todo = max(2.0, 0.2 * best.points), [], [top]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str) or node is best:
+            out.append(node)
+        elif node is top or id(node) in path:
+            todo += [_END, *reversed(node.children), _END] if node.tag in _BLOCK else reversed(node.children)
+        elif node is _END or node.tag not in _BLOCK or not _dense(node) or node.points >= least:
+            out.append(node)
     return out
 
 

@@ -216,6 +216,23 @@ def test_open_quotes_take_linear_time():
     assert html_main.main_text("<p " + "a='b' c=d " * 20_000) == ""
 
 
+def test_unequal_sections_are_kept():
+    paras = [f"Paragraph {i}, with commas, and words. " + "More of it follows here, as ever. " * 9 for i in range(10)]
+    short = "Another section, of one paragraph, and not as long as the first. " * 4
+    first = "<div>" + "".join(f"<p>{p}</p>" for p in paras) + "</div>"
+    rest = "<section><h4>Note</h4><p>Short.</p></section><table><tr><td>1<td>2</table><ul><li>item</ul><h5>End</h5>"
+    links = "<ul><li><a href=x>A link to another page</a><li><a href=y>and one more</a></ul>"
+    want = [p.strip() for p in paras] + [short.strip(), "Note", "Short.", "1", "2", "item", "End"]
+    page = f"<div id=content>{first}<div>{short}</div>{rest}{links}</div>"
+    assert html_main.main_text(page) == "\n\n".join(want)
+    outer = f"<body>{links}<h1>Title</h1><div><div>{page}</div></div><div><p>{short}</p></div><div class=sidebar><p>{short}</p></div></body>"
+    assert html_main.main_text(outer) == "\n\n".join(["Title", *want, short.strip()])
+    nav = f"<div>{first}</div><div>{links * 20}<p>Imprint.</p></div>"
+    assert html_main.main_text(nav) == "\n\n".join(p.strip() for p in paras)
+    bare = f"{short}<b>bold</b> text<div>{first}</div>"
+    assert html_main.main_text(bare) == "\n\n".join([f"{short}bold text", *(p.strip() for p in paras)])
+
+
 def test_main_text_of_the_driver_pages():
     for r in pq.read_table(f"{SF}/pages.parquet").to_pylist():
         page = r["html"]
