@@ -5,6 +5,7 @@ shuffle) except :func:`match_posts`, which joins tokens with the code list.
 
 from __future__ import annotations
 
+import html.entities
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -96,37 +97,45 @@ def clean_profile(
     return df.withColumns(repl)
 
 
-# Named character references decoded in cell texts ("amp" last,
-# so that "&amp;lt;" stays "&lt;").
-NAMED_REFERENCES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "reg": "\u00ae",
-    "trade": "\u2122", "middot": "\u00b7", "ndash": "\u2013", "mdash": "\u2014", "hellip": "\u2026",
-    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d", "euro": "\u20ac",
-    "pound": "\u00a3", "eacute": "\u00e9", "uuml": "\u00fc", "amp": "&",
-}
+# Character references by name, the ones without an end sign ("eacute" beside
+# "eacute;") included, and the numbers that parsers read as Windows-1252.  The
+# frequent ones come first: a literal map is searched from its start.
+_FREQUENT = ("amp;", "quot;", "lt;", "gt;", "apos;", "nbsp;", "middot;", "copy;", "ndash;", "mdash;", "hellip;", "lsquo;", "rsquo;")
+_LATIN = [name + end for name in html.entities.name2codepoint for end in (";", "") if name + end in html.entities.html5]
+NAMED_REFERENCES = {n: html.entities.html5[n] for n in (*_FREQUENT, *_LATIN, *html.entities.html5)}
+_WINDOWS = {f"#{i:X}": text for i in range(0x80, 0xA0) if (text := bytes([i]).decode("cp1252", "ignore"))}
+_OPEN_NAMES = "|".join(sorted((n for n in NAMED_REFERENCES if not n.endswith(";")), key=lambda n: (-len(n), n)))
+_REFERENCE = "&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);?"
 
 _TAG = r"<(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
 
 
 def decode_references(c: Column) -> Column:
-    """Text with its character references decoded: decimal, hexadecimal and
-    :data:`NAMED_REFERENCES`; others stay as they are."""
-    numeric = F.array_distinct(F.regexp_extract_all(c, F.lit("&#([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(1)))
-
-    def char(ref: Column) -> Column:
-        digits = F.lower(ref)
-        point = F.when(digits.startswith("x"), F.lpad(F.substring(digits, 2, 6), 8, "0")).otherwise(
-            F.lpad(F.hex(digits.try_cast("bigint")), 8, "0")
-        )
-        valid = (point <= "0010FFFF") & ~point.rlike("^0000D[89A-F]") & (point > "00000000")
-        return F.when(valid, F.decode(F.unhex(point), "UTF-32"))
-
-    out = F.aggregate(
-        numeric, c, lambda text, ref: F.replace(text, F.concat(F.lit("&#"), ref, F.lit(";")), F.coalesce(char(ref), F.lit("\ufffd")))
+    """Text with its character references decoded as a parser does, in one pass
+    from left to right: decimal, hexadecimal and all names of HTML
+    (:data:`NAMED_REFERENCES`); others stay as they are."""
+    table = F.str_to_map(
+        F.lit("\x01".join(f"{name}\x02{text}" for name, text in (NAMED_REFERENCES | _WINDOWS).items())), F.lit("\x01"), F.lit("\x02")
     )
-    for name, text in NAMED_REFERENCES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(text))
-    return out
+
+    def char(number: Column) -> Column:
+        digits = F.regexp_extract(number, "^(?:[xX]0*|0*)([0-9A-Fa-f]*)$", 1)
+        point = F.when(number.rlike("^[xX]"), F.upper(digits)).otherwise(F.hex(digits.try_cast("bigint")))
+        long = F.lpad(point, 8, "0")
+        valid = (F.length(digits) <= 8) & (long <= "0010FFFF") & ~long.rlike("^0000D[89A-F]") & (long > "00000000")
+        return F.when(valid, F.coalesce(F.element_at(table, F.concat(F.lit("#"), point)), F.decode(F.unhex(long), "UTF-32")))
+
+    def text(ref: Column) -> Column:
+        number = F.regexp_extract(ref, "^&#([^;]+);?$", 1)
+        name = F.substring(ref, 2, 1 << 30)
+        begins = F.regexp_extract(name, f"^(?:{_OPEN_NAMES})", 0)  # "&notx" is read as "&not" and an x
+        rest = F.when(begins != "", F.concat(F.element_at(table, begins), F.substr(name, F.length(begins) + 1)))
+        return F.when(number != "", F.coalesce(char(number), F.lit("\ufffd"))).otherwise(F.coalesce(F.element_at(table, name), rest, ref))
+
+    between = F.split(c, _REFERENCE, -1)
+    found = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
+    pieces = F.zip_with(between, found, lambda plain, ref: F.concat(plain, F.when(ref.isNull(), "").otherwise(text(ref))))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(pieces, "")).otherwise(c)
 
 
 def html_cell_pairs(

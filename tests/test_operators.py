@@ -395,6 +395,22 @@ def test_cell_text_as_a_parser_sees_it(spark):
     assert rows(prs.html_cell_pairs(df, "html", ["id"])) == [(1, 0, "AT&T", "Y"), (1, 1, "&lt; \u20acA", "\u00e9 &unknown; \ufffd")]
 
 
+def test_every_reference_is_decoded(spark):
+    import html.entities
+
+    texts = [
+        "M&uuml;ller &ouml;&auml;&szlig; &ntilde;&aacute; &egrave; 3 &times; 4", "&#38;lt; &amp;#60; &#38;amp;amp;", "&eacute &notit; &AMP &unknown; &; & &#; &#x;",
+        "&#150; &#x80; &#x81; &#0; &#xD800; &#x10FFFD; &#1114112; &#99999999999999999999; &#x000000041; &#0000000000065 &#65z", "a\\b $1 &dollar;",
+        "", "plain",
+    ] + [f"x&{n}y" if n.endswith(";") else f"x&{n} y" for n in html.entities.html5]
+    df = spark.createDataFrame([*enumerate(texts), (-1, None)], "id int, t string")
+    got = dict(rows(df.select("id", prs.decode_references(F.col("t")))))
+    want = {i: html.unescape(t) for i, t in enumerate(texts)} | {-1: None}
+    assert [(texts[i], got[i], want[i]) for i in want if got[i] != want[i]] == []
+    cells = spark.createDataFrame([(1, "<li>M&uuml;&szlig;</li><li>Espa&ntilde;a &#38;lt;</li>")], "id int, html string")
+    assert rows(prs.html_cell_pairs(cells, "html", ["id"], tag="li")) == [(1, 0, "Müß", "España &lt;")]
+
+
 def test_match_posts_with_punctuated_codes(spark):
     posts = spark.createDataFrame(
         [(1, "$BRK.B up"), (2, "$BRK."), (3, "$BRK.C, $BF-B."), (4, "$BRKB"), (5, "$RDS/A $A.B.C")], "id int, text string"
