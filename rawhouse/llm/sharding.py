@@ -1,8 +1,8 @@
 """Sharding by a two-pass external shuffle, in DataFrame functions only.
 
 Pass 1 scatters the rows into buckets with a seeded hash.  The number of
-buckets follows the measured size of the table, so that a bucket fits a task's
-memory; a row's bucket depends on its id, text checksum and a number that
+buckets follows the measured size of the table, all columns of it, so that a
+bucket fits a task's memory; a row's bucket depends on its id, text checksum and a number that
 tells repeated rows apart, so equal rows spread as well.  Pass 2 brings each
 bucket into one fixed order, shuffles it with a Fisher-Yates shuffle
 (``functions.shuffle``) and writes it.  The written rows are then dealt: a
@@ -22,8 +22,9 @@ like any other; extra columns travel along; no rows give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rawhouse.llm.common import free_name
@@ -34,6 +35,21 @@ ROW_BYTES = 16
 SEED = 42
 
 
+def _row_bytes(df: DataFrame, names: list[str]) -> Column:
+    """About the bytes that a row takes with all its columns; nested ones count
+    as their JSON text."""
+    out = F.lit(ROW_BYTES).cast("long")
+    for c in names:
+        kind = df.schema[c].dataType
+        if isinstance(kind, T.StringType | T.BinaryType):
+            out += 8 + F.coalesce(F.octet_length(f"`{c}`"), F.lit(0))
+        elif isinstance(kind, T.NumericType | T.BooleanType | T.DatetimeType):
+            out += F.lit(16 if isinstance(kind, T.DecimalType) else 8)
+        else:
+            out += 8 + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`").alias("c")))), F.lit(0))
+    return out
+
+
 def shuffled(
     df: DataFrame,
     shards: int,
@@ -49,24 +65,27 @@ def shuffled(
     spark = df.sparkSession
     names = [c for c in df.columns if c.lower() not in {"size", "shard", "slot"}]
     length = F.coalesce(F.octet_length(f"`{text_col}`"), F.lit(0)).cast("long")
-    total = df.agg(F.sum(length + ROW_BYTES)).first()[0] or 0
+    total = df.agg(F.sum(_row_bytes(df, names))).first()[0] or 0
     buckets = max(-(-total // bucket_bytes), min(default_parallelism(spark), 64))
 
     # Pass 1: scatter.  ``nth`` numbers the scanned rows, which parts equal ones.
-    nth, bucket, rows, size = (free_name(df, c) for c in ("nth", "bucket", "rows", "bytes"))
+    nth, mark, bucket, rows, size = (free_name(df, c) for c in ("nth", "mark", "bucket", "rows", "bytes"))
     key = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.crc32(F.coalesce(f"`{text_col}`", F.lit("")).cast("binary")), nth)
     placed = (
         df.select(*[F.col(f"`{c}`") for c in names], (length + ROW_BYTES).alias(size))
         .withColumn(nth, F.monotonically_increasing_id())
         .withColumn(bucket, F.pmod(key, F.lit(buckets)))
-        .withColumn(nth, F.xxhash64(F.lit(seed + 1), key, nth))
+        .withColumn(mark, F.xxhash64(F.lit(seed + 1), key, nth))
     )
-    # Pass 2: a fixed order, then Fisher-Yates, then write.
-    inside = F.collect_list(F.struct(nth, size, *[F.col(f"`{c}`") for c in names]))
+    # Pass 2: a fixed order (places are sorted, so any column type will do), then
+    # Fisher-Yates, then write.
+    inside = F.collect_list(F.struct(mark, nth, size, *[F.col(f"`{c}`") for c in names]))
+    order = F.sort_array(F.transform(rows, lambda r, i: F.struct(r[mark].alias("m"), r[nth].alias("n"), i.alias("i"))))
     drawn = (
         placed.repartition(buckets, bucket)
         .groupBy(bucket)
-        .agg(F.shuffle(F.sort_array(inside), seed).alias(rows))
+        .agg(inside.alias(rows))
+        .select(bucket, F.transform(F.shuffle(order, seed), lambda o: F.get(rows, o["i"])).alias(rows))
         .select(bucket, F.posexplode(rows).alias("at", "row"))
     )
     path = scratch_path(spark, "shards")

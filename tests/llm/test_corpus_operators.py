@@ -338,6 +338,18 @@ def test_shard_edges_and_files(spark, docs, odd, odd_rows, tmp_dir):
     assert sorted((r["shard"], r["slot"]) for r in same) == [(s, k) for s in range(3) for k in range(100)]
 
 
+def test_buckets_follow_all_columns(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(sharding, "scratch_path", lambda *_: f"{tmp_dir}/buckets")
+    df = spark.range(400).selectExpr(
+        "id AS doc_id", "'short' AS text", "repeat('h', 4000) AS html", "map('k', id) AS meta", "array_repeat(0.5D, 200) AS v",
+        "1.5BD AS price", "CAST(NULL AS binary) AS b", "current_date() AS d", "struct(id) AS `s.t`", "id AS nth",
+    )
+    got = sharding.shuffled(df, 3, bucket_bytes=1 << 16).collect()
+    assert sorted((r["doc_id"], r["nth"], r["meta"]["k"], len(r["html"]), r["size"]) for r in got) == [(i, i, i, 4000, 21) for i in range(400)]
+    assert sorted((r["slot"], r["shard"]) for r in got) == [(i // 3, i % 3) for i in range(400)]
+    assert spark.read.parquet(f"{tmp_dir}/buckets").select("b").distinct().count() >= 400 * 4000 // (1 << 16)
+
+
 # --- pipeline -----------------------------------------------------------------
 
 
