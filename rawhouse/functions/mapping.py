@@ -11,6 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rawhouse.functions.countries import COUNTRY_NAMES, OTHER_NAMES
+
 # Exchange-name variants and their canonical name.
 EXCHANGE_NAMES = {
     "NYSE": "New York Stock Exchange",
@@ -90,22 +92,15 @@ def _spellings(name: str) -> set[str]:
 def country_codes(spark=None) -> dict[str, str]:
     """Country name -> ISO 3166 alpha-2 code, for every ISO code.
 
-    The names are the English display names of the Java runtime that Spark runs
-    on (the Unicode CLDR table), with variant spellings by rule and
-    :data:`COUNTRY_ALIASES`; no file of the driver's machine is read.
+    The names are the package's own table (:mod:`rawhouse.functions.countries`),
+    with variant spellings by rule and :data:`COUNTRY_ALIASES`; neither the Java
+    runtime nor a file of the driver's machine is asked (``spark`` is not used).
     """
-    from pyspark.sql import SparkSession
-
-    session = spark or SparkSession.getActiveSession()
-    if session is None:
-        raise RuntimeError("country_codes needs an active Spark session")
-    locale = session.sparkContext._jvm.java.util.Locale
     out: dict[str, str] = {}
-    codes = sorted(str(c) for c in locale.getISOCountries())
-    for code in codes:
-        name = str(locale("", code).getDisplayCountry(locale.ENGLISH))
-        for spelling in sorted(_spellings(name)):
-            out.setdefault(spelling, code)
+    for names in (COUNTRY_NAMES, OTHER_NAMES):
+        for name, code in sorted(names.items(), key=lambda item: (item[1], item[0])):
+            for spelling in sorted(_spellings(name)):
+                out.setdefault(spelling, code)
     out.update(COUNTRY_ALIASES)
     return out
 

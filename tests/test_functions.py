@@ -107,6 +107,20 @@ def test_mapping_lookup(spark):
     assert [r[0] for r in ex.select(map_or_keep("v", EXCHANGE_NAMES)).collect()] == ["NASDAQ Global Select", "LSE"]
 
 
+def test_country_names_do_not_depend_on_the_runtime():
+    class NoRuntime:
+        def __getattr__(self, name):
+            raise AssertionError("the Java runtime was asked")
+
+    codes = country_codes(NoRuntime())
+    pairs = {
+        "TR": ("Turkey", "Türkiye", "Turkiye"), "SZ": ("Swaziland", "Eswatini"), "CV": ("Cape Verde", "Cabo Verde"), "CZ": ("Czechia", "Czech Republic"),
+        "MK": ("Macedonia", "North Macedonia"), "MM": ("Burma", "Myanmar", "Myanmar (Burma)"), "MO": ("Macao SAR China", "Macau SAR China"),
+    }
+    assert {c: [codes.get(n) for n in names] for c, names in pairs.items()} == {c: [c] * len(names) for c, names in pairs.items()}
+    assert len(set(codes.values())) >= 249
+
+
 def test_moving_average_sql_form(spark):
     from rawhouse.operators.timeseries import moving_average
     from rawhouse.plans.sql_forms import moving_average_sql
