@@ -21,9 +21,3 @@ def spark():
 def tmp_dir():
     """A new local folder per test (local-mode tests only)."""
     return tempfile.mkdtemp(prefix="rawhouse-test-")
-
-
-def rows(df, *cols):
-    """Collected rows as sorted tuples (optionally of some columns)."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=repr)

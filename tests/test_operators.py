@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from frame_rows import rows
 from rawhouse.functions import reciprocal_fill
 from rawhouse.operators import entity as ent
 from rawhouse.operators import graph as gr

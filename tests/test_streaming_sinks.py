@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from frame_rows import rows
 from rawhouse.sources import files, sinks
 from rawhouse.streaming import stream_entity_csvs, stream_posts, write_audited
 
