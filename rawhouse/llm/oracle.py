@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rawhouse.llm.license_templates import PHRASES, TEMPLATES
 from rawhouse.llm.licenses import parse
+from rawhouse.llm.secrets_index import BASE_KINDS, RULES
 
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -57,7 +58,43 @@ def _license_sql() -> str:
         FROM doc LEFT JOIN kinds USING (doc_id) LEFT JOIN place USING (doc_id)"""
 
 
+def _secret_sql() -> str:
+    """Spans of every rule: the texts between its matches and the matches follow
+    one another, so a match starts where the lengths before it end."""
+    rows = " UNION ALL ".join(
+        f"""SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, regexp_split_to_array(text, {_quoted(r.pattern)}) AS gap,
+                   regexp_extract_all(text, {_quoted(r.pattern)}) AS hit, regexp_extract_all(text, {_quoted(r.pattern)}, {r.group}) AS part
+            FROM doc"""
+        for k, r in enumerate(RULES)
+    )
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind in BASE_KINDS)
+    return f"""
+        WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        rule AS ({rows}),
+        place AS (SELECT *, unnest(range(1, len(hit) + 1)) AS i FROM rule),
+        span AS (
+            SELECT doc_id, k, kind, length(hit[i]) AS n, length(part[i]) AS n_part, least,
+                   list_sum(list_transform(gap[:i], lambda x: length(x)))
+                   + coalesce(list_sum(list_transform(hit[:i - 1], lambda x: length(x))), 0) AS s
+            FROM place),
+        kept AS (
+            SELECT doc_id, k, kind, CAST(s AS BIGINT) AS s, kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + n AS BIGINT) AS word
+            FROM span WHERE n_part >= least),
+        found AS (
+            SELECT doc_id, {counts}, string_agg(word, ',' ORDER BY s, k) AS words,
+                   string_agg(word, ',' ORDER BY s, k) FILTER (WHERE k < {len(BASE_KINDS)}) AS base
+            FROM kept GROUP BY doc_id)
+        SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in BASE_KINDS)},
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(words, '') AS spans
+        FROM doc LEFT JOIN found USING (doc_id)"""
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
 SQL: dict[str, str] = {
+    "op13_secret_scans": _secret_sql(),
     "op1_licenses": _license_sql(),
     "op3_decontamination": f"""
         WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents),

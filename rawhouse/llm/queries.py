@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import html_main, langid, licenses, pii, sharding, simhash_vp, spm, toxicity, vectors, winnow
+from rawhouse.llm import html_main, langid, licenses, pii, secrets_index, sharding, simhash_vp, spm, toxicity, vectors, winnow
 
 
 def default_model() -> str:
@@ -122,6 +122,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document, counted and digested."""
+    found = secrets_index.find_secrets(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: F.substring_index(s, ":", 1).isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets_index.BASE_KINDS),
+        F.sha2(F.concat_ws(",", of(*secrets_index.BASE_KINDS)), 256).alias("base_sha256"),
+        F.concat_ws(",", "spans").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_personal_data": op2_personal_data,
@@ -133,4 +148,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op13_secret_scans": op13_secret_scans,
 }
