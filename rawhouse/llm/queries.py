@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import html_main, langid, licenses, pii, secrets_index, sharding, simhash_vp, spm, toxicity, vectors, winnow
+from rawhouse.llm import html_main, langid, licenses, pii, secrets_index, sharding, simhash_vp, spm, toxicity, vectors, whitening, winnow
 
 
 def default_model() -> str:
@@ -122,6 +122,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding projected on the 32 leading components, whitened."""
+    found, model = whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
+    shares, error = [0.0], 0.0
+    if model is not None and len(model.values):
+        shares = (model.values / model.trace).tolist()
+        error = whitening.identity_error(found, len(shares), model.n)
+    each = found.select("id", "n", "deviation", F.posexplode("whitened").alias("at", "value"))
+    return each.select(
+        F.col("id").alias("vec_id"),
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("value").alias("whitened"),
+        F.element_at(F.array(*map(F.lit, shares)), F.col("at") + 1).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
 def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document, counted and digested."""
     found = secrets_index.find_secrets(_table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -148,5 +167,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_secret_scans": op13_secret_scans,
 }
