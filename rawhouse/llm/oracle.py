@@ -93,7 +93,37 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
+# CRC-32 of a decimal number, bit by bit (reversed polynomial).
+_CRC = """xor(4294967295, list_reduce(
+    list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda acc, b: list_reduce(range(8), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, xor(acc, b)),
+    CAST(4294967295 AS BIGINT)))"""
+
 SQL: dict[str, str] = {
+    "op11_prefix_trie": f"""
+        WITH conv AS (
+            SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS own
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        part AS (SELECT c, own, {_CRC.format("c")} % 9 AS h FROM conv),
+        rebuilt AS (
+            SELECT part.c, list_concat(coalesce(head.own, part.own[:0])[:part.h], part.own[part.h + 1:]) AS turns
+            FROM part LEFT JOIN conv AS head ON head.c = part.c - part.c % 5),
+        step AS (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM rebuilt),
+        node AS (
+            SELECT d, turns[:d] AS prefix, min(c) AS c, count(*) AS n,
+                   string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(turns) = d) AS ends
+            FROM step GROUP BY d, turns[:d]),
+        child AS (SELECT prefix[:d - 1] AS prefix, count(*) AS kids FROM node WHERE d > 0 GROUP BY 1),
+        known AS (SELECT node.*, coalesce(kids, 0) AS kids FROM node LEFT JOIN child ON node.prefix = child.prefix),
+        below AS (
+            SELECT prefix[:k] AS prefix, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS leaves,
+                   sum(CASE WHEN d > 0 THEN (n - 1) * strlen(prefix[d].text) ELSE 0 END) AS saved
+            FROM (SELECT *, unnest(range(d + 1)) AS k FROM known) GROUP BY 1)
+        SELECT known.c AS conv_id, CAST(known.d AS BIGINT) AS depth, above.c AS parent_conv_id, known.n AS n_convs,
+               known.kids AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+               sha256(coalesce(known.ends, '')) AS ends_sha256
+        FROM known JOIN below ON known.prefix = below.prefix
+        LEFT JOIN known AS above ON known.d = above.d + 1 AND known.prefix[:known.d - 1] = above.prefix""",
     "op13_secret_scans": _secret_sql(),
     "op1_licenses": _license_sql(),
     "op3_decontamination": f"""

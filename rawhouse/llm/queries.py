@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawhouse.llm import html_main, langid, licenses, pii, secrets_index, sharding, simhash_vp, spm, toxicity, vectors, whitening, winnow
+from rawhouse.llm import html_main, langid, licenses, pii, prefix_trie, secrets_index, sharding, simhash_vp, spm, toxicity, vectors, whitening, winnow
 
 
 def default_model() -> str:
@@ -122,6 +122,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    rebuilt = prefix_trie.grafted(prefix_trie.conversations(_table(spark, sf_dir, "conversations")), every=5, most=9)
+    return prefix_trie.prefix_trie(rebuilt).select(
+        F.col("conv").alias("conv_id"),
+        "depth",
+        F.col("parent_conv").alias("parent_conv_id"),
+        F.col("n").alias("n_convs"),
+        F.col("kids").alias("n_children"),
+        F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"),
+        "ends_sha256",
+    )
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding projected on the 32 leading components, whitened."""
     found, model = whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
@@ -167,6 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_secret_scans": op13_secret_scans,
 }
