@@ -274,8 +274,8 @@ PERCENTILES = [("p50", "v", 0.5), ("p90", "v", 0.9), ("p0", "v", 0.0), ("p100",
 
 
 def skewed(spark):
-    """One hot group, groups around the limits of the bracket widths, groups of
-    equal values, of NULLs only, and a NULL group key."""
+    """One hot group, groups of many sizes, of equal values, of NULLs only, and a
+    NULL group key."""
     hot = spark.range(0, 60000).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % 17771 / 3.0).alias("v"))
     parts = [hot]
     for n in (1, 2, 3, 19, 20, 21, 22, 199, 200, 201, 202, 9999, 10001, 10002):
@@ -288,21 +288,56 @@ def skewed(spark):
     return df.withColumn("w", -F.col("v"))
 
 
-@pytest.mark.parametrize("reuse", ["true", "false"])
-def test_percentiles_equal_the_built_in(spark, reuse):
+def same_percentiles(df, got, specs):
+    ref = {r["g"]: r for r in df.groupBy("g").agg(*[F.percentile(c, p).alias(n) for n, c, p in specs]).collect()}
+    got = {r["g"]: r for r in got.collect()}
+    assert got.keys() == ref.keys()
+    for g in ref:
+        for n, _, _ in specs:
+            a, b = got[g][n], ref[g][n]
+            assert a == b or a != a and b != b or abs(a - b) <= 1e-12 * max(abs(a), abs(b)), (g, n, a, b)
+    return got
+
+
+@pytest.mark.parametrize("gather", [2, 200, 100_000])
+def test_percentiles_equal_the_built_in(spark, gather):
+    """Gathered at once, after a round of counting, and after several."""
     df = skewed(spark)
-    ref = {r["g"]: r for r in df.groupBy("g").agg(*[F.percentile(c, p).alias(n) for n, c, p in PERCENTILES]).collect()}
-    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    for stored in (False, True):
+        got = same_percentiles(df, percentiles(df, ["g"], PERCENTILES, stored=stored, gather=gather), PERCENTILES)
+        assert got["nulls"]["p50"] is None and got["equal"]["p90"] == 0.028
+
+
+def test_percentiles_of_extreme_values(spark):
+    """Heavy tails, both signs, zeros, infinities, NaN, neighbouring doubles, ties."""
+    extreme = [0.0, -0.0, 1e-300, -1e-300, 5e-324, 1e308, -1e308, float("inf"), float("-inf"), float("nan")]
+    near = [1.0 + i * 2.0**-52 for i in range(300)]
+    data = [("mixed", v) for v in extreme * 7 + [(-1.0) ** i * 10.0 ** (i % 600 - 300) for i in range(900)]]
+    data += [("near", v) for v in near * 2] + [("ties", 3.5)] * 400 + [("ties", float(i)) for i in range(9)]
+    data += [("inf", float("inf"))] * 30 + [("nan", float("nan"))] * 30 + [(None, v) for v in near]
+    df = spark.createDataFrame(data, "g string, v double")
+    specs = [(f"p{i}", "v", i / 20) for i in range(21)]
+    same_percentiles(df, percentiles(df, ["g"], specs, gather=8), specs)
+
+
+def test_a_group_is_only_gathered_below_the_bound(spark):
+    """What is gathered of one group stays below the bound whatever its size."""
+    from rawhouse.operators import percentile as pc
+
+    df = spark.range(0, 30000).select(F.lit("hot").alias("g"), F.exp(F.col("id") % 9973 / 7.0).alias("v"))
+    seen = []
+    real = pc._settled
+
+    def settled(values, done, *rest):
+        seen.extend(r["_inside"] for r in done.where("_lo < _hi").collect())
+        return real(values, done, *rest)
+
+    pc._settled = settled
     try:
-        for stored in (False, True):
-            got = {r["g"]: r for r in percentiles(df, ["g"], PERCENTILES, stored=stored).collect()}
-            assert got.keys() == ref.keys()
-            for g in ref:
-                for n, _, _ in PERCENTILES:
-                    assert got[g][n] == ref[g][n] or abs(got[g][n] - ref[g][n]) < 1e-9, (g, n)
-            assert got["nulls"]["p50"] is None and got["equal"]["p90"] == 0.028
+        same_percentiles(df, percentiles(df, ["g"], [("m", "v", 0.37)], gather=100), [("m", "v", 0.37)])
     finally:
-        spark.conf.unset("spark.sql.exchange.reuse")
+        pc._settled = real
+    assert seen and max(seen) <= 100
 
 
 def test_percentiles_of_nothing(spark):
