@@ -208,12 +208,14 @@ def match_posts(
     token_re = rf"{esc}([\p{{L}}\p{{N}}]+(?:[./-][\p{{L}}\p{{N}}]+)*)"
     found = F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(token_re), F.lit(1)))
     tokens = p.select(*id_cols, F.explode(found).alias("_tok"))
-    # A token and its shorter forms, the longest first; most have one form.
-    ends = F.regexp_extract_all(F.col("_tok"), F.lit(r"([./-])"), F.lit(1))
-    forms = F.transform(
-        F.sequence(F.lit(0), F.size(ends)),
-        lambda i: F.regexp_replace(F.col("_tok"), F.concat(F.lit(r"([./-][^./-]+){"), i.cast("string"), F.lit("}$")), F.lit("")),
+    # A token and its shorter forms, the longest first; most have one form.  The
+    # parts are split once; a form is as long as its parts with a sign between each.
+    parts = F.split(F.col("_tok"), "[./-]")
+    shorter = F.transform(
+        F.sequence(F.lit(0), F.size(parts) - 1),
+        lambda i: F.substr(F.col("_tok"), F.lit(1), F.length(F.array_join(F.slice(parts, F.lit(1), F.size(parts) - i), "."))),
     )
+    forms = F.when(F.col("_tok").rlike("[./-]"), shorter).otherwise(F.array("_tok"))
     tried = tokens.select(*id_cols, "_tok", F.posexplode(forms).alias("_cut", "_form"))
     codes_in = codes.select(F.col(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
     wanted = codes_in.select("_code", F.regexp_replace("_code", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "").alias("_bare"))
