@@ -215,7 +215,8 @@ def match_posts(
         F.sequence(F.lit(0), F.size(parts) - 1),
         lambda i: F.substr(F.col("_tok"), F.lit(1), F.length(F.array_join(F.slice(parts, F.lit(1), F.size(parts) - i), "."))),
     )
-    forms = F.when(F.col("_tok").rlike("[./-]"), shorter).otherwise(F.array("_tok"))
+    compound = F.contains("_tok", F.lit(".")) | F.contains("_tok", F.lit("-")) | F.contains("_tok", F.lit("/"))
+    forms = F.when(compound, shorter).otherwise(F.array("_tok"))
     tried = tokens.select(*id_cols, "_tok", F.posexplode(forms).alias("_cut", "_form"))
     codes_in = codes.select(F.col(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
     wanted = codes_in.select("_code", F.regexp_replace("_code", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "").alias("_bare"))

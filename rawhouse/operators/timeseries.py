@@ -97,8 +97,8 @@ def trend_runs(
     (``period_start_closing_price``, ``period_end_closing_price``) taken from
     ``value`` lagged by ``price_lag`` rows.
 
-    Flips are found with ``lag`` over the date order, not with a self-join on
-    an adjacent row number: one shuffle by key, no join, no second scan.
+    Runs are numbered by a running count of the flips over the date order and
+    rolled up by number: one shuffle by key, no join, no second scan.
     """
     first_year = target_year - report_years - warmup_years + 1
     report_from = target_year - report_years + 1
@@ -123,44 +123,29 @@ def indicator_runs(
     See :func:`trend_runs` for the output; ``value`` is only needed for the
     prices of ``anchor='lead'``.
     """
-    out_key = out_key or key
-    w = _spec(key, order)
+    if anchor not in ("lag", "lead"):
+        raise ValueError(f"anchor must be 'lag' or 'lead', not {anchor!r}")
     price = F.col(value) if value else F.lit(None).cast("double")
-    # consecutive pairs (previous day a, current day b) whose indicator differs
-    pairs = trends.select(
-        F.col(key),
-        F.col(order).alias("change_date"),
-        F.col(indicator).alias("change_trend"),
-        price.alias("change_close"),
-        F.lag(order).over(w).alias("last_date"),
-        F.lag(indicator).over(w).alias("last_trend"),
-        F.lag(price).over(w).alias("last_close"),
+    days = trends.select(F.col(key), F.col(order).alias("_day"), F.col(indicator).alias("_state"), price.alias("_price"))
+    by_day = _spec(key, "_day")
+    turned = F.coalesce(F.col("_state") != F.lag("_state").over(by_day), F.lit(False))
+    # a run's number is the number of turns so far; run 0 began before the series
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = days.withColumn("_turned", turned).withColumn("_run", F.count_if("_turned").over(so_far))
+    runs = numbered.groupBy(key, "_run").agg(
+        F.min("_day").alias("_from"), F.max("_day").alias("_to"), F.min_by("_state", "_day").alias("_state"),
+        F.min_by("_price", "_day").alias("_opened"), F.max_by("_price", "_day").alias("_closed"),
+    )
+    closed = runs.withColumn("_open_run", F.max("_run").over(Window.partitionBy(key))).where("_run > 0 AND _run < _open_run")
+    prices = [F.col("_opened").alias("period_start_closing_price"), F.col("_closed").alias("period_end_closing_price")]
+    return closed.select(
+        F.col(key).alias(out_key or key),
+        F.datediff("_to", "_from").alias("period"),
+        F.col("_from").alias("period_start_date"),
+        F.col("_to").alias("period_end_date"),
+        F.col("_state").alias("trend"),
+        *(prices if anchor == "lead" else []),
     )
-    flips = pairs.where(F.col("last_trend").isNotNull() & (F.col("last_trend") != F.col("change_trend")))
-    wf = _spec(key, "change_date")
-    if anchor == "lag":
-        start = F.lag("change_date").over(wf)
-        report = flips.select(
-            F.col(key).alias(out_key),
-            F.datediff(F.col("last_date"), start).alias("period"),
-            start.alias("period_start_date"),
-            F.col("last_date").alias("period_end_date"),
-            F.col("last_trend").alias("trend"),
-        )
-        return report.where(F.col("period_start_date").isNotNull())
-    if anchor == "lead":
-        end = F.lead("last_date").over(wf)
-        report = flips.select(
-            F.col(key).alias(out_key),
-            F.datediff(end, F.col("change_date")).alias("period"),
-            F.col("change_date").alias("period_start_date"),
-            end.alias("period_end_date"),
-            F.col("change_trend").alias("trend"),
-            F.col("change_close").alias("period_start_closing_price"),
-            F.lead("last_close").over(wf).alias("period_end_closing_price"),
-        )
-        return report.where(F.col("period_end_date").isNotNull())
-    raise ValueError(f"anchor must be 'lag' or 'lead', not {anchor!r}")
 
 
 def category_series(

@@ -117,83 +117,68 @@ WHERE self.sector != 'None' AND other.sector != 'None'
   AND other.p_code <> {P.TARGET_ENTITY}"""
 
 _MUSIC = (C.TRACK, C.TRACK_ARTISTS, C.ARTIST_GENRES, C.ARTIST)
-_STAR = "ta.track_id = track.t_id AND artist.a_id = ta.artist_id"
-_TARGET = f"artist.a_name = '{P.TARGET_ARTIST}'"
-_KEY_CASE = "CASE " + " ".join(
-    f"WHEN t_key = {i} THEN '{label}'" for i, label in enumerate(PITCH_CLASSES)
-) + " ELSE 'Unknown' END"
-_MEASURE_NAMES = [m[2:] for m in MEASURES]
-_AM = "am AS (SELECT a_id, count(t_id) AS a_track_number, avg(CASE WHEN t_mode THEN 1 ELSE 0 END) AS a_mode, " + ", ".join(
-    f"quantile_cont({c}, 0.5) AS {o}" for o, c in MEASURES.items()
-) + f" FROM track, track_artists ta, artist WHERE {_STAR} GROUP BY a_id)"
-
-SQL["entity_stats"] = C.with_ctes(*_MUSIC) + f"""
-SELECT count(*) AS track_number, count(DISTINCT t_album_id) AS album_number,
-       min(t_release_date) AS first_release, max(t_release_date) AS last_release,
-       round(avg(t_popularity), {D}) AS avg_popularity
-FROM track_artists ta, artist, track
-WHERE {_STAR} AND {_TARGET}"""
-
-SQL["top_items"] = C.with_ctes(*_MUSIC) + f""",
-all_tracks AS (SELECT * FROM track_artists ta, artist, track WHERE {_STAR} AND {_TARGET})
-SELECT t_name AS name, {_KEY_CASE} AS "key",
-  CASE WHEN t_mode THEN 'Major' ELSE 'Minor' END AS music_mode,
-  t_year AS year, t_release_date AS release_date, t_album AS album, t_track_number AS track_number,
-  t_disc_number AS disc_number, round(t_duration_ms / 1000, {D}) AS duration_seconds
-FROM all_tracks
-ORDER BY t_popularity DESC, t_id
-LIMIT {P.TOP_ITEMS}"""
-
-SQL["group_sums"] = C.with_ctes(*_MUSIC) + f"""
-SELECT t_album AS album, round(sum(t_acousticness), {D}) AS acousticness,
-       round(sum(t_danceability), {D}) AS danceability, round(sum(t_energy), {D}) AS energy
-FROM track_artists ta, artist, track
-WHERE {_STAR} AND {_TARGET}
-GROUP BY album"""
-
-SQL["entity_measures"] = C.with_ctes(*_MUSIC, _AM) + "SELECT a_id, a_track_number, " + ", ".join(
+_LABELS = "[" + ", ".join(f"'{label}'" for label in PITCH_CLASSES) + "]"
+_PITCH = f"coalesce(CASE WHEN t_key >= 0 THEN {_LABELS}[t_key + 1] END, 'Unknown')"
+_SELF = f"(SELECT s_suppkey FROM supplier WHERE s_name = '{P.TARGET_ARTIST}')"
+# The target's tracks; every credited track with its artist's key.
+_MINE = f"mine AS (SELECT * FROM track WHERE t_id IN (SELECT track_id FROM track_artists WHERE artist_id IN {_SELF}))"
+_PLAYED = "played AS (SELECT * FROM track_artists SEMI JOIN supplier ON s_suppkey = artist_id JOIN track ON t_id = track_id)"
+_AM = _PLAYED + """,
+am AS (
+  SELECT artist_id AS a_id, count(*) AS a_track_number, count(*) FILTER (WHERE t_mode) / count(*) AS a_mode,
+         """ + ", ".join(f"median({c}) AS {o}" for o, c in MEASURES.items()) + " FROM played GROUP BY artist_id)"
+
+SQL["entity_stats"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS, _MINE) + f"""
+SELECT len(list(t_id)) AS track_number, len(list_distinct(list(t_album_id))) AS album_number,
+       list_min(list(t_release_date)) AS first_release, list_max(list(t_release_date)) AS last_release,
+       round(sum(t_popularity) / count(t_popularity), {D}) AS avg_popularity
+FROM mine"""
+
+SQL["top_items"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS, _MINE) + f"""
+SELECT t_name AS name, {_PITCH} AS "key", CASE t_mode WHEN true THEN 'Major' ELSE 'Minor' END AS music_mode,
+       t_year AS year, t_release_date AS release_date, t_album AS album, t_track_number AS track_number,
+       t_disc_number AS disc_number, round(t_duration_ms / 1000, {D}) AS duration_seconds
+FROM mine QUALIFY row_number() OVER (ORDER BY t_popularity DESC, t_id) <= {P.TOP_ITEMS}"""
+
+SQL["group_sums"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS, _MINE) + f"""
+SELECT album, round(list_sum(a), {D}) AS acousticness, round(list_sum(d), {D}) AS danceability, round(list_sum(e), {D}) AS energy
+FROM (SELECT t_album AS album, list(t_acousticness) AS a, list(t_danceability) AS d, list(t_energy) AS e
+      FROM mine GROUP BY ALL)"""
+
+SQL["entity_measures"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS, _AM) + "SELECT a_id, a_track_number, " + ", ".join(
     f"round({c}, {D}) AS {c}" for c in ["a_mode", *MEASURES]
 ) + " FROM am"
 
-SQL["entity_features"] = C.with_ctes(*_MUSIC, _AM) + "SELECT a_name AS name, genres, round(a_mode, 6) AS modality, " + ", ".join(
-    f"round(am.{o}, {D}) AS {o[2:]}" for o in MEASURES
-) + f" FROM artist, am WHERE artist.a_id = am.a_id AND {_TARGET}"
-
-SQL["similar_entities"] = C.with_ctes(*_MUSIC, _AM) + f""",
-clusters AS (SELECT s_suppkey AS a_id, n_regionkey AS prediction FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-similar_set AS (
-  SELECT b.a_id AS candidate, genres
-  FROM artist, clusters a, clusters b
-  WHERE artist.a_id = a.a_id AND {_TARGET} AND a.prediction = b.prediction AND a.a_id <> b.a_id)
-SELECT artist.a_name AS artist_name, artist.genres, am.a_track_number AS track_number,
-  round(am.a_mode, {D}) AS modality, """ + ", ".join(f"round(am.{o}, {D}) AS {o[2:]}" for o in MEASURES) + f"""
-FROM similar_set, artist, am
-WHERE am.a_id = similar_set.candidate AND artist.a_id = similar_set.candidate
-  AND len(list_intersect(artist.genres, similar_set.genres)) > 0
-ORDER BY am.a_track_number DESC, artist.a_name
-LIMIT {P.TOP_ITEMS}"""
+_SHOWN = f"round(a_mode, {D}) AS modality, " + ", ".join(f"round({o}, {D}) AS {o[2:]}" for o in MEASURES)
+SQL["entity_features"] = C.with_ctes(*_MUSIC, _AM) + f"""
+SELECT a_name AS name, genres, {_SHOWN}
+FROM artist JOIN am USING (a_id) WHERE a_id IN {_SELF}"""
+
+# Peers: the suppliers of the target's region that share a genre with it.
+_NEAR = f"""region_of AS (SELECT s_suppkey, n_regionkey FROM supplier JOIN nation ON n_nationkey = s_nationkey),
+near AS (
+  SELECT s_suppkey FROM region_of
+  WHERE n_regionkey IN (SELECT n_regionkey FROM region_of WHERE s_suppkey IN {_SELF}) AND s_suppkey NOT IN {_SELF})"""
+SQL["similar_entities"] = C.with_ctes(*_MUSIC, _AM, _NEAR) + f"""
+SELECT a_name AS artist_name, genres, a_track_number AS track_number, {_SHOWN}
+FROM artist JOIN am USING (a_id)
+WHERE a_id IN (SELECT s_suppkey FROM near) AND list_has_any(genres, (SELECT genres FROM artist WHERE a_id IN {_SELF}))
+QUALIFY row_number() OVER (ORDER BY a_track_number DESC, a_name) <= {P.TOP_ITEMS}"""
 
 SQL["label_frequency"] = C.with_ctes(C.TRACK) + f"""
-SELECT count(*) AS track_number, {_KEY_CASE} AS "key"
+SELECT count(*) AS track_number, {_PITCH} AS "key"
 FROM track GROUP BY t_key"""
 
-SQL["tag_frequency"] = C.with_ctes(C.ARTIST_GENRES, C.ARTIST) + f""",
-artist_genre AS (
-  SELECT a_name, unnest(genres) AS genre FROM artist
-  WHERE genres IS NOT NULL AND len(genres) > 0)
-SELECT count(*) AS artist_number, genre
-FROM artist_genre GROUP BY genre
-ORDER BY artist_number DESC, genre
-LIMIT {P.TOP_TAGS}"""
-
-SQL["popularity_percentiles"] = C.with_ctes(*_MUSIC) + f"""
-SELECT max(t_popularity) AS popularity, round(quantile_cont(t_popularity, 0.9), {D}) AS popularity90,
-       round(quantile_cont(t_popularity, 0.5), {D}) AS popularity50, a_name
-FROM track, track_artists ta, artist
-WHERE {_STAR}
-GROUP BY a_name
-ORDER BY popularity DESC, a_name
-LIMIT {P.TOP_NAMES}"""
+SQL["tag_frequency"] = C.with_ctes(C.ARTIST_GENRES, C.ARTIST) + f"""
+SELECT len(fans) AS artist_number, genre
+FROM (SELECT genre, list(a_id) AS fans FROM (SELECT a_id, unnest(genres) AS genre FROM artist) GROUP BY genre)
+QUALIFY row_number() OVER (ORDER BY len(fans) DESC, genre) <= {P.TOP_TAGS}"""
+
+SQL["popularity_percentiles"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS, _PLAYED) + f"""
+SELECT top AS popularity, round(q[1], {D}) AS popularity90, round(q[2], {D}) AS popularity50, s_name AS a_name
+FROM (SELECT artist_id, max(t_popularity) AS top, quantile_cont(t_popularity, [0.9, 0.5]) AS q FROM played GROUP BY artist_id)
+JOIN supplier ON s_suppkey = artist_id
+QUALIFY row_number() OVER (ORDER BY top DESC, s_name) <= {P.TOP_NAMES}"""
 
 _PAIRS = """dic AS (
   SELECT l_partkey, l_suppkey, row_number() OVER (ORDER BY l_partkey, l_suppkey) AS pair_id
@@ -322,26 +307,18 @@ FROM customer JOIN country ON c_custkey % {len(spelled)} = country.i JOIN exchan
     [*(c for _, c in sorted(EXCHANGE_NAMES.items())), "Moon Exchange"],
 )
 
-SQL["cooccurrence_edges"] = C.with_ctes(C.TRACK_ARTISTS) + """,
-collaboration AS (
-  SELECT a.artist_id AS node, b.artist_id AS neighbor, a.track_id
-  FROM track_artists a, track_artists b WHERE a.track_id = b.track_id)
-SELECT c.node AS artist_id, count(*) AS n_edges, g.n_groups
-FROM collaboration c
-JOIN (SELECT artist_id, count(*) AS n_groups FROM track_artists WHERE track_id IS NOT NULL
-      GROUP BY artist_id) g ON c.node IS NOT DISTINCT FROM g.artist_id
-GROUP BY c.node, g.n_groups"""
-
-SQL["neighbor_smoothing"] = C.with_ctes(*_MUSIC, _AM) + """,
-collaboration AS (
-  SELECT a.artist_id AS node, b.artist_id AS neighbor
-  FROM track_artists a, track_artists b WHERE a.track_id = b.track_id)
-SELECT node, """ + ", ".join(
-    f"round(avg(am.{c}), {D}) AS {o}" for o, c in
-    [("track_number", "a_track_number"), ("modality", "a_mode")] + [(m[2:], m) for m in MEASURES]
-) + """
-FROM collaboration, am WHERE am.a_id = neighbor
-GROUP BY node"""
+# Every ordered pair of artists on one track, themselves included.
+_TOGETHER = """casts AS (SELECT track_id, list(artist_id) AS who FROM track_artists WHERE track_id IS NOT NULL GROUP BY track_id),
+together AS (SELECT one, unnest(who) AS two FROM (SELECT who, unnest(who) AS one FROM casts))"""
+
+SQL["cooccurrence_edges"] = C.with_ctes(C.TRACK_ARTISTS, _TOGETHER) + """
+SELECT one AS artist_id, count(*) AS n_edges, (SELECT count(*) FROM casts WHERE list_contains(who, one)) AS n_groups
+FROM together GROUP BY one"""
+
+_SMOOTH = [("track_number", "a_track_number"), ("modality", "a_mode"), *((m[2:], m) for m in MEASURES)]
+SQL["neighbor_smoothing"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS, _AM, _TOGETHER) + "SELECT one AS node, " + ", ".join(
+    f"round(avg({c}), {D}) AS {o}" for o, c in _SMOOTH
+) + " FROM together JOIN am ON a_id = two GROUP BY one"
 
 
 def _scaled(table: str, columns: list[str]) -> str:
@@ -353,14 +330,12 @@ def _scaled(table: str, columns: list[str]) -> str:
     return f"SELECT a_id, {shown}, true AS at_nearest_centre, CAST({P.KMEANS_K} AS BIGINT) AS n_clusters FROM {table}"
 
 
-SQL["cluster_entities"] = C.with_ctes(*_MUSIC, _AM) + _scaled("am", ["a_track_number", "a_mode", *MEASURES])
+SQL["cluster_entities"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS, _AM) + _scaled("am", ["a_track_number", "a_mode", *MEASURES])
 
-_SMOOTH = [("track_number", "a_track_number"), ("modality", "a_mode"), *((m[2:], m) for m in MEASURES)]
-SQL["cluster_smoothed_entities"] = C.with_ctes(*_MUSIC, _AM) + """,
+SQL["cluster_smoothed_entities"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS, _AM, _TOGETHER) + """,
 smoothed AS (
-  SELECT one.artist_id AS a_id, """ + ", ".join(f"round(avg(am.{c}), 9) AS {o}" for o, c in _SMOOTH) + """
-  FROM track_artists one JOIN track_artists two USING (track_id) JOIN am ON am.a_id = two.artist_id
-  GROUP BY one.artist_id)
+  SELECT one AS a_id, """ + ", ".join(f"round(avg({c}), 9) AS {o}" for o, c in _SMOOTH) + """
+  FROM together JOIN am ON a_id = two GROUP BY one)
 """ + _scaled("smoothed", [o for o, _ in _SMOOTH])
 
 

@@ -28,36 +28,29 @@ def moving_average_sql(spark: SparkSession, history: str, code, year: int, perio
 
 
 TREND_RUNS = """
-WITH series AS (
-  SELECT h_code, h_date, h_close FROM IDENTIFIER(:history)
-  WHERE h_date >= :window_start AND h_date < :window_end),
-trends AS (
-  SELECT h_code, h_date,
-         CASE WHEN round(avg(h_close) OVER (PARTITION BY h_code ORDER BY h_date
-                                            ROWS BETWEEN :period PRECEDING AND CURRENT ROW), 9)
-                 > round(avg(h_close) OVER (PARTITION BY h_code ORDER BY h_date
-                                            ROWS BETWEEN :long_period PRECEDING AND CURRENT ROW), 9)
-              THEN 'up' ELSE 'down' END AS indicator
-  FROM series),
-flips AS (
-  SELECT h_code, h_date AS change_date, prev_date AS last_date, prev_indicator AS last_trend
-  FROM (SELECT h_code, h_date, indicator,
-               lag(h_date) OVER (PARTITION BY h_code ORDER BY h_date) AS prev_date,
-               lag(indicator) OVER (PARTITION BY h_code ORDER BY h_date) AS prev_indicator
-        FROM trends WHERE h_date >= :report_start) t
-  WHERE prev_indicator IS NOT NULL AND prev_indicator <> indicator)
-SELECT stock, period, period_start_date, period_end_date, trend FROM (
-  SELECT h_code AS stock,
-         datediff(last_date, lag(change_date) OVER (PARTITION BY h_code ORDER BY change_date)) AS period,
-         lag(change_date) OVER (PARTITION BY h_code ORDER BY change_date) AS period_start_date,
-         last_date AS period_end_date, last_trend AS trend
-  FROM flips) r
-WHERE period_start_date IS NOT NULL
+WITH states AS (
+  SELECT h_code, h_date, round(avg(h_close) OVER short_span, 9) > round(avg(h_close) OVER long_span, 9) AS rising
+  FROM IDENTIFIER(:history)
+  WHERE h_date >= :window_start AND h_date < :window_end
+  WINDOW short_span AS (PARTITION BY h_code ORDER BY h_date ROWS BETWEEN :period PRECEDING AND CURRENT ROW),
+         long_span AS (PARTITION BY h_code ORDER BY h_date ROWS BETWEEN :long_period PRECEDING AND CURRENT ROW)),
+turns AS (
+  SELECT *, rising <> lag(rising) OVER (PARTITION BY h_code ORDER BY h_date) AS turned
+  FROM states WHERE h_date >= :report_start),
+numbered AS (
+  SELECT *, count_if(turned) OVER (PARTITION BY h_code ORDER BY h_date) AS run FROM turns),
+runs AS (
+  SELECT h_code, run, any_value(rising) AS rising, min(h_date) AS began, max(h_date) AS ended,
+         max(run) OVER (PARTITION BY h_code) AS open_run
+  FROM numbered GROUP BY h_code, run)
+SELECT h_code AS stock, datediff(ended, began) AS period, began AS period_start_date, ended AS period_end_date,
+       if(rising, 'up', 'down') AS trend
+FROM runs WHERE run > 0 AND run < open_run
 """
 
 
 def trend_runs_sql(spark: SparkSession, history: str, year: int, period: int) -> DataFrame:
-    """Up/down runs over the last three years (lag form, one shuffle by key)."""
+    """Up/down runs over the last three years (numbered by turns, one shuffle by key)."""
     return spark.sql(TREND_RUNS, args={
         "history": history, "period": period, "long_period": 2 * period,
         "window_start": dt.date(year - 3, 1, 1), "window_end": dt.date(year + 1, 1, 1),
