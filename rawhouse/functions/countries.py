@@ -2,7 +2,7 @@
 code gives the same rows on every Java version.
 """
 
-# One name a code (spellings of Unicode CLDR).
+# One name a code (spellings of Unicode CLDR).
 COUNTRY_NAMES = {
     "Andorra": "AD", "United Arab Emirates": "AE", "Afghanistan": "AF", "Antigua & Barbuda": "AG", "Anguilla": "AI",
     "Albania": "AL", "Armenia": "AM", "Angola": "AO", "Antarctica": "AQ", "Argentina": "AR", "American Samoa": "AS",
@@ -52,19 +52,30 @@ COUNTRY_NAMES = {
     "South Africa": "ZA", "Zambia": "ZM", "Zimbabwe": "ZW",
 }
 
-# Names that other versions of that table, or of ISO 3166, give for the same codes.
+# Other English names of the same codes (other versions of that
+# table, ISO 3166, common use) that no rule of `mapping` gives.
 OTHER_NAMES = {
     "Bahamas, The": "BS", "Bolivia, Plurinational State of": "BO", "Bonaire, Sint Eustatius and Saba": "BQ",
     "Brunei Darussalam": "BN", "Burma": "MM", "Byelarus": "BY", "Byelorussia": "BY", "Cabo Verde": "CV",
-    "Czech Republic": "CZ", "Democratic Republic of Congo": "CD",
-    "East Timor": "TL", "Faeroe Islands": "FO", "Falkland Islands (Islas Malvinas)": "FK",
-    "Falkland Islands (Malvinas)": "FK", "Gambia, The": "GM", "Heard Island & McDonald Islands": "HM", "Holy See": "VA",
-    "Ivory Coast": "CI", "Korea, Democratic People's Republic of": "KP", "Korea, Republic of": "KR",
-    "Kyrgyz Republic": "KG", "Lao People's Democratic Republic": "LA", "Macau": "MO", "Macau SAR China": "MO",
-    "Macedonia": "MK", "Macedonia (FYROM)": "MK",
-    "Moldova, Republic of": "MD", "Netherlands Antilles": "AN", "Palestine": "PS", "Palestinian Territory": "PS",
-    "Pitcairn": "PN", "Slovak Republic": "SK", "Svalbard & Jan Mayen Islands": "SJ", "Swaziland": "SZ",
+    "Cocos Islands": "CC", "Cote d'Ivoire": "CI", "Czech Republic": "CZ",
+    "Democratic People's Republic of Korea": "KP", "Democratic Republic of Congo": "CD",
+    "Democratic Republic of the Congo": "CD", "East Timor": "TL", "Faeroe Islands": "FO",
+    "Falkland Islands (Islas Malvinas)": "FK", "Falkland Islands (Malvinas)": "FK",
+    "Federated States of Micronesia": "FM", "Gambia, The": "GM", "Great Britain": "GB",
+    "Heard Island & McDonald Islands": "HM", "Holy See": "VA", "Hong Kong": "HK", "Iran, Islamic Republic of": "IR",
+    "Islamic Republic of Iran": "IR", "Ivory Coast": "CI", "Korea, Democratic People's Republic of": "KP",
+    "Korea, Republic of": "KR", "Kyrgyz Republic": "KG", "Lao People's Democratic Republic": "LA",
+    "Libyan Arab Jamahiriya": "LY", "Macao": "MO", "Macau": "MO", "Macau SAR China": "MO", "Macedonia": "MK",
+    "Macedonia (FYROM)": "MK", "Moldova, Republic of": "MD", "Netherlands Antilles": "AN", "Palestine": "PS",
+    "Palestine, State of": "PS", "Palestinian Territory": "PS", "Pitcairn": "PN",
+    "Plurinational State of Bolivia": "BO", "Republic of Korea": "KR", "Republic of Moldova": "MD",
+    "Republic of North Macedonia": "MK", "Republic of the Congo": "CG", "Reunion": "RE", "Russian Federation": "RU",
+    "Saint Helena, Ascension and Tristan da Cunha": "SH", "Slovak Republic": "SK",
+    "Svalbard & Jan Mayen Islands": "SJ", "Swaziland": "SZ", "Syrian Arab Republic": "SY",
     "Taiwan, Province of China": "TW", "Tanzania, United Republic of": "TZ", "The Bahamas": "BS", "The Gambia": "GM",
-    "The Netherlands": "NL", "Turkiye": "TR", "Türkiye": "TR", "U.S. Minor Outlying Islands": "UM", "Vatican": "VA",
-    "Venezuela, Bolivarian Republic of": "VE", "Viet Nam": "VN", "Wallis & Futuna Islands": "WF",
+    "The Netherlands": "NL", "Turkiye": "TR", "Türkiye": "TR", "U.S. Minor Outlying Islands": "UM", "USA": "US",
+    "United Kingdom of Great Britain and Northern Ireland": "GB", "United Republic of Tanzania": "TZ",
+    "United States Minor Outlying Islands": "UM", "United States of America": "US", "Vatican": "VA",
+    "Venezuela, Bolivarian Republic of": "VE", "Viet Nam": "VN", "Virgin Islands, British": "VG",
+    "Virgin Islands, U.S.": "VI", "Wallis & Futuna Islands": "WF",
 }

@@ -6,6 +6,8 @@ no join and no Python worker is involved.  Unmapped values pass through.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -24,65 +26,16 @@ EXCHANGE_NAMES = {
     "Nasdaq Global Select": "NASDAQ Global Select",
 }
 
-# Common English spellings of countries that no rule below gives.
-COUNTRY_ALIASES = {
-    "Brunei Darussalam": "BN",
-    "Burma": "MM",
-    "Cape Verde": "CV",
-    "Cocos Islands": "CC",
-    "Cote d'Ivoire": "CI",
-    "Czech Republic": "CZ",
-    "Democratic People's Republic of Korea": "KP",
-    "Democratic Republic of the Congo": "CD",
-    "East Timor": "TL",
-    "Federated States of Micronesia": "FM",
-    "Great Britain": "GB",
-    "Holy See": "VA",
-    "Hong Kong": "HK",
-    "Iran, Islamic Republic of": "IR",
-    "Islamic Republic of Iran": "IR",
-    "Ivory Coast": "CI",
-    "Lao People's Democratic Republic": "LA",
-    "Libyan Arab Jamahiriya": "LY",
-    "Macao": "MO",
-    "Macau": "MO",
-    "Macedonia": "MK",
-    "Netherlands Antilles": "AN",
-    "Palestine": "PS",
-    "Palestine, State of": "PS",
-    "Plurinational State of Bolivia": "BO",
-    "Reunion": "RE",
-    "Republic of Korea": "KR",
-    "Republic of Moldova": "MD",
-    "Republic of the Congo": "CG",
-    "Russian Federation": "RU",
-    "Swaziland": "SZ",
-    "Syrian Arab Republic": "SY",
-    "Turkey": "TR",
-    "United Kingdom of Great Britain and Northern Ireland": "GB",
-    "United Republic of Tanzania": "TZ",
-    "United States Minor Outlying Islands": "UM",
-    "United States of America": "US",
-    "USA": "US",
-    "Vatican": "VA",
-    "Viet Nam": "VN",
-    "Virgin Islands, British": "VG",
-    "Virgin Islands, U.S.": "VI",
-}
-
-
 def _spellings(name: str) -> set[str]:
-    """Spellings of an English country name by rule: "&" or "and", "St." or
-    "Saint", a bracketed name on its own, with and without accents."""
-    import re
-    import unicodedata
-
+    """Spellings of an English country name by rule: "&", "and" or "and the", "St."
+    or "Saint", a bracketed name on its own or in brackets of either kind, with and
+    without accents."""
     out = {name}
     bracket = re.fullmatch(r"(.+?)\s*\((.+)\)", name)
     if bracket:
-        out |= {bracket[1], bracket[2]}
+        out |= {bracket[1], bracket[2], f"{bracket[1]} [{bracket[2]}]"}
     out |= {re.sub(r"\bSt\.? ", "Saint ", n) for n in out}
-    out |= {n.replace(" & ", " and ") for n in out}
+    out |= {n.replace(" & ", joint) for n in out for joint in (" and ", " and the ")}
     out |= {n.replace("\u2019", "'") for n in out}
     out |= {"".join(c for c in unicodedata.normalize("NFKD", n) if not unicodedata.combining(c)) for n in out}
     out |= {n.replace(" SAR China", "") for n in out}
@@ -93,7 +46,7 @@ def country_codes(spark=None) -> dict[str, str]:
     """Country name -> ISO 3166 alpha-2 code, for every ISO code.
 
     The names are the package's own table (:mod:`rawhouse.functions.countries`),
-    with variant spellings by rule and :data:`COUNTRY_ALIASES`; neither the Java
+    with variant spellings by rule; neither the Java
     runtime nor a file of the driver's machine is asked (``spark`` is not used).
     """
     out: dict[str, str] = {}
@@ -101,7 +54,6 @@ def country_codes(spark=None) -> dict[str, str]:
         for name, code in sorted(names.items(), key=lambda item: (item[1], item[0])):
             for spelling in sorted(_spellings(name)):
                 out.setdefault(spelling, code)
-    out.update(COUNTRY_ALIASES)
     return out
 
 

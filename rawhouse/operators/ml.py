@@ -5,22 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rawhouse.session import materialize
+from rawhouse.session import default_parallelism, materialize
 
 
 class Clustering(NamedTuple):
     """``assigned``: (key, scaled features as an array, prediction); ``centres``
-    in the order of the predictions."""
+    in the order of the predictions; ``model`` the whole fitted pipeline."""
 
     assigned: DataFrame
     centres: list[list[float]]
+    model: PipelineModel
 
 
 def fit_clusters(
@@ -44,9 +45,10 @@ def fit_clusters(
     passes, so it is written once to the checkpoint folder first.
     """
     cols = list(features) if features else [c for c in df.columns if c != key]
-    # sorted by key before it is written: k-means|| samples per partition, so
-    # a fixed seed repeats only if partitions and their order repeat too
-    df = materialize(df.select(key, *cols).orderBy(key), "kmeans-input")
+    # dealt and sorted by key before it is written: k-means|| samples per partition,
+    # so a fixed seed repeats only if partitions and their order repeat too
+    dealt = df.select(key, *cols).repartition(default_parallelism(df.sparkSession), key).sortWithinPartitions(key)
+    df = materialize(dealt, "kmeans-input")
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=cols, outputCol="_raw", handleInvalid=handle_invalid),
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=False, withStd=True),
@@ -56,8 +58,22 @@ def fit_clusters(
     centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
     if len(centres) < k:
         raise ValueError(f"k = {k}, but there are only {len(centres)} distinct points")
-    assigned = model.transform(df).select(key, vector_to_array("_features").alias("scaled"), "prediction")
-    return Clustering(assigned, centres)
+    return Clustering(assign(model, df, key), centres, model)
+
+
+def assign(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
+    """(key, scaled features, prediction) of any entities by a fitted pipeline:
+    its own scaling and centres, no refit; one pass without a shuffle."""
+    return model.transform(df).select(key, vector_to_array("_features").alias("scaled"), "prediction")
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """Store a fitted pipeline (scaler and centres) in a new shared folder."""
+    model.write().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 def cluster(df: DataFrame, key: str, features: Sequence[str] | None = None, k: int = 100, **how) -> DataFrame:

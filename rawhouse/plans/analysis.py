@@ -21,6 +21,12 @@ def _t(spark: SparkSession, database: str | None, name: str) -> DataFrame:
     return spark.table(f"{database}.{name}" if database else name)
 
 
+def _history(spark: SparkSession, database: str | None, first: int, last: int) -> DataFrame:
+    """Prices of some years.  The table is partitioned by year, so the other years'
+    folders are not even listed for the scan."""
+    return _t(spark, database, "history").where(F.col("h_year").between(first, last) & ts.year_range("h_date", first, last))
+
+
 # ------------------------------------------------------------------ equity
 
 def stock_info(spark: SparkSession, code: str, database: str | None = None) -> DataFrame:
@@ -37,9 +43,7 @@ def stock_info(spark: SparkSession, code: str, database: str | None = None) -> D
 def close_vs_moving_average(spark: SparkSession, code: str, year: int, period: int,
                             database: str | None = None) -> DataFrame:
     """Close and its ``ROWS period PRECEDING`` mean for one entity in one year."""
-    h = _t(spark, database, "history").where(
-        (F.col("h_code") == code) & ts.year_range("h_date", year, year)
-    )
+    h = _history(spark, database, year, year).where(F.col("h_code") == code)
     return ts.moving_average(h, "h_code", "h_date", "h_close", period).select("h_date", "h_close", "moving_average")
 
 
@@ -52,7 +56,7 @@ def same_ceo(spark: SparkSession, code: str, database: str | None = None) -> Dat
 
 def top_volume(spark: SparkSession, year: int, k: int = 100, database: str | None = None) -> DataFrame:
     """Top ``k`` entities by mean daily volume in ``year``, with industry."""
-    return ts.top_k_mean(_t(spark, database, "history"), _t(spark, database, "profile"),
+    return ts.top_k_mean(_history(spark, database, year, year), _t(spark, database, "profile"),
                          _t(spark, database, "industry"), year, k)
 
 
@@ -65,14 +69,14 @@ def posts_correlation(spark: SparkSession, col_a: str = "volume", col_b: str = "
 
 def trend_report(spark: SparkSession, year: int, period: int, database: str | None = None) -> DataFrame:
     """Up/down runs per entity over the last three years."""
-    return ts.trend_runs(_t(spark, database, "history"), "h_code", "h_date", "h_close", period, year,
+    return ts.trend_runs(_history(spark, database, year - 3, year), "h_code", "h_date", "h_close", period, year,
                          out_key="stock")
 
 
 def industry_trend_report(spark: SparkSession, year: int, period: int, database: str | None = None) -> DataFrame:
     """Up/down runs of each industry's mean close, labelled."""
     ind = _t(spark, database, "industry")
-    series = ts.category_series(_t(spark, database, "history"), _t(spark, database, "profile"),
+    series = ts.category_series(_history(spark, database, year - 3, year), _t(spark, database, "profile"),
                                 "h_code", "p_code", "p_industry_id", "h_date", "h_close")
     runs = ts.trend_runs(series, "p_industry_id", "h_date", "avg_close", period, year)
     return runs.join(ind, runs.p_industry_id == ind.id).select(
@@ -83,7 +87,7 @@ def sector_trend_report(spark: SparkSession, year: int, period: int, database: s
     """Up/down runs of each sector's mean close with start and end prices."""
     prof, ind = _t(spark, database, "profile"), _t(spark, database, "industry")
     dim = prof.join(ind, prof.p_industry_id == ind.id).select("p_code", "sector")
-    series = ts.category_series(_t(spark, database, "history"), dim, "h_code", "p_code", "sector",
+    series = ts.category_series(_history(spark, database, year - 3, year), dim, "h_code", "p_code", "sector",
                                 "h_date", "h_close", with_sum=False)
     return ts.trend_runs(series, "sector", "h_date", "avg_close", period, year, anchor="lead", price_lag=period)
 

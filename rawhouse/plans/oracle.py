@@ -8,7 +8,7 @@ pairs), so they check the Spark plans against an independent formulation.
 from __future__ import annotations
 
 from rawhouse.functions.labels import PITCH_CLASSES
-from rawhouse.functions.mapping import COUNTRY_ALIASES, EXCHANGE_NAMES
+from rawhouse.functions.mapping import EXCHANGE_NAMES, country_codes
 from rawhouse.operators.entity import MEASURES
 from rawhouse.plans import oracle_ctes as C
 from rawhouse.plans import params as P
@@ -298,14 +298,18 @@ SELECT DISTINCT code, doc_id
 FROM (SELECT code, doc_id, n, max(n) OVER (PARTITION BY doc_id, tok) AS longest FROM forms JOIN codes ON form = bare AND bare <> '')
 WHERE n = longest"""
 
-SQL["map_names"] = (lambda spelled, exchanges: f"""
-WITH country AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(spelled))}) t(i, v)),
-exchange AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(exchanges))}) t(i, v))
-SELECT c_custkey, country.v AS country, exchange.v AS exchange
-FROM customer JOIN country ON c_custkey % {len(spelled)} = country.i JOIN exchange ON c_custkey % {len(exchanges)} = exchange.i""")(
-    [*(c for _, c in sorted(COUNTRY_ALIASES.items())), "FR", "DE", "BA", "LC", "Atlantis"],
-    [*(c for _, c in sorted(EXCHANGE_NAMES.items())), "Moon Exchange"],
-)
+_COUNTRIES = sorted(country_codes().items())
+_EXCHANGES = [*sorted(EXCHANGE_NAMES.items()), ("Moon Exchange", "Moon Exchange")]
+
+
+def _texts(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+SQL["map_names"] = f"""
+SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN n_name ELSE {_texts(c for _, c in _COUNTRIES)}[1 + c_custkey % {len(_COUNTRIES)}] END AS country,
+       {_texts(e for _, e in _EXCHANGES)}[1 + (n_regionkey + c_custkey) % {len(_EXCHANGES)}] AS exchange
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
 # Every ordered pair of artists on one track, themselves included.
 _TOGETHER = """casts AS (SELECT track_id, list(artist_id) AS who FROM track_artists WHERE track_id IS NOT NULL GROUP BY track_id),
@@ -339,6 +343,36 @@ smoothed AS (
 """ + _scaled("smoothed", [o for o, _ in _SMOOTH])
 
 
+# ---------------------------------------------------- stored tables and files
+
+SQL["bucketed_star"] = C.with_ctes(C.TRACK, C.TRACK_ARTISTS) + f"""
+SELECT t_id, s_name AS a_name, t_album, t_year, t_popularity, round(t_valence, {D}) AS t_valence
+FROM track JOIN track_artists ON t_id = track_id JOIN supplier ON s_suppkey = artist_id"""
+
+SQL["price_years"] = C.with_ctes(C.HISTORY) + f"""
+SELECT h_code, h_date, round(CASE WHEN year(h_date) > {Y - 2} THEN 2 * h_close ELSE h_close END, {D}) AS h_close,
+       round(h_volume, {D}) AS h_volume, CAST(year(h_date) AS INTEGER) AS h_year
+FROM history WHERE year(h_date) >= {Y - 2} AND year(h_date) <= {Y}"""
+
+SQL["fresh_build"] = f"""
+SELECT o_custkey, count(*) + count(*) FILTER (WHERE o_orderkey % 2 = 0) AS n_orders,
+       round(sum(CASE WHEN o_orderkey % 2 = 0 THEN 2 * o_totalprice ELSE o_totalprice END), {D}) AS total, 'B-B' AS builds
+FROM orders GROUP BY o_custkey"""
+
+# The stored model's clusters are the regions its features set apart.
+SQL["similar_entities_kmeans"] = SQL["similar_entities"]
+
+SQL["ordered_report"] = SQL["trend_runs"].replace("SELECT k AS stock,", "SELECT row_number() OVER (ORDER BY k, d1) AS position, true AS in_order, k AS stock,")
+
+SQL["profile_files"] = SQL["parse_profiles"].replace("AS code,", "AS code, CAST(s_suppkey AS VARCHAR) AS file_key,", 1)
+
+SQL["correlation_sql"] = C.with_ctes(C.BARS, C.POSTS, _DAILY) + f"""
+SELECT stock, round(CASE WHEN min(price_fluctuation_percent) < max(price_fluctuation_percent) AND min(n_posts) < max(n_posts)
+                         THEN corr(price_fluctuation_percent, n_posts) END, {D}) AS correlation_price_fluctuation_percent_n_posts
+FROM day_figures WHERE price_fluctuation_percent IS NOT NULL AND n_posts IS NOT NULL
+GROUP BY stock"""
+
+
 def _half_up(sql: str, digits: int = D) -> str:
     """Rewrite ``round(x, digits)`` so DuckDB rounds like Spark does: half-up
     on the shortest decimal form of the double (DuckDB's own ``round`` scales

@@ -8,12 +8,9 @@ the operators themselves return full precision.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.types import DoubleType, FloatType
 
 from rawhouse.operators import entity as ent
 from rawhouse.operators import graph as gr
@@ -24,33 +21,11 @@ from rawhouse.operators import ranking as rk
 from rawhouse.operators import timeseries as ts
 from rawhouse.plans import params as P
 from rawhouse.plans import standins as S
-from rawhouse.functions.mapping import COUNTRY_ALIASES, EXCHANGE_NAMES, country_codes, map_or_keep
+from rawhouse.plans.registry import REGISTRY, register, rounded
+from rawhouse.functions.mapping import EXCHANGE_NAMES, country_codes, map_or_keep
 from rawhouse.session import materialize, scratch_path
 from rawhouse.sources import files, sinks
 
-Query = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, Query] = {}
-
-
-def register(name: str):
-    def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
-        return fn
-
-    return deco
-
-
-def rounded(df: DataFrame, digits: int = P.DIGITS) -> DataFrame:
-    """Round every floating column (presentation only)."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
-
-
 # --------------------------------------------------------------- equity domain
 
 @register("trend_runs")
@@ -364,8 +339,8 @@ PROFILE_FIELDS = {
 }
 
 
-@register("parse_profiles")
-def parse_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def profile_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(s_suppkey, value): a key,value text per supplier, one field a line."""
     s = S.table(spark, sf_dir, "supplier")
     n = S.table(spark, sf_dir, "nation")
     r = S.table(spark, sf_dir, "region")
@@ -387,8 +362,13 @@ def parse_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("acctbal,"), F.when(F.col("s_acctbal") < 0, F.lit("N/A")).otherwise(F.col("s_acctbal").cast("string"))),
         F.concat(F.lit("ipo_date,"), F.coalesce(F.col("first_ship").cast("string"), F.lit(""))),
     )
+    return src.select("s_suppkey", text.alias("value"))
+
+
+@register("parse_profiles")
+def parse_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "profiles-txt")
-    src.select(text.alias("value")).write.option("lineSep", "\x1e").text(path)
+    profile_texts(spark, sf_dir).select("value").write.option("lineSep", "\x1e").text(path)
     parsed = prs.parse_kv_profile(files.read_records(spark, path, "\x1e"), PROFILE_FIELDS)
     cleaned = prs.clean_profile(parsed)
     return cleaned.withColumn("acctbal", F.col("acctbal").try_cast("double"))
@@ -396,18 +376,28 @@ def parse_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("map_names")
 def map_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country and exchange names unified: each customer is given a spelling (a
-    known name, a variant, with blanks around it, or an unknown one) by its key."""
-    spelled = [*sorted(COUNTRY_ALIASES), "France", " Germany ", "Bosnia and Herzegovina", "Saint Lucia", "Atlantis"]
-    exchanges = [*sorted(EXCHANGE_NAMES), "Moon Exchange"]
-    c = S.table(spark, sf_dir, "customer").select("c_custkey")
-    pick = lambda names: F.get(
-        F.array(*[F.lit(n) for n in names]), F.pmod(F.col("c_custkey"), F.lit(len(names))).cast("int")
+    """Country and exchange names unified.  A customer's country is written as its
+    nation's name (unknown to the table, so it stays) or as one of the table's
+    spellings, some with blanks around them; every known spelling occurs."""
+    codes = country_codes(spark)
+    spelled, exchanges = sorted(codes), [*sorted(EXCHANGE_NAMES), "Moon Exchange"]
+    c, n = S.table(spark, sf_dir, "customer"), S.table(spark, sf_dir, "nation")
+
+    def pick(names: list[str], at: Column) -> Column:
+        return F.get(F.array(*[F.lit(x) for x in names]), F.pmod(at, F.lit(len(names))).cast("int"))
+
+    name = pick(spelled, F.col("c_custkey"))
+    country = (
+        F.when(F.col("c_acctbal") < 0, F.col("n_name"))
+        .when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit(" "), name, F.lit("  ")))
+        .otherwise(name)
+    )
+    raw = c.join(n, c.c_nationkey == n.n_nationkey).select(
+        "c_custkey", country.alias("country"), pick(exchanges, F.col("n_regionkey") + F.col("c_custkey")).alias("exchange")
     )
-    raw = c.select("c_custkey", pick(spelled).alias("country"), pick(exchanges).alias("exchange"))
     return raw.select(
         "c_custkey",
-        map_or_keep("country", country_codes(spark)).alias("country"),
+        map_or_keep("country", codes).alias("country"),
         map_or_keep("exchange", EXCHANGE_NAMES).alias("exchange"),
     )
 
@@ -474,3 +464,7 @@ def cluster_smoothed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     smoothed = gr.smooth_features(bridge, am, "a_id", SMOOTHED, out_key="a_id")
     # means of equal values differ in their last bits; scaling would blow that up
     return _audited_clusters(smoothed.select("a_id", *[F.round(c, 9).alias(c) for c in SMOOTHED]))
+
+
+# the queries over stored tables and files register themselves in the same place
+from rawhouse.plans import stored_queries  # noqa: E402, F401

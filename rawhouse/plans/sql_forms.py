@@ -56,3 +56,43 @@ def trend_runs_sql(spark: SparkSession, history: str, year: int, period: int) ->
         "window_start": dt.date(year - 3, 1, 1), "window_end": dt.date(year + 1, 1, 1),
         "report_start": dt.date(year - 2, 1, 1),
     })
+
+
+GROUPED_CORR = """
+SELECT IDENTIFIER(:key) AS entity,
+       try_divide(covar_pop(IDENTIFIER(:col_a), IDENTIFIER(:col_b)),
+                  stddev_pop(IDENTIFIER(:col_a)) * stddev_pop(IDENTIFIER(:col_b))) AS correlation
+FROM IDENTIFIER(:daily)
+WHERE IDENTIFIER(:col_a) IS NOT NULL AND IDENTIFIER(:col_b) IS NOT NULL
+GROUP BY IDENTIFIER(:key)
+"""
+
+
+def grouped_corr_sql(spark: SparkSession, daily: str, key: str, col_a: str, col_b: str) -> DataFrame:
+    """Correlation of two columns per entity; the table and the columns are named by
+    the caller."""
+    out = spark.sql(GROUPED_CORR, args={"daily": daily, "key": key, "col_a": col_a, "col_b": col_b})
+    return out.withColumnsRenamed({"entity": key, "correlation": f"correlation_{col_a}_{col_b}"})
+
+
+SIMILAR_ENTITIES = """
+WITH target AS (
+  SELECT c.prediction, d.a_id, d.genres FROM IDENTIFIER(:dim) d JOIN IDENTIFIER(:clusters) c USING (a_id)
+  WHERE d.a_name = :name)
+SELECT d.a_name AS artist_name, d.genres, m.a_track_number AS track_number, m.a_mode AS modality,
+       m.a_acousticness AS acousticness, m.a_danceability AS danceability, m.a_energy AS energy,
+       m.a_loudness AS loudness, m.a_speechiness AS speechiness, m.a_instrumentalness AS instrumentalness,
+       m.a_liveness AS liveness, m.a_valence AS valence, m.a_tempo AS tempo
+FROM IDENTIFIER(:dim) d JOIN IDENTIFIER(:clusters) c USING (a_id) JOIN IDENTIFIER(:measures) m USING (a_id)
+JOIN target t ON c.prediction = t.prediction AND c.a_id <> t.a_id AND arrays_overlap(d.genres, t.genres)
+ORDER BY m.a_track_number DESC, d.a_name
+LIMIT :k
+"""
+
+
+def similar_entities_sql(
+    spark: SparkSession, dim: str, clusters: str, measures: str, name: str, k: int = 10
+) -> DataFrame:
+    """Entities of the target's cluster that share a tag with it; the cluster table
+    (plain or smoothed features) is named by the caller."""
+    return spark.sql(SIMILAR_ENTITIES, args={"dim": dim, "clusters": clusters, "measures": measures, "name": name, "k": k})

@@ -149,8 +149,28 @@ def read_records(spark: SparkSession, path: str | list[str], record_sep: str = "
     return spark.read.text(path, lineSep=record_sep)
 
 
-def read_whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per file (``value``, ``file_name``).  Many small files are
-    packed into one task by ``spark.sql.files.openCostInBytes``."""
-    df = spark.read.text(path, wholetext=True)
-    return df.select("value", F.col("_metadata.file_name").alias("file_name"))
+def folder_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Bytes of the files below a path (names of the file system, no data read)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for one in [path] if isinstance(path, str) else path:
+        target = jvm.org.apache.hadoop.fs.Path(one)
+        total += target.getFileSystem(conf).getContentSummary(target).getLength()
+    return total
+
+
+def read_whole_files(
+    spark: SparkSession, path: str | list[str], recursive: bool = False, task_bytes: int = 32 << 20
+) -> DataFrame:
+    """One row per file (``value``, ``file_name``, ``file_path``).
+
+    A split holds whole files, and each counts for ``openCostInBytes`` (4 MB) at
+    least when splits are made, so very many tiny files would make very many
+    tasks.  Splits are therefore put together, without a shuffle, to tasks of
+    about ``task_bytes`` of real content, and no fewer than the session's cores.
+    """
+    reader = spark.read.option("recursiveFileLookup", recursive)
+    df = reader.text(path, wholetext=True)
+    tasks = max(-(-folder_bytes(spark, path) // task_bytes), spark.sparkContext.defaultParallelism)
+    found = df.select("value", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"))
+    return found.coalesce(int(tasks))

@@ -56,6 +56,8 @@ def test_equity_warehouse(spark, tmp_dir):
     assert (card["sector"], card["industry"], card["country"]) == ("Technology", "Chips", "US")
     assert [r["h_close"] for r in an.close_vs_moving_average(spark, "AAA", 2020, 5, db).collect()] == [1.5]
     assert [(r["me"], r["peer"], r["ceo"]) for r in an.same_ceo(spark, "AAA", db).collect()] == [("AAA", "BBB", "Ann")]
+    year_plan = an.close_vs_moving_average(spark, "AAA", 2020, 5, db)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(h_year" in year_plan  # other years' folders are pruned
     assert [(r["p_code"], r["avg_volume"]) for r in an.top_volume(spark, 2021, database=db).collect()] == [("AAA", 200.0)]
     for df in (an.posts_correlation(spark, database=db), an.trend_report(spark, 2021, 5, db),
                an.industry_trend_report(spark, 2021, 5, db), an.sector_trend_report(spark, 2021, 5, db)):
