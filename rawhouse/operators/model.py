@@ -234,14 +234,53 @@ def build_dimension(
     entities with a NULL external id keep their id.
     """
     dic = build_dictionary(bridge_rows, ext_id, name, index_col=index_col, drop_nulls=False)
+    dim = _with_attributes(dic, attrs, name, attr_name, attr_list, out_attr).select(index_col, ext_id, name, out_attr)
+    bridge = normalize(bridge_rows.select(fact_id, ext_id, name), dic, [ext_id, name], index_col, null_safe=True)
+    return dim, bridge.select(F.col(fact_id).alias("track_id"), F.col(index_col).alias("artist_id"))
+
+
+def _with_attributes(dic: DataFrame, attrs: DataFrame, name: str, attr_name: str, attr_list: str, out_attr: str) -> DataFrame:
     attr = first_per_key(
         attrs.select(F.col(attr_name).alias("_an"), F.col(attr_list).alias("_al")).where(F.col("_an").isNotNull()),
         "_an",
         ["_al"],
     ).select("_an", parse_list("_al").alias(out_attr))
-    dim = dic.join(attr, dic[name] == attr["_an"], "left").select(index_col, ext_id, name, out_attr)
-    bridge = normalize(bridge_rows.select(fact_id, ext_id, name), dic, [ext_id, name], index_col, null_safe=True)
-    return dim, bridge.select(F.col(fact_id).alias("track_id"), F.col(index_col).alias("artist_id"))
+    return dic.join(attr, dic[name] == attr["_an"], "left")
+
+
+def build_dimension_from_texts(
+    facts: DataFrame,
+    attrs: DataFrame,
+    names: str = "artists",
+    ext_ids: str = "artist_ids",
+    fact_id: str = "id",
+    ext_id: str = "a_ext_id",
+    name: str = "a_name",
+    index_col: str = "a_id",
+    attr_name: str = "artists",
+    attr_list: str = "genres",
+    out_attr: str = "genres",
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`build_dimension` of facts that carry list texts, as
+    :func:`explode_zipped` followed by it would give, but every distinct pair of
+    texts is parsed and numbered once: facts of one album repeat their texts.
+
+    The distinct texts (combined on the map side) are written once with a number
+    each; the dictionary and each text's entity ids come from them, and facts get
+    their ids by a NULL-safe join on the texts (unique on that side, so a text that
+    very many facts share is an ordinary skewed join key).
+    """
+    texts = facts.select(F.col(names).alias("_names"), F.col(ext_ids).alias("_ext_ids")).distinct()
+    texts = materialize(texts.withColumn("_text", F.monotonically_increasing_id()), "list-texts")
+    credits = explode_zipped(texts, "_text", {name: "_names", ext_id: "_ext_ids"})
+    dic = build_dictionary(credits, ext_id, name, index_col=index_col, drop_nulls=False)
+    dim = _with_attributes(dic, attrs, name, attr_name, attr_list, out_attr).select(index_col, ext_id, name, out_attr)
+    ids = normalize(credits.select("_text", ext_id, name), dic, [ext_id, name], index_col, null_safe=True)
+    per_text = ids.groupBy("_text").agg(F.collect_list(index_col).alias("_ids")).withColumnRenamed("_text", "_of")
+    known = texts.join(per_text, texts["_text"] == per_text["_of"]).select("_names", "_ext_ids", "_ids")
+    own = facts.select(F.col(fact_id).alias("track_id"), F.col(names).alias("_n"), F.col(ext_ids).alias("_e"))
+    met = own.join(known, own["_n"].eqNullSafe(known["_names"]) & own["_e"].eqNullSafe(known["_ext_ids"]))
+    return dim, met.select("track_id", F.explode("_ids").alias("artist_id"))
 
 
 def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -54,14 +54,13 @@ def parse_kv_profile(
     col: str = "value",
     null_tokens: Sequence[str] = NULL_TOKENS,
     keep_commas: Sequence[str] = (),
-    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Wide rows from key,value texts: field ``name`` is the value on line
     ``fields[name]`` (0-based).  Missing lines, ``''`` and ``'N/A'`` give
     NULL.  Values are cut at their first comma unless the field is listed in
-    ``keep_commas``.  The columns ``keep`` stay, first."""
+    ``keep_commas``."""
     lines = F.split(F.col(col), "\n")
-    cols = [F.col(c) for c in keep]
+    cols = []
     for name, idx in fields.items():
         line = F.get(lines, idx)
         if name in keep_commas:

@@ -364,7 +364,7 @@ SQL["similar_entities_kmeans"] = SQL["similar_entities"]
 
 SQL["ordered_report"] = SQL["trend_runs"].replace("SELECT k AS stock,", "SELECT row_number() OVER (ORDER BY k, d1) AS position, true AS in_order, k AS stock,")
 
-SQL["profile_files"] = SQL["parse_profiles"].replace("AS code,", "AS code, CAST(s_suppkey AS VARCHAR) AS file_key,", 1)
+SQL["profile_files"] = SQL["parse_profiles"]
 
 SQL["correlation_sql"] = C.with_ctes(C.BARS, C.POSTS, _DAILY) + f"""
 SELECT stock, round(CASE WHEN min(price_fluctuation_percent) < max(price_fluctuation_percent) AND min(n_posts) < max(n_posts)

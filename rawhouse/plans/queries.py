@@ -233,10 +233,7 @@ def bridge_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dimension(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = mdl.explode_zipped(
-        S.track_lists(spark, sf_dir), "id", {"a_name": "artists", "a_ext_id": "artist_ids"}, pos_col=None
-    )
-    return mdl.build_dimension(rows, S.genre_texts(spark, sf_dir))
+    return mdl.build_dimension_from_texts(S.track_lists(spark, sf_dir), S.genre_texts(spark, sf_dir))
 
 
 @register("enrich_dimension")

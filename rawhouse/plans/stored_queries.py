@@ -145,11 +145,9 @@ def ordered_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles from one small file an entity, many files a task."""
     path = scratch_path(spark, "profile-files")
-    texts = Q.profile_texts(spark, sf_dir)
-    texts.repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
-    raw = files.read_whole_files(spark, path, recursive=True)
-    key = F.regexp_extract("file_path", "s_suppkey=([^/]+)/", 1)
-    parsed = prs.parse_kv_profile(raw.select("value", key.alias("file_key")), Q.PROFILE_FIELDS, keep=["file_key"])
+    # one record a file: as many small files as entities
+    Q.profile_texts(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    parsed = prs.parse_kv_profile(files.read_whole_files(spark, path), Q.PROFILE_FIELDS)
     cleaned = prs.clean_profile(parsed)
     return cleaned.withColumn("acctbal", F.col("acctbal").try_cast("double"))
 

@@ -125,9 +125,8 @@ def build_music_warehouse(
     large = files.read_csv_audited(spark, os.path.join(data_dir, "tracks_features.csv"), TRACKS_A_SCHEMA,
                                    bool_flags=("mode",))
     tracks = materialize(mdl.merge_sources(small.good, large.good, "id", ["name"]))
-    rows = mdl.explode_zipped(tracks, "id", {"a_name": "artists", "a_ext_id": "artist_ids"}, pos_col=None)
     genres = files.read_csv_strings(spark, os.path.join(data_dir, "data_w_genres.csv"))
-    artist, bridge = mdl.build_dimension(rows, genres)
+    artist, bridge = mdl.build_dimension_from_texts(tracks, genres)
     track = mdl.prefixed(tracks.drop("artists", "artist_ids"), "t_")
     return {
         "artist": _save(spark, artist, "artist", database, mode, fmt),

@@ -143,6 +143,20 @@ def test_normalize_reciprocal(spark):
     assert out.count() == prof.count()
 
 
+def test_dimension_from_texts_equals_the_exploded_form(spark):
+    facts = spark.createDataFrame(
+        [(i, "['A', 'B']", "['1', '2']") for i in range(40)] + [(50, "['A']", None), (51, None, None), (52, "broken", "['1']"), (53, "['C', 'A']", "['3']"),
+         (54, "[]", "[]"), (50, "['A']", None), (None, "['A', 'A']", "['1', '1']")],
+        "id int, artists string, artist_ids string",
+    )
+    genres = spark.createDataFrame([("A", "['x']"), ("A", "['y']"), ("C", None)], "artists string, genres string")
+    exploded = mdl.explode_zipped(facts, "id", {"a_name": "artists", "a_ext_id": "artist_ids"}, pos_col=None)
+    want = mdl.build_dimension(exploded, genres)
+    got = mdl.build_dimension_from_texts(facts, genres)
+    assert rows(got[0]) == rows(want[0]) and rows(got[1]) == rows(want[1])
+    assert got[0].count() > 4 and got[1].count() == exploded.count()
+
+
 def test_merge_sources_takes_whole_records(spark):
     a = spark.createDataFrame(
         [(1, "zeta", 5, "A1"), (2, "b", 1, "A2"), (2, "a", 9, "A2bis"), (4, None, 2, "A4"), (4, "x", 1, "A4x"), (5, "s", 1, "A5")],
