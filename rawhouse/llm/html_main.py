@@ -4,21 +4,24 @@ A page becomes a tree of elements (unclosed paragraphs, list items and table
 cells end where the next one starts; scripts, styles and the like hold no
 markup).  Regions that are not part of an article by their tag, role or class
 (navigation, page headers and footers, sidebars, notices, adverts, forms, reader
-comments) are left out.  Ids that are slugs of the text are not judged, and a
-region whose name alone speaks against it stays if its text is long and poor in
-links.  Every block of text passes points for its length and its commas to its
+comments) are left out.  Ids that are slugs of the text are not judged, nor are
+paragraphs and headings of an article by a word of their class, and a region whose
+name alone speaks against it stays if its text scores as prose does.  Every block of text passes points for its length and its commas to its
 ancestors, half of them a level up; an element's points are discounted by the
 share of its text that stands in links.  The best container is kept; from it,
 the way leads up to the outermost one whose other parts are mostly unlinked
 prose, and all its text is kept but for blocks that are mainly links and score
-little.
+little.  Where the page marks its articles, they are taken whole, all those of
+prose, with the page's title above them.  Time is linear in the page.
 
 Text of a block: character references decoded, white space joined to one space,
 trimmed; blocks in page order are joined by an empty line.
 
 Defined results: null, empty and text-free pages give an empty text; markup
 that ends early is closed at the end, an unfinished tag there is dropped;
-repeated rows get equal results; whole pages are used.
+repeated rows get equal results; whole pages are used, however long; a table
+without rows gives none; other columns of any name are kept, except one called as
+the result, whose name can be chosen.
 """
 
 from __future__ import annotations
@@ -32,8 +35,9 @@ from rawhouse.llm.common import map_texts
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>=]*(?:=\s*(?:\"[^\"]*\"|'[^']*'|(?![\s\"']))[^>=]*)*)>"  # a quote opens a value after "=" only
-    r"|</?[a-zA-Z](?:[^>]*(>)|[^>]*\Z)",
+    # A quote opens a value after "=" only.  Nothing is tried twice (possessive).
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>=]*+(?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\s\"']))[^>=]*+)*+)>"
+    r"|</?[a-zA-Z][^>]*+(?:>|\Z)",
     re.S,
 )
 _LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -110,14 +114,28 @@ _APART_WORDS = frozenset(
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _PROSE_TAGS = _HEADINGS | {"p", "pre", "blockquote", "ul", "ol", "dl", "table"}
 _ID_TAGS = frozenset(("div", "section", "ul", "ol", "dl", "table", "td"))  # elsewhere an id is an anchor in the text
-_LONG, _LINKED = 200, 0.25  # characters, and share in links, of a text that is prose whatever its region is called
+_LEAST = 2.0  # points of a text that is prose whatever its region is called
+# Words that speak against a paragraph or a heading inside an article too.
+_NEVER_WORDS = frozenset(("ad", "ads", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "sponsored", "taboola"))
+
+# Which open elements a start tag's rule looks at, by the tag that opens or borders them.
+_OPENS = {t: tuple(n for n, (kinds, _) in _CLOSES.items() if t in kinds) for t in {k for kinds, _ in _CLOSES.values() for k in kinds}}
+_BORDERS = {t: tuple(n for n, (_, edge) in _CLOSES.items() if t in edge) for t in {b for _, edge in _CLOSES.values() for b in edge}}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "points", "chars", "linked")
+    __slots__ = ("tag", "attrs", "parent", "children", "points", "chars", "linked", "paragraph", "items")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
+        # The open paragraph around the element, and the outermost open item for each
+        # start tag that would end it, so that no start tag walks up the tree.
+        self.paragraph: Node | None = self if tag == "p" else None if parent is None or tag in _SCOPE else parent.paragraph
+        self.items: dict[str, Node] = parent.items if parent is not None else {}
+        if tag in _OPENS or tag in _BORDERS:
+            self.items = {n: v for n, v in self.items.items() if n not in _BORDERS.get(tag, ())}
+            for n in _OPENS.get(tag, ()):
+                self.items.setdefault(n, self)
         self.children: list[Node | str] = []
         self.points = 0.0
         self.chars = 0  # text below, and the part of it in links
@@ -131,6 +149,15 @@ def build_tree(page: str) -> Node:
     """The element tree of a page."""
     root = Node("html", "", None)
     here, at = root, 0
+    open_tags: dict[str, int] = {}  # how many of a name are open, so that a stray end tag costs nothing
+
+    def leave(to: Node) -> Node:
+        up = here
+        while up is not to:
+            open_tags[up.tag] -= 1
+            up = up.parent
+        return to
+
     while (m := _TAG.search(page, at)) is not None:  # from `at`: raw content is never read as tags
         if m.start() > at:
             here.children.append(page[at : m.start()])
@@ -144,11 +171,11 @@ def build_tree(page: str) -> Node:
             name, attrs, closing = loose[1], "", "/" if text[1] == "/" else ""
         name = name.lower()
         if closing:
-            up = here
-            while up is not None and up.tag != name:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                here = up.parent
+            if open_tags.get(name):
+                up = here
+                while up.tag != name:
+                    up = up.parent
+                here = leave(up.parent)
             continue
         if name in ("html", "body"):
             continue
@@ -156,35 +183,21 @@ def build_tree(page: str) -> Node:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if name in _BLOCK or name == "option":
-            here = _closed(here, name)
+        if name in _BLOCK or name == "option":  # ends an open paragraph, and the items before it
+            if here.paragraph is not None:
+                here = leave(here.paragraph.parent)
+            if name in here.items:
+                here = leave(here.items[name].parent)
         node = Node(name, attrs, here)
         here.children.append(node)
         if name not in _VOID and not attrs.endswith("/"):
             here = node
+            open_tags[name] = open_tags.get(name, 0) + 1
     if at < len(page):
         here.children.append(page[at:])
     return root
 
 
-def _closed(here: Node, name: str) -> Node:
-    """Where a block goes: behind an open paragraph and, for items and cells, behind the one before."""
-    up = here
-    while up.parent is not None and up.tag not in _SCOPE:
-        if up.tag == "p":
-            here = up.parent
-            break
-        up = up.parent
-    if name in _CLOSES:
-        kinds, border = _CLOSES[name]
-        up = here
-        while up.parent is not None and up.tag not in border:
-            if up.tag in kinds:
-                here = up.parent
-            up = up.parent
-    return here
-
-
 def _names_of(attrs: str) -> tuple[list[set[str]], list[set[str]], str, bool]:
     """The words of each class name and of the id (lower-cased), the role, and
     whether the element is hidden."""
@@ -217,6 +230,8 @@ def _left_out(node: Node, in_article: bool) -> bool | None:
     if node.tag in ("article", "main"):
         if not in_article:
             return bool(node.attrs) and _names_of(node.attrs)[3]
+    elif node.tag == "label" and in_article:
+        pass  # a word for a thing; a form's labels go with the form
     elif node.tag in _SKIP_TAGS or node.tag == "footer" or (node.tag == "header" and not in_article):
         return True
     if not node.attrs:
@@ -231,6 +246,8 @@ def _left_out(node: Node, in_article: bool) -> bool | None:
         ids = []  # a slug of the text
     named = [n for n in classes + ids if n & _SKIP_WORDS and not n & _ABOUT_WORDS]
     whole = [n for n in named if n <= _SKIP_WORDS | _FRAME_WORDS]
+    if in_article and (node.tag in _HEADINGS or node.tag in ("p", "pre", "blockquote") or node.tag not in _BLOCK):
+        return any(n & _NEVER_WORDS for n in whole)  # a word about a paragraph of the article
     if any(n & _APART_WORDS for n in whole):
         return True
     if node.tag in _HEADINGS or node.tag not in _BLOCK:
@@ -240,18 +257,35 @@ def _left_out(node: Node, in_article: bool) -> bool | None:
     return None if named else False
 
 
+def _gain(node: Node, apart: float = 0.0) -> float:
+    """Points of an element's own block of text; sets its characters, and those of
+    them in links, from those of its children.  Commas count where they are
+    ``apart`` characters apart on average (a list of words has more)."""
+    own = [html.unescape(c) if "&" in c else c for c in node.children if isinstance(c, str)]
+    below = [c for c in node.children if not isinstance(c, str)]
+    text = sum(len(c.strip()) for c in own)
+    inline = [c for c in below if c.tag not in _BLOCK]
+    node.chars = text + sum(c.chars for c in below)
+    node.linked = node.chars if node.tag == "a" else sum(c.linked for c in below)
+    block = text + sum(c.chars for c in inline)
+    if node.tag not in _BLOCK or not block:
+        return 0.0
+    prose = block - sum(c.linked for c in inline)
+    commas = sum(c.count(",") + c.count("，") + c.count("、") for c in own)
+    commas = min(commas, block / apart) if apart else commas
+    return (0.1 + min(block / 100.0, 3.0) + commas) * prose / block
+
+
 def _measure(root: Node) -> None:
-    """Characters below each element, and those of them in links."""
+    """Points of all blocks below each element, undiminished."""
     for node, leaving in _in_order(root):
         if leaving:
-            below = [c for c in node.children if not isinstance(c, str)]
-            node.chars = sum(len(c.strip()) for c in node.children if isinstance(c, str)) + sum(c.chars for c in below)
-            node.linked = node.chars if node.tag == "a" else sum(c.linked for c in below)
+            node.points = _gain(node, 25.0) + sum(c.points for c in node.children if not isinstance(c, str))
 
 
 def prune(root: Node) -> None:
     """Drop the regions that are not part of an article.  One that is so by its
-    name only stays if its text is long and poor in links."""
+    name only stays if its blocks score as prose does, discounted by its links."""
     todo, measured = [(root, False)], False
     while todo:
         node, inside = todo.pop()
@@ -263,7 +297,7 @@ def prune(root: Node) -> None:
                 if not measured:
                     _measure(root)
                     measured = True
-                out = c.chars < _LONG or c.linked >= _LINKED * c.chars
+                out = not c.chars or c.points * (1 - c.linked / c.chars) < _LEAST
             if not out:
                 kept.append(c)
         node.children = kept
@@ -285,19 +319,10 @@ def _in_order(root: Node) -> list[tuple[Node, bool]]:
 def score(root: Node) -> Node | None:
     """Pass points up the tree; the best container, or None without text."""
     nodes = _in_order(root)
+    for node, _ in nodes:
+        node.points = 0.0
     for node, leaving in nodes:
-        if not leaving:
-            continue
-        own = [html.unescape(c) if "&" in c else c for c in node.children if isinstance(c, str)]
-        text = sum(len(c.strip()) for c in own)
-        inline = [c for c in node.children if not isinstance(c, str) and c.tag not in _BLOCK]
-        node.chars = text + sum(c.chars for c in node.children if not isinstance(c, str))
-        node.linked = node.chars if node.tag == "a" else sum(c.linked for c in node.children if not isinstance(c, str))
-        block = text + sum(c.chars for c in inline)
-        if node.tag in _BLOCK and block:
-            prose = block - sum(c.linked for c in inline)
-            commas = sum(c.count(",") + c.count("，") + c.count("、") for c in own)
-            gain = (0.1 + min(block / 100.0, 3.0) + commas) * prose / block
+        if leaving and (gain := _gain(node)):
             up, share = node.parent if node.tag != "div" or node.parent is None else node, 1.0
             while up is not None and share > 0.05:
                 up.points += gain * share
@@ -338,12 +363,36 @@ def _is_prose(node: Node) -> bool:
     return any(not leaving and n.chars and n.tag in _PROSE_TAGS for n, leaving in _in_order(node))
 
 
+def _articles(best: Node) -> list[Node | str]:
+    """An article, the articles of prose beside it, and the title above the first
+    if none of them has one: in page order."""
+    root = best
+    while root.parent is not None:
+        root = root.parent
+    found: list[Node] = []
+    titles: list[Node] = []
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node is best or node.tag in ("article", "main") and _is_prose(node):
+            found.append(node)
+        elif node.tag == "h1" and node.chars and not found:
+            titles.append(node)
+        else:
+            todo += [c for c in reversed(node.children) if not isinstance(c, str)]
+    if titles and not any(n.tag == "h1" and n.chars for one in found for n, _ in _in_order(one)):
+        found.insert(0, titles[-1])
+    return found
+
+
 def _kept(best: Node) -> list[Node | str]:
     """The text of the outermost container whose parts around the best one are
     mostly unlinked prose, without poor blocks that are mainly links; around the
     best element itself, any prose is enough."""
-    if best.parent is None or best.tag in ("article", "main"):
+    if best.parent is None:
         return [best]
+    if best.tag in ("article", "main"):
+        return _articles(best)
     top, here, beside = best, best, True
     while here.parent is not None:
         up = here.parent

@@ -245,6 +245,100 @@ def test_main_text_of_the_driver_pages():
         assert html_main.main_text(page) == "\n\n".join(p for p in parts if p)
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>One, a</p></article><article><p>Two, b</p></article>", "One, a\n\nTwo, b"),
+        (f"<article><p>{LONG}</p></article><div><article><a href=x>Another story to read on this site, today</a></article></div>", LONG.strip()),
+        ("<div><h1>Title</h1></div><main><p>Body, text</p></main>", "Title\n\nBody, text"),
+        ("<h1>Site</h1><article><h1>Title</h1><p>Body, text</p></article><h1>Below</h1>", "Title\n\nBody, text"),
+        ('<article><h2 class="related">Related work</h2><p class="tags">Tags, too</p><p class="notice">Notice</p><p><label>Name</label> b</p><p class="ad">x</p></article>',
+         "Related work\n\nTags, too\n\nNotice\n\nName b"),
+        ('<article><p>a, b</p><form><label>Mail</label></form></article>', "a, b"),
+    ],
+)
+def test_article_text_is_kept(page, text):
+    assert html_main.main_text(page) == text
+
+
+def test_a_region_is_judged_by_its_points_not_its_length():
+    """No length at which a named region's text comes and goes: commas count as length does."""
+    page = '<article><p>a</p><div class="elementor-widget"><p>{}</p></div></article>'
+    assert html_main.main_text(page.format("word " * 30)) == "a"
+    assert "word" in html_main.main_text(page.format("word " * 30 + ", and, so"))
+    assert html_main.main_text(page.format("<a href=x>" + "word, " * 90 + "</a>")) == "a"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a" + "b" * 100_000, "<b>" * 14_000 + "<li>x" * 11_000, "<div>" * 8_000 + "</span>" * 8_000, "<p a=\"" * 16_000, "<i x='" * 16_000 + ">",
+        "<a " * 33_000 + "=\"", "<ul><li><b>" * 9_000, "<table><tr><td>" * 6_000, "<p><b>" * 16_000, "<!--" * 25_000, "<script>" * 12_000, "<a href=x " * 10_000 + ">t",
+    ],
+    ids=range(12),
+)
+def test_odd_markup_takes_linear_time(page):
+    """100 kB of each take less than a second (and so do twice as much, about double)."""
+    import time
+
+    for times in (1, 2):
+        start = time.perf_counter()
+        html_main.main_text(page * times)
+        assert time.perf_counter() - start < 1.5 * times
+
+
+def test_points_by_definition():
+    """Random pages: every block passes its points to each ancestor, half of them a level up."""
+    rng = random.Random(5)
+
+    def page(depth):
+        out = ""
+        for _ in range(rng.randrange(1, 4)):
+            kind = rng.randrange(6 if depth else 2)
+            if kind < 2:
+                out += f"<p>{'some words, ' * rng.randrange(1, 30)}<a href=x>{'link ' * rng.randrange(3)}</a></p>"
+            elif kind == 2:
+                out += f"bare text, {'x' * rng.randrange(90)}"
+            else:
+                out += f"<{(t := rng.choice(['div', 'section', 'ul', 'blockquote']))}>{page(depth - 1)}</{t}>"
+        return out
+
+    for _ in range(60):
+        root = html_main.build_tree(page(4))
+        best = html_main.score(root)
+        nodes = [n for n, leaving in html_main._in_order(root) if not leaving]
+
+        def text(n):
+            return [c if isinstance(c, str) else "".join(text(c)) for c in n.children]
+
+        def linked(n):
+            return sum(len(c.strip()) for c in text(n)) if n.tag == "a" else sum(linked(c) for c in n.children if not isinstance(c, str))
+
+        def chars(n):
+            return sum(len(c.strip()) if isinstance(c, str) else chars(c) for c in n.children)
+
+        want = {id(n): 0.0 for n in nodes}
+        for n in nodes:
+            if n.tag not in html_main._BLOCK:
+                continue
+            own = [c for c in n.children if isinstance(c, str)]
+            inline = [c for c in n.children if not isinstance(c, str) and c.tag not in html_main._BLOCK]
+            size = sum(len(c.strip()) for c in own) + sum(map(chars, inline))
+            if not size:
+                continue
+            gain = (0.1 + min(size / 100, 3) + sum(c.count(",") for c in own)) * (size - sum(map(linked, inline))) / size
+            up = n if n.tag == "div" else n.parent
+            for level in range(5):
+                if up is not None:
+                    want[id(up)] += gain / 2**level
+                    up = up.parent
+        for n in nodes:
+            share = linked(n) / chars(n) if chars(n) else 0
+            assert n.points == pytest.approx(want[id(n)] * (1 - share))
+        top = max(n.points for n in nodes)
+        assert best is None and top == 0 or best.points == top or top == 0
+
+
 def test_deep_and_long_pages():
     assert html_main.main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
     assert len(html_main.main_text("<article>" + "<p>many words, here</p>" * 5000 + "</article>").split("\n\n")) == 5000
@@ -255,6 +349,9 @@ def test_page_edges(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = html_main.extract_main_text(df).collect()
     assert sorted((r["page_id"] or 0, r["text"]) for r in got) == [(0, ""), (1, "a"), (1, "a")]
+    clash = spark.createDataFrame([(1, "<p>x</p>" * 30_000, "k", "o", "t")], "page_id long, html string, k0 string, o0 string, t string")
+    row = html_main.extract_main_text(clash, out="body").first()
+    assert row["body"].count("x") == 30_000 and (row["k0"], row["o0"], row["t"]) == ("k", "o", "t")
     assert html_main.extract_main_text(df.limit(0)).collect() == []
 
 
