@@ -3,8 +3,8 @@
 Training counts n-grams in Spark (one pass, counts per task summed by a
 shuffle); the model is one log-probability matrix, ``2 ** bits`` rows by one
 column a language, whose size does not depend on the corpus.  It is broadcast,
-and texts are scored in sparse batches: the matrix rows of a batch's n-grams
-are gathered and summed per text.
+and texts are scored in sparse batches: the matrix rows of all n-grams of a batch
+of texts are gathered at once and summed text by text with one segmented sum.
 
 Text is lower-cased and every run of characters that are not letters becomes
 one space, so digits, punctuation and markup say nothing about the language.
@@ -155,23 +155,75 @@ def train_language_model(
     return LanguageModel(langs, logp.astype(np.float32), prior, orders, bits)
 
 
+def _batch_grams(texts: list[str], letters: np.ndarray, orders: tuple[int, ...], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, text each belongs to) of a batch of texts, an order at a time: the
+    texts stand in one array, and no n-gram reaches over a border."""
+    lowered = [t.lower() for t in texts]
+    size = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 2
+    start = np.cumsum(size) - size
+    inner = np.ones(int(size.sum()), bool)
+    inner[start] = inner[start + size - 1] = False
+    raw = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.full(len(inner), 32, np.uint32)
+    codes[inner] = np.where(letters[raw], raw, 32)
+    keep = np.ones(len(codes), bool)
+    keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
+    keep[start] = True
+    codes, owner = codes[keep], np.repeat(np.arange(len(texts), dtype=np.int32), size)[keep]
+    for n in orders:
+        if len(codes) < n:
+            continue
+        inside = owner[: len(owner) - n + 1] == owner[n - 1 :]
+        if n == 1:
+            inside &= codes != 32  # as _ids leaves lone spaces out
+            yield _ids(codes, (1,), bits)[inside[codes != 32]], owner[inside]
+        else:
+            yield _ids(codes, (n,), bits)[inside], owner[: len(inside)][inside]
+
+
+def _totals(texts: list[str | None], logp, orders, bits, letters) -> tuple[np.ndarray, np.ndarray]:
+    """Summed log-probabilities, and number of n-grams, of every text."""
+    totals, counts = np.zeros((len(texts), logp.shape[1])), np.zeros(len(texts), np.int64)
+    batch: list[int] = []
+
+    def flush() -> None:
+        if not batch:
+            return
+        rows = np.array(batch)
+        for ids, owner in _batch_grams([texts[i] for i in batch], letters, orders, bits):
+            if len(ids):
+                first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+                at = rows[owner[first]]
+                totals[at] += np.add.reduceat(logp.take(ids, axis=0), first, axis=0, dtype=np.float64)
+                counts[at] += np.diff(np.concatenate((first, [len(ids)])))
+        batch.clear()
+
+    used = 0
+    for i, text in enumerate(texts):
+        if text and len(text) > PIECE_CHARS:  # alone, in overlapping pieces
+            for ids in _grams(text, letters, orders, bits):
+                totals[i] += logp.take(ids, axis=0).sum(axis=0, dtype=np.float64)
+                counts[i] += len(ids)
+        elif text:
+            if used + len(text) > PIECE_CHARS:
+                flush()
+                used = 0
+            batch.append(i)
+            used += len(text)
+    flush()
+    return totals, counts
+
+
 def _scorer(langs, logp, prior, orders, bits, letters) -> Callable[[list[str | None]], tuple[list, list]]:
     def score(texts: list[str | None]) -> tuple[list, list]:
-        pred, conf = [], []
-        for text in texts:
-            total, n = np.zeros(len(langs)), 0
-            for ids in _grams(text, letters, orders, bits):
-                total += logp.take(ids, axis=0).sum(axis=0, dtype=np.float64)
-                n += len(ids)
-            if not n or not langs:
-                pred.append(UND)
-                conf.append(0.0)
-                continue
-            total += prior
-            best = int(np.argmax(total))
-            pred.append(langs[best])
-            conf.append(float(min(1.0, 1.0 / np.exp(np.minimum(total - total[best], 0)).sum())))
-        return pred, conf
+        if not langs:
+            return [UND] * len(texts), [0.0] * len(texts)
+        totals, counts = _totals(texts, logp, orders, bits, letters)
+        totals += prior
+        best = totals.argmax(axis=1)
+        apart = np.exp(np.minimum(totals - totals[np.arange(len(texts)), best][:, None], 0)).sum(axis=1)
+        conf = np.where(counts > 0, np.minimum(1.0, 1.0 / apart), 0.0)
+        return [langs[b] if n else UND for b, n in zip(best.tolist(), counts.tolist())], conf.tolist()
 
     return score
 

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rawhouse.llm.common import alnum_words, map_texts
+from rawhouse.session import discard, materialize
 
 BITS = 20
 TRAIN_ROWS = 20_000
@@ -123,7 +124,8 @@ def train(
     zeros, n_zeros = _sample(given, 0, rows)
     drawn = ones.union(zeros)  # 2 * rows small rows at most
     text = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    learn = text.join(F.broadcast(drawn), "id").select("toxic", "text")
+    # Three passes read the sample: it is written once, not drawn from all documents again.
+    learn = materialize(text.join(F.broadcast(drawn), "id").select("toxic", "text"), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, size), np.int64)
@@ -150,6 +152,7 @@ def train(
         "curve": None,
     }
     if not y[0].any() or not y[1].any():
+        discard(learn)
         return model
     n = y.sum(axis=1)
     alpha = PRIOR_SHARE * y.sum(axis=0) + 1e-9
@@ -202,6 +205,7 @@ def train(
             )
 
     seen = learn.mapInArrow(measure, "toxic int, best double, whole double, n long").toArrow()
+    discard(learn)
     label, best, length = (seen[c].to_numpy() for c in ("toxic", "best", "n"))
     plain = (label == 0) & (length > 0)
     lam = model["lam"]

@@ -1,5 +1,7 @@
 """Language, toxicity, near-duplicates, decontamination, sharding and the pipeline."""
 
+import collections
+import math
 import os
 import random
 import re
@@ -31,7 +33,7 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 # --- language and toxicity ---------------------------------------------------
@@ -67,6 +69,69 @@ def test_long_texts_hash_in_pieces(monkeypatch):
     assert np.array_equal(whole, pieces)
 
 
+def naive_bayes(rows, texts, orders=langid.ORDERS, bits=langid.BITS, alpha=0.5):
+    """Language and posterior of texts by the definition, with plain counters."""
+    mask = (1 << 64) - 1
+
+    def grams(text):
+        chars, out = [" "], []
+        for c in text.lower():
+            chars.append(c if c.isalpha() else " ")
+        line = re.sub(" +", " ", "".join(chars) + " ")
+        for n in orders:
+            for i in range(len(line) - n + 1):
+                if n == 1 and line[i] == " ":
+                    continue
+                h = n
+                for c in line[i : i + n]:
+                    h = (h + ord(c)) * 0x9E3779B97F4A7C15 & mask
+                    h ^= h >> 29
+                out.append((h * 0xBF58476D1CE4E5B9 & mask) >> (64 - bits))
+        return out
+
+    counts, docs = {}, collections.Counter()
+    for lang, text in rows:
+        counts.setdefault(lang, collections.Counter()).update(grams(text or ""))
+        docs[lang] += 1
+    found = []
+    for text in texts:
+        own = grams(text or "")
+        if not own:
+            found.append(("und", 0.0))
+            continue
+        score = {}
+        for lang, c in counts.items():
+            whole = sum(c.values()) + alpha * 2**bits
+            score[lang] = math.log(docs[lang] / sum(docs.values())) + sum(math.log((c[g] + alpha) / whole) for g in own)
+        best = max(sorted(score), key=score.get)
+        found.append((best, 1 / sum(math.exp(s - score[best]) for s in score.values())))
+    return found
+
+
+def test_language_scores_by_definition(spark, odd):
+    words = {"de": "der die und nicht ein größer straße", "en": "the of and is not larger street", "fr": "le la et ne pas où çà élève"}
+    rng = random.Random(3)
+    rows = [(lang, " ".join(rng.choice(w.split()) for _ in range(rng.randint(0, 9)))) for lang, w in words.items() for _ in range(8)]
+    rows += [("en", None), ("de", "12 34 !!")]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    model = langid.train_language_model(df)
+    texts = ["the street", "größer", "où", "", None, "x", "  le--la  ", "a", "1", "The\x00of", "🙂 nicht", "ﬁ İ ǅ", "und " * 300] + [t for _, t in rows]
+    got = langid._scorer(model.langs, model.logp, model.prior, model.orders, model.bits, langid.letter_table())(texts)
+    for text, lang, score, (want, posterior) in zip(texts, *got, naive_bayes(rows, texts)):
+        assert (lang, score) == (want, pytest.approx(posterior, abs=1e-4)), text
+
+
+def test_batches_of_texts_sum_as_single_texts(monkeypatch):
+    letters = langid.letter_table()
+    logp = np.random.default_rng(1).standard_normal((1 << 15, 3)).astype(np.float32)
+    texts = ["Ein Text", None, "", "a", "äöü 12 b" * 40, "...", "x" * 700, "b c", "y z " * 90]
+    whole = langid._totals(texts, logp, (1, 2, 3), 15, letters)
+    for limit in (1, 64, 500):
+        monkeypatch.setattr(langid, "PIECE_CHARS", limit)
+        part = langid._totals(texts, logp, (1, 2, 3), 15, letters)
+        assert np.allclose(whole[0], part[0], atol=1e-3) and (whole[1] == part[1]).all()
+
+
 def by_definition(x):
     """Maximal segments: the best one, then the same left and right of it."""
     best = None
@@ -89,6 +154,36 @@ def test_maximal_segments():
         assert [s[:2] for s in toxicity.maximal_segments(x)] == [s[:2] for s in by_definition(x)]
 
 
+def test_toxicity_score_by_definition(spark):
+    """Score and passages worked out from the model's tables with plain loops."""
+    rng = random.Random(4)
+    plain, bad = ["the", "house", "garden", "river", "stone", "walked"], ["idiotic", "idiots", "scumbags"]
+    rows = [(i, " ".join(rng.choice(plain) for _ in range(40)) + (" " + " ".join(rng.choice(bad) for _ in range(6)) if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, model, keep=["doc_id"]).collect()}
+    shift = 32 - model["bits"]
+
+    def word_score(word):
+        units = [zlib.crc32(p.encode()) >> shift for p in [word, *(word[:k] + "*" for k in toxicity.PREFIXES if len(word) > k)]]
+        best = max(units, key=lambda u: model["z"][u])
+        return float(model["value"][best if model["z"][best] > 0 else units[0]]) - model["drift"]
+
+    for i, text, _ in rows[:60]:
+        x = [word_score(w) for w in text.split()]
+        found = by_definition(x)
+        best, whole, n = max((s for *_, s in found), default=0.0), sum(s for *_, s in found), len(x)
+        floor = math.log(max(model["k"] * n, 1e-9))
+        top, every = (max(model["lam"] * v - floor, 0.0) if v > 0 else 0.0 for v in (best, whole))
+        evidence = [1.0, float(best > 0), math.log1p(top), math.log1p(every), math.sqrt(whole / n)]
+        want = 1 / (1 + math.exp(-sum(a * b for a, b in zip(evidence, model["curve"]))))
+        assert got[i]["score"] == pytest.approx(want, abs=1e-9)
+        significant = [f"{a}:{b}" for a, b, s in found if model["k"] * n * math.exp(-model["lam"] * s) < toxicity.SIGNIFICANT]
+        assert got[i]["passages"] == significant
+    assert all((got[i]["score"] >= 0.7) == bool(toxic) for i, _, toxic in rows)
+
+
 def test_toxicity_held_out(spark):
     docs, labels = spark.read.parquet(f"{SF[:-4]}0.1/documents.parquet"), spark.read.parquet(f"{SF[:-4]}0.1/labels.parquet")
     model = toxicity.train(docs, labels.where(queries.remainder("doc_id", 3) != 1))
