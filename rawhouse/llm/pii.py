@@ -2,52 +2,65 @@
 
 Patterns find email addresses, IP addresses, card numbers and phone numbers
 exactly; their spans always stay.  A skip-chain CRF then labels the tokens that
-could be personal data (those with an ASCII digit or ``@``; every other token
-can only be O and would send no message):
+could be personal data (those with an ASCII digit, ``@`` or a bracketed "at";
+every other token can only be O and would send no message):
 
 * unary potentials from token features,
 * chain potentials between neighbouring tokens,
 * skip potentials between distant tokens of a document that repeat or resemble
-  each other (same core text, or same digits): all members of a group share a
-  hub variable, so a group of m tokens costs m edges and not m squared.
+  each other (same text, same digits, same last digits, same letters and digits):
+  all members of a group share a hub variable, so a group of m tokens costs m
+  edges and not m squared.
 
 Tokens inside pattern spans are observed.  Loopy sum-product message passing
 over all graphs of a batch at once gives marginals, so evidence for one mention
 reaches its repetitions anywhere in the document; confident tokens become spans
 of their own.
 
-The weights are fitted by pseudo-likelihood on the pattern labels of a bounded
-sample (``TRAIN_DOCS`` documents at most, drawn by hash); detection covers every
-document and the whole text.
+A number that no pattern matches is told from an ordinary one by what it repeats,
+so the field is fitted on lessons made from a bounded sample of documents with
+matches (``TRAIN_DOCS`` at most, drawn by hash for each kind): some matches are
+hidden, other writings of them are added, and numbers that repeat nothing beside
+them.  Detection covers every document and the whole text.
 
 Defined results: a null or empty text has no spans; offsets are code points,
-end exclusive; repeated rows get equal results; without documents the model has
-zero weights and adds nothing.
+end exclusive; repeated rows get equal results; without documents, or a match in
+them, the model has zero weights and adds nothing; texts of any length are read
+whole; other columns of any name are kept, except one called as a result, whose
+name can be chosen.
 """
 
 from __future__ import annotations
 
+import json
+import random
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rawhouse.llm.common import free_name, map_texts
+from rawhouse.session import discard, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
 TRAIN_DOCS = 2000
+CASE_TOKENS = 512
+SKIPS = (0.0, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 10.0, 12.0)
 ROUNDS = 8
 CONFIDENCE = 0.9
+CHUNK_BYTES = 1 << 20  # text whose graphs are passed over together
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_HINT = re.compile(r"[0-9@]")
+_HINT = re.compile(r"[0-9@]|[\[({][aA][tT][\])}]")
 _TOKEN = re.compile(r"\S+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
@@ -113,22 +126,29 @@ def pattern_spans(text: str | None) -> list[tuple[str, int, int]]:
 # --- tokens -----------------------------------------------------------------
 
 FEATURES = (
-    "bias", "at", "address", "octets", "dots", "luhn", "digits_1_3", "digits_4_7", "digits_8_15", "digits_16_19",
+    "bias", "at", "address", "bracketed_at", "octets", "dots", "luhn", "digits_1_3", "digits_4_7", "digits_8_15", "digits_16_19",
     "digits_20", "all_digits", "letters", "plus", "parens", "hyphen", "after_plus", "before_digits", "after_digits",
 )
 _EDGE = " \t\r\n!\"#$%&'*,.:;<=>?[]^_`{|}~"
+_NUMERIC = re.compile(r"[0-9()./-]+")
+_BRACKETED = re.compile(r"[\[({]at[\])}]", re.I)
+_SIGNS = re.compile(r"[^a-z0-9]")
 
 
 class Tokens:
-    """Candidate tokens of one text: offsets of their cores, features, groups."""
+    """Candidate tokens of one text: offsets of their cores, features, groups.
+
+    Words of digits with one blank between them are one token (up to 19 digits):
+    a number is written with or without blanks.  Tokens are in a group if their
+    text is equal, their digits, their last seven digits (of numbers), or their
+    letters and digits with ``@`` read as "at".
+    """
 
     def __init__(self, text: str) -> None:
         self.start: list[int] = []
         self.end: list[int] = []
-        self.features: list[list[float]] = []
         self.chain: list[int] = []  # tokens whose predecessor is the candidate before them
-        keys: dict[tuple[str, str], list[int]] = defaultdict(list)
-        last = -1
+        last, open_digits = -2, 0
         for n, m in enumerate(_TOKEN.finditer(text)):
             word = m[0]
             if not _HINT.search(word):
@@ -136,33 +156,50 @@ class Tokens:
             core = word.strip(_EDGE)
             if not core:
                 continue
-            i, offset = len(self.start), m.start() + len(word) - len(word.lstrip(_EDGE))
+            offset = m.start() + len(word) - len(word.lstrip(_EDGE))
+            numeric = _NUMERIC.fullmatch(core[1:] if core[0] == "+" else core) is not None
+            digits = len(_NOT_DIGIT.sub("", core)) if numeric else 0
+            near = last == n - 1
+            last = n
+            if near and numeric and open_digits and core[0] != "+" and offset == self.end[-1] + 1 and open_digits + digits <= 19:
+                self.end[-1] = offset + len(core)
+                open_digits += digits
+                continue
+            if near and self.start:
+                self.chain.append(len(self.start))
             self.start.append(offset)
             self.end.append(offset + len(core))
-            if last == n - 1 and i:
-                self.chain.append(i)
-            last = n
-            digits = _NOT_DIGIT.sub("", core)
-            self.features.append(self._of(core, digits, text, offset))
-            keys["text", core.lower()].append(i)
+            open_digits = digits
+        rows = []
+        keys: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for i, (start, end) in enumerate(zip(self.start, self.end)):
+            core = text[start:end]
+            digits, low = _NOT_DIGIT.sub("", core), core.lower()
+            rows.append(self._of(core, digits, text, start))
+            keys["text", low].append(i)
             if len(digits) >= 7:
                 keys["digits", digits].append(i)
-        self.groups = [g for g in keys.values() if len(g) > 1]
+                if not any(map(str.isalpha, core)):
+                    keys["tail", digits[-7:]].append(i)
+            if len(plain := _SIGNS.sub("", low.replace("@", "at"))) >= 6:
+                keys["plain", plain].append(i)
+        # The same members under two keys are one group: evidence counts once.
+        self.groups = [list(g) for g in dict.fromkeys(tuple(g) for g in keys.values() if len(g) > 1)]
+        self.features = b"".join(rows)
 
     @staticmethod
-    def _of(core: str, digits: str, text: str, offset: int) -> list[float]:
+    def _of(core: str, digits: str, text: str, offset: int) -> bytes:
         n, parts = len(digits), core.split(".")
         at = core.find("@")
         before = text[max(0, offset - 6) : offset]
         after = text[offset + len(core) : offset + len(core) + 2]
-        on = (
-            True, at >= 0, at > 0 and bool(_DOMAIN.match(core, at + 1)),
+        return bytes((
+            True, at >= 0, at > 0 and bool(_DOMAIN.match(core, at + 1)), bool(_BRACKETED.search(core)),
             len(parts) == 4 and all(p.isascii() and p.isdigit() and _octet(p) for p in parts), len(parts) > 1,
             16 <= n <= 19 and luhn(digits), 1 <= n <= 3, 4 <= n <= 7, 8 <= n <= 15, 16 <= n <= 19, n >= 20,
             n == len(core), any(map(str.isalpha, core)), core[0] == "+", core[0] == "(", "-" in core,
             "+" in before, after[-1:].isdigit(), bool(re.search(r"[0-9] $", before)),
-        )
-        return [float(x) for x in on]
+        ))
 
     def labels(self, spans: list[tuple[str, int, int]]) -> list[int]:
         """Label of the pattern span that overlaps each token, else 0."""
@@ -189,8 +226,7 @@ class Graph:
     def __init__(self, tokens: list[Tokens]) -> None:
         sizes = [len(t.start) for t in tokens]
         self.first = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-        feats = [f for t in tokens for f in t.features]
-        self.x = np.array(feats, float).reshape(-1, len(FEATURES))
+        self.x = np.frombuffer(b"".join(t.features for t in tokens), np.uint8).reshape(-1, len(FEATURES)).astype(np.float32)
         self.right = np.array([a + i for a, t in zip(self.first, tokens) for i in t.chain], np.int64)
         groups = [[a + i for i in g] for a, t in zip(self.first, tokens) for g in t.groups]
         self.hub = np.repeat(np.arange(len(groups)), [len(g) for g in groups]) if groups else np.empty(0, np.int64)
@@ -238,46 +274,132 @@ def marginals(graph: Graph, weights: dict[str, np.ndarray], observed: np.ndarray
     return np.exp(belief - _lse(belief, 1)[:, None])
 
 
-def fit(texts: list[str | None], steps: int = 400, ridge: float = 0.02) -> dict[str, np.ndarray]:
-    """Weights by pseudo-likelihood: each token given its neighbours' pattern labels."""
+# --- learning ---------------------------------------------------------------
+
+
+class Case:
+    """What one document teaches: the features and groups of its tokens, their labels,
+    and which of them the patterns show (the others must be found)."""
+
+    __slots__ = ("start", "features", "chain", "groups", "label", "shown")
+
+    def __init__(self, start, features, chain, groups, label, shown) -> None:
+        self.start, self.features, self.chain, self.groups = start, features, chain, groups
+        self.label, self.shown = label, shown
+
+    def packed(self) -> str:
+        return json.dumps([len(self.start), self.features.hex(), self.chain, self.groups, self.label, self.shown])
+
+    @classmethod
+    def unpacked(cls, line: str) -> Case:
+        n, features, chain, groups, label, shown = json.loads(line)
+        return cls([0] * n, bytes.fromhex(features), chain, groups, label, shown)
+
+
+def _variant(kind: str, text: str, rng: random.Random) -> str | None:
+    """Another way to write the same thing, which the patterns do not match."""
+    digits = _NOT_DIGIT.sub("", text)
+    if kind == "email":
+        return text.replace("@", rng.choice(("[at]", "(at)", "{at}")))
+    if kind == "ip":
+        return text.replace(".", rng.choice(("-", "[.]")))
+    if kind == "card":
+        return rng.choice((".", "/")).join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    return rng.choice((digits, "0" + digits[2:], f"{digits[:4]}/{digits[4:]}", f"0{digits[2:5]} {digits[5:]}")) if len(digits) > 9 else digits
+
+
+def learning_case(text: str | None, seed: int) -> Case | None:
+    """A document with pattern matches as a lesson in finding the same things where
+    no pattern shows them.
+
+    Of its matches some are hidden; further mentions in other writing are put
+    behind the text, and beside them numbers of the same shapes that repeat
+    nothing (these are O).  None without a match or with more than ``CASE_TOKENS``
+    tokens.
+    """
+    spans = pattern_spans(text)
+    if not spans:
+        return None
+    rng = random.Random(seed)
+    kind_of = {}  # place of an added mention -> label
+    whole = text
+    for kind, a, b in spans[:8]:
+        same = text[a:b]
+        for label, mention in ((kind, _variant(kind, same, rng)), ("O", _variant(kind, re.sub("[0-9]", lambda m: rng.choice("0123456789"), same), rng))):
+            if rng.random() < 0.7 and not (label == "O" and kind == "email"):
+                whole += rng.choice(("\nsee ", " or ", ", namely "))
+                kind_of[len(whole), len(whole) + len(mention)] = LABELS.index(label)
+                whole += mention
+    if rng.random() < 0.5:  # a long run of numbers is nothing
+        whole += "\nvalues " + " ".join(str(rng.randrange(1000, 10000)) for _ in range(rng.randrange(6, 14)))
+    tokens, shown = Tokens(whole), pattern_spans(whole)
+    if len(tokens.start) > CASE_TOKENS:
+        return None
+    seen = tokens.labels(shown)
+    label = list(seen)
+    for i, (a, b) in enumerate(zip(tokens.start, tokens.end)):
+        for (x, y), k in kind_of.items():
+            if a < y and x < b and not seen[i]:
+                label[i] = k
+    hidden = [rng.random() < 0.3 for _ in seen]
+    return Case(tokens.start, tokens.features, tokens.chain, tokens.groups, label, [0 if h else k for k, h in zip(seen, hidden)])
+
+
+def fit_cases(cases: list[Case], steps: int = 300, ridge: float = 0.02) -> dict[str, np.ndarray]:
+    """Weights from lessons.  Unary and chain weights: pseudo-likelihood of the tokens
+    that are not shown, given the labels around them.  The skip weight: the one of
+    ``SKIPS`` under which message passing, as it is run, gives those tokens' labels
+    the highest mean log-probability."""
     k = len(LABELS)
     weights = {"unary": np.zeros((len(FEATURES), k)), "chain": np.zeros((k, k)), "skip": np.zeros(())}
-    tokens = [Tokens(t) for t in texts if t and _HINT.search(t)]
-    kept = [t for t in texts if t and _HINT.search(t)]
-    if not any(t.start for t in tokens):
+    if not cases:
+        return weights
+    graph = Graph(cases)
+    y = np.array([v for c in cases for v in c.label], np.int64)
+    shown = np.array([v for c in cases for v in c.shown], np.int64)
+    asked = np.flatnonzero(shown == 0)
+    if not len(asked) or not y.any():
         return weights
-    graph = Graph(tokens)
-    y = np.array([v for t, text in zip(tokens, kept) for v in t.labels(pattern_spans(text))], np.int64)
     one = np.eye(k)[y]
     left, right, n = graph.right - 1, graph.right, len(y)
-    # Share of the other members of a token's groups that have each label.
-    share = np.zeros((n, k))
+    share = np.zeros((n, k))  # of the other members of a token's groups that have each label
     if graph.n_hubs:
         size = np.bincount(graph.hub, minlength=graph.n_hubs)
         total = _add(graph.hub, one[graph.member], graph.n_hubs)
         others = (total[graph.hub] - one[graph.member]) / (size[graph.hub] - 1)[:, None]
         share = _add(graph.member, others, n)
     speed = {name: np.zeros_like(w) for name, w in weights.items()}
+    lonely = (shown == 0)[:, None]
     for _ in range(steps):
         z = graph.x @ weights["unary"] + weights["skip"] * share
         z += _add(right, weights["chain"][y[left]], n) + _add(left, weights["chain"][:, y[right]].T, n)
-        error = one - np.exp(z - _lse(z, 1)[:, None])
+        error = np.where(lonely, one - np.exp(z - _lse(z, 1)[:, None]), 0.0)
         slope = {
             "unary": graph.x.T @ error,
             "chain": one[left].T @ error[right] + error[left].T @ one[right],
             "skip": np.array((error * share).sum()),
         }
         for name in weights:
-            speed[name] = 0.9 * speed[name] + slope[name] / n - ridge / 20 * weights[name]
+            speed[name] = 0.9 * speed[name] + slope[name] / len(asked) - ridge / 20 * weights[name]
             weights[name] = weights[name] + 0.5 * speed[name]
-    weights["skip"] = np.maximum(weights["skip"], 0.0)
+
+    def fits(skip: float) -> float:
+        p = marginals(graph, weights | {"skip": np.array(skip)}, shown)
+        return float(np.log(np.maximum(p[asked, y[asked]], 1e-12)).mean())
+
+    weights["skip"] = np.array(max(SKIPS, key=fits))
     return weights
 
 
+def fit(texts: list[str | None]) -> dict[str, np.ndarray]:
+    """:func:`fit_cases` of the texts that have a pattern match."""
+    return fit_cases([c for i, t in enumerate(texts) if (c := learning_case(t, i)) is not None])
+
+
 def added_spans(
     texts: list[str], base: list[list[tuple[str, int, int]]], weights: dict[str, np.ndarray], confidence: float = CONFIDENCE
 ) -> list[list[tuple[str, int, int]]]:
-    """Spans the field adds to the pattern spans of each text."""
+    """Spans the field adds to the pattern spans of each text: its confident tokens."""
     tokens = [Tokens(t) if t and _HINT.search(t) else Tokens("") for t in texts]
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     if not any(t.start for t in tokens):
@@ -286,19 +408,11 @@ def added_spans(
     observed = np.array([v for t, b in zip(tokens, base) for v in t.labels(b)], np.int64)
     p = marginals(graph, weights, observed)
     best = p.argmax(axis=1)
-    for row, t in enumerate(tokens):
-        a, run, chained = int(graph.first[row]), [], set(t.chain)
-        for i in range(len(t.start)):
-            label = int(best[a + i])
-            if not label or observed[a + i] or p[a + i, label] < confidence:
-                run = []
-                continue
-            if run and i in chained and run[0] == label and LABELS[label] == "phone":
-                run[1:] = [run[1], t.end[i]]
-                out[row][-1] = ("phone", run[1], run[2])
-            else:
-                run = [label, t.start[i], t.end[i]]
-                out[row].append((LABELS[label], t.start[i], t.end[i]))
+    sure = (best > 0) & (observed == 0) & (p[np.arange(len(p)), best] >= confidence)
+    row = np.searchsorted(graph.first, np.flatnonzero(sure), side="right") - 1
+    for at, r in zip(np.flatnonzero(sure).tolist(), row.tolist()):
+        i = at - int(graph.first[r])
+        out[r].append((LABELS[best[at]], tokens[r].start[i], tokens[r].end[i]))
     return out
 
 
@@ -306,13 +420,47 @@ def added_spans(
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
-    """Fit the field on at most ``docs`` documents, drawn by a hash of id and text."""
-    own = df.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias("h"))
-    own = own.where(F.col("text").isNotNull())
-    n = own.count()
-    drawn = own.where(F.pmod("h", F.lit(-(-n // docs))) == 0) if n > docs else own
-    rows = drawn.orderBy("h", F.xxhash64("text")).limit(docs).select("text").toLocalIterator()
-    return fit([r["text"] for r in rows])
+    """Fit the field on at most ``docs`` documents with pattern matches, an equal part
+    for each kind: those with the smallest hashes of id and text among the documents
+    that hold the kind, so rare kinds are learned too.
+
+    One pass over all documents; each task keeps its smallest hashes a kind.  The
+    driver receives token features of the drawn documents (``CASE_TOKENS`` tokens
+    each at most), no texts.
+    """
+    text = F.col(f"`{text_col}`").cast("string")
+    own = df.select(text.alias("t"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("h")).where(text.isNotNull())
+    each = max(1, docs // len(KINDS))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, dict[int, str]] = {k: {} for k in KINDS}
+        top: dict[str, int] = {k: 1 << 63 for k in KINDS}
+        for batch in batches:
+            for t, h in zip(batch.column(0), batch.column(1).to_pylist()):
+                case = None
+                value = t.as_py()
+                for kind in {k for k, _, _ in pattern_spans(value)}:
+                    if h >= top[kind] or h in kept[kind]:
+                        continue
+                    case = case or learning_case(value, h)
+                    if case is None:
+                        break
+                    kept[kind][h] = case.packed()
+                    if len(kept[kind]) > 2 * each:
+                        kept[kind] = dict(sorted(kept[kind].items())[:each])
+                        top[kind] = max(kept[kind])
+        rows = [(k, h, line) for k in KINDS for h, line in sorted(kept[k].items())[:each]]
+        if rows:
+            kinds, hashes, lines = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(hashes, pa.int64()), pa.array(lines)], names=["kind", "h", "line"])
+
+    drawn = materialize(own.mapInArrow(draw, "kind string, h long, line string"), "private-cases")
+    lines: dict[int, str] = {}
+    for kind in KINDS:
+        for r in drawn.where(F.col("kind") == kind).orderBy("h", "line").limit(each).collect():
+            lines[r["h"]] = r["line"]
+    discard(drawn)
+    return fit_cases([Case.unpacked(line) for _, line in sorted(lines.items())])
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> list[str]:
@@ -351,7 +499,7 @@ def find_private(
 
         return run
 
-    return map_texts(df, text_col, kept, {base_out: "array<string>", out: "array<string>"}, factory)
+    return map_texts(df, text_col, kept, {base_out: "array<string>", out: "array<string>"}, factory, CHUNK_BYTES)
 
 
 def masked(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
@@ -379,7 +527,7 @@ def mask_private(df: DataFrame, weights: dict[str, np.ndarray], text_col: str =
         find = _finder(shared.value)
         return lambda texts: {name: [masked(t, s) for t, s in zip(texts, find(texts)[1])]}
 
-    done = map_texts(df, text_col, others, {name: "string"}, factory)
+    done = map_texts(df, text_col, others, {name: "string"}, factory, CHUNK_BYTES)
     return done.select(*[F.col(f"`{name}`").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
 
 
