@@ -6,7 +6,9 @@ unit).  Every distinct unit is encoded once; units of equal length form one
 matrix and advance together, position by position.  Rolling hashes of all
 substrings that end at the position probe the sorted hashes of the pieces, a
 maximum over the candidates picks the best piece, and its length is stored as
-backpointer.
+backpointer.  A long unit (text without blanks) is cut where no piece reaches over
+and otherwise goes in windows of positions that advance together in one matrix; a
+window counts from where its state agrees with that of the window before.
 
 The score of a step follows the model's own kind, so ids equal the library's:
 
@@ -22,7 +24,9 @@ Characters without a piece become byte pieces (or the unknown piece).  Models
 with the identity normaliser and a dummy prefix are supported; others raise.
 
 Defined results: null and empty texts have no tokens; U+2581 reads as a space,
-as in the library; repeated rows get equal results; whole texts are encoded.
+as in the library; repeated rows get equal results; whole texts are encoded; a
+table without rows gives none; other columns of any name are kept, except one
+called as a result, whose name can be chosen.
 The vocabulary file is read on the driver and broadcast; it is never written.
 """
 
@@ -41,7 +45,9 @@ from rawhouse.llm.common import map_texts
 
 MARK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-LONG_UNIT = 96  # longer units go one by one
+LONG_UNIT = 96  # longer units are cut where no piece reaches over, then into windows
+BAND = 32
+WINDOW, WARM = 256, 64  # positions a window settles, and those it starts before them
 CACHE_UNITS = 400_000  # distinct units a task remembers before it starts anew
 _TOP = np.uint64(44)
 _CELLS = 1 << 16  # units times characters in one matrix
@@ -197,6 +203,11 @@ class Encoder:
     def _viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a matrix of code points (units of one length), and
         how many each has."""
+        return self._paths(codes, *self._advance(codes)[1:], np.full(len(codes), codes.shape[1]))
+
+    def _advance(self, codes: np.ndarray, state: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best score, last piece and its length at every position of all rows.
+        ``state`` has these for the first positions, one more than the longest piece."""
         v, (m, n) = self.v, codes.shape
         unigram, longest = v["unigram"], v["longest"]
         prefix = np.zeros((m, n + 1), np.uint64)
@@ -206,7 +217,11 @@ class Encoder:
         best[:, 0] = 0.0
         last = np.full((m, n + 1), -1, np.int64)  # piece that ends here; -1: a character without one
         back = np.ones((m, n + 1), np.int64)
-        for j in range(1, n + 1):
+        first = 1
+        if state is not None:
+            first = state[0].shape[1]
+            best[:, :first], last[:, :first], back[:, :first] = state
+        for j in range(first, n + 1):
             reach = min(longest, j)
             size = np.arange(1, reach + 1)
             piece = self._find(prefix[:, [j]] - prefix[:, j - size] * self.power[size][None, :])
@@ -228,11 +243,12 @@ class Encoder:
             best[:, j] = step[rows, pick]
             back[:, j] = pick + 1
             last[:, j] = piece[rows, pick]
-        return self._paths(codes, last, back)
+        return best, last, back
 
-    def _paths(self, codes: np.ndarray, last: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Follow the backpointers of all rows at once: ids in a row, and how many a unit has."""
-        rows, at = np.arange(len(codes)), np.full(len(codes), codes.shape[1])
+    def _paths(self, codes: np.ndarray, last: np.ndarray, back: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Follow the backpointers of all rows at once, each from its own end: ids in
+        a row, and how many a unit has."""
+        rows = np.arange(len(codes))
         taken = []
         while (live := at > 0).any():
             piece = np.where(live, last[rows, at], -2)
@@ -258,72 +274,131 @@ class Encoder:
         raw = self.v["byte_ids"][np.frombuffer(chr(code).encode(), np.uint8)]
         return raw.tolist() if (raw >= 0).all() else [self.v["unknown"]]
 
-    def _long(self, unit: str) -> list[int]:
-        """The same steps for one long unit, one text position after the other."""
-        v, n = self.v, len(unit)
-        codes = np.frombuffer(unit.encode("utf-32-le"), np.uint32)
-        longest = v["longest"]
-        # Hashes of all substrings by length, from shorter ones: h(s + c) = h(s) * B + c.
-        found, h = [], np.zeros(n, np.uint64)
-        for size in range(1, min(longest, n) + 1):
+    def _cut(self, unit: str) -> list[str]:
+        """A long unit cut at every place no piece reaches over: no path crosses
+        there, so the parts are encoded on their own."""
+        codes, n = np.frombuffer(unit.encode("utf-32-le"), np.uint32), len(unit)
+        crossed = np.zeros(n + 1, np.int64)
+        h = codes.astype(np.uint64) + np.uint64(1)
+        for size in range(2, min(self.v["longest"], n) + 1):
+            # Hashes of all substrings of a length from shorter ones: h(s + c) = h(s) * B + c.
             h = h[: n - size + 1] * BASE + (codes[size - 1 :].astype(np.uint64) + np.uint64(1))
-            found.append(self._find(h).tolist())
-        best, last, back = [0.0], [-1], [0]
-        memo: dict[tuple[int, int], bool] = {}
-        for j in range(1, n + 1):
-            top, own, took = -np.inf, -1, 1
-            for size in range(1, min(longest, j) + 1):
-                piece = found[size - 1][j - size]
-                if piece < 0:
-                    if size == 1:
-                        value = best[j - 1] + (v["lowest"] - 10.0 if v["unigram"] else 0.0)
-                    else:
-                        continue
-                elif v["unigram"]:
-                    value = best[j - size] + float(v["score"][piece])
-                else:
-                    pair = (last[j - size], piece)
-                    if pair not in memo:
-                        memo[pair] = bool(self._side_by_side(np.array([pair[0]]), np.array([pair[1]]))[0])
-                    value = best[j - size] if memo[pair] else -np.inf
-                if value > top:
-                    top, own, took = value, piece, size
-            best.append(top)
-            last.append(own)
-            back.append(took)
-        at, ids = n, []
-        while at > 0:
-            piece = last[at]
-            ids += [piece] if piece >= 0 else self._without_piece(ord(unit[at - 1]))[::-1]
-            at -= back[at]
-        return ids[::-1]
+            at = np.flatnonzero(self._find(h) >= 0)
+            np.add.at(crossed, at + 1, 1)
+            np.add.at(crossed, at + size, -1)
+        free = np.flatnonzero(np.cumsum(crossed)[1:n] == 0) + 1
+        ends = [0, *free.tolist(), n]
+        return [unit[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _windows(self, parts: list[str]) -> list[np.ndarray]:
+        """Ids of long parts, in windows that advance together.
+
+        A window starts ``WARM`` positions early, as if the text began there.  From
+        where as many positions in a row as the longest piece has agree with the
+        window before (same pieces, same score differences), both go on alike, since
+        a step looks no further back.  A window that does not agree goes once more
+        from the state of the window before it.
+        """
+        need = self.v["longest"]
+        width = max(WINDOW, 2 * need)
+        codes = [np.frombuffer(p.encode("utf-32-le"), np.uint32) for p in parts]
+        count = [-(-len(c) // width) for c in codes]
+        done: dict[tuple[int, int], tuple] = {}  # (part, window): first position, then best, last, back
+
+        def run(jobs: list[tuple[int, int]], early: int, known: bool) -> None:
+            # Rows of one length, the last windows padded: a step never looks ahead.
+            length = width + early + need
+            for at in range(0, len(jobs), max(1, _CELLS // length)):
+                some = jobs[at : at + max(1, _CELLS // length)]
+                rows = np.zeros((len(some), length), np.uint32)
+                starts = [max(0, k * width - early) for _, k in some]
+                for row, (p, k), start in zip(rows, some, starts):
+                    own = codes[p][start : (k + 1) * width + need]
+                    row[: len(own)] = own
+                state = None
+                if known:
+                    prior = [(done[p, k - 1], start) for (p, k), start in zip(some, starts)]
+                    state = tuple(np.stack([d[x][start - d[0] : start - d[0] + early + 1] for d, start in prior]) for x in (1, 2, 3))
+                found = self._advance(rows, state)
+                for i, ((p, k), start) in enumerate(zip(some, starts)):
+                    n = min(len(codes[p]), (k + 1) * width + need) - start + 1
+                    done[p, k] = (start, *(x[i, :n] for x in found))
+
+        run([(p, k) for p, n in enumerate(count) for k in range(n)], WARM, False)
+        settled = [1] * len(parts)  # windows that are known to be right
+        while True:
+            for p, n in enumerate(count):
+                while settled[p] < n and self._agree(done[p, settled[p] - 1], done[p, settled[p]], settled[p] * width, need):
+                    settled[p] += 1
+            late = [(p, settled[p]) for p, n in enumerate(count) if settled[p] < n]
+            if not late:
+                break
+            run(late, need, True)
+            for p, _ in late:
+                settled[p] += 1
+        out = []
+        for p, n in enumerate(map(len, parts)):
+            last, back = np.empty(n + 1, np.int64), np.empty(n + 1, np.int64)
+            for k in range(count[p]):
+                a, b = k * width + 1 if k else 0, min(n, (k + 1) * width) + 1
+                start, _, own_last, own_back = done[p, k]
+                last[a:b], back[a:b] = own_last[a - start : b - start], own_back[a - start : b - start]
+            last, back, at, ids = last.tolist(), back.tolist(), n, []
+            while at > 0:
+                ids += [last[at]] if last[at] >= 0 else self._without_piece(ord(parts[p][at - 1]))[::-1]
+                at -= back[at]
+            out.append(np.array(ids[::-1], np.int32))
+        return out
+
+    @staticmethod
+    def _agree(before: tuple, after: tuple, at: int, need: int) -> bool:
+        """Whether two windows agree at ``at`` and the ``need`` positions behind it."""
+        i, j = at - before[0], at - after[0]
+        n = min(need + 1, len(before[1]) - i, len(after[1]) - j)
+        x, y = before[1][i : i + n], after[1][j : j + n]
+        same = np.isfinite(x) == np.isfinite(y)
+        if not same.all() or any((p[i : i + n] != q[j : j + n]).any() for p, q in zip(before[2:], after[2:])):
+            return False
+        gap = (x - y)[np.isfinite(x)]
+        return not len(gap) or float(gap.max() - gap.min()) < 1e-9
 
     def _learn(self, units: list[str]) -> None:
         """Encode units not seen before and remember their ids."""
-        start, length = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
-        found, used = [self.flat], len(self.flat)
-        by_size: dict[int, list[int]] = {}
-        for i, u in enumerate(units):
-            if len(u) > LONG_UNIT:
-                ids = self._long(u)
-                start[i], length[i] = used, len(ids)
-                found.append(np.array(ids, np.int32))
-                used += len(ids)
-            else:
-                by_size.setdefault(len(u), []).append(i)
+        parts: dict[str, int] = {}  # distinct parts of the units; most units are one part
+        made_of: list[list[int]] = []
+        for u in units:
+            made_of.append([parts.setdefault(p, len(parts)) for p in (self._cut(u) if len(u) > LONG_UNIT else (u,))])
+        found: list[np.ndarray] = []
+        start, length, used = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64), 0
+        by_size: dict[int, list[tuple[str, int]]] = {}
+        for p, i in parts.items():
+            # Lengths above BAND stand in one matrix by bands, padded behind their ends.
+            n = len(p)
+            by_size.setdefault(n if n <= BAND else -(-n // BAND) * BAND if n <= LONG_UNIT else 0, []).append((p, i))
+        long = by_size.pop(0, [])
+        for (_, i), ids in zip(long, self._windows([p for p, _ in long])):
+            start[i], length[i] = used, len(ids)
+            found.append(ids)
+            used += len(ids)
         for size, members in by_size.items():
             rows = max(1, _CELLS // size)
             for at in range(0, len(members), rows):
-                part = members[at : at + rows]
-                text = "".join(units[i] for i in part).encode("utf-32-le")
-                ids, count = self._viterbi(np.frombuffer(text, np.uint32).reshape(len(part), size))
-                start[part] = used + np.cumsum(count) - count
-                length[part] = count
+                some = members[at : at + rows]
+                text = "".join(p.ljust(size, "\0") for p, _ in some).encode("utf-32-le")
+                codes = np.frombuffer(text, np.uint32).reshape(len(some), size)
+                ids, count = self._paths(codes, *self._advance(codes)[1:], np.array([len(p) for p, _ in some]))
+                place = np.array([i for _, i in some])
+                start[place] = used + np.cumsum(count) - count
+                length[place] = count
                 found.append(ids.astype(np.int32))
                 used += len(ids)
-        self.flat = np.concatenate(found)
-        self.start = np.concatenate((self.start, start))
-        self.length = np.concatenate((self.length, length))
+        flat = np.concatenate(found) if found else np.empty(0, np.int32)
+        order = np.array([i for own in made_of for i in own], np.int64)
+        ids, ends = _gather(flat, start[order], length[order])
+        bounds = ends[np.concatenate(([0], np.cumsum([len(own) for own in made_of])))]
+        self.start = np.concatenate((self.start, bounds[:-1] + len(self.flat)))
+        self.length = np.concatenate((self.length, np.diff(bounds)))
+        self.flat = np.concatenate((self.flat, ids))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and the offsets of the texts in them."""

@@ -512,14 +512,47 @@ def test_unigram_ids_equal_the_library(tmp_dir, texts):
         assert mine == want or score(mine) >= score(want) - 1e-6
 
 
-def test_long_units_take_the_same_path(vocabulary):
-    e = spm.Encoder(vocabulary)
+def unspaced(rng):
+    """Long texts without blanks of many kinds."""
+    words = "the of and street walked garden river stone house idea nation water little through because".split()
+    return [
+        "".join(rng.choice("etaoinshrdlu") for _ in range(3000)),
+        "".join(rng.choice(words) for _ in range(700)),
+        "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(700)) + "the" * 200,
+        "a" * 1200, "ab" * 700, "the" * 400 + "a" * 700 + "the" * 300, "é🙂日" * 100, "aA0/+" * 300,
+        "".join(rng.choice("0123456789abcdef") for _ in range(2000)),
+        "internationalization" * 40 + "ization" * 90,
+    ]
+
+
+def test_long_units_equal_the_library(vocabulary):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    for unit in ("▁" + "internationalization" * 3, "▁aaaaaaa", "▁日本語🙂the"):
-        import numpy as np
+    for seed in range(3):
+        some = unspaced(random.Random(seed))
+        ids, ends = spm.Encoder(vocabulary).encode(some)
+        for a, b, text in zip(ends, ends[1:], some):
+            assert ids[a:b].tolist() == library.encode(text), text[:20]
+
+
+def test_cut_parts_encode_on_their_own(vocabulary):
+    e = spm.Encoder(vocabulary)
+    for text in unspaced(random.Random(7)):
+        parts = e._cut(spm.MARK + text)
+        assert "".join(parts) == spm.MARK + text
+        assert max(map(len, parts)) > spm.LONG_UNIT or len(parts) > 1
+
 
-        row = np.frombuffer(unit.encode("utf-32-le"), np.uint32).reshape(1, -1)
-        assert e._long(unit) == e._viterbi(row)[0].tolist() == library.encode(unit[1:])
+def test_windows_that_disagree_go_again(vocabulary, monkeypatch):
+    """Runs of one letter never fall into step with a window that starts inside them."""
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    monkeypatch.setattr(spm, "WINDOW", 40)
+    monkeypatch.setattr(spm, "WARM", 3)
+    agreed = []
+    real = spm.Encoder._agree
+    monkeypatch.setattr(spm.Encoder, "_agree", staticmethod(lambda *a: agreed.append(real(*a)) or agreed[-1]))
+    for text in unspaced(random.Random(1)):
+        assert spm.Encoder(vocabulary).encode([text])[0].tolist() == library.encode(text)
+    assert True in agreed and False in agreed
 
 
 def test_tokens_edges(odd, odd_rows, vocabulary):
