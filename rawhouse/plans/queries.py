@@ -278,14 +278,7 @@ def load_csv_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.StructField("release_date", T.DateType()),
         T.StructField("explicit", T.IntegerType()),
     ])
-    return _with_state(files.read_csv_audited(spark, path, schema, bool_flags=("explicit",)))
-
-
-def _with_state(read: files.Audited) -> DataFrame:
-    """Good and quarantined rows (with the fields that did parse) together."""
-    good = read.good.withColumn("row_state", F.lit("good"))
-    bad = read.quarantine.drop(files.CORRUPT).withColumn("row_state", F.lit("quarantined"))
-    return good.unionByName(bad)
+    return files.read_csv_audited(spark, path, schema, bool_flags=("explicit",)).rows
 
 
 @register("load_keyed_files")
@@ -308,10 +301,10 @@ def load_keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.StructField("close", T.DoubleType()),
         T.StructField("volume", T.DoubleType()),
     ])
-    return _with_state(files.read_entity_csvs(
+    return files.read_entity_csvs(
         spark, path, schema, key_col="office", key_pattern=r"office=([^/]+)/",
         key_from="file_path", prefix="h_", recursive=True,
-    ))
+    ).rows
 
 
 @register("parse_posts")

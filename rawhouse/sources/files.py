@@ -8,7 +8,8 @@ parse (``PERMISSIVE`` mode plus a corrupt-record column).
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,18 @@ from rawhouse.session import materialize
 CORRUPT = "_corrupt"
 
 
-class Audited(NamedTuple):
+@dataclass(frozen=True)
+class Audited:
+    """``good`` and ``quarantine`` are two filters of one read (and what unpacking
+    gives); ``rows`` has both in one pass, with the column ``row_state`` ('good' or
+    'quarantined')."""
+
     good: DataFrame
     quarantine: DataFrame
+    rows: DataFrame
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        return iter((self.good, self.quarantine))
 
 
 def _split(df: DataFrame, corrupt: str, keep_corrupt: bool, materialized: bool) -> Audited:
@@ -35,7 +45,8 @@ def _split(df: DataFrame, corrupt: str, keep_corrupt: bool, materialized: bool)
     data = [F.col(f"`{c}`") for c in df.columns if c != corrupt]
     bad = F.concat(F.xxhash64(*data).cast("string"), F.col(corrupt)).isNotNull()
     good = df if keep_corrupt else df.where(~bad)
-    return Audited(good.drop(corrupt), df.where(bad))
+    state = F.when(bad, F.lit("quarantined")).otherwise(F.lit("good"))
+    return Audited(good.drop(corrupt), df.where(bad), df.withColumn("row_state", state).drop(corrupt))
 
 
 def read_csv_audited(

@@ -39,6 +39,10 @@ def test_read_csv_audited(spark, tmp_dir):
     assert good.count() + bad.count() == 5
     kept = files.read_csv_audited(spark, path, schema, keep_corrupt=True).good
     assert kept.count() == 5
+    both = files.read_csv_audited(spark, path, schema).rows
+    assert rows(both.where("row_state = 'good'"), "date", "open") == rows(good)
+    assert rows(both.where("row_state = 'quarantined'"), "date", "open") == rows(bad, "date", "open")
+    assert both._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_read_csv_header_check(spark, tmp_dir):
