@@ -40,7 +40,8 @@ from rawhouse.session import materialize
 SEED = 42
 SHINGLE_WORDS = 3
 MAX_BITS = 2
-SAMPLE = 100_000  # fingerprints the shard tree is built from; every one is searched
+SAMPLE = 2_000_000  # most fingerprints the shard tree is built from (16 MB); every one is searched
+SAMPLE_SHARE = 8  # and at most one in so many
 SHARD_ROWS = 4096
 LEAF_ROWS = 256
 _PIECE = 1 << 16  # shingles whose bits are counted at a time
@@ -242,7 +243,13 @@ def hamming_components(
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """(fp, root) for every distinct fingerprint (a long): ``root`` is one
-    fingerprint of its component under links at ``max_bits`` or fewer bits."""
+    fingerprint of its component under links at ``max_bits`` or fewer bits.
+
+    The tree is built from one fingerprint in ``SAMPLE_SHARE``, ``sample`` at most,
+    and cut while a shard is expected to hold more than ``shard_rows`` and 32 of the
+    sample: shards are of one size up to ``sample / 32 * shard_rows`` distinct
+    fingerprints (256 million as set), beyond it they grow with n / 62,500.
+    """
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits must be 0, 1 or 2")
     spark = fps.sparkSession
@@ -250,8 +257,11 @@ def hamming_components(
     if max_bits == 0:
         return alone.select("fp", F.col("fp").alias("root"))
     n = alone.count()
-    taken = alone.orderBy(F.xxhash64("fp")).limit(sample) if n > sample else alone
-    drawn = taken.toArrow().column("fp").to_numpy().view(np.uint64)
+    wanted = min(sample, n // SAMPLE_SHARE) if n > shard_rows else 0  # one shard needs no tree
+    drawn = np.zeros(0, np.uint64)
+    if wanted:
+        taken = alone.where(F.pmod(F.xxhash64("fp"), F.lit(max(1, n // wanted))) == 0)
+        drawn = taken.limit(2 * wanted).toArrow().column("fp").to_numpy().view(np.uint64)
     scale = n / max(1, len(drawn))
     tree = build_tree(np.sort(drawn), scale, max(shard_rows, int(32 * scale)), (max_bits + 1) // 2)
     shared = spark.sparkContext.broadcast(tuple(vars(tree).values()))
@@ -315,11 +325,12 @@ def keep_first(
 
     A component without any id keeps one of its rows.  Rows that share the kept
     id with another row of the component (repeated rows) are reduced to one by
-    the smallest text hash, so exactly one row of each component is left; rows
-    with equal id and equal text count as one.
+    the smallest hash of the row, so exactly one row of each component is left;
+    rows that are equal in every column (maps aside) count as one.
     """
     ident, text, names = F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), df.columns
-    row_key = F.xxhash64(F.coalesce(text.cast("string"), F.lit("")), text.isNull())
+    others = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    row_key = F.xxhash64(F.coalesce(text.cast("string"), F.lit("")), text.isNull(), *others)
     prints = materialize(
         simhash(
             df.select(ident.alias("id"), text.alias("text"), row_key.alias("h")), "text", ["id", "h"], "fp", shingle, seed
