@@ -12,7 +12,8 @@ one space, so digits, punctuation and markup say nothing about the language.
 Defined results: a null text or one without a letter is ``und`` with score 0;
 a null label is never learned; without any labelled row every text is ``und``;
 the smallest language name wins an exact tie; repeated rows get equal results;
-extra columns are ignored.  Texts are used whole.
+a table without rows gives none; other columns of any name are kept, except those
+called as the results, whose names can be chosen.  Texts are used whole.
 """
 
 from __future__ import annotations

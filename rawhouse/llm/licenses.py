@@ -11,7 +11,9 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the whole text with A-Z
 lower-cased.  Defined results: a null text is empty and has no words; a text
 without a match has empty labels and score 0; the score is
 1 - 2 ** (-m / 4) for the m mandatory words of the longest wording found;
-repeated rows get equal results.
+repeated rows get equal results; texts of any length are read whole; a table without
+rows gives none; other columns of any name are kept, except those called as the
+results, whose names can be chosen.
 """
 
 from __future__ import annotations

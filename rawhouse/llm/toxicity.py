@@ -19,7 +19,9 @@ by weights).  Scoring covers all documents and whole texts.
 
 Defined results: null and empty texts score like a text without evidence; rows
 with a null label are not learned; without both classes every score is 0; a
-document that is labelled twice counts twice; repeated rows score equally.
+document that is labelled twice counts twice; repeated rows score equally; texts
+of any length are read whole; a table without rows gives none; other columns of any
+name are kept, except those called as the results, whose names can be chosen.
 """
 
 from __future__ import annotations
