@@ -10,6 +10,12 @@ Decisions: documents without a recognisable language go; of each near-duplicate
 group the row with the smallest doc_id stays (rows without an id only where the
 group has no other); contaminated documents go; personal data is masked in the
 text; the last stage returns token ids.
+
+Defined results: a null or empty text, and one without a letter, has no language and
+goes with the first stage; null labels are not learned; a document without an id is
+kept or dropped as any other; of rows that are equal in id and text one is left; an
+empty table, a table without labels or an empty benchmark gives an empty result or
+drops nothing; columns of any other name travel through every stage but the last.
 """
 
 from __future__ import annotations
