@@ -63,17 +63,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 
 def merge_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels (index of the smallest member) after joining i and j."""
-    while len(i):
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, label[i], low)
-        np.minimum.at(label, label[j], low)
-        label = label[label]
-        apart = label[i] != label[j]
+    """Labels (index of the smallest member) after joining i and j.
+
+    Labels are followed to their roots before each round and only roots are
+    hooked, so no earlier join is undone; a pair is done once its roots are equal.
+    """
+    while True:
+        while not np.array_equal(label, up := label[label]):
+            label = up
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            return label
         i, j = i[apart], j[apart]
-    while not np.array_equal(label, label[label]):
-        label = label[label]
-    return label
+        label = label.copy()
+        np.minimum.at(label, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
 
 
 __all__ = ["connected_components", "merge_labels"]

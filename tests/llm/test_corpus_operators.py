@@ -154,6 +154,29 @@ def test_maximal_segments():
         assert [s[:2] for s in toxicity.maximal_segments(x)] == [s[:2] for s in by_definition(x)]
 
 
+@pytest.mark.parametrize("n, m", [(30, 20), (200, 190), (1000, 900), (1000, 3000)])
+def test_merged_labels_lose_no_link(n, m):
+    """Against plain union-find, on sparse random graphs, chains and comb shapes."""
+    rng = random.Random(n + m)
+    for turn in range(60):
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        if turn % 3 == 0:
+            order = rng.sample(range(n), n)
+            pairs = list(zip(order, order[1:]))
+        parent = list(range(n))
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for a, b in pairs:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+        i, j = (np.array(c) for c in zip(*pairs))
+        assert components.merge_labels(np.arange(n), i, j).tolist() == [root(x) for x in range(n)]
+
+
 def test_toxicity_score_by_definition(spark):
     """Score and passages worked out from the model's tables with plain loops."""
     rng = random.Random(4)
