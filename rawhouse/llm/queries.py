@@ -26,6 +26,12 @@ def remainder(id_col: str, by: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % by
 
 
+def _n_of_kind(spans: str, kind: str) -> Column:
+    """Number of the spans ``kind:start:end`` that are of ``kind``.  (The function given
+    to ``F.filter`` has one parameter: Spark fills a second one with the index.)"""
+    return F.size(F.filter(spans, lambda s: s.startswith(f"{kind}:"))).cast("long")
+
+
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and templates in every document."""
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("places")
@@ -35,13 +41,9 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document, counted and digested."""
     docs = _table(spark, sf_dir, "documents")
     found = pii.find_private(docs, pii.train(docs), keep=["doc_id"])
-    counts = [
-        F.size(F.filter("base_spans", lambda s, k=kind: s.startswith(f"{k}:"))).cast("long").alias(f"n_{kind}")
-        for kind in pii.KINDS
-    ]
     return found.select(
         "doc_id",
-        *counts,
+        *[_n_of_kind("base_spans", kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(F.concat_ws(",", "base_spans"), 256).alias("base_sha256"),
         F.concat_ws(",", "spans").alias("spans"),
     )

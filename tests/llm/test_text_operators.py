@@ -1,5 +1,6 @@
 """Licences, personal data, main text, tokenisation: fixtures, brute force, edge cases."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -12,7 +13,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from rawhouse.llm import html_main, licenses, pii, spm
+from rawhouse.llm import html_main, licenses, pii, queries, spm
 from rawhouse.llm.license_templates import TEMPLATES
 
 SF = "/root/testdata/sf0.01"
@@ -245,6 +246,26 @@ def test_private_edges(odd, odd_rows, private_weights):
     assert pii.find_private(empty, pii.train(empty), keep=["doc_id"]).collect() == []
 
 
+def test_personal_data_query_counts_each_kind(docs, spark, tmp_path):
+    """The query's own columns, by the plain patterns."""
+    rng = random.Random(4)
+    kinds = ("email", "ip", "card", "phone")
+    rows = [(0, None), (1, ""), (2, "no numbers here"), (3, "a@b@c.de 999.1.2.3.4 1.2.3.4.5.6.7.8 +1 (22) 333-4444 4111-1111 1111 1111")]
+    for i in range(4, 24):
+        things = [x for _ in range(rng.randrange(4)) for x in private_things(rng).values() if rng.random() < 0.6]
+        rows.append((i, "🙂 and, ".join(["first", *things, "last"])))
+    rows += [(None, rows[3][1]), rows[5], (30, " | ".join(x for x in private_things(rng).values()))]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op2_personal_data(spark, str(tmp_path)).collect()
+    want = []
+    for i, text in rows:
+        spans = plain_patterns(text or "")
+        digest = hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+        want.append((i, *[sum(k == s[0] for s in spans) for k in kinds], digest))
+    assert sorted([tuple(r[c] for c in ("doc_id", *[f"n_{k}" for k in kinds], "base_sha256")) for r in got], key=repr) == sorted(want, key=repr)
+    assert all(sum(r[n] for r in want) > 0 for n in range(1, 5))
+
+
 # --- main text --------------------------------------------------------------
 
 PAGE = """<html><body><header class="site-header"><h1>Site</h1></header><div id="cookie-notice">We use cookies, yes.</div>
