@@ -146,7 +146,7 @@ def profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles from one small file an entity, many files a task."""
     path = scratch_path(spark, "profile-files")
     # one record a file: as many small files as entities
-    Q.profile_texts(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    sinks.write_file_per_row(Q.profile_texts(spark, sf_dir), path)
     parsed = prs.parse_kv_profile(files.read_whole_files(spark, path), Q.PROFILE_FIELDS)
     cleaned = prs.clean_profile(parsed)
     return cleaned.withColumn("acctbal", F.col("acctbal").try_cast("double"))

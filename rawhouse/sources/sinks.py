@@ -8,6 +8,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rawhouse.session import discard, materialize
+
 
 def save_table(
     df: DataFrame,
@@ -45,6 +47,23 @@ def write_files(
     w.save(path)
 
 
+def write_file_per_row(df: DataFrame, path: str, col: str = "value", files_per_task: int = 250) -> None:
+    """One small text file at ``path`` for every row, with the text of ``col``.
+
+    Making a file takes far longer than its bytes, so tasks are sized by files: the
+    rows are computed once, counted and dealt in turn over tasks of about
+    ``files_per_task`` rows (no fewer than the session's cores), however few
+    partitions ``df`` has.  Each task also moves its own files in place when it ends
+    (commit algorithm 2); algorithm 1 would move all of them one by one on the
+    driver.  So ``path`` must be a new folder, read only after this returned.
+    """
+    texts = materialize(df.select(F.col(f"`{col}`").alias("value")), "file-texts")
+    tasks = max(-(-texts.count() // files_per_task), df.sparkSession.sparkContext.defaultParallelism)
+    w = texts.repartition(tasks).write.option("maxRecordsPerFile", 1)
+    w.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+    discard(texts)
+
+
 def save_bucketed(
     df: DataFrame, name: str, by: Sequence[str] | str, buckets: int, mode: str = "error", path: str | None = None
 ) -> None:

@@ -1,7 +1,9 @@
 """Stored tables and files: bucketed joins, loads by year, fresh builds, saved
 models, ordered reports, packed small files, statements with names as parameters."""
 
+import datetime
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from frame_rows import rows
 from rawhouse.operators import entity as ent
 from rawhouse.operators import ml
+from rawhouse.plans import queries as Q
 from rawhouse.plans import sql_forms, stored_queries
 from rawhouse.sources import files, sinks
 
@@ -154,6 +157,45 @@ def test_small_files_share_tasks(spark, tmp_dir):
     assert files.read_whole_files(spark, tmp_dir, task_bytes=500).rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
 
 
+def test_a_file_per_row_is_written_by_many_tasks(spark, tmp_dir):
+    """Rows of one partition, some alike, empty or null: each has a file of its own,
+    and no task writes more than its share of them."""
+    texts = [f"code,{i % 290}\nname,n" for i in range(297)] + ["", None, "é 🙂"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, `te.xt` string").coalesce(1)
+    path = os.path.join(tmp_dir, "files")
+    sinks.write_file_per_row(df, path, "te.xt", files_per_task=20)
+    names = [f for f in os.listdir(path) if f.startswith("part-") and os.path.getsize(os.path.join(path, f))]
+    shares = Counter(f.split("-")[1] for f in names)
+    assert len(names) == 300 and len(shares) == 15 and max(shares.values()) <= 25
+    got = [r["value"] for r in files.read_whole_files(spark, path).collect()]
+    assert sorted(got) == sorted((t or "") + "\n" for t in texts)
+    # fewer rows than one task's share still use every core
+    few = os.path.join(tmp_dir, "few")
+    sinks.write_file_per_row(df.limit(40), few, "te.xt")
+    assert len({f.split("-")[1] for f in os.listdir(few) if f.startswith("part-")}) == spark.sparkContext.defaultParallelism
+
+
+def test_profile_files_are_not_written_by_one_task(spark, tmp_dir, monkeypatch):
+    """A supplier table of one row group: its files come from every core."""
+    seen = []
+    real = files.read_whole_files
+    monkeypatch.setattr(files, "read_whole_files", lambda s, path: seen.append(path) or real(s, path))
+    supplier = [(i, f"Supplier#{i}", i % 2, 1.0 * i) for i in range(60)]
+    made = {
+        "supplier": spark.createDataFrame(supplier, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "nation": spark.createDataFrame([(0, "PERU", 0), (1, "CHINA", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": spark.createDataFrame([(0, "AMERICA"), (1, "ASIA")], "r_regionkey int, r_name string"),
+        "lineitem": spark.createDataFrame([(i, datetime.datetime(2020, 1, 2)) for i in range(50)], "l_suppkey long, l_shipdate timestamp"),
+    }
+    for name, df in made.items():
+        df.coalesce(1).write.parquet(os.path.join(tmp_dir, f"{name}.parquet"))
+    got = stored_queries.profile_files(spark, tmp_dir)
+    path = seen[0].removeprefix("file:")
+    names = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(names) == 60 and len({f.split("-")[1] for f in names}) >= spark.sparkContext.defaultParallelism
+    assert rows(got) == rows(Q.parse_profiles(spark, tmp_dir)) and got.count() == 60
+
+
 # ------------------------------------------------------------------ names as parameters
 
 def test_similar_entities_statement_on_two_cluster_tables(spark):
